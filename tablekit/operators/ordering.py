@@ -18,6 +18,17 @@ def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def desc(col: str) -> Column:
+    """Descending key for ordered scans (numeric columns): ``-col``."""
+    return F.negative(F.col(col))
+
+
+def _keys(order) -> list[Column]:
+    """Ordered-scan keys must be plain ascending expressions (they go into a
+    struct for bucket search); use ``desc(col)`` for descending numerics."""
+    return _cols(order)
+
+
 def sort_by(df: DataFrame, *cols, ascending: bool | list[bool] = True) -> DataFrame:
     """Total sort; pass a unique tiebreak column last for a repeatable order."""
     return df.orderBy(*cols, ascending=ascending)
@@ -44,7 +55,7 @@ def top_membership(df: DataFrame, candidates: DataFrame, n: int, key: str,
 
 
 def _bounds(df: DataFrame, order: list, n: int, sample_per_bucket: int) -> Column:
-    order_cols = _cols(order)
+    order_cols = _keys(order)
     k = n * sample_per_bucket
     sample = (df.select(F.struct(*order_cols).alias("_key"))
                 .orderBy(F.xxhash64(*order_cols), *order_cols).limit(k))
@@ -65,7 +76,7 @@ def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
     """
     if n <= 1:
         return df.withColumn(name, F.lit(0))
-    key = F.struct(*_cols(order))
+    key = F.struct(*_keys(order))
     bounds = F.col("_bounds")
     steps = max(1, (n - 1).bit_length() + 1)
     # state: (lo, hi) over bucket positions; bucket = number of bounds < key
@@ -91,8 +102,10 @@ def ordered_scan(df: DataFrame, order: list, sums: list[str] = (),
     """
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = _cols(order)
-    bucketed = with_range_bucket(df, order, n)
+    order_cols = _keys(order)
+    # range-partitioning on the bucket id puts each bucket in its own task
+    # (hashing small integers collides) and satisfies the window's clustering
+    bucketed = with_range_bucket(df, order, n).repartitionByRange(n, "_bkt")
     frame = Window.partitionBy("_bkt").orderBy(*order_cols)
     run = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.select(

@@ -1 +1,430 @@
-"""Registered queries."""
+"""Registered text, sequence and vector queries (inventory T01-T27)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from . import bindings as B
+from . import sqlfrag as Q
+from .features import pair_features, with_lemmas
+from .lexicon import lemma_table
+from .registry import query
+from ..functions import fuzzy as FZ
+from ..functions import ngrams as NG
+from ..functions import sequences as SQ
+from ..functions import text as TX
+from ..functions import vectors as V
+from ..operators import tokens as TK
+from ..sources.tables import read_table as T
+
+PAIRS = B.PAIRS_SQL
+
+
+@query("text_split_words", section="T01/T02", sql=f"""
+SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_space,
+       CAST(len({Q.split_ws('text')}) AS INTEGER) AS n_ws,
+       CAST(len(string_split(text, chr(9))) AS INTEGER) AS n_tab,
+       CAST(len(string_split(text, '|')) AS INTEGER) AS n_pipe,
+       CAST(len(list_filter(string_split_regex(text, '[^\\p{{L}}\\p{{N}}_]+'), lambda w: w <> '')) AS INTEGER) AS n_word,
+       upper(replace(split_part(text, ' ', 1), 'ß', 'ss')) AS first_upper, lower(split_part(text, ' ', 1)) AS first_lower
+  FROM documents""")
+def q_split_words(spark, d):
+    docs = T(spark, d, "documents", "doc_id", "text")
+    first = F.split("text", " ")[0]
+    return docs.select(
+        "doc_id", F.size(F.split("text", " ")).alias("n_space"), F.size(TX.split_ws("text")).alias("n_ws"),
+        F.size(F.split("text", "\t")).alias("n_tab"), F.size(F.split("text", "\\|")).alias("n_pipe"),
+        F.size(F.filter(F.split("text", "[^\\p{L}\\p{N}_]+"), lambda w: w != "")).alias("n_word"),
+        F.upper(first).alias("first_upper"), F.lower(first).alias("first_lower"))
+
+
+@query("text_long_words", section="T03", sql=f"""
+SELECT DISTINCT w AS word FROM (SELECT UNNEST(string_split(upper(replace(line, 'ß', 'ss')), ' ')) AS w FROM {B.TEXT_LINES_SQL} t) x
+ WHERE length(w) > 4""")
+def q_long_words(spark, d):
+    words = B.text_lines(spark, d).select(F.explode(F.split(F.upper("line"), " ")).alias("word"))
+    return words.filter(F.length("word") > 4).distinct().orderBy("word")
+
+
+@query("feat_lengths", section="T04/T05", sql=f"""
+SELECT id, {Q.wc('question1')} AS qWCount1, {Q.wc('question2')} AS qWCount2,
+       CAST(length(question1) AS INTEGER) AS qLen1, CAST(length(question2) AS INTEGER) AS qLen2 FROM {PAIRS} p""")
+def q_feat_lengths(spark, d):
+    p = B.pairs(spark, d)
+    return p.select("id", TX.words_spaces_plus_one("question1").alias("qWCount1"),
+                    TX.words_spaces_plus_one("question2").alias("qWCount2"),
+                    F.length("question1").alias("qLen1"), F.length("question2").alias("qLen2"))
+
+
+@query("feat_ratios", section="T06", sql=f"""
+WITH f AS (SELECT id, {Q.wc('question1')} AS a, {Q.wc('question2')} AS b,
+                  length(question1) AS c, length(question2) AS e FROM {PAIRS} p)
+SELECT id, {Q.ratio('a', 'b')} AS qWCount_ratio, {Q.ratio('c', 'e')} AS qLen_ratio FROM f""")
+def q_feat_ratios(spark, d):
+    p = B.pairs(spark, d)
+    f = p.select("id", TX.words_spaces_plus_one("question1").alias("a"),
+                 TX.words_spaces_plus_one("question2").alias("b"),
+                 F.length("question1").alias("c"), F.length("question2").alias("e"))
+    return f.select("id", TX.sym_ratio("a", "b").alias("qWCount_ratio"),
+                    TX.sym_ratio("c", "e").alias("qLen_ratio"))
+
+
+@query("text_clean", section="T07", sql=f"""
+SELECT doc_id, regexp_replace(text, {Q.SYM}, '', 'g') AS cleaned FROM documents""")
+def q_text_clean(spark, d):
+    return T(spark, d, "documents", "doc_id", "text").select(
+        "doc_id", TX.clean_symbols("text").alias("cleaned"))
+
+
+@query("feat_common_ngrams", section="T08", sql=f"""
+WITH w AS (SELECT id, {Q.ngram_words('question1')} AS w1, {Q.ngram_words('question2')} AS w2 FROM {PAIRS} p)
+SELECT id, {Q.common('w1', 'w2', 1)} AS qNgrams_1, {Q.common('w1', 'w2', 2)} AS qNgrams_2,
+       {Q.common('w1', 'w2', 3)} AS qNgrams_3 FROM w""")
+def q_common_ngrams(spark, d):
+    p = B.pairs(spark, d)
+    return p.select("id", *[NG.common_ngrams("question1", "question2", n).alias(f"qNgrams_{n}")
+                            for n in (1, 2, 3)])
+
+
+@query("feat_char_bigrams", section="T09", sql=f"""
+SELECT id, CAST(len(list_intersect(
+         CASE WHEN length(question1) >= 2 THEN list_transform(range(1, length(question1)), lambda i: substring(question1, i, 2)) ELSE []::VARCHAR[] END,
+         CASE WHEN length(question2) >= 2 THEN list_transform(range(1, length(question2)), lambda i: substring(question2, i, 2)) ELSE []::VARCHAR[] END))
+       AS INTEGER) AS char_bigrams FROM {PAIRS} p""")
+def q_char_bigrams(spark, d):
+    p = B.pairs(spark, d)
+    return p.select("id", NG.common_char_ngrams("question1", "question2", 2).alias("char_bigrams"))
+
+
+@query("feat_unigram_ratio", section="T10", sql=f"""
+WITH w AS (SELECT id, {Q.ngram_words('question1')} AS w1, {Q.ngram_words('question2')} AS w2,
+                  {Q.wc('question1')} AS c1, {Q.wc('question2')} AS c2 FROM {PAIRS} p)
+SELECT id, {Q.common('w1', 'w2', 1)} / (1 + greatest(c1, c2)) AS qUnigram_ratio FROM w""")
+def q_unigram_ratio(spark, d):
+    p = B.pairs(spark, d)
+    g = NG.common_ngrams("question1", "question2", 1)
+    return p.select("id", NG.unigram_ratio(g, TX.words_spaces_plus_one("question1"),
+                                           TX.words_spaces_plus_one("question2")).alias("qUnigram_ratio"))
+
+
+@query("text_tokenize", section="T11", sql="""
+SELECT doc_id, string_split_regex(lower(text), '\\s') AS tokens FROM documents""")
+def q_tokenize(spark, d):
+    return T(spark, d, "documents", "doc_id", "text").select("doc_id", TX.tokenize("text").alias("tokens"))
+
+
+@query("text_stopwords", section="T12", sql=f"""
+SELECT doc_id, array_to_string({Q.content_words('text')}, ' ') AS content FROM documents""")
+def q_stopwords(spark, d):
+    return T(spark, d, "documents", "doc_id", "text").select(
+        "doc_id", F.array_join(TX.content_words("text"), " ").alias("content"))
+
+
+@query("text_lemmatize", section="T13", sql=f"""
+SELECT doc_id, {Q.lemma_text('text')} AS lemma FROM documents""")
+def q_lemmatize(spark, d):
+    docs = T(spark, d, "documents", "doc_id", "text").select("doc_id", TX.content_words("text").alias("w"))
+    out = TK.lemmatize(docs, "doc_id", "w", lemma_table(spark), name="lem")
+    return out.select("doc_id", F.array_join("lem", " ").alias("lemma"))
+
+
+@query("text_sentences", section="T14")
+def q_sentences(spark, d):
+    s = T(spark, d, "documents", "doc_id", "text", "lang").select(
+        "doc_id", TX.sentences("text", "en").alias("s"))
+    return s.select("doc_id", F.size("s").alias("n_sentences"),
+                    F.aggregate("s", F.lit(0), lambda acc, x: acc + F.size(x)).alias("n_words"))
+
+
+@query("text_normalize", section="T15", sql=f"""
+SELECT doc_id, {Q.normalize('text')} AS normalized FROM documents""")
+def q_normalize(spark, d):
+    return T(spark, d, "documents", "doc_id", "text").select(
+        "doc_id", TX.normalize("text").alias("normalized"))
+
+
+MIN_DF = 3
+
+
+def _normalized_pairs(spark, d):
+    p = B.pairs(spark, d)
+    return p.select("id", TX.normalize("question1").alias("q1"), TX.normalize("question2").alias("q2"))
+
+
+NORM_PAIRS_SQL = f"(SELECT id, {Q.normalize('question1')} AS q1, {Q.normalize('question2')} AS q2 FROM {PAIRS} p)"
+VOCAB_SQL = f"""(SELECT w AS word, COUNT(*) AS df FROM (
+    SELECT UNNEST(list_distinct({Q.split_ws('t')})) AS w FROM (
+      SELECT DISTINCT t FROM (SELECT q1 AS t FROM {NORM_PAIRS_SQL} a UNION ALL SELECT q2 AS t FROM {NORM_PAIRS_SQL} b) u) x) y
+  GROUP BY w HAVING COUNT(*) >= {MIN_DF})"""
+
+
+@query("vocab_min_df", section="T16", sql=f"SELECT word, df FROM {VOCAB_SQL} v")
+def q_vocab(spark, d):
+    return TK.vocabulary(_normalized_pairs(spark, d), ["q1", "q2"], MIN_DF)
+
+
+@query("seq_collapse_rare", section="T17", sql=f"""
+WITH np AS {NORM_PAIRS_SQL}, vocab AS {VOCAB_SQL},
+ ex AS (SELECT id, UNNEST(toks) AS tok, UNNEST(range(1, len(toks) + 1)) AS pos FROM
+          (SELECT id, {Q.split_ws('q1')} AS toks FROM np) t),
+ fl AS (SELECT ex.id, ex.pos, ex.tok, v.word IS NULL AS oov FROM ex LEFT JOIN vocab v ON v.word = ex.tok),
+ g AS (SELECT id, list(tok ORDER BY pos) AS toks, list(oov ORDER BY pos) AS flags FROM fl GROUP BY id),
+ c AS (SELECT id, list_transform(
+          list_filter(range(1, len(toks) + 1), lambda i: NOT (flags[i] AND COALESCE(flags[i + 1], false))),
+          lambda i: CASE WHEN flags[i] THEN 'suspense' ELSE toks[i] END) AS kept FROM g)
+SELECT np.id, COALESCE(c.kept[greatest(len(c.kept) - 29, 1):], []::VARCHAR[]) AS prepared
+  FROM np LEFT JOIN c ON np.id = c.id""")
+def q_collapse(spark, d):
+    np_ = _normalized_pairs(spark, d)
+    vocab = TK.vocabulary(np_, ["q1", "q2"], MIN_DF)
+    toks = np_.select("id", TX.split_ws("q1").alias("toks"))
+    return TK.collapse_rare(toks, "id", "toks", vocab, "suspense", 30)
+
+
+def _encoded(spark, d):
+    np_ = _normalized_pairs(spark, d)
+    toks = np_.select("id", TK.keras_words("q1").alias("t1"), TK.keras_words("q2").alias("t2"))
+    corpus = toks.select(F.concat("t1", "t2").alias("t"))
+    index = TK.word_index(corpus, "t")
+    return toks, index
+
+
+_KERAS = Q.lit("[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TK.TOKENIZER_FILTERS) + "]")
+
+
+def _kw(x):
+    return Q.split_ws(f"regexp_replace(lower({x}), {_KERAS}, ' ', 'g')")
+
+
+INDEX_SQL = f"""(SELECT word, n, ROW_NUMBER() OVER (ORDER BY n DESC, word) AS "index" FROM (
+   SELECT w AS word, COUNT(*) AS n FROM (
+     SELECT UNNEST({_kw('q1')}) AS w FROM {NORM_PAIRS_SQL} a
+     UNION ALL SELECT UNNEST({_kw('q2')}) AS w FROM {NORM_PAIRS_SQL} b) x GROUP BY w) y)"""
+
+SEQ_SQL = f"""(SELECT np.id, COALESCE(e.seq, []::BIGINT[]) AS seq FROM {NORM_PAIRS_SQL} np LEFT JOIN (
+   SELECT id, list(i."index" ORDER BY pos) AS seq FROM (
+     SELECT id, UNNEST(t) AS word, UNNEST(range(1, len(t) + 1)) AS pos FROM (SELECT id, {_kw('q1')} AS t FROM {NORM_PAIRS_SQL} c) z) x
+   JOIN {INDEX_SQL} i ON i.word = x.word GROUP BY id) e ON np.id = e.id)"""
+
+
+@query("seq_encode", section="T18", sql=f"SELECT id, seq FROM {SEQ_SQL} s")
+def q_encode(spark, d):
+    toks, index = _encoded(spark, d)
+    return TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq")
+
+
+def _pad_sql(x, n, padding, truncating):
+    t = f"{x}[greatest(len({x}) - {n - 1}, 1):]" if truncating == "pre" else f"{x}[1:{n}]"
+    fill = f"list_transform(range(0, {n} - len({t})), lambda i: 0::BIGINT)"
+    return f"list_concat({fill}, {t})" if padding == "pre" else f"list_concat({t}, {fill})"
+
+
+@query("seq_pad", section="T19", sql=f"""
+SELECT id, {_pad_sql('seq', 30, 'pre', 'pre')} AS pad_pre, {_pad_sql('seq', 30, 'post', 'post')} AS pad_post
+  FROM {SEQ_SQL} s""")
+def q_pad(spark, d):
+    toks, index = _encoded(spark, d)
+    enc = TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq")
+    return enc.select("id", SQ.pad_sequences("seq", 30, "pre", "pre").alias("pad_pre"),
+                      SQ.pad_sequences("seq", 30, "post", "post").alias("pad_post"))
+
+
+@query("embed_matrix", section="T20", sql=f"""
+SELECT i."index", COALESCE(v.vec, list_transform(range(0, 64), lambda k: 0.0::DOUBLE)) AS vec
+  FROM {INDEX_SQL} i LEFT JOIN {B.VECTORS_SQL} v ON v.vec_id = i."index" """)
+def q_embed(spark, d):
+    _, index = _encoded(spark, d)
+    vecs = B.vectors(spark, d).select(F.col("vec_id").alias("index"), "vec")
+    return TK.embedding_matrix(index, vecs, 64)
+
+
+@query("vec_group_unit_sum", section="T21", sql=f"""
+WITH s AS (SELECT label, k, SUM(vec[k]) AS x FROM {B.VECTORS_SQL} v, range(1, 65) r(k) GROUP BY label, k),
+ n AS (SELECT label, sqrt(SUM(x * x)) AS nrm FROM s GROUP BY label)
+SELECT s.label, list(round(s.x / n.nrm, 9) ORDER BY s.k) AS unit_sum FROM s JOIN n ON s.label = n.label GROUP BY s.label""")
+def q_group_unit_sum(spark, d):
+    from .vectorplans import group_unit_sum
+    out = group_unit_sum(B.vectors(spark, d), "label", "vec")
+    return out.select("label", F.transform("unit_sum", lambda x: F.round(x, 9)).alias("unit_sum"))
+
+
+_POS, _NEG, _TOPK = (1, 2), (3,), 10
+
+
+@query("vec_most_similar", section="T22", sql=f"""
+WITH v AS {B.VECTORS_SQL},
+ u AS (SELECT vec_id, list_transform(vec, lambda x: x / sqrt(list_reduce(list_transform(vec, lambda y: y * y), lambda a, b: a + b))) AS uv FROM v),
+ sgn AS (SELECT CASE WHEN vec_id IN {tuple(_NEG) if len(_NEG) > 1 else f'({_NEG[0]})'} THEN -1.0 ELSE 1.0 END AS s, uv
+           FROM u WHERE vec_id IN {tuple(_POS + _NEG)}),
+ m AS (SELECT k, SUM(sgn.s * sgn.uv[k]) / {len(_POS) + len(_NEG)} AS x FROM sgn, range(1, 65) r(k) GROUP BY k),
+ q AS (SELECT list(x ORDER BY k) AS qv FROM m),
+ qn AS (SELECT list_transform(qv, lambda x: x / sqrt(list_reduce(list_transform(qv, lambda y: y * y), lambda a, b: a + b))) AS qv FROM q)
+SELECT vec_id, round(sim, 9) AS similarity FROM (
+  SELECT v.vec_id, list_reduce(list_transform(range(1, 65), lambda k: v.vec[k] * qn.qv[k]), lambda a, b: a + b)
+         / sqrt(list_reduce(list_transform(v.vec, lambda y: y * y), lambda a, b: a + b)) AS sim
+    FROM v, qn WHERE v.vec_id NOT IN {tuple(_POS + _NEG)}) x
+ ORDER BY sim DESC, vec_id LIMIT {_TOPK}""")
+def q_most_similar(spark, d):
+    from .vectorplans import most_similar
+    out = most_similar(B.vectors(spark, d), "vec_id", "vec", list(_POS), list(_NEG), _TOPK)
+    return out.select("vec_id", F.round("similarity", 9).alias("similarity"))
+
+
+def _vsql(expr):
+    return f"list_reduce(list_transform(range(1, len(a.vec) + 1), lambda k: {expr}), lambda x, y: x + y)"
+
+
+@query("vec_distances", section="T23", sql=f"""
+SELECT a.vec_id AS id1, b.vec_id AS id2,
+ round(1.0 - {_vsql('a.vec[k] * b.vec[k]')} / (sqrt({_vsql('a.vec[k] * a.vec[k]')}) * sqrt({_vsql('b.vec[k] * b.vec[k]')})), 9) AS cosine,
+ round({_vsql('abs(a.vec[k] - b.vec[k])')}, 9) AS cityblock,
+ round(sqrt({_vsql('(a.vec[k] - b.vec[k]) * (a.vec[k] - b.vec[k])')}), 9) AS euclidean,
+ round({_vsql('(a.vec[k] - b.vec[k]) * (a.vec[k] - b.vec[k])')}, 9) AS sqeuclidean,
+ round(pow({_vsql('pow(abs(a.vec[k] - b.vec[k]), 3.0)')}, 1.0 / 3.0), 9) AS minkowski3,
+ round({_vsql('abs(a.vec[k] - b.vec[k])')} / {_vsql('abs(a.vec[k] + b.vec[k])')}, 9) AS braycurtis,
+ round({_vsql('CASE WHEN abs(a.vec[k]) + abs(b.vec[k]) = 0 THEN 0.0 ELSE abs(a.vec[k] - b.vec[k]) / (abs(a.vec[k]) + abs(b.vec[k])) END')}, 9) AS canberra,
+ round(list_max(list_transform(range(1, len(a.vec) + 1), lambda k: abs(a.vec[k] - b.vec[k]))), 9) AS chebyshev
+FROM {B.VECTORS_SQL} a JOIN {B.VECTORS_SQL} b ON b.vec_id = a.vec_id + 1""")
+def q_vec_distances(spark, d):
+    v = B.vectors(spark, d)
+    a, b = v.alias("a"), v.alias("b")
+    j = a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1).select(
+        F.col("a.vec_id").alias("id1"), F.col("b.vec_id").alias("id2"),
+        F.col("a.vec").alias("u"), F.col("b.vec").alias("w"))
+    r = lambda c: F.round(c, 9)
+    return j.select("id1", "id2", r(V.cosine("u", "w")).alias("cosine"), r(V.cityblock("u", "w")).alias("cityblock"),
+                    r(V.euclidean("u", "w")).alias("euclidean"), r(V.sqeuclidean("u", "w")).alias("sqeuclidean"),
+                    r(V.minkowski("u", "w", 3.0)).alias("minkowski3"), r(V.braycurtis("u", "w")).alias("braycurtis"),
+                    r(V.canberra("u", "w")).alias("canberra"), r(V.chebyshev("u", "w")).alias("chebyshev"))
+
+
+@query("vec_jaccard", section="T23", sql=f"""
+WITH p AS (SELECT a.vec_id AS id1, list_transform(a.vec, lambda x: round(x, 1)) AS u,
+                  list_transform(b.vec, lambda x: round(x, 1)) AS w
+             FROM {B.VECTORS_SQL} a JOIN {B.VECTORS_SQL} b ON b.vec_id = a.vec_id + 1)
+SELECT id1, round(CASE WHEN e = 0 THEN 0.0 ELSE df / e END, 9) AS jaccard FROM (
+  SELECT id1,
+   list_reduce(list_transform(range(1, len(u) + 1), lambda k: CASE WHEN u[k] <> 0 OR w[k] <> 0 THEN 1.0 ELSE 0.0 END), lambda x, y: x + y) AS e,
+   list_reduce(list_transform(range(1, len(u) + 1), lambda k: CASE WHEN (u[k] <> 0 OR w[k] <> 0) AND u[k] <> w[k] THEN 1.0 ELSE 0.0 END), lambda x, y: x + y) AS df
+  FROM p) z""")
+def q_vec_jaccard(spark, d):
+    v = B.vectors(spark, d)
+    a, b = v.alias("a"), v.alias("b")
+    j = a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1).select(
+        F.col("a.vec_id").alias("id1"),
+        F.transform("a.vec", lambda x: F.round(x, 1)).alias("u"),
+        F.transform("b.vec", lambda x: F.round(x, 1)).alias("w"))
+    return j.select("id1", F.round(V.jaccard("u", "w"), 9).alias("jaccard"))
+
+
+def _conv_docs(spark, d):
+    c = T(spark, d, "conversations", "conv_id", "turn", "text")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc"), TX.tokenize("text").alias("tokens"))
+
+
+@query("tf_counts", section="T24", sql="""
+WITH docs AS (SELECT conv_id * 1000 + turn AS doc, string_split_regex(lower(text), '\\s') AS tokens FROM conversations),
+ tf AS (SELECT doc, term, COUNT(*) AS tf FROM (SELECT doc, UNNEST(tokens) AS term FROM docs) x GROUP BY doc, term),
+ v AS (SELECT term FROM tf GROUP BY term HAVING COUNT(*) >= 2)
+SELECT tf.doc, tf.term, tf.tf FROM tf WHERE tf.term IN (SELECT term FROM v)""")
+def q_tf_counts(spark, d):
+    _, counts = TK.term_counts(_conv_docs(spark, d), "doc", "tokens", min_df=2.0)
+    return counts.select("doc", "term", "tf")
+
+
+LEMMA_PAIRS_SQL = f"""(SELECT id, string_split_regex(lower({Q.lemma_text('question1')}), '\\s') AS t1,
+        string_split_regex(lower({Q.lemma_text('question2')}), '\\s') AS t2 FROM {PAIRS} p)"""
+
+TFIDF_SQL = f"""(WITH lp AS {LEMMA_PAIRS_SQL},
+ docs AS (SELECT id, 1 AS side, t1 AS t FROM lp UNION ALL SELECT id, 2 AS side, t2 AS t FROM lp),
+ tf AS (SELECT id, side, term, COUNT(*) AS tf FROM (SELECT id, side, UNNEST(t) AS term FROM docs) x GROUP BY ALL),
+ dfs AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term HAVING COUNT(*) >= 2),
+ m AS (SELECT COUNT(*) AS m FROM docs),
+ w AS (SELECT tf.id, tf.side, tf.term, tf.tf * ln((m.m + 1) / (dfs.df + 1)) AS w FROM tf JOIN dfs ON tf.term = dfs.term, m),
+ w1 AS (SELECT id, term, w FROM w WHERE side = 1), w2 AS (SELECT id, term, w FROM w WHERE side = 2),
+ dd AS (SELECT COALESCE(w1.id, w2.id) AS id, SUM(pow(COALESCE(w1.w, 0.0) - COALESCE(w2.w, 0.0), 2)) AS dist
+          FROM w1 FULL JOIN w2 ON w1.id = w2.id AND w1.term = w2.term GROUP BY 1)
+ SELECT lp.id, COALESCE(dd.dist, 0.0) AS dist FROM lp LEFT JOIN dd ON lp.id = dd.id)"""
+
+
+@query("tfidf_distance", section="T25", sql=f"SELECT id, round(dist, 4) AS tfidfDistance FROM {TFIDF_SQL} t")
+def q_tfidf(spark, d):
+    lp = with_lemmas(B.pairs(spark, d), lemma_table(spark))
+    toks = lp.select("id", TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2"))
+    out = TK.tfidf_pair_distance(toks, "id", "t1", "t2", min_df=2.0)
+    return out.select("id", F.round("dist", 4).alias("tfidfDistance"))
+
+
+ASCII_PAIRS_SQL = f"(SELECT id, {Q.ascii_only('question1')} AS a, {Q.ascii_only('question2')} AS b FROM {PAIRS} p)"
+
+
+def _ascii_pairs(spark, d):
+    p = B.pairs(spark, d)
+    return p.select("id", F.regexp_replace("question1", "[^\\x00-\\x7F]", "").alias("a"),
+                    F.regexp_replace("question2", "[^\\x00-\\x7F]", "").alias("b"))
+
+
+@query("fuzzy_ratio", section="T26", sql=f"SELECT id, {Q.fratio('a', 'b')} AS ratio FROM {ASCII_PAIRS_SQL} p")
+def q_fuzzy_ratio(spark, d):
+    return _ascii_pairs(spark, d).select("id", FZ.ratio("a", "b").alias("ratio"))
+
+
+def _sorted_sql(x):
+    return f"array_to_string(list_sort({Q.fuzzy_tokens(x)}), ' ')"
+
+
+@query("fuzzy_token_sort", section="T26", sql=f"""
+SELECT id, {Q.fratio(_sorted_sql('a'), _sorted_sql('b'))} AS token_sort_ratio FROM {ASCII_PAIRS_SQL} p""")
+def q_fuzzy_sort(spark, d):
+    return _ascii_pairs(spark, d).select("id", FZ.token_sort_ratio("a", "b").alias("token_sort_ratio"))
+
+
+@query("fuzzy_token_set", section="T26", sql=f"""
+WITH t AS (SELECT id, {Q.fuzzy_tokens('a')} AS t1, {Q.fuzzy_tokens('b')} AS t2 FROM {ASCII_PAIRS_SQL} p),
+ s AS (SELECT id, array_to_string(list_sort(list_intersect(t1, t2)), ' ') AS i,
+              array_to_string(list_sort(list_distinct(list_filter(t1, lambda x: NOT list_contains(t2, x)))), ' ') AS d1,
+              array_to_string(list_sort(list_distinct(list_filter(t2, lambda x: NOT list_contains(t1, x)))), ' ') AS d2 FROM t),
+ u AS (SELECT id, i, trim(concat_ws(' ', i, d1)) AS s1, trim(concat_ws(' ', i, d2)) AS s2 FROM s)
+SELECT id, greatest({Q.fratio('i', 's1')}, {Q.fratio('i', 's2')}, {Q.fratio('s1', 's2')}) AS token_set_ratio FROM u""")
+def q_fuzzy_set(spark, d):
+    return _ascii_pairs(spark, d).select("id", FZ.token_set_ratio("a", "b").alias("token_set_ratio"))
+
+
+@query("fuzzy_partial", section="T26", sql=f"""
+WITH x AS (SELECT id, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
+                  CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM {ASCII_PAIRS_SQL} p)
+SELECT id, CAST(CASE WHEN length(s) = 0 THEN 0 ELSE round((length(s) - list_min(list_transform(
+         range(1, length(l) - length(s) + 2), lambda j: levenshtein(s, substring(l, j, length(s)))))) * 100 / length(s)) END
+       AS INTEGER) AS partial_ratio FROM x""")
+def q_fuzzy_partial(spark, d):
+    return _ascii_pairs(spark, d).select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
+
+
+FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2', 'qLen1', 'qLen2',
+                 'lWCount_ratio', 'qWCount_ratio', 'lLen_ratio', 'qLen_ratio',
+                 'qNgrams_1', 'qNgrams_2', 'qNgrams_3', 'lNgrams_1', 'lNgrams_2', 'lNgrams_3',
+                 'qUnigram_ratio', 'lUnigram_ratio', 'tfidfDistance']
+
+
+@query("pair_features", section="T27", sql=f"""
+WITH b AS (SELECT id, question1 AS q1, question2 AS q2, {Q.lemma_text('question1')} AS l1,
+                  {Q.lemma_text('question2')} AS l2 FROM {PAIRS} p),
+ c AS (SELECT id, {Q.wc('l1')} AS lWCount1, {Q.wc('l2')} AS lWCount2, {Q.wc('q1')} AS qWCount1, {Q.wc('q2')} AS qWCount2,
+              CAST(length(l1) AS INTEGER) AS lLen1, CAST(length(l2) AS INTEGER) AS lLen2,
+              CAST(length(q1) AS INTEGER) AS qLen1, CAST(length(q2) AS INTEGER) AS qLen2,
+              {Q.ngram_words('q1')} AS qw1, {Q.ngram_words('q2')} AS qw2,
+              {Q.ngram_words('l1')} AS lw1, {Q.ngram_words('l2')} AS lw2 FROM b),
+ f AS (SELECT id, lWCount1, lWCount2, qWCount1, qWCount2, lLen1, lLen2, qLen1, qLen2,
+              {Q.ratio('lWCount1', 'lWCount2')} AS lWCount_ratio, {Q.ratio('qWCount1', 'qWCount2')} AS qWCount_ratio,
+              {Q.ratio('lLen1', 'lLen2')} AS lLen_ratio, {Q.ratio('qLen1', 'qLen2')} AS qLen_ratio,
+              {Q.common('qw1', 'qw2', 1)} AS qNgrams_1, {Q.common('qw1', 'qw2', 2)} AS qNgrams_2,
+              {Q.common('qw1', 'qw2', 3)} AS qNgrams_3, {Q.common('lw1', 'lw2', 1)} AS lNgrams_1,
+              {Q.common('lw1', 'lw2', 2)} AS lNgrams_2, {Q.common('lw1', 'lw2', 3)} AS lNgrams_3 FROM c)
+SELECT f.id, {', '.join(n for n in FEATURE_NAMES if n not in ('qUnigram_ratio', 'lUnigram_ratio', 'tfidfDistance'))},
+       qNgrams_1 / (1 + greatest(qWCount1, qWCount2)) AS qUnigram_ratio,
+       lNgrams_1 / (1 + greatest(lWCount1, lWCount2)) AS lUnigram_ratio,
+       round(t.dist, 4) AS tfidfDistance
+  FROM f JOIN {TFIDF_SQL} t ON f.id = t.id""")
+def q_pair_features(spark, d):
+    out = pair_features(B.pairs(spark, d), lemma_table(spark))
+    return out.withColumn("tfidfDistance", F.round("tfidfDistance", 4))
