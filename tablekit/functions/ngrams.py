@@ -14,18 +14,27 @@ def ngram_words(col) -> Column:
     return split_ws(F.lower(clean_symbols(c)))
 
 
-def word_ngrams(words: Column, n: int) -> Column:
+def word_ngrams(words, n: int) -> Column:
     """Word n-grams as space-joined strings (words hold no whitespace, so the
-    join is injective). Fewer than ``n`` words gives an empty array."""
+    join is injective). Fewer than ``n`` words gives an empty array.
+
+    ``words`` should be a column reference: an expression here would be
+    re-evaluated inside the lambda for every position."""
+    words = F.col(words) if isinstance(words, str) else words
     return F.when(F.size(words) >= n, F.transform(
         F.sequence(F.lit(1), F.size(words) - n + 1),
         lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def common_ngrams(s1, s2, n: int) -> Column:
-    """Size of the intersection of the two texts' n-gram *sets*."""
-    return F.size(F.array_intersect(word_ngrams(ngram_words(s1), n),
-                                    word_ngrams(ngram_words(s2), n))).cast("int")
+def common_ngrams(words1, words2, n: int) -> Column:
+    """Size of the intersection of two texts' n-gram *sets*, from word-array
+    columns (see ``ngram_words`` and ``with_ngram_words``)."""
+    return F.size(F.array_intersect(word_ngrams(words1, n), word_ngrams(words2, n))).cast("int")
+
+
+def with_ngram_words(df, **named_texts):
+    """Materialise ``ngram_words`` arrays as columns (``name=text_column``)."""
+    return df.withColumns({k: ngram_words(v) for k, v in named_texts.items()})
 
 
 def char_ngrams(col, n: int = 2) -> Column:

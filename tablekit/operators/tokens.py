@@ -139,8 +139,11 @@ def term_counts(docs: DataFrame, key: str, tokens: str, min_df: float = 1.0,
     else:
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
         stats = stats.filter(F.col("df") >= n_docs * min_df)
-    ranked = dense_index(stats, [desc("total"), "term"], name="term_index")
-    vocab = ranked.filter(F.col("term_index") <= vocab_size)
+    # keep the vocab_size terms with the largest corpus counts (ties by
+    # term): the cut-off key is a bounded top-k computed once as a scalar
+    key = F.struct(F.negative(F.col("total")).alias("t"), F.col("term").alias("w"))
+    cutoff = stats.select(key.alias("_k")).orderBy("_k").limit(vocab_size).agg(F.max("_k")).scalar()
+    vocab = stats.filter(key <= cutoff)
     counts = kept.join(vocab.select("term"), "term", "left_semi")
     if binary:
         counts = counts.withColumn("tf", F.lit(1).cast("long"))
@@ -163,6 +166,7 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
         raise ValueError("only the union corpus is built; an array-key full join "
                          "emits all pairs of equal texts")
     side = F.lit
+    pairs_tokens = pairs_tokens.select(key, tokens1, tokens2)
     docs = (pairs_tokens.select(key, side(1).alias("_side"), F.col(tokens1).alias("_tok"))
             .unionByName(pairs_tokens.select(key, side(2).alias("_side"), F.col(tokens2).alias("_tok"))))
     vocab, counts = term_counts(docs.select(F.struct(key, "_side").alias("_doc"), "_tok"),

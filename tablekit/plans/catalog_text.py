@@ -15,6 +15,7 @@ from ..functions import sequences as SQ
 from ..functions import text as TX
 from ..functions import vectors as V
 from ..operators import tokens as TK
+from ..session import cut_lineage
 from ..sources.tables import read_table as T
 
 PAIRS = B.PAIRS_SQL
@@ -81,9 +82,8 @@ WITH w AS (SELECT id, {Q.ngram_words('question1')} AS w1, {Q.ngram_words('questi
 SELECT id, {Q.common('w1', 'w2', 1)} AS qNgrams_1, {Q.common('w1', 'w2', 2)} AS qNgrams_2,
        {Q.common('w1', 'w2', 3)} AS qNgrams_3 FROM w""")
 def q_common_ngrams(spark, d):
-    p = B.pairs(spark, d)
-    return p.select("id", *[NG.common_ngrams("question1", "question2", n).alias(f"qNgrams_{n}")
-                            for n in (1, 2, 3)])
+    p = NG.with_ngram_words(B.pairs(spark, d), w1="question1", w2="question2")
+    return p.select("id", *[NG.common_ngrams("w1", "w2", n).alias(f"qNgrams_{n}") for n in (1, 2, 3)])
 
 
 @query("feat_char_bigrams", section="T09", sql=f"""
@@ -101,8 +101,8 @@ WITH w AS (SELECT id, {Q.ngram_words('question1')} AS w1, {Q.ngram_words('questi
                   {Q.wc('question1')} AS c1, {Q.wc('question2')} AS c2 FROM {PAIRS} p)
 SELECT id, {Q.common('w1', 'w2', 1)} / (1 + greatest(c1, c2)) AS qUnigram_ratio FROM w""")
 def q_unigram_ratio(spark, d):
-    p = B.pairs(spark, d)
-    g = NG.common_ngrams("question1", "question2", 1)
+    p = NG.with_ngram_words(B.pairs(spark, d), w1="question1", w2="question2")
+    g = NG.common_ngrams("w1", "w2", 1)
     return p.select("id", NG.unigram_ratio(g, TX.words_spaces_plus_one("question1"),
                                            TX.words_spaces_plus_one("question2")).alias("qUnigram_ratio"))
 
@@ -350,7 +350,7 @@ TFIDF_SQL = f"""(WITH lp AS {LEMMA_PAIRS_SQL},
 @query("tfidf_distance", section="T25", sql=f"SELECT id, round(dist, 4) AS tfidfDistance FROM {TFIDF_SQL} t")
 def q_tfidf(spark, d):
     lp = with_lemmas(B.pairs(spark, d), lemma_table(spark))
-    toks = lp.select("id", TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2"))
+    toks = cut_lineage(lp.select("id", TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2")))
     out = TK.tfidf_pair_distance(toks, "id", "t1", "t2", min_df=2.0)
     return out.select("id", F.round("dist", 4).alias("tfidfDistance"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ngrams as NG
 from ..functions import text as TX
 from ..operators import tokens as TK
+from ..session import cut_lineage
 
 FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2', 'qLen1', 'qLen2',
                  'lWCount_ratio', 'qWCount_ratio', 'lLen_ratio', 'qLen_ratio',
@@ -27,29 +28,34 @@ def with_lemmas(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
     lem = TK.lemmatize(stacked, "_k", "_w", lemmas, name="_lem")
     lem = lem.select(F.col("_k.id").alias(key), F.col("_k.side").alias("_side"),
                      F.array_join("_lem", " ").alias("_text"))
-    l1 = lem.filter(F.col("_side") == 1).select(key, F.col("_text").alias("lemma1"))
-    l2 = lem.filter(F.col("_side") == 2).select(key, F.col("_text").alias("lemma2"))
-    return pairs.join(l1, key).join(l2, key)
+    both = lem.groupBy(key).agg(
+        F.max(F.when(F.col("_side") == 1, F.col("_text"))).alias("lemma1"),
+        F.max(F.when(F.col("_side") == 2, F.col("_text"))).alias("lemma2"))
+    return pairs.join(both, key)
 
 
 def pair_features(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
                   q1: str = "question1", q2: str = "question2", min_df: float = 2.0) -> DataFrame:
-    lp = with_lemmas(pairs, lemmas, key, q1, q2)
+    # the lemma table feeds both the row features and the TF-IDF corpus:
+    # materialise it once (reliable checkpoint) instead of recomputing it
+    lp = cut_lineage(with_lemmas(pairs, lemmas, key, q1, q2))
     c = {
         "lWCount1": TX.words_spaces_plus_one("lemma1"), "lWCount2": TX.words_spaces_plus_one("lemma2"),
         "qWCount1": TX.words_spaces_plus_one(q1), "qWCount2": TX.words_spaces_plus_one(q2),
         "lLen1": F.length("lemma1"), "lLen2": F.length("lemma2"),
         "qLen1": F.length(q1), "qLen2": F.length(q2),
     }
-    f = lp.select(key, *[v.alias(k) for k, v in c.items()], q1, q2, "lemma1", "lemma2")
+    f = lp.select(key, *[v.alias(k) for k, v in c.items()],
+                  NG.ngram_words(q1).alias("_qw1"), NG.ngram_words(q2).alias("_qw2"),
+                  NG.ngram_words("lemma1").alias("_lw1"), NG.ngram_words("lemma2").alias("_lw2"))
     f = f.select(
         key, *c.keys(),
         TX.sym_ratio("lWCount1", "lWCount2").alias("lWCount_ratio"),
         TX.sym_ratio("qWCount1", "qWCount2").alias("qWCount_ratio"),
         TX.sym_ratio("lLen1", "lLen2").alias("lLen_ratio"),
         TX.sym_ratio("qLen1", "qLen2").alias("qLen_ratio"),
-        *[NG.common_ngrams(q1, q2, n).alias(f"qNgrams_{n}") for n in (1, 2, 3)],
-        *[NG.common_ngrams("lemma1", "lemma2", n).alias(f"lNgrams_{n}") for n in (1, 2, 3)])
+        *[NG.common_ngrams("_qw1", "_qw2", n).alias(f"qNgrams_{n}") for n in (1, 2, 3)],
+        *[NG.common_ngrams("_lw1", "_lw2", n).alias(f"lNgrams_{n}") for n in (1, 2, 3)])
     f = (f.withColumn("qUnigram_ratio", NG.unigram_ratio("qNgrams_1", "qWCount1", "qWCount2"))
           .withColumn("lUnigram_ratio", NG.unigram_ratio("lNgrams_1", "lWCount1", "lWCount2")))
     toks = lp.select(key, TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2"))

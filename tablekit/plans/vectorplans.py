@@ -9,8 +9,10 @@ from ..functions import vectors as V
 
 
 def unit(vec) -> "F.Column":
+    """L2-normalised vector; the norm is folded once (``aggregate`` finish)."""
     c = F.col(vec) if isinstance(vec, str) else vec
-    return F.transform(c, lambda x: x / V.norm(c))
+    return F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x,
+                       lambda acc: F.transform(c, lambda x: x / F.sqrt(acc)))
 
 
 def group_unit_sum(df: DataFrame, key: str, vec: str, name: str = "unit_sum") -> DataFrame:
