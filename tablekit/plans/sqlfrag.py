@@ -81,3 +81,7 @@ def fratio(a: str, b: str) -> str:
 
 def ascii_only(x: str) -> str:
     return f"regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g')"
+
+
+def sig(x: str, digits: int = 10) -> str:
+    return f"CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE)"
