@@ -136,17 +136,21 @@ def dense_index(df: DataFrame, order: list, name: str = "index", start: int = 1)
     return out.withColumn(name, F.col("_index") + F.lit(start - 1)).drop("_index")
 
 
-def grouped_running_sum(df: DataFrame, group: list[str], order: list, value: str,
-                        name: str, inclusive: bool = True) -> DataFrame:
-    """Per-group running sum of ``value`` in ``order``; a hot group is spread
-    over several range buckets instead of one window task. Computed as the
-    global running sum over ``(group, order)`` minus the group's starting
-    offset (the minimum exclusive running sum inside the group)."""
-    scanned = ordered_scan(df, [*group, *order], sums=[value], index_col=None,
-                           inclusive=True)
-    excl = F.col(f"_cum_{value}") - F.col(value)
-    scanned = scanned.withColumn("_excl", excl)
-    starts = scanned.groupBy(*group).agg(F.min("_excl").alias("_start"))
+def grouped_running_sum(df: DataFrame, group: list[str], order: list, value,
+                        name, inclusive: bool = True) -> DataFrame:
+    """Per-group running sum of ``value`` (one column or a list) in ``order``.
+
+    A hot group is spread over several range buckets instead of one window
+    task: the global running sum over ``(group, order)`` minus the group's
+    starting offset (the minimum exclusive running sum inside the group).
+    """
+    values = [value] if isinstance(value, str) else list(value)
+    names = [name] if isinstance(name, str) else list(name)
+    scanned = ordered_scan(df, [*group, *order], sums=values, index_col=None, inclusive=True)
+    for v in values:
+        scanned = scanned.withColumn(f"_excl_{v}", F.col(f"_cum_{v}") - F.col(v))
+    starts = scanned.groupBy(*group).agg(*[F.min(f"_excl_{v}").alias(f"_start_{v}") for v in values])
     res = scanned.join(starts, group)
-    val = (F.col(f"_cum_{value}") if inclusive else F.col("_excl")) - F.col("_start")
-    return res.select(*df.columns, val.alias(name))
+    outs = [((F.col(f"_cum_{v}") if inclusive else F.col(f"_excl_{v}")) - F.col(f"_start_{v}")).alias(n)
+            for v, n in zip(values, names)]
+    return res.select(*df.columns, *outs)

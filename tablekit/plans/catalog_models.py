@@ -1 +1,137 @@
-"""Registered queries."""
+"""Registered model queries (inventory L04-L07, L09, L10, L12, L14, L15,
+L17, L22, M04). Randomised or iterative: rows-only checks plus invariants
+in the unit tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from . import bindings as B
+from . import models as MD
+from . import recommender as R
+from .registry import query
+from ..operators.sampling import hash_bucket, hash_split
+from ..session import scratch_path
+from ..sources.sinks import write_csv
+from ..sources.tables import read_table as T
+
+
+def _labelled(spark, d):
+    ld = MD.doc_features(B.labelled_docs(spark, d))
+    return MD.assemble(ld, MD.DOC_FEATURES).select(
+        "doc_id", "features", F.col("quality").cast("double").alias("label"))
+
+
+def _split(df, key):
+    return hash_split(df, key, 70)
+
+
+@query("glm_logistic", section="L05")
+def q_glm_logistic(spark, d):
+    ld = MD.doc_features(B.labelled_docs(spark, d))
+    _, summary = MD.glm_summary(ld, "quality", MD.DOC_FEATURES, family="binomial", link="logit")
+    return summary
+
+
+@query("glm_poisson", section="L06")
+def q_glm_poisson(spark, d):
+    act = B.activity(spark, d)
+    for t in ("click", "view", "purchase", "signup"):
+        act = act.withColumn(f"is_{t}", (F.col("event_type") == t).cast("double"))
+    _, summary = MD.glm_summary(act, "n", [f"is_{t}" for t in ("click", "view", "purchase", "signup")],
+                                family="poisson", link="log")
+    return summary
+
+
+@query("glm_predict", section="L07")
+def q_glm_predict(spark, d):
+    ld = MD.doc_features(B.labelled_docs(spark, d))
+    model, _ = MD.glm_summary(ld, "quality", MD.DOC_FEATURES, family="binomial", link="logit")
+    docs = MD.assemble(MD.doc_features(T(spark, d, "documents", "doc_id", "text")), MD.DOC_FEATURES)
+    return model.transform(docs).select("doc_id", "prediction")
+
+
+@query("ols_multi", section="L04")
+def q_ols_multi(spark, d):
+    return MD.ols_multi(B.numeric(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+
+
+@query("gbt_auc", section="L09")
+def q_gbt(spark, d):
+    train, test = _split(_labelled(spark, d), "doc_id")
+    _, pred, auc = MD.fit_evaluate(train, test, "gbt", maxIter=5, maxDepth=3)
+    exact = R.auc(pred.select(F.col("label"), MD.vector_to_array("probability")[1].alias("score")))
+    return exact.select(F.lit("gbt").alias("model"), F.lit(auc).alias("evaluator_auc"), "auc")
+
+
+@query("rf_auc", section="L10")
+def q_rf(spark, d):
+    train, test = _split(_labelled(spark, d), "doc_id")
+    _, pred, auc = MD.fit_evaluate(train, test, "rf", numTrees=20, maxDepth=5)
+    return pred.agg(F.lit("rf").alias("model"), F.lit(auc).alias("evaluator_auc"),
+                    F.count(F.lit(1)).alias("n_test"))
+
+
+@query("mlp_classifier", section="L22")
+def q_mlp(spark, d):
+    train, test = _split(_labelled(spark, d), "doc_id")
+    _, pred, auc = MD.fit_evaluate(train, test, "mlp", layers=[len(MD.DOC_FEATURES), 5, 10, 2], maxIter=50)
+    return pred.agg(F.lit("mlp").alias("model"), F.lit(auc).alias("evaluator_auc"),
+                    F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+@query("prob_export", section="L12")
+def q_prob_export(spark, d):
+    data = _labelled(spark, d)
+    model = MD.classifier("gbt", maxIter=5, maxDepth=3).fit(data)
+    docs = MD.assemble(MD.doc_features(T(spark, d, "documents", "doc_id", "text")), MD.DOC_FEATURES)
+    out = MD.probability_of_one(model.transform(docs), "doc_id")
+    path = write_csv(out, scratch_path(spark, "prob-export"), mode="overwrite", single_file=True)
+    return spark.read.csv(path, header=True, schema="doc_id bigint, predict double")
+
+
+def _als_split(spark, d):
+    ui = B.user_item(spark, d)
+    b = hash_bucket(F.col("userId") + F.col("itemId"))
+    return ui.filter(b < 70), ui.filter(b >= 70)
+
+
+@query("als_fit_predict", section="L14")
+def q_als(spark, d):
+    train, test = _als_split(spark, d)
+    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0, max_iter=5)
+    pred = model.transform(test)
+    return pred.select("userId", "itemId", "count", "prediction")
+
+
+@query("als_score_pairs", section="L17")
+def q_als_pairs(spark, d):
+    train, _ = _als_split(spark, d)
+    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0, max_iter=5)
+    n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
+    pairs = R.hashed_negatives(B.user_item(spark, d), n_items)
+    scored = model.transform(pairs)
+    return scored.select("userId", "itemId", "prediction")
+
+
+@query("als_grid_search", section="L15")
+def q_als_grid(spark, d):
+    train, test = _als_split(spark, d)
+    n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
+    negatives = R.hashed_negatives(test, n_items)
+    rows = []
+    for reg in (0.5, 2.0):
+        for alpha in (1.0, 2.0):
+            model = MD.fit_als(train, rank=5, alpha=alpha, reg=reg, max_iter=5)
+            scored = (model.transform(test.select("userId", "itemId")).withColumn("is_pos", F.lit(1))
+                      .unionByName(model.transform(negatives).withColumn("is_pos", F.lit(0))))
+            auc = R.mean_user_auc(scored.withColumnRenamed("prediction", "score")).first()
+            rows.append((reg, alpha, 5, float(auc["mean_auc"]) if auc["mean_auc"] is not None else None))
+    return spark.createDataFrame(rows, "reg_param double, alpha double, rank int, mean_auc double")
+
+
+@query("negative_sampling", section="M04")
+def q_negative_sampling(spark, d):
+    ui = B.user_item(spark, d)
+    cands = B.item_names(spark, d).select("itemId")
+    return MD.negative_sampling(ui, cands, seed=0)
