@@ -40,12 +40,16 @@ def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", header: bo
 
 
 def read_csv_strings(spark: SparkSession, path: str, casts: dict[str, str] | None = None,
-                     sep: str = ",", encoding: str = "utf8", multi_line: bool = True) -> DataFrame:
+                     sep: str = ",", encoding: str = "utf-8", multi_line: bool = True,
+                     keep_raw: bool = False) -> DataFrame:
     """CSV read with header only (every column a string), then ``try_cast`` of
-    the named columns, so malformed values become NULL instead of failing."""
+    the named columns, so malformed values become NULL instead of failing.
+    ``keep_raw`` keeps each cast column's text as ``<name>_raw``."""
     df = spark.read.csv(path, sep=sep, header=True, encoding=encoding,
                         multiLine=multi_line, escape='"')
     for name, typ in (casts or {}).items():
+        if keep_raw:
+            df = df.withColumn(f"{name}_raw", F.col(name))
         df = df.withColumn(name, F.col(name).try_cast(typ))
     return df
 
