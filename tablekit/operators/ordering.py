@@ -64,6 +64,16 @@ def _bounds(df: DataFrame, order: list, n: int, sample_per_bucket: int) -> Colum
                f"cast(i * size(_s) / {n} as int))))").alias("_b")).scalar()
 
 
+def _search_tree(bounds: Column, key: Column, lo: int, hi: int) -> Column:
+    """Binary search as nested CASE (code-generated): number of bounds < key
+    among bounds[lo..hi-1] (0-based), offset by lo."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.element_at(bounds, mid + 1) < key, _search_tree(bounds, key, mid + 1, hi)) \
+            .otherwise(_search_tree(bounds, key, lo, mid))
+
+
 def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
                       sample_per_bucket: int = 64) -> DataFrame:
     """Deterministic range-bucket number in ``[0, n)`` for the sort key.
@@ -71,13 +81,18 @@ def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
     Boundaries come from a bounded, seeded sample (the ``n * sample_per_bucket``
     smallest hashes of the key: a top-k, one pass, bounded memory) and are a
     scalar subquery, so every evaluation of the plan assigns the same bucket
-    to the same row. The bucket is found by binary search inside the
-    expression (``log2(n)`` comparisons per row).
+    to the same row. The bucket is a binary search over the boundaries
+    (``log2(n)`` comparisons per row): a code-generated CASE tree up to 256
+    buckets, an ``aggregate`` loop beyond.
     """
     if n <= 1:
         return df.withColumn(name, F.lit(0))
     key = F.struct(*_keys(order))
     bounds = F.col("_bounds")
+    if n <= 256:
+        search = _search_tree(bounds, key, 0, n - 1)
+        return (df.withColumn("_bounds", _bounds(df, order, n, sample_per_bucket))
+                  .withColumn(name, search).drop("_bounds"))
     steps = max(1, (n - 1).bit_length() + 1)
     # state: (lo, hi) over bucket positions; bucket = number of bounds < key
     search = F.aggregate(
@@ -120,7 +135,9 @@ def ordered_scan(df: DataFrame, order: list, sums: list[str] = (),
         "_bkt",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums])
-    out = local.join(F.broadcast(offsets), "_bkt")
+    # left join: an inner join would make the optimizer add an inferred
+    # not-null filter that evaluates the bucket search a second time
+    out = local.join(F.broadcast(offsets), "_bkt", "left")
     extra = []
     if index_col:
         extra.append((F.col("_off_n") + F.col("_lpos")).alias(index_col))
@@ -142,15 +159,14 @@ def grouped_running_sum(df: DataFrame, group: list[str], order: list, value,
 
     A hot group is spread over several range buckets instead of one window
     task: the global running sum over ``(group, order)`` minus the group's
-    starting offset (the minimum exclusive running sum inside the group).
-    """
+    starting offset. Starting offsets come from a second, much smaller scan
+    over per-group totals (one row per group, partial aggregation)."""
     values = [value] if isinstance(value, str) else list(value)
     names = [name] if isinstance(name, str) else list(name)
-    scanned = ordered_scan(df, [*group, *order], sums=values, index_col=None, inclusive=True)
-    for v in values:
-        scanned = scanned.withColumn(f"_excl_{v}", F.col(f"_cum_{v}") - F.col(v))
-    starts = scanned.groupBy(*group).agg(*[F.min(f"_excl_{v}").alias(f"_start_{v}") for v in values])
+    scanned = ordered_scan(df, [*group, *order], sums=values, index_col=None, inclusive=inclusive)
+    totals = df.groupBy(*group).agg(*[F.sum(v).alias(v) for v in values])
+    starts = ordered_scan(totals, list(group), sums=values, index_col=None, inclusive=False)
+    starts = starts.select(*group, *[F.col(f"_cum_{v}").alias(f"_start_{v}") for v in values])
     res = scanned.join(starts, group)
-    outs = [((F.col(f"_cum_{v}") if inclusive else F.col(f"_excl_{v}")) - F.col(f"_start_{v}")).alias(n)
-            for v, n in zip(values, names)]
+    outs = [(F.col(f"_cum_{v}") - F.col(f"_start_{v}")).alias(n) for v, n in zip(values, names)]
     return res.select(*df.columns, *outs)

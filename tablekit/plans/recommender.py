@@ -105,9 +105,11 @@ def mean_user_auc(scored: DataFrame, user: str = "userId", score: str = "score",
     counted. ``parity=True`` reproduces dropping users with zero correct pairs.
     """
     clean = scored.filter(~F.isnan(F.col(score)) & F.col(score).isNotNull())
-    per = (clean.groupBy(user, score)
-           .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
-                F.sum((1 - F.col(label).cast("long"))).alias("_neg")))
+    # per (user, score) counts feed several passes of the scan below:
+    # materialise them once instead of re-running the scoring lineage
+    per = cut_lineage(clean.groupBy(user, score)
+                      .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
+                           F.sum((1 - F.col(label).cast("long"))).alias("_neg")))
     below = grouped_running_sum(per, [user], [score], "_neg", "_neg_below", inclusive=False)
     users = (below.groupBy(user)
              .agg(F.sum(F.col("_pos") * F.col("_neg_below")).alias("correct"),
