@@ -44,7 +44,7 @@ def q_csv_schema(spark, d):
 
 
 @query("src_csv_infer", section="S04", sql="""
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem""")
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem""")
 def q_csv_infer(spark, d):
     li = T(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     path = SNK.write_csv(li, scratch_path(spark, "csv-infer"), header=True)
