@@ -207,3 +207,23 @@ def test_schema_table(spark):
                                                   T.StructField("b", T.StringType())]))
     rows = S.schema_table(df).collect()
     assert [(r.name, r.type) for r in rows] == [("a", "int"), ("b", "string")]
+
+
+def test_keys_values_and_key_by(spark):
+    kv = spark.createDataFrame([("Chicago", "60637"), ("Boston", "02110")], "k string, v string")
+    assert [r.k for r in kv.select("k").collect()] == ["Chicago", "Boston"]
+    assert [r.v for r in kv.select("v").collect()] == ["60637", "02110"]
+    kb = S.key_by(kv, F.length("k"), "n").collect()
+    assert [(r.n, r.v.k) for r in kb] == [(7, "Chicago"), (6, "Boston")]
+
+
+def test_create_dataframe_three_schema_modes(spark):
+    rows = [(1, "Henry", 100.5), (2, "Karen", 7.0)]
+    inferred = spark.createDataFrame(rows)
+    assert inferred.columns == ["_1", "_2", "_3"] and dict(inferred.dtypes)["_1"] == "bigint"
+    named = spark.createDataFrame(rows, ["id", "name", "sales"])
+    assert named.columns == ["id", "name", "sales"]
+    typed = spark.createDataFrame(rows, T.StructType([
+        T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
+        T.StructField("sales", T.DoubleType())]))
+    assert dict(typed.dtypes) == {"id": "int", "name": "string", "sales": "double"}
