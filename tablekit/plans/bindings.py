@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from ..operators.ordering import dense_index
+from ..session import cut_lineage
 
 # The catalogue name the cleaning step excludes, and the
 # catalogue name that stands for it in the part table.
@@ -18,11 +19,14 @@ UNKNOWN_NAME = "[unknown]"
 UNKNOWN_STAND_IN = "blue anvil"
 
 
-def user_item(spark: SparkSession, d: str) -> DataFrame:
+def user_item(spark: SparkSession, d: str, materialize: bool = False) -> DataFrame:
     """Interactions ``(userId int, itemId int, count bigint)``: quantity bought
-    per customer and part."""
+    per customer and part. ``materialize`` checkpoints it for plans that
+    read it several times."""
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     od = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
+    if materialize:
+        return cut_lineage(user_item(spark, d))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
               .groupBy("o_custkey", "l_partkey")
               .agg(F.sum("l_quantity").cast("bigint").alias("count"))
@@ -66,8 +70,9 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
                     & (F.col("b.turn") == F.col("a.turn") + 1)).select(
         F.col("a.conv_id").alias("conv_id"), F.col("a.turn").alias("turn"),
         F.col("a.text").alias("question1"), F.col("b.text").alias("question2"))
-    return (dense_index(joined, ["conv_id", "turn"], name="id", start=0)
-            .select("id", "question1", "question2"))
+    # shared by most text plans, several reads each: materialised once
+    return cut_lineage(dense_index(joined, ["conv_id", "turn"], name="id", start=0)
+                       .select("id", "question1", "question2"))
 
 
 PAIRS_SQL = """(SELECT CAST(ROW_NUMBER() OVER (ORDER BY a.conv_id, a.turn) - 1 AS BIGINT) AS id,

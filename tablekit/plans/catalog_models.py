@@ -91,7 +91,7 @@ def q_prob_export(spark, d):
 
 
 def _als_split(spark, d):
-    ui = B.user_item(spark, d)
+    ui = B.user_item(spark, d, materialize=True)
     b = hash_bucket(F.col("userId") + F.col("itemId"))
     return ui.filter(b < 70), ui.filter(b >= 70)
 
@@ -132,6 +132,6 @@ def q_als_grid(spark, d):
 
 @query("negative_sampling", section="M04")
 def q_negative_sampling(spark, d):
-    ui = B.user_item(spark, d)
+    ui = B.user_item(spark, d, materialize=True)
     cands = B.item_names(spark, d).select("itemId")
     return MD.negative_sampling(ui, cands, seed=0)

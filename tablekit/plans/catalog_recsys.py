@@ -51,7 +51,7 @@ SELECT ui.userId, ui.itemId, ui."count" FROM ui
    AND ui.itemId IN (SELECT itemId FROM i)
    AND ui.itemId IN (SELECT itemId FROM names WHERE name <> '[unknown]')""")
 def q_clean(spark, d):
-    return R.clean_interactions(B.user_item(spark, d), B.item_names(spark, d), **CLEAN)
+    return R.clean_interactions(B.user_item(spark, d, materialize=True), B.item_names(spark, d), **CLEAN)
 
 
 @query("interaction_sparsity", section="A17", sql=f"""
@@ -65,7 +65,7 @@ def q_sparsity(spark, d):
 
 
 def _scored(spark, d):
-    ui = B.user_item(spark, d)
+    ui = B.user_item(spark, d, materialize=True)
     n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
     pos = ui.select("userId", "itemId", F.lit(1).alias("is_pos"))
     neg = R.hashed_negatives(ui, n_items).withColumn("is_pos", F.lit(0))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_ws
 from ..operators.ordering import dense_index, grouped_running_sum
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 
 DOC_FEATURES = ["n_chars", "n_words", "avg_word_len", "upper_share", "digit_share",
                 "symbol_share", "n_lines"]
@@ -150,7 +150,6 @@ def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0
     cand = dense_index(candidates.select(item).distinct(), [item], name="_ci")
     n_cand = cand.agg(F.max("_ci")).scalar()
     pos = positives.select(user, item)
-    n_pos = pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos"))
     draws = pos.select(user, item, F.explode(F.sequence(F.lit(1), F.lit(draws_per_positive))).alias("_d"))
     draws = draws.select(user, F.xxhash64(user, item, "_d", F.lit(seed)).alias("_h"))
     draws = draws.withColumn("_ci", F.pmod(F.col("_h"), n_cand) + 1)
@@ -159,6 +158,10 @@ def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0
     draws = (draws.join(seen, [user, item], "left")
              .withColumn("_valid", F.coalesce("_valid", F.lit(1)))
              .withColumn("_one", F.lit(1)))
+    # the draw table feeds every pass of the grouped scan: materialise once
+    draws = cut_lineage(draws)
+    # each positive made exactly draws_per_positive draws
+    n_pos = draws.groupBy(user).agg((F.count(F.lit(1)) / draws_per_positive).cast("long").alias("_npos"))
     ranked = grouped_running_sum(draws, [user], ["_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
     out = (ranked.join(n_pos, user)
            .filter((F.col("_valid") == 1) & (F.col("_kept") <= F.col("_npos"))
