@@ -23,14 +23,18 @@ def q_text_lines(spark, d):
     return lines.groupBy(F.length("value").alias("len")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src_whole_files", section="S02")
+@query("src_whole_files", section="S02", sql="""
+SELECT source, CAST(SUM(length(text) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY source""")
 def q_whole_files(spark, d):
     docs = T(spark, d, "documents", "doc_id", "text", "source")
     path = scratch_path(spark, "whole-files")
     docs.select("source", "text").write.partitionBy("source").text(path)
     files = SRC.read_whole_files(spark, f"{path}/*/*.txt")
-    return files.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"),
-                        F.length("content").alias("n_chars"))
+    # one file per (source, partition): total characters per source (each
+    # written line ends with a newline)
+    return (files.select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"),
+                         F.length("content").alias("n"))
+            .groupBy("source").agg(F.sum("n").alias("n_chars")))
 
 
 _DOC_SCHEMA = "doc_id bigint, text string, lang string"

@@ -464,3 +464,19 @@ def q_split_random(spark, d):
     ui = B.user_item(spark, d).select("userId", "itemId")
     train, test = M.random_split(ui, [0.7, 0.3], seed=0)
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+@query("observe_metrics", section="A18", sql=f"""
+SELECT COUNT(*) AS "rows", CAST(SUM(CASE WHEN event_type IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_event_type,
+       CAST(SUM(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_value FROM {B.NULLABLE_SQL} e""")
+def q_observe(spark, d):
+    observed, obs = AG.observe_counts(B.nullable(spark, d), "tk_metrics", ["event_type", "value"])
+    observed.write.format("noop").mode("overwrite").save()  # metrics arrive with the action
+    m = obs.get
+    return spark.createDataFrame([(m["rows"], m["null_event_type"], m["null_value"])],
+                                 "rows bigint, null_event_type bigint, null_value bigint")
+
+
+@query("schema_columns", section="P20")
+def q_schema(spark, d):
+    return S.schema_table(T(spark, d, "lineitem"))
