@@ -23,17 +23,40 @@ def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Data
     return left.join(right, on, HOW[how])
 
 
+def _chunked(df: DataFrame, key: str, v: str, chunk_size: int) -> DataFrame:
+    """``(key, chunk, v)``: values numbered in sorted order within their key
+    (a distributed grouped running count, so a hot key spreads over many
+    tasks) and cut into chunks of ``chunk_size``."""
+    from .ordering import grouped_running_sum
+    one = df.select(key, F.col(v).alias("_v"), F.lit(1).alias("_one"))
+    ranked = grouped_running_sum(one, [key], ["_v"], "_one", "_rank")
+    return ranked.select(key, ((F.col("_rank") - 1) / chunk_size).cast("long").alias("chunk"), "_v")
+
+
 def cogroup(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str,
-            sort_values: bool = True) -> DataFrame:
-    """Per key: the list of left values and the list of right values; a side
-    without the key gives an empty list. Lists hold one key's values, so this
-    is for keys with bounded fan-out; ``cogroup_tagged`` is the unbounded form."""
-    agg = F.array_sort if sort_values else (lambda c: c)
-    a = left.groupBy(key).agg(agg(F.collect_list(lv)).alias("left_values"))
-    b = right.groupBy(key).agg(agg(F.collect_list(rv)).alias("right_values"))
+            chunk_size: int | None = None) -> DataFrame:
+    """Per key: the sorted list of left values and of right values; a side
+    without the key gives an empty list.
+
+    With ``chunk_size`` the lists are cut into rows ``(key, chunk, ...)`` of
+    at most ``chunk_size`` values per side (chunk ``i`` holds the ``i``-th
+    run of each side's sorted values), so no row or task holds an unbounded
+    list; keys below the size give one row with ``chunk = 0``. Without it,
+    each key is one row (bounded fan-out only); ``cogroup_tagged`` is the
+    list-free form."""
+    if chunk_size:
+        a = (_chunked(left, key, lv, chunk_size).groupBy(key, "chunk")
+             .agg(F.array_sort(F.collect_list("_v")).alias("left_values")))
+        b = (_chunked(right, key, rv, chunk_size).groupBy(key, "chunk")
+             .agg(F.array_sort(F.collect_list("_v")).alias("right_values")))
+        on = [key, "chunk"]
+    else:
+        a = left.groupBy(key).agg(F.array_sort(F.collect_list(lv)).alias("left_values"))
+        b = right.groupBy(key).agg(F.array_sort(F.collect_list(rv)).alias("right_values"))
+        on = [key]
     empty = F.array()
-    return (a.join(b, key, "full")
-             .select(key,
+    return (a.join(b, on, "full")
+             .select(*on,
                      F.coalesce("left_values", empty.cast(a.schema["left_values"].dataType)).alias("left_values"),
                      F.coalesce("right_values", empty.cast(b.schema["right_values"].dataType)).alias("right_values")))
 

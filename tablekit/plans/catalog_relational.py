@@ -200,20 +200,29 @@ def q_join_anti(spark, d):
             .select("c_custkey", F.format_string("customer %s has no urgent order", "c_name").alias("message")))
 
 
-@query("cogroup_lists", section="J06", sql="""
-WITH a AS (SELECT o_custkey AS custkey, list_sort(list(o_orderkey)) AS left_values
-             FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey),
-     b AS (SELECT o_custkey AS custkey, list_sort(list(o_orderkey)) AS right_values
-             FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey)
-SELECT COALESCE(a.custkey, b.custkey) AS custkey,
+COGROUP_CHUNK = 4
+
+
+@query("cogroup_lists", section="J06", sql=f"""
+WITH ra AS (SELECT o_custkey AS custkey, o_orderkey AS v,
+                   (ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {COGROUP_CHUNK} AS chunk
+              FROM orders WHERE o_orderpriority = '1-URGENT'),
+     rb AS (SELECT o_custkey AS custkey, o_orderkey AS v,
+                   (ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {COGROUP_CHUNK} AS chunk
+              FROM orders WHERE o_orderstatus = 'F'),
+     a AS (SELECT custkey, chunk, list_sort(list(v)) AS left_values FROM ra GROUP BY custkey, chunk),
+     b AS (SELECT custkey, chunk, list_sort(list(v)) AS right_values FROM rb GROUP BY custkey, chunk)
+SELECT COALESCE(a.custkey, b.custkey) AS custkey, CAST(COALESCE(a.chunk, b.chunk) AS BIGINT) AS chunk,
        COALESCE(a.left_values, []::BIGINT[]) AS left_values,
        COALESCE(b.right_values, []::BIGINT[]) AS right_values
-  FROM a FULL JOIN b ON a.custkey = b.custkey""")
+  FROM a FULL JOIN b ON a.custkey = b.custkey AND a.chunk = b.chunk""")
 def q_cogroup(spark, d):
     o = T(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     left = o.filter(F.col("o_orderpriority") == "1-URGENT").withColumnRenamed("o_custkey", "custkey")
     right = o.filter(F.col("o_orderstatus") == "F").withColumnRenamed("o_custkey", "custkey")
-    return J.cogroup(left, right, "custkey", "o_orderkey", "o_orderkey")
+    # chunks of 4 keep every row bounded; most customers have fewer orders
+    # per side, several have more, so both shapes are exercised
+    return J.cogroup(left, right, "custkey", "o_orderkey", "o_orderkey", chunk_size=COGROUP_CHUNK)
 
 
 @query("agg_joinback", section="J08", sql=f"""

@@ -144,3 +144,15 @@ def test_fuzzy_partial_matches_brute_force(spark):
     assert got == ref
     r = df.select(FZ.ratio("a", "b").alias("r")).collect()
     assert r[3].r == 100
+
+
+def test_chunked_cogroup_hot_key_is_whole_and_bounded(spark):
+    from tablekit.operators import joins as J
+    left = spark.createDataFrame([(0 if i % 3 == 0 else i % 11, i) for i in range(900)], "k int, v int")
+    right = spark.createDataFrame([(i % 5, -i) for i in range(40)], "k int, v int")
+    out = J.cogroup(left, right, "k", "v", "v", chunk_size=50).collect()
+    assert max(len(r.left_values) for r in out) <= 50 and max(len(r.right_values) for r in out) <= 50
+    hot = sorted(v for r in out if r.k == 0 for v in r.left_values)
+    assert hot == sorted(i for i in range(900) if i % 3 == 0)  # nothing dropped
+    chunks = sorted(r.chunk for r in out if r.k == 0)
+    assert chunks == list(range(len(chunks))) and len(chunks) == 6
