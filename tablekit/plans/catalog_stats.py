@@ -9,6 +9,7 @@ from . import recommender as R
 from . import statistics as ST
 from .catalog_relational import _hist_sql
 from .registry import query
+from .sqlfrag import betainc
 from .sqlfrag import sig as qsig
 from ..functions.special import sig
 from ..operators.aggregate import histogram
@@ -32,9 +33,19 @@ def q_anova_f(spark, d):
     return out.select(*[sig(c).alias(c) if c in _ROUNDED else F.col(c) for c in _ANOVA_COLS])
 
 
-@query("anova_pvalue", section="L02")
+@query("anova_pvalue", section="L02", sql=f"""
+WITH g AS (SELECT c, COUNT(*) AS n, AVG(y) AS m FROM {B.ANOVA_SQL} a GROUP BY c),
+ gm AS (SELECT AVG(y) AS gm FROM {B.ANOVA_SQL} a2),
+ b AS (SELECT COUNT(*) AS k, SUM(n) AS n, SUM(n * pow(m - gm.gm, 2)) AS ssb FROM g, gm GROUP BY gm.gm),
+ w AS (SELECT SUM(pow(a.y - g.m, 2)) AS ssw FROM {B.ANOVA_SQL} a JOIN g ON a.c = g.c),
+ f AS (SELECT k - 1 AS df_between, CAST(n - k AS BIGINT) AS df_within,
+              (ssb / (k - 1)) / (ssw / (n - k)) AS f FROM b, w),
+ t AS (SELECT df_between, df_within, f, df_within / 2.0 AS a, df_between / 2.0 AS bb,
+              df_within / (df_within + df_between * f) AS x FROM f)
+SELECT {qsig('f')} AS f, df_between, df_within, {qsig(betainc('a', 'bb', 'x'))} AS p_value FROM t""")
 def q_anova_p(spark, d):
-    return ST.anova_oneway(B.anova_obs(spark, d), "y", "c").select("f", "df_between", "df_within", "p_value")
+    out = ST.anova_oneway(B.anova_obs(spark, d), "y", "c")
+    return out.select(sig("f").alias("f"), "df_between", "df_within", sig("p_value").alias("p_value"))
 
 
 @query("ols_simple", section="L04", sql=f"""
@@ -49,9 +60,19 @@ def q_ols_simple(spark, d):
                     sig("r2", 6).alias("r2"), "df_resid")
 
 
-@query("ols_summary", section="L04")
+@query("ols_summary", section="L04", sql=f"""
+WITH s AS (SELECT regr_count(l_extendedprice, l_quantity) AS n, regr_slope(l_extendedprice, l_quantity) AS slope,
+                  regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy
+             FROM lineitem),
+ e AS (SELECT n, slope, sqrt((syy - slope * slope * sxx) / (n - 2) / sxx) AS se FROM s),
+ t AS (SELECT n, slope, se, slope / se AS t, (n - 2) / 2.0 AS a, 0.5 AS bb,
+              (n - 2) / ((n - 2) + (slope / se) * (slope / se)) AS x FROM e)
+SELECT CAST(n - 2 AS BIGINT) AS df_resid, {qsig('se', 8)} AS se_slope, {qsig('t', 8)} AS t_slope,
+       {qsig(betainc('a', 'bb', 'x'), 8)} AS p_slope FROM t""")
 def q_ols_summary(spark, d):
-    return ST.ols_simple(B.numeric(spark, d), "l_extendedprice", "l_quantity")
+    s = ST.ols_simple(B.numeric(spark, d), "l_extendedprice", "l_quantity")
+    return s.select("df_resid", sig("se_slope", 8).alias("se_slope"), sig("t_slope", 8).alias("t_slope"),
+                    sig("p_slope", 8).alias("p_slope"))
 
 
 _RESID_SQL = f"""(SELECT l_extendedprice - ({qsig('(SELECT regr_intercept(l_extendedprice, l_quantity) FROM lineitem)', 12)}

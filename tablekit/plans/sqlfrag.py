@@ -85,3 +85,31 @@ def ascii_only(x: str) -> str:
 
 def sig(x: str, digits: int = 10) -> str:
     return f"CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE)"
+
+
+def _fix(v: str) -> str:
+    return f"(CASE WHEN abs({v}) < 1e-300 THEN 1e-300 ELSE {v} END)"
+
+
+def _cf(a: str, b: str, x: str, iters: int = 300) -> str:
+    """Continued fraction of the incomplete beta (modified Lentz), as a
+    struct-state fold; mirrors ``functions.special._cf``."""
+    qab, qap, qam = f"({a} + {b})", f"({a} + 1.0)", f"({a} - 1.0)"
+    d0 = f"(1.0 / {_fix(f'(1.0 - {qab} * {x} / {qap})')})"
+    m, m2 = "CAST(m AS DOUBLE)", "(2.0 * CAST(m AS DOUBLE))"
+    aa = f"({m} * ({b} - {m}) * {x} / (({qam} + {m2}) * ({a} + {m2})))"
+    d1 = f"(1.0 / {_fix(f'(1.0 + {aa} * s.d)')})"
+    c1 = _fix(f"(1.0 + {aa} / s.c)")
+    aa2 = f"(-({a} + {m}) * ({qab} + {m}) * {x} / (({a} + {m2}) * ({qap} + {m2})))"
+    d2 = f"(1.0 / {_fix(f'(1.0 + {aa2} * {d1})')})"
+    c2 = _fix(f"(1.0 + {aa2} / {c1})")
+    step = f"{{'c': {c2}, 'd': {d2}, 'h': s.h * {d1} * {c1} * {d2} * {c2}}}"
+    init = f"{{'c': 1.0::DOUBLE, 'd': {d0}::DOUBLE, 'h': {d0}::DOUBLE}}"
+    return f"list_reduce(range(1, {iters + 1}), lambda s, m: {step}, {init}).h"
+
+
+def betainc(a: str, b: str, x: str) -> str:
+    front = f"exp(lgamma({a} + {b}) - lgamma({a}) - lgamma({b}) + {a} * ln({x}) + {b} * ln(1.0 - {x}))"
+    return (f"(CASE WHEN {x} <= 0 THEN 0.0 WHEN {x} >= 1 THEN 1.0 "
+            f"WHEN {x} < ({a} + 1.0) / ({a} + {b} + 2.0) THEN {front} * {_cf(a, b, x)} / {a} "
+            f"ELSE 1.0 - {front} * {_cf(b, a, f'(1.0 - {x})')} / {b} END)")
