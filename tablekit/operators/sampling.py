@@ -11,11 +11,23 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, with_replacement:
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 
-def sample_n(df: DataFrame, n: int, seed: int, *key: str) -> DataFrame:
-    """Exactly ``min(n, count)`` rows, repeatable: the ``n`` smallest values of
-    a seeded hash of the key (a bounded top-n, no driver round trip)."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    return df.orderBy(h, *key).limit(n)
+# Lehmer generator modulus and multiplier.
+PRIME = 2147483647
+MULT = 48271
+
+
+def seeded_hash(key: str | Column, seed: int) -> Column:
+    """Integer hash in ``[0, 2^31 - 1)`` of an integer key and a seed, with
+    no overflow (operands stay below 2^62); any SQL engine reproduces it."""
+    k = F.col(key) if isinstance(key, str) else key
+    x = F.pmod(F.pmod(k.cast("long"), F.lit(PRIME)) * MULT + seed, F.lit(PRIME))
+    return F.pmod(x * MULT, F.lit(PRIME))
+
+
+def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """Exactly ``min(n, count)`` rows, repeatable: the ``n`` smallest seeded
+    hashes of an integer key (a bounded top-n, no driver round trip)."""
+    return df.orderBy(seeded_hash(key, seed), F.col(key)).limit(n)
 
 
 def hash_bucket(key: str | Column, modulus: int = 100, multiplier: int = 7919) -> Column:

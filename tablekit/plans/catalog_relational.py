@@ -454,7 +454,9 @@ def q_sample_fraction(spark, d):
     return M.sample_fraction(T(spark, d, "lineitem", "l_orderkey", "l_linenumber"), 0.1, seed=42)
 
 
-@query("sample_n", section="M02")
+@query("sample_n", section="M02", sql=f"""
+SELECT o_orderkey, o_totalprice FROM orders
+ ORDER BY (((o_orderkey % {M.PRIME}) * {M.MULT} + 42) % {M.PRIME}) * {M.MULT} % {M.PRIME}, o_orderkey LIMIT 100""")
 def q_sample_n(spark, d):
     return M.sample_n(T(spark, d, "orders", "o_orderkey", "o_totalprice"), 100, 42, "o_orderkey")
 
@@ -486,6 +488,11 @@ def q_observe(spark, d):
                                  "rows bigint, null_event_type bigint, null_value bigint")
 
 
-@query("schema_columns", section="P20")
+@query("schema_columns", section="P20", sql="""
+SELECT CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type,
+       "null" = 'YES' AS nullable
+  FROM (DESCRIBE lineitem)""")
 def q_schema(spark, d):
     return S.schema_table(T(spark, d, "lineitem"))
