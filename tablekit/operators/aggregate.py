@@ -69,7 +69,9 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 10) -> DataFrame:
 
 def observe_counts(df: DataFrame, name: str, null_cols: list[str] = ()):
     """Run-time counters without a separate job: returns the observed frame
-    and an ``Observation`` filled after the first action."""
+    and an ``Observation`` filled after the first action. Observing attaches
+    a manager to the session that ML model closures cannot serialize; run
+    observed jobs in ``spark.newSession()`` when the session also fits models."""
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.sum(F.col(c).isNull().cast("long")).alias(f"null_{c}") for c in null_cols]

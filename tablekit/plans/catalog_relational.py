@@ -481,7 +481,10 @@ def q_split_random(spark, d):
 SELECT COUNT(*) AS "rows", CAST(SUM(CASE WHEN event_type IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_event_type,
        CAST(SUM(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_value FROM {B.NULLABLE_SQL} e""")
 def q_observe(spark, d):
-    observed, obs = AG.observe_counts(B.nullable(spark, d), "tk_metrics", ["event_type", "value"])
+    # observations attach a non-serializable manager to their session, which
+    # breaks later ML closures that capture the session; use a child session
+    child = spark.newSession()
+    observed, obs = AG.observe_counts(B.nullable(child, d), "tk_metrics", ["event_type", "value"])
     observed.write.format("noop").mode("overwrite").save()  # metrics arrive with the action
     m = obs.get
     return spark.createDataFrame([(m["rows"], m["null_event_type"], m["null_value"])],

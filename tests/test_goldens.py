@@ -112,7 +112,7 @@ def test_cogroup_empty_lists(spark):
 
 
 def test_observe_counts_five_records(spark):
-    people, _ = _stores(spark)
+    people, _ = _stores(spark.newSession())
     observed, obs = AG.observe_counts(people, "acc", ["store"])
     observed.collect()
     assert obs.get["rows"] == 5 and obs.get["null_store"] == 1
