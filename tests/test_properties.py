@@ -157,3 +157,11 @@ def test_chunked_cogroup_hot_key_is_whole_and_bounded(spark):
     assert hot == expected  # nothing dropped
     chunks = sorted(r.chunk for r in out if r.k == 0)
     assert chunks == list(range(len(chunks))) and len(chunks) == -(-len(expected) // 50)
+
+
+def test_ordered_scan_many_buckets_fallback_path(spark):
+    # more than 256 buckets uses the aggregate-loop binary search
+    df = spark.range(0, 3000).select((F.col("id") % 13).alias("g"), F.col("id"), F.lit(2).alias("v"))
+    out = O.ordered_scan(df, ["g", "id"], sums=["v"], num_buckets=300).toPandas().sort_values(["g", "id"])
+    assert list(out._index) == list(range(1, 3001))
+    assert list(out._cum_v) == [2 * i for i in range(1, 3001)]
