@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 HOW = {"inner": "inner", "left": "left", "right": "right", "full": "full",
        "anti": "left_anti", "semi": "left_semi"}
@@ -33,10 +34,9 @@ def _chunked(df: DataFrame, key: str, v: str, chunk_size: int) -> DataFrame:
     return ranked.select(key, ((F.col("_rank") - 1) / chunk_size).cast("long").alias("chunk"), "_v")
 
 
-def cogroup(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str,
-            chunk_size: int | None = None) -> DataFrame:
-    """Per key: the sorted list of left values and of right values; a side
-    without the key gives an empty list.
+def cogroup_many(key: str, sides: list, chunk_size: int | None = None) -> DataFrame:
+    """n-way cogroup: ``sides`` is a list of ``(df, value_column, out_name)``;
+    per key, one sorted list per side (empty when the side lacks the key).
 
     With ``chunk_size`` the lists are cut into rows ``(key, chunk, ...)`` of
     at most ``chunk_size`` values per side (chunk ``i`` holds the ``i``-th
@@ -44,21 +44,24 @@ def cogroup(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str,
     list; keys below the size give one row with ``chunk = 0``. Without it,
     each key is one row (bounded fan-out only); ``cogroup_tagged`` is the
     list-free form."""
-    if chunk_size:
-        a = (_chunked(left, key, lv, chunk_size).groupBy(key, "chunk")
-             .agg(F.array_sort(F.collect_list("_v")).alias("left_values")))
-        b = (_chunked(right, key, rv, chunk_size).groupBy(key, "chunk")
-             .agg(F.array_sort(F.collect_list("_v")).alias("right_values")))
-        on = [key, "chunk"]
-    else:
-        a = left.groupBy(key).agg(F.array_sort(F.collect_list(lv)).alias("left_values"))
-        b = right.groupBy(key).agg(F.array_sort(F.collect_list(rv)).alias("right_values"))
-        on = [key]
-    empty = F.array()
-    return (a.join(b, on, "full")
-             .select(*on,
-                     F.coalesce("left_values", empty.cast(a.schema["left_values"].dataType)).alias("left_values"),
-                     F.coalesce("right_values", empty.cast(b.schema["right_values"].dataType)).alias("right_values")))
+    on = [key, "chunk"] if chunk_size else [key]
+    out = None
+    for df, v, name in sides:
+        if chunk_size:
+            g = (_chunked(df, key, v, chunk_size).groupBy(key, "chunk")
+                 .agg(F.array_sort(F.collect_list("_v")).alias(name)))
+        else:
+            g = df.groupBy(key).agg(F.array_sort(F.collect_list(v)).alias(name))
+        out = g if out is None else out.join(g, on, "full")
+    types = {name: df.schema[v].dataType for df, v, name in sides}
+    return out.select(*on, *[F.coalesce(F.col(name), F.array().cast(ArrayType(types[name]))).alias(name)
+                             for _, _, name in sides])
+
+
+def cogroup(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str,
+            chunk_size: int | None = None) -> DataFrame:
+    """Two-way cogroup: ``(key[, chunk], left_values, right_values)``."""
+    return cogroup_many(key, [(left, lv, "left_values"), (right, rv, "right_values")], chunk_size)
 
 
 def cogroup_tagged(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from . import bindings as B
 from . import sqlfrag as Q
-from .features import pair_features, with_lemmas
+from .features import normalized_pairs, pair_features, with_lemmas
 from .lexicon import lemma_table
 from .registry import query
 from ..functions import fuzzy as FZ
@@ -147,11 +147,16 @@ MIN_DF = 3
 
 
 def _normalized_pairs(spark, d):
-    p = B.pairs(spark, d)
-    return p.select("id", TX.normalize("question1").alias("q1"), TX.normalize("question2").alias("q2"))
+    # normalised, then words of 4+ characters lemmatised; reused by several
+    # steps of each sequence plan, so materialised once
+    return cut_lineage(normalized_pairs(B.pairs(spark, d), lemma_table(spark)))
+
+
+def _cut_sql(x):
+    return f"array_to_string({Q.lemmatize(Q.split_ws(Q.normalize(x)), 4)}, ' ')"
 
 
-NORM_PAIRS_SQL = f"(SELECT id, {Q.normalize('question1')} AS q1, {Q.normalize('question2')} AS q2 FROM {PAIRS} p)"
+NORM_PAIRS_SQL = f"(SELECT id, {_cut_sql('question1')} AS q1, {_cut_sql('question2')} AS q2 FROM {PAIRS} p)"
 VOCAB_SQL = f"""(SELECT w AS word, COUNT(*) AS df FROM (
     SELECT UNNEST(list_distinct({Q.split_ws('t')})) AS w FROM (
       SELECT DISTINCT t FROM (SELECT q1 AS t FROM {NORM_PAIRS_SQL} a UNION ALL SELECT q2 AS t FROM {NORM_PAIRS_SQL} b) u) x) y

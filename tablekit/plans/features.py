@@ -16,22 +16,41 @@ FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2
                  'qUnigram_ratio', 'lUnigram_ratio', 'tfidfDistance']
 
 
+def lemmatize_columns(df: DataFrame, key: str, words: dict, lemmas: DataFrame,
+                      min_len: int = 0) -> DataFrame:
+    """For each ``name -> word-array expression``, add ``name``: the words
+    lemmatised by dictionary and space-joined. All columns go through one
+    explode/lookup/regroup pass (stacked with a side tag)."""
+    names = list(words)
+    stacked = None
+    for i, n in enumerate(names):
+        part = df.select(F.struct(F.col(key).alias("id"), F.lit(i).alias("side")).alias("_k"),
+                         words[n].alias("_w"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    lem = TK.lemmatize(stacked, "_k", "_w", lemmas, name="_lem", min_len=min_len)
+    lem = lem.select(F.col("_k.id").alias(key), F.col("_k.side").alias("_side"),
+                     F.array_join("_lem", " ").alias("_text"))
+    wide = lem.groupBy(key).agg(*[F.max(F.when(F.col("_side") == i, F.col("_text"))).alias(n)
+                                  for i, n in enumerate(names)])
+    return df.join(wide, key)
+
+
 def with_lemmas(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
                 q1: str = "question1", q2: str = "question2") -> DataFrame:
     """Add ``lemma1``/``lemma2``: content words (stop words and non-alphabetic
-    tokens removed), lemmatised by dictionary, space-joined. Both sides go
-    through one explode/lookup/regroup pass."""
-    stacked = (pairs.select(F.struct(F.col(key).alias("id"), F.lit(1).alias("side")).alias("_k"),
-                            TX.content_words(q1).alias("_w"))
-               .unionByName(pairs.select(F.struct(F.col(key).alias("id"), F.lit(2).alias("side")).alias("_k"),
-                                         TX.content_words(q2).alias("_w"))))
-    lem = TK.lemmatize(stacked, "_k", "_w", lemmas, name="_lem")
-    lem = lem.select(F.col("_k.id").alias(key), F.col("_k.side").alias("_side"),
-                     F.array_join("_lem", " ").alias("_text"))
-    both = lem.groupBy(key).agg(
-        F.max(F.when(F.col("_side") == 1, F.col("_text"))).alias("lemma1"),
-        F.max(F.when(F.col("_side") == 2, F.col("_text"))).alias("lemma2"))
-    return pairs.join(both, key)
+    tokens removed), lemmatised by dictionary, space-joined."""
+    return lemmatize_columns(pairs, key, {"lemma1": TX.content_words(q1), "lemma2": TX.content_words(q2)},
+                             lemmas)
+
+
+def normalized_pairs(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
+                     q1: str = "question1", q2: str = "question2") -> DataFrame:
+    """``(key, q1, q2)``: normalised texts whose words of 4+ characters are
+    lemmatised (noun, then verb) by dictionary."""
+    norm = pairs.select(key, TX.normalize(q1).alias("_n1"), TX.normalize(q2).alias("_n2"))
+    out = lemmatize_columns(norm, key, {"q1": TX.split_ws("_n1"), "q2": TX.split_ws("_n2")},
+                            lemmas, min_len=4)
+    return out.select(key, "q1", "q2")
 
 
 def pair_features(pairs: DataFrame, lemmas: DataFrame, key: str = "id",

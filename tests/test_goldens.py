@@ -227,3 +227,11 @@ def test_create_dataframe_three_schema_modes(spark):
         T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
         T.StructField("sales", T.DoubleType())]))
     assert dict(typed.dtypes) == {"id": "int", "name": "string", "sales": "double"}
+
+
+def test_cogroup_three_way(spark):
+    a = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int")
+    b = spark.createDataFrame([(2, 7)], "k int, v int")
+    c = spark.createDataFrame([(3, 8), (1, 9), (1, 4)], "k int, v int")
+    out = {r.k: (r.a, r.b, r.c) for r in J.cogroup_many("k", [(a, "v", "a"), (b, "v", "b"), (c, "v", "c")]).collect()}
+    assert out == {1: ([5], [], [4, 9]), 2: ([6], [7], []), 3: ([], [], [8])}
