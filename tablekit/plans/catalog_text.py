@@ -168,22 +168,30 @@ def q_vocab(spark, d):
     return TK.vocabulary(_normalized_pairs(spark, d), ["q1", "q2"], MIN_DF)
 
 
-@query("seq_collapse_rare", section="T17", sql=f"""
-WITH np AS {NORM_PAIRS_SQL}, vocab AS {VOCAB_SQL},
- ex AS (SELECT id, UNNEST(toks) AS tok, UNNEST(range(1, len(toks) + 1)) AS pos FROM
-          (SELECT id, {Q.split_ws('q1')} AS toks FROM np) t),
- fl AS (SELECT ex.id, ex.pos, ex.tok, v.word IS NULL AS oov FROM ex LEFT JOIN vocab v ON v.word = ex.tok),
- g AS (SELECT id, list(tok ORDER BY pos) AS toks, list(oov ORDER BY pos) AS flags FROM fl GROUP BY id),
- c AS (SELECT id, list_transform(
+def _collapse_sql(col):
+    return f"""(SELECT np.id, COALESCE(c.kept[greatest(len(c.kept) - 29, 1):], []::VARCHAR[]) AS prepared
+  FROM {NORM_PAIRS_SQL} np LEFT JOIN (
+  WITH ex AS (SELECT id, UNNEST(toks) AS tok, UNNEST(range(1, len(toks) + 1)) AS pos FROM
+          (SELECT id, {Q.split_ws(col)} AS toks FROM {NORM_PAIRS_SQL} n) t),
+   fl AS (SELECT ex.id, ex.pos, ex.tok, v.word IS NULL AS oov FROM ex LEFT JOIN {VOCAB_SQL} v ON v.word = ex.tok),
+   g AS (SELECT id, list(tok ORDER BY pos) AS toks, list(oov ORDER BY pos) AS flags FROM fl GROUP BY id)
+  SELECT id, list_transform(
           list_filter(range(1, len(toks) + 1), lambda i: NOT (flags[i] AND COALESCE(flags[i + 1], false))),
-          lambda i: CASE WHEN flags[i] THEN 'suspense' ELSE toks[i] END) AS kept FROM g)
-SELECT np.id, COALESCE(c.kept[greatest(len(c.kept) - 29, 1):], []::VARCHAR[]) AS prepared
-  FROM np LEFT JOIN c ON np.id = c.id""")
+          lambda i: CASE WHEN flags[i] THEN 'suspense' ELSE toks[i] END) AS kept FROM g) c ON np.id = c.id)"""
+
+
+@query("seq_collapse_rare", section="T17", sql=f"""
+SELECT a.id, a.prepared AS prepared1, b.prepared AS prepared2
+  FROM {_collapse_sql('q1')} a JOIN {_collapse_sql('q2')} b ON a.id = b.id""")
 def q_collapse(spark, d):
     np_ = _normalized_pairs(spark, d)
     vocab = TK.vocabulary(np_, ["q1", "q2"], MIN_DF)
-    toks = np_.select("id", TX.split_ws("q1").alias("toks"))
-    return TK.collapse_rare(toks, "id", "toks", vocab, "suspense", 30)
+    out = None
+    for i in (1, 2):
+        toks = np_.select("id", TX.split_ws(f"q{i}").alias("toks"))
+        c = TK.collapse_rare(toks, "id", "toks", vocab, "suspense", 30, name=f"prepared{i}")
+        out = c if out is None else out.join(c, "id")
+    return out
 
 
 def _encoded(spark, d):
@@ -194,6 +202,13 @@ def _encoded(spark, d):
     return toks, index
 
 
+def _encode_both(spark, d):
+    toks, index = _encoded(spark, d)
+    e1 = TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq1")
+    e2 = TK.encode(toks.select("id", "t2"), "id", "t2", index, "seq2")
+    return e1.join(e2, "id")
+
+
 _KERAS = Q.lit("[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TK.TOKENIZER_FILTERS) + "]")
 
 
@@ -206,16 +221,20 @@ INDEX_SQL = f"""(SELECT word, n, ROW_NUMBER() OVER (ORDER BY n DESC, word) AS "i
      SELECT UNNEST({_kw('q1')}) AS w FROM {NORM_PAIRS_SQL} a
      UNION ALL SELECT UNNEST({_kw('q2')}) AS w FROM {NORM_PAIRS_SQL} b) x GROUP BY w) y)"""
 
-SEQ_SQL = f"""(SELECT np.id, COALESCE(e.seq, []::BIGINT[]) AS seq FROM {NORM_PAIRS_SQL} np LEFT JOIN (
+
+def _seq_sql(col):
+    return f"""(SELECT np.id, COALESCE(e.seq, []::BIGINT[]) AS seq FROM {NORM_PAIRS_SQL} np LEFT JOIN (
    SELECT id, list(i."index" ORDER BY pos) AS seq FROM (
-     SELECT id, UNNEST(t) AS word, UNNEST(range(1, len(t) + 1)) AS pos FROM (SELECT id, {_kw('q1')} AS t FROM {NORM_PAIRS_SQL} c) z) x
+     SELECT id, UNNEST(t) AS word, UNNEST(range(1, len(t) + 1)) AS pos FROM (SELECT id, {_kw(col)} AS t FROM {NORM_PAIRS_SQL} c) z) x
    JOIN {INDEX_SQL} i ON i.word = x.word GROUP BY id) e ON np.id = e.id)"""
 
 
-@query("seq_encode", section="T18", sql=f"SELECT id, seq FROM {SEQ_SQL} s")
+SEQ_SQL = f"""(SELECT a.id, a.seq AS seq1, b.seq AS seq2 FROM {_seq_sql('q1')} a JOIN {_seq_sql('q2')} b ON a.id = b.id)"""
+
+
+@query("seq_encode", section="T18", sql=f"SELECT id, seq1, seq2 FROM {SEQ_SQL} s")
 def q_encode(spark, d):
-    toks, index = _encoded(spark, d)
-    return TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq")
+    return _encode_both(spark, d)
 
 
 def _pad_sql(x, n, padding, truncating):
@@ -225,13 +244,13 @@ def _pad_sql(x, n, padding, truncating):
 
 
 @query("seq_pad", section="T19", sql=f"""
-SELECT id, {_pad_sql('seq', 30, 'pre', 'pre')} AS pad_pre, {_pad_sql('seq', 30, 'post', 'post')} AS pad_post
+SELECT id, {_pad_sql('seq1', 30, 'pre', 'pre')} AS pad_pre1, {_pad_sql('seq1', 30, 'post', 'post')} AS pad_post1,
+       {_pad_sql('seq2', 30, 'pre', 'pre')} AS pad_pre2, {_pad_sql('seq2', 30, 'post', 'post')} AS pad_post2
   FROM {SEQ_SQL} s""")
 def q_pad(spark, d):
-    toks, index = _encoded(spark, d)
-    enc = TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq")
-    return enc.select("id", SQ.pad_sequences("seq", 30, "pre", "pre").alias("pad_pre"),
-                      SQ.pad_sequences("seq", 30, "post", "post").alias("pad_post"))
+    enc = _encode_both(spark, d)
+    return enc.select("id", *[SQ.pad_sequences(f"seq{i}", 30, p, p).alias(f"pad_{p}{i}")
+                              for i in (1, 2) for p in ("pre", "post")])
 
 
 @query("embed_matrix", section="T20", sql=f"""
