@@ -182,3 +182,35 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
                                           2)).alias("dist")))
     return (pairs_tokens.select(key).join(diff, key, "left")
             .select(key, F.coalesce("dist", F.lit(0.0)).alias("dist")))
+
+
+def _stack(df: DataFrame, key: str, cols: dict) -> DataFrame:
+    """``(_k = (key, side), _t)`` with one row per (row, column)."""
+    out = None
+    for i, (_, col) in enumerate(cols.items()):
+        c = F.col(col) if isinstance(col, str) else col
+        part = df.select(F.struct(F.col(key).alias("id"), F.lit(i).alias("side")).alias("_k"), c.alias("_t"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _unstack(stacked: DataFrame, key: str, value: str, names: list[str]) -> DataFrame:
+    return (stacked.groupBy(F.col("_k.id").alias(key))
+            .agg(*[F.first(F.when(F.col("_k.side") == i, F.col(value)), ignorenulls=True).alias(n)
+                   for i, n in enumerate(names)]))
+
+
+def collapse_rare_columns(df: DataFrame, key: str, cols: dict, vocab: DataFrame,
+                          placeholder: str = "suspense", keep_last: int = 30) -> DataFrame:
+    """``collapse_rare`` for several token columns (``out_name -> column``) in
+    one explode/lookup/regroup pass."""
+    stacked = _stack(df, key, cols)
+    out = collapse_rare(stacked, "_k", "_t", vocab, placeholder, keep_last, name="_p")
+    return _unstack(out, key, "_p", list(cols))
+
+
+def encode_columns(df: DataFrame, key: str, cols: dict, index: DataFrame) -> DataFrame:
+    """``encode`` for several token columns in one pass."""
+    stacked = _stack(df, key, cols)
+    out = encode(stacked, "_k", "_t", index, name="_s")
+    return _unstack(out, key, "_s", list(cols))

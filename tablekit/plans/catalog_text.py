@@ -186,12 +186,8 @@ SELECT a.id, a.prepared AS prepared1, b.prepared AS prepared2
 def q_collapse(spark, d):
     np_ = _normalized_pairs(spark, d)
     vocab = TK.vocabulary(np_, ["q1", "q2"], MIN_DF)
-    out = None
-    for i in (1, 2):
-        toks = np_.select("id", TX.split_ws(f"q{i}").alias("toks"))
-        c = TK.collapse_rare(toks, "id", "toks", vocab, "suspense", 30, name=f"prepared{i}")
-        out = c if out is None else out.join(c, "id")
-    return out
+    return TK.collapse_rare_columns(np_, "id", {"prepared1": TX.split_ws("q1"), "prepared2": TX.split_ws("q2")},
+                                    vocab, "suspense", 30)
 
 
 def _encoded(spark, d):
@@ -204,9 +200,7 @@ def _encoded(spark, d):
 
 def _encode_both(spark, d):
     toks, index = _encoded(spark, d)
-    e1 = TK.encode(toks.select("id", "t1"), "id", "t1", index, "seq1")
-    e2 = TK.encode(toks.select("id", "t2"), "id", "t2", index, "seq2")
-    return e1.join(e2, "id")
+    return TK.encode_columns(toks, "id", {"seq1": "t1", "seq2": "t2"}, index)
 
 
 _KERAS = Q.lit("[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TK.TOKENIZER_FILTERS) + "]")

@@ -70,7 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (survives executor loss, unlike a local one)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared folder (survives executor loss,
+    unlike a local one). The input is persisted while the checkpoint is
+    written, otherwise the write job would compute it a second time."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
