@@ -53,8 +53,9 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 10) -> DataFrame:
     are scalar subqueries; the bin table has ``bins`` rows (broadcast)."""
     v = F.col(value) if isinstance(value, str) else value
     vals = df.select(v.cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    lo = vals.agg(F.min("_x")).scalar()
-    hi = vals.agg(F.max("_x")).scalar()
+    # one scalar subquery (a struct) for both bounds: one scan, reused
+    b = vals.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
     width = (hi - lo) / F.lit(bins)
     idx = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - lo) / width), F.lit(bins - 1))).cast("int")

@@ -144,7 +144,9 @@ def term_counts(docs: DataFrame, key: str, tokens: str, min_df: float = 1.0,
     key = F.struct(F.negative(F.col("total")).alias("t"), F.col("term").alias("w"))
     cutoff = stats.select(key.alias("_k")).orderBy("_k").limit(vocab_size).agg(F.max("_k")).scalar()
     vocab = stats.filter(key <= cutoff)
-    counts = kept.join(vocab.select("term"), "term", "left_semi")
+    # the vocabulary is capped at vocab_size rows: a proven bound, so it is
+    # broadcast (a hot term then never concentrates the join in one task)
+    counts = kept.join(F.broadcast(vocab.select("term")), "term", "left_semi")
     if binary:
         counts = counts.withColumn("tf", F.lit(1).cast("long"))
     return vocab, counts
@@ -156,7 +158,8 @@ def idf_weights(vocab: DataFrame, n_docs) -> DataFrame:
 
 
 def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2: str,
-                        min_df: float = 2.0, corpus_mode: str = "union") -> DataFrame:
+                        min_df: float = 2.0, corpus_mode: str = "union",
+                        vocab_size: int = 1 << 18) -> DataFrame:
     """Squared Euclidean distance between the TF-IDF vectors of two texts of
     a pair. The corpus is the bag union of both token columns (each text is
     a document). Sparse vectors are ``(key, term, weight)`` rows; the
@@ -170,9 +173,9 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
     docs = (pairs_tokens.select(key, side(1).alias("_side"), F.col(tokens1).alias("_tok"))
             .unionByName(pairs_tokens.select(key, side(2).alias("_side"), F.col(tokens2).alias("_tok"))))
     vocab, counts = term_counts(docs.select(F.struct(key, "_side").alias("_doc"), "_tok"),
-                                "_doc", "_tok", min_df=min_df)
+                                "_doc", "_tok", min_df=min_df, vocab_size=vocab_size)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = (counts.join(idf_weights(vocab, n_docs), "term")
+    w = (counts.join(F.broadcast(idf_weights(vocab, n_docs)), "term")  # capped vocabulary
          .select(F.col("_doc")[key].alias(key), F.col("_doc")["_side"].alias("_side"), "term",
                  (F.col("tf") * F.col("idf")).alias("w")))
     w1 = w.filter(F.col("_side") == 1).select(key, "term", F.col("w").alias("w1"))

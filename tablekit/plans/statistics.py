@@ -52,33 +52,25 @@ def ols_simple(df: DataFrame, y: str, x: str, with_p: bool = True) -> DataFrame:
 def ols_residuals(df: DataFrame, y: str, x: str, digits: int = 12) -> DataFrame:
     """``y - (a + b x)`` with the fitted coefficients as scalars (rounded to
     ``digits`` significant digits so any engine reproduces the residuals)."""
-    coef = df.agg(sig(F.regr_intercept(y, x), digits).alias("a"), sig(F.regr_slope(y, x), digits).alias("b"))
-    a = coef.select("a").scalar()
-    b = coef.select("b").scalar()
-    return df.withColumn("residual", F.col(y) - (a + b * F.col(x)))
+    coef = df.agg(F.struct(sig(F.regr_intercept(y, x), digits).alias("a"),
+                           sig(F.regr_slope(y, x), digits).alias("b"))).scalar()
+    return df.withColumn("residual", F.col(y) - (coef["a"] + coef["b"] * F.col(x)))
 
 
 def standard_scale(df: DataFrame, cols: list[str], digits: int = 12) -> DataFrame:
     """``(x - mean) / std`` with the *population* std, per column; means and
     stds come from one aggregation, applied as scalars."""
-    stats = df.agg(*[sig(F.avg(c), digits).alias(f"{c}__m") for c in cols],
-                   *[sig(F.stddev_pop(c), digits).alias(f"{c}__s") for c in cols])
-    out = df
-    for c in cols:
-        m = stats.select(f"{c}__m").scalar()
-        s = stats.select(f"{c}__s").scalar()
-        out = out.withColumn(c, (F.col(c) - m) / s)
-    return out
+    # all means and stds in one aggregation, one struct-valued scalar
+    st = df.agg(F.struct(*[sig(F.avg(c), digits).alias(f"{c}__m") for c in cols],
+                         *[sig(F.stddev_pop(c), digits).alias(f"{c}__s") for c in cols])).scalar()
+    return df.withColumns({c: (F.col(c) - st[f"{c}__m"]) / st[f"{c}__s"] for c in cols})
 
 
 def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
-    stats = df.agg(*[F.min(c).alias(f"{c}__lo") for c in cols], *[F.max(c).alias(f"{c}__hi") for c in cols])
-    out = df
-    for c in cols:
-        lo = stats.select(f"{c}__lo").scalar()
-        hi = stats.select(f"{c}__hi").scalar()
-        out = out.withColumn(c, F.try_divide(F.col(c) - lo, hi - lo))
-    return out
+    st = df.agg(F.struct(*[F.min(c).alias(f"{c}__lo") for c in cols],
+                         *[F.max(c).alias(f"{c}__hi") for c in cols])).scalar()
+    return df.withColumns({c: F.try_divide(F.col(c) - st[f"{c}__lo"], st[f"{c}__hi"] - st[f"{c}__lo"])
+                           for c in cols})
 
 
 def log_loss(df: DataFrame, label: str, prob: str, eps: float = 1e-15) -> DataFrame:
