@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def select_as(df: DataFrame, *exprs: str) -> DataFrame:
@@ -92,6 +91,3 @@ def schema_table(df: DataFrame) -> DataFrame:
             for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean")
 
-
-def rows_with_schema(spark, rows, schema: StructType) -> DataFrame:
-    return spark.createDataFrame(rows, schema)

@@ -165,3 +165,30 @@ def test_ordered_scan_many_buckets_fallback_path(spark):
     out = O.ordered_scan(df, ["g", "id"], sums=["v"], num_buckets=300).toPandas().sort_values(["g", "id"])
     assert list(out._index) == list(range(1, 3001))
     assert list(out._cum_v) == [2 * i for i in range(1, 3001)]
+
+
+def _kcore_py(rows, names, min_items, max_items, min_users):
+    cur = list(rows)
+    while True:
+        per_user, per_item = {}, {}
+        for u, i, _ in cur:
+            per_user[u] = per_user.get(u, 0) + 1
+            per_item[i] = per_item.get(i, 0) + 1
+        nxt = [(u, i, c) for u, i, c in cur
+               if min_items < per_user[u] < max_items and per_item[i] > min_users
+               and names.get(i) not in (None, "[unknown]")]
+        if len(nxt) == len(cur):
+            return sorted(nxt)
+        cur = nxt
+
+
+def test_iterated_cleaning_reaches_fixed_point(spark):
+    rnd = random.Random(5)
+    rows = sorted({(rnd.randint(0, 40), rnd.randint(0, 30), 1) for _ in range(600)})
+    names = {i: ("[unknown]" if i == 7 else f"n{i}") for i in range(30)}
+    ui = spark.createDataFrame(rows, "userId int, itemId int, count int")
+    nm = spark.createDataFrame(list(names.items()), "itemId int, name string")
+    got = R.clean_interactions(ui, nm, min_items=10, max_items=25, min_users=12, iterate=True)
+    assert sorted(tuple(r) for r in got.collect()) == _kcore_py(rows, names, 10, 25, 12)
+    once = R.clean_interactions(ui, nm, min_items=10, max_items=25, min_users=12).count()
+    assert once >= got.count()
