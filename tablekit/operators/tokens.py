@@ -20,7 +20,7 @@ from .ordering import dense_index, desc
 TOKENIZER_FILTERS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
 
-def keras_words(col):
+def filtered_words(col):
     """Lower case, filter characters become separators, split on spaces."""
     c = F.col(col) if isinstance(col, str) else col
     cls = "[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TOKENIZER_FILTERS) + "]"

@@ -192,7 +192,7 @@ def q_collapse(spark, d):
 
 def _encoded(spark, d):
     np_ = _normalized_pairs(spark, d)
-    toks = np_.select("id", TK.keras_words("q1").alias("t1"), TK.keras_words("q2").alias("t2"))
+    toks = np_.select("id", TK.filtered_words("q1").alias("t1"), TK.filtered_words("q2").alias("t2"))
     corpus = toks.select(F.concat("t1", "t2").alias("t"))
     index = TK.word_index(corpus, "t")
     return toks, index
@@ -203,11 +203,11 @@ def _encode_both(spark, d):
     return TK.encode_columns(toks, "id", {"seq1": "t1", "seq2": "t2"}, index)
 
 
-_KERAS = Q.lit("[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TK.TOKENIZER_FILTERS) + "]")
+_FILTERS_SQL = Q.lit("[" + "".join("\\" + ch if ch in "[]\\^-" else ch for ch in TK.TOKENIZER_FILTERS) + "]")
 
 
 def _kw(x):
-    return Q.split_ws(f"regexp_replace(lower({x}), {_KERAS}, ' ', 'g')")
+    return Q.split_ws(f"regexp_replace(lower({x}), {_FILTERS_SQL}, ' ', 'g')")
 
 
 INDEX_SQL = f"""(SELECT word, n, ROW_NUMBER() OVER (ORDER BY n DESC, word) AS "index" FROM (

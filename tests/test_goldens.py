@@ -142,7 +142,7 @@ def test_length_ratio_and_word_count(spark):
 
 
 def test_toy_ngrams(spark):
-    df = NG.with_ngram_words(spark.createDataFrame([("I love data", "I love MScA")], "a string, b string"),
+    df = NG.with_ngram_words(spark.createDataFrame([("I love data", "I love maps")], "a string, b string"),
                              w1="a", w2="b")
     r = df.select(NG.common_ngrams("w1", "w2", 2).alias("g2"), NG.common_ngrams("w1", "w2", 1).alias("g1"),
                   NG.common_ngrams("w1", "w2", 4).alias("g4")).first()
