@@ -84,7 +84,7 @@ def q_csv_roundtrip(spark, d):
     pop = item_popularity(B.user_item(spark, d))
     tab = SNK.write_csv(pop, scratch_path(spark, "csv-tab"), sep="\t", header=False, quote="")
     back = spark.read.csv(tab, sep="\t", schema="itemId int, plays bigint, users bigint")
-    one = SNK.write_csv(back, scratch_path(spark, "csv-single"), mode="overwrite", single_file=False)
+    one = SNK.write_csv(back, scratch_path(spark, "csv-header"), mode="overwrite")
     return spark.read.csv(one, header=True, schema="itemId int, plays bigint, users bigint")
 
 
@@ -105,5 +105,5 @@ def q_export_split(spark, d):
     combined = id_offset_union(train, test, "id", "test_id")
     max_train = train.agg(F.max("id")).scalar()
     _, test_back = SNK.export_split_rebased(combined, "id", max_train)
-    path = SNK.write_csv(test_back, scratch_path(spark, "export-test"), header=True, single_file=True)
+    path = SNK.write_csv(test_back, scratch_path(spark, "export-test"), header=True)
     return spark.read.csv(path, header=True, schema="id bigint, quality int")

@@ -86,7 +86,7 @@ def q_prob_export(spark, d):
     model = MD.classifier("gbt", maxIter=5, maxDepth=3).fit(data)
     docs = MD.assemble(MD.doc_features(T(spark, d, "documents", "doc_id", "text")), MD.DOC_FEATURES)
     out = MD.probability_of_one(model.transform(docs), "doc_id")
-    path = write_csv(out, scratch_path(spark, "prob-export"), mode="overwrite", single_file=True)
+    path = write_csv(out, scratch_path(spark, "prob-export"), mode="overwrite")
     return spark.read.csv(path, header=True, schema="doc_id bigint, predict double")
 
 
