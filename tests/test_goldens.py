@@ -235,3 +235,32 @@ def test_cogroup_three_way(spark):
     c = spark.createDataFrame([(3, 8), (1, 9), (1, 4)], "k int, v int")
     out = {r.k: (r.a, r.b, r.c) for r in J.cogroup_many("k", [(a, "v", "a"), (b, "v", "b"), (c, "v", "c")]).collect()}
     assert out == {1: ([5], [], [4, 9]), 2: ([6], [7], []), 3: ([], [], [8])}
+
+
+# printed counts per pair: (lemma words 1, 2, raw words 1, 2, lemma len 1, 2, raw len 1, 2)
+COUNTS = [(6, 5, 14, 12, 35, 28, 66, 57), (2, 7, 8, 13, 14, 53, 51, 88), (5, 4, 14, 10, 38, 28, 73, 59),
+          (2, 3, 11, 9, 14, 21, 50, 65), (7, 4, 13, 7, 43, 23, 76, 39), (6, 5, 16, 16, 30, 35, 86, 90)]
+RATIOS = [(0.0909090909090909, 0.07692307692307693, 0.1111111111111111, 0.07317073170731707),
+          (0.5555555555555555, 0.23809523809523808, 0.582089552238806, 0.26618705035971224),
+          (0.11111111111111109, 0.16666666666666666, 0.15151515151515152, 0.10606060606060606),
+          (0.19999999999999996, 0.1, 0.2, 0.13043478260869565),
+          (0.2727272727272727, 0.3, 0.30303030303030304, 0.3217391304347826),
+          (0.0909090909090909, 0.0, 0.07692307692307693, 0.022727272727272728)]
+# printed (lemma 1-gram overlap, raw 1-gram overlap) and the two unigram ratios
+UNIGRAMS = [(4, 11, 0.7333333333333333, 0.5714285714285714), (1, 4, 0.2857142857142857, 0.125),
+            (3, 4, 0.26666666666666666, 0.5), (0, 0, 0.0, 0.0), (0, 4, 0.2857142857142857, 0.0),
+            (3, 9, 0.5294117647058824, 0.42857142857142855)]
+
+
+def test_printed_feature_ratios(spark):
+    df = spark.createDataFrame(COUNTS, "l1 int, l2 int, w1 int, w2 int, n1 int, n2 int, r1 int, r2 int")
+    got = df.select(TX.sym_ratio("l1", "l2"), TX.sym_ratio("w1", "w2"), TX.sym_ratio("n1", "n2"),
+                    TX.sym_ratio("r1", "r2")).collect()
+    assert [tuple(r) for r in got] == RATIOS
+
+
+def test_printed_unigram_ratios(spark):
+    rows = [c[:4] + u[:2] for c, u in zip(COUNTS, UNIGRAMS)]
+    df = spark.createDataFrame(rows, "l1 int, l2 int, w1 int, w2 int, lg int, qg int")
+    got = df.select(NG.unigram_ratio("qg", "w1", "w2"), NG.unigram_ratio("lg", "l1", "l2")).collect()
+    assert [tuple(r) for r in got] == [u[2:] for u in UNIGRAMS]
