@@ -1,5 +1,6 @@
 """Distributed operators against brute force on small fixtures."""
 
+import math
 import random
 
 from pyspark.sql import Window
@@ -192,3 +193,21 @@ def test_iterated_cleaning_reaches_fixed_point(spark):
     assert sorted(tuple(r) for r in got.collect()) == _kcore_py(rows, names, 10, 25, 12)
     once = R.clean_interactions(ui, nm, min_items=10, max_items=25, min_users=12).count()
     assert once >= got.count()
+
+
+def test_logistic_toy_separable_deviance_vanishes(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.0), (1.0, 0.0, 1.0), (1.0, 1.0, 0.0), (1.0, 1.0, 1.0)],
+                               "label double, a double, b double")
+    _, s = MD.glm_summary(df, "label", ["a", "b"], family="binomial", link="logit")
+    r = s.first()
+    assert r.deviance < 1e-6 and r.df_resid == 1 and r.null_deviance > 4.0
+    assert min(r.coefficients) > 10  # diverging slopes on separable data
+
+
+def test_poisson_glm_recovers_rates(spark):
+    # counts 2 and 8 for the two groups: log link recovers log(8/2)
+    rows = [(2.0, 0.0)] * 5 + [(8.0, 1.0)] * 5
+    df = spark.createDataFrame(rows, "n double, x double")
+    _, s = MD.glm_summary(df, "n", ["x"], family="poisson", link="log")
+    r = s.first()
+    assert abs(r.coefficients[0] - math.log(4.0)) < 1e-6 and abs(r.intercept - math.log(2.0)) < 1e-6
