@@ -26,7 +26,7 @@ def _split(df, key):
     return hash_split(df, key, 70)
 
 
-@query("glm_logistic", section="L05")
+@query("glm_logistic", section="L05/L03")
 def q_glm_logistic(spark, d):
     ld = MD.doc_features(B.labelled_docs(spark, d))
     _, summary = MD.glm_summary(ld, "quality", MD.DOC_FEATURES, family="binomial", link="logit")
@@ -51,7 +51,7 @@ def q_glm_predict(spark, d):
     return model.transform(docs).select("doc_id", "prediction")
 
 
-@query("ols_multi", section="L04")
+@query("ols_multi", section="L04/L03")
 def q_ols_multi(spark, d):
     return MD.ols_multi(B.numeric(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
 

@@ -27,7 +27,7 @@ def q_top_users(spark, d):
     return R.top_users(B.user_item(spark, d), 10)
 
 
-@query("agg_item_popularity", section="A02", sql=f"""
+@query("agg_item_popularity", section="A02/P05", sql=f"""
 SELECT itemId, CAST(SUM("count") AS BIGINT) AS plays, COUNT(userId) AS users FROM {UI} ui GROUP BY itemId""")
 def q_item_pop(spark, d):
     return R.item_popularity(B.user_item(spark, d))
@@ -88,7 +88,7 @@ WITH ui AS {UI},
          FROM scored)"""
 
 
-@query("mean_user_auc", section="L16", sql=SCORED_SQL + """
+@query("mean_user_auc", section="L16/J11", sql=SCORED_SQL + """
 , per_user AS (
    SELECT p.userId,
           SUM((SELECT COUNT(*) FROM s n WHERE n.userId = p.userId AND n.is_pos = 0 AND n.score < p.score)) AS correct,

@@ -191,7 +191,7 @@ def q_join_full(spark, d):
     return J.equi_join(*_sides(spark, d), "c_custkey", "full")
 
 
-@query("join_anti_message", section="J05", sql=f"""
+@query("join_anti_message", section="J05/P19", sql=f"""
 SELECT l.c_custkey, printf('customer %s has no urgent order', l.c_name) AS message
   FROM {_L} l WHERE NOT EXISTS (SELECT 1 FROM {_R} r WHERE r.o_custkey = l.c_custkey)""")
 def q_join_anti(spark, d):
@@ -413,7 +413,7 @@ def q_topk_membership(spark, d):
 # -------------------------------------------------------------------- sets
 
 
-@query("set_union_all", section="U01", sql="""
+@query("set_union_all", section="U01/P16", sql="""
 SELECT c_nationkey AS nationkey FROM customer UNION ALL SELECT s_nationkey AS nationkey FROM supplier""")
 def q_union_all(spark, d):
     a = T(spark, d, "customer", "c_nationkey").withColumnRenamed("c_nationkey", "nationkey")
@@ -461,7 +461,7 @@ def q_sample_n(spark, d):
     return M.sample_n(T(spark, d, "orders", "o_orderkey", "o_totalprice"), 100, 42, "o_orderkey")
 
 
-@query("split_hash", section="M03", sql=f"""
+@query("split_hash", section="M03/M05", sql=f"""
 SELECT userId, itemId, CASE WHEN ((CAST(userId AS BIGINT) * 7919) % 100) < 70 THEN 'train' ELSE 'test' END AS split
   FROM {B.USER_ITEM_SQL} ui""")
 def q_split_hash(spark, d):
@@ -470,7 +470,7 @@ def q_split_hash(spark, d):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
-@query("split_random", section="M03")
+@query("split_random", section="M03/M05")
 def q_split_random(spark, d):
     ui = B.user_item(spark, d).select("userId", "itemId")
     train, test = M.random_split(ui, [0.7, 0.3], seed=0)

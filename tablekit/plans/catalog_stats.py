@@ -19,7 +19,7 @@ _ANOVA_COLS = ["k", "n", "df_between", "df_within", "ss_between", "ss_within", "
 _ROUNDED = {"ss_between", "ss_within", "ms_between", "ms_within", "f"}
 
 
-@query("anova_f", section="L01", sql=f"""
+@query("anova_f", section="L01/A11/A15", sql=f"""
 WITH g AS (SELECT c, COUNT(*) AS n, AVG(y) AS m FROM {B.ANOVA_SQL} a GROUP BY c),
  gm AS (SELECT AVG(y) AS gm FROM {B.ANOVA_SQL} a2),
  b AS (SELECT COUNT(*) AS k, SUM(n) AS n, SUM(n * pow(m - gm.gm, 2)) AS ssb FROM g, gm GROUP BY gm.gm),

@@ -365,7 +365,7 @@ TFIDF_SQL = f"""(WITH lp AS {LEMMA_PAIRS_SQL},
  SELECT lp.id, COALESCE(dd.dist, 0.0) AS dist FROM lp LEFT JOIN dd ON lp.id = dd.id)"""
 
 
-@query("tfidf_distance", section="T25", sql=f"SELECT id, round(dist, 4) AS tfidfDistance FROM {TFIDF_SQL} t")
+@query("tfidf_distance", section="T25/J10", sql=f"SELECT id, round(dist, 4) AS tfidfDistance FROM {TFIDF_SQL} t")
 def q_tfidf(spark, d):
     lp = with_lemmas(B.pairs(spark, d), lemma_table(spark))
     toks = cut_lineage(lp.select("id", TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2")))
@@ -424,7 +424,7 @@ FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2
                  'qUnigram_ratio', 'lUnigram_ratio', 'tfidfDistance']
 
 
-@query("pair_features", section="T27", sql=f"""
+@query("pair_features", section="T27/J10", sql=f"""
 WITH b AS (SELECT id, question1 AS q1, question2 AS q2, {Q.lemma_text('question1')} AS l1,
                   {Q.lemma_text('question2')} AS l2 FROM {PAIRS} p),
  c AS (SELECT id, {Q.wc('l1')} AS lWCount1, {Q.wc('l2')} AS lWCount2, {Q.wc('q1')} AS qWCount1, {Q.wc('q2')} AS qWCount2,
