@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
+from ..sources.tables import read_spread, read_table
 from ..operators.ordering import dense_index
 from ..session import cut_lineage
 
@@ -91,7 +91,7 @@ LABELLED_SQL = """(SELECT d.doc_id, d.text, l.quality FROM documents d JOIN labe
 
 
 def text_lines(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents", "text")
+    docs = read_spread(spark, d, "documents", "doc_id", "doc_id", "text")
     return docs.select(F.explode(F.split("text", "\n")).alias("line"))
 
 

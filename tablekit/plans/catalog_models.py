@@ -13,6 +13,7 @@ from .registry import query
 from ..operators.sampling import hash_bucket, hash_split
 from ..session import scratch_path
 from ..sources.sinks import write_csv
+from ..sources.tables import read_spread as RS
 from ..sources.tables import read_table as T
 
 
@@ -47,7 +48,7 @@ def q_glm_poisson(spark, d):
 def q_glm_predict(spark, d):
     ld = MD.doc_features(B.labelled_docs(spark, d))
     model, _ = MD.glm_summary(ld, "quality", MD.DOC_FEATURES, family="binomial", link="logit")
-    docs = MD.assemble(MD.doc_features(T(spark, d, "documents", "doc_id", "text")), MD.DOC_FEATURES)
+    docs = MD.assemble(MD.doc_features(RS(spark, d, "documents", "doc_id", "doc_id", "text")), MD.DOC_FEATURES)
     return model.transform(docs).select("doc_id", "prediction")
 
 
@@ -84,7 +85,7 @@ def q_mlp(spark, d):
 def q_prob_export(spark, d):
     data = _labelled(spark, d)
     model = MD.classifier("gbt", maxIter=5, maxDepth=3).fit(data)
-    docs = MD.assemble(MD.doc_features(T(spark, d, "documents", "doc_id", "text")), MD.DOC_FEATURES)
+    docs = MD.assemble(MD.doc_features(RS(spark, d, "documents", "doc_id", "doc_id", "text")), MD.DOC_FEATURES)
     out = MD.probability_of_one(model.transform(docs), "doc_id")
     path = write_csv(out, scratch_path(spark, "prob-export"), mode="overwrite")
     return spark.read.csv(path, header=True, schema="doc_id bigint, predict double")

@@ -16,6 +16,7 @@ from ..functions import text as TX
 from ..functions import vectors as V
 from ..operators import tokens as TK
 from ..session import cut_lineage
+from ..sources.tables import read_spread as RS
 from ..sources.tables import read_table as T
 
 PAIRS = B.PAIRS_SQL
@@ -30,7 +31,7 @@ SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n_space,
        upper(replace(split_part(text, ' ', 1), 'ß', 'ss')) AS first_upper, lower(split_part(text, ' ', 1)) AS first_lower
   FROM documents""")
 def q_split_words(spark, d):
-    docs = T(spark, d, "documents", "doc_id", "text")
+    docs = RS(spark, d, "documents", "doc_id", "doc_id", "text")
     first = F.split("text", " ")[0]
     return docs.select(
         "doc_id", F.size(F.split("text", " ")).alias("n_space"), F.size(TX.split_ws("text")).alias("n_ws"),
@@ -73,7 +74,7 @@ def q_feat_ratios(spark, d):
 @query("text_clean", section="T07", sql=f"""
 SELECT doc_id, regexp_replace(text, {Q.SYM}, '', 'g') AS cleaned FROM documents""")
 def q_text_clean(spark, d):
-    return T(spark, d, "documents", "doc_id", "text").select(
+    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select(
         "doc_id", TX.clean_symbols("text").alias("cleaned"))
 
 
@@ -110,27 +111,27 @@ def q_unigram_ratio(spark, d):
 @query("text_tokenize", section="T11", sql="""
 SELECT doc_id, string_split_regex(lower(text), '\\s') AS tokens FROM documents""")
 def q_tokenize(spark, d):
-    return T(spark, d, "documents", "doc_id", "text").select("doc_id", TX.tokenize("text").alias("tokens"))
+    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select("doc_id", TX.tokenize("text").alias("tokens"))
 
 
 @query("text_stopwords", section="T12", sql=f"""
 SELECT doc_id, array_to_string({Q.content_words('text')}, ' ') AS content FROM documents""")
 def q_stopwords(spark, d):
-    return T(spark, d, "documents", "doc_id", "text").select(
+    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select(
         "doc_id", F.array_join(TX.content_words("text"), " ").alias("content"))
 
 
 @query("text_lemmatize", section="T13", sql=f"""
 SELECT doc_id, {Q.lemma_text('text')} AS lemma FROM documents""")
 def q_lemmatize(spark, d):
-    docs = T(spark, d, "documents", "doc_id", "text").select("doc_id", TX.content_words("text").alias("w"))
+    docs = RS(spark, d, "documents", "doc_id", "doc_id", "text").select("doc_id", TX.content_words("text").alias("w"))
     out = TK.lemmatize(docs, "doc_id", "w", lemma_table(spark), name="lem")
     return out.select("doc_id", F.array_join("lem", " ").alias("lemma"))
 
 
 @query("text_sentences", section="T14")
 def q_sentences(spark, d):
-    s = T(spark, d, "documents", "doc_id", "text", "lang").select(
+    s = RS(spark, d, "documents", "doc_id", "doc_id", "text", "lang").select(
         "doc_id", TX.sentences("text", "en").alias("s"))
     return s.select("doc_id", F.size("s").alias("n_sentences"),
                     F.aggregate("s", F.lit(0), lambda acc, x: acc + F.size(x)).alias("n_words"))
@@ -139,7 +140,7 @@ def q_sentences(spark, d):
 @query("text_normalize", section="T15", sql=f"""
 SELECT doc_id, {Q.normalize('text')} AS normalized FROM documents""")
 def q_normalize(spark, d):
-    return T(spark, d, "documents", "doc_id", "text").select(
+    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select(
         "doc_id", TX.normalize("text").alias("normalized"))
 
 

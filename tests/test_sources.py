@@ -27,3 +27,14 @@ def test_csv_strings_try_cast_and_quote_free_sink(spark):
     raw = SNK.write_csv(spark.createDataFrame([('say "hi"',)], "t string"), scratch_path(spark, "csv-raw"),
                         header=False, quote="")
     assert [r.value for r in spark.read.text(raw).collect()] == ['say "hi"']
+
+
+def test_spread_rows_only_when_splits_are_few(spark):
+    from tablekit.sources.tables import spread_rows
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, numPartitions=1).withColumnRenamed("id", "k")
+    spread = spread_rows(one, "k")
+    assert spread.rdd.getNumPartitions() == cores
+    assert sorted(r.k for r in spread.collect()) == list(range(1000))
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_rows(many, "id") is many
