@@ -33,23 +33,40 @@ def _regroup(exploded: DataFrame, keys: list[str], pos: str, value: str, name: s
             .select(*keys, F.transform("_s", lambda s: s[value]).alias(name)))
 
 
-def lemmatize(df: DataFrame, key: str, words: str, lemmas: DataFrame, name: str = "lemmas",
-              min_len: int = 0) -> DataFrame:
-    """Replace each word by its noun lemma, then that by its verb lemma, from a
-    ``(form, pos, lemma)`` dictionary; misses pass through; words shorter than
-    ``min_len`` are left alone. The dictionary is a fixed lexical resource,
-    bounded in size, and is broadcast."""
+def lookup_lemmas(exploded: DataFrame, word: str, lemmas: DataFrame, name: str = "_lem",
+                  min_len: int = 0) -> DataFrame:
+    """Add ``name``: ``word`` replaced by its noun lemma, then that by its verb
+    lemma, from a ``(form, pos, lemma)`` dictionary; misses pass through;
+    words shorter than ``min_len`` are left alone. The dictionary is a fixed
+    lexical resource, bounded in size, and is broadcast."""
     nouns = F.broadcast(lemmas.filter(F.col("pos") == "n")
-                        .select(F.col("form").alias("_w"), F.col("lemma").alias("_ln")))
+                        .select(F.col("form").alias("_lw"), F.col("lemma").alias("_ln")))
     verbs = F.broadcast(lemmas.filter(F.col("pos") == "v")
-                        .select(F.col("form").alias("_w1"), F.col("lemma").alias("_lv")))
-    ex = df.select(key, F.posexplode(words).alias("_pos", "_w"))
-    ex = ex.join(nouns, "_w", "left").withColumn(
-        "_w1", F.when(F.length("_w") < min_len, F.col("_w")).otherwise(F.coalesce("_ln", "_w")))
-    ex = ex.join(verbs, "_w1", "left").withColumn(
-        "_lem", F.when(F.length("_w") < min_len, F.col("_w")).otherwise(F.coalesce("_lv", "_w1")))
-    grouped = _regroup(ex, [key], "_pos", "_lem", name)
-    return (df.join(grouped, key, "left")
+                        .select(F.col("form").alias("_lw1"), F.col("lemma").alias("_lv")))
+    w = F.col(word)
+    ex = exploded.join(nouns, w == F.col("_lw"), "left").withColumn(
+        "_lw1", F.when(F.length(w) < min_len, w).otherwise(F.coalesce("_ln", w)))
+    ex = ex.join(verbs, "_lw1", "left").withColumn(
+        name, F.when(F.length(w) < min_len, w).otherwise(F.coalesce("_lv", "_lw1")))
+    return ex.drop("_lw", "_ln", "_lw1", "_lv")
+
+
+def lemmatize(df: DataFrame, key: str, words: str, lemmas: DataFrame, name: str = "lemmas",
+              min_len: int = 0, keep_input: bool = True) -> DataFrame:
+    """Replace each word of the array column ``words`` by its lemma
+    (``lookup_lemmas``); rows with no words get an empty array. The outer
+    explode keeps rows without words, so the regroup by the unique ``key``
+    sees every row and ``keep_input=False`` returns ``(key, name)`` with no
+    join back to ``df``."""
+    ex = df.select(key, F.posexplode_outer(words).alias("_pos", "_w"))
+    ex = lookup_lemmas(ex, "_w", lemmas, "_lem", min_len)
+    g = (ex.groupBy(key)
+         .agg(F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(),
+                                                 F.struct("_pos", "_lem")))).alias("_s"))
+         .select(key, F.transform("_s", lambda s: s["_lem"]).alias(name)))
+    if not keep_input:
+        return g
+    return (df.join(g, key, "left")
               .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<string>"))))
 
 

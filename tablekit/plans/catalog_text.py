@@ -125,7 +125,7 @@ def q_stopwords(spark, d):
 SELECT doc_id, {Q.lemma_text('text')} AS lemma FROM documents""")
 def q_lemmatize(spark, d):
     docs = RS(spark, d, "documents", "doc_id", "doc_id", "text").select("doc_id", TX.content_words("text").alias("w"))
-    out = TK.lemmatize(docs, "doc_id", "w", lemma_table(spark), name="lem")
+    out = TK.lemmatize(docs, "doc_id", "w", lemma_table(spark), name="lem", keep_input=False)
     return out.select("doc_id", F.array_join("lem", " ").alias("lemma"))
 
 

@@ -17,22 +17,25 @@ FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2
 
 
 def lemmatize_columns(df: DataFrame, key: str, words: dict, lemmas: DataFrame,
-                      min_len: int = 0) -> DataFrame:
+                      min_len: int = 0, keep_input: bool = True) -> DataFrame:
     """For each ``name -> word-array expression``, add ``name``: the words
-    lemmatised by dictionary and space-joined. All columns go through one
-    explode/lookup/regroup pass (stacked with a side tag)."""
+    lemmatised by dictionary and space-joined. All columns are stacked with a
+    side tag and go through one explode/lookup pass and one regroup by the
+    unique ``key`` (no join back, no pivot shuffle). ``keep_input=False``
+    returns only ``key`` and the new columns."""
     names = list(words)
     stacked = None
     for i, n in enumerate(names):
-        part = df.select(F.struct(F.col(key).alias("id"), F.lit(i).alias("side")).alias("_k"),
-                         words[n].alias("_w"))
+        part = df.select(key, F.lit(i).alias("_side"), F.posexplode_outer(words[n]).alias("_pos", "_w"))
         stacked = part if stacked is None else stacked.unionByName(part)
-    lem = TK.lemmatize(stacked, "_k", "_w", lemmas, name="_lem", min_len=min_len)
-    lem = lem.select(F.col("_k.id").alias(key), F.col("_k.side").alias("_side"),
-                     F.array_join("_lem", " ").alias("_text"))
-    wide = lem.groupBy(key).agg(*[F.max(F.when(F.col("_side") == i, F.col("_text"))).alias(n)
-                                  for i, n in enumerate(names)])
-    return df.join(wide, key)
+    ex = TK.lookup_lemmas(stacked, "_w", lemmas, "_lem", min_len)
+    grouped = ex.groupBy(key).agg(F.array_sort(F.collect_list(
+        F.when(F.col("_pos").isNotNull(), F.struct("_side", "_pos", "_lem")))).alias("_s"))
+    def side_text(i):
+        # one-argument lambda: a second parameter would be the array index
+        return F.array_join(F.transform(F.filter("_s", lambda s: s["_side"] == i), lambda s: s["_lem"]), " ")
+    wide = grouped.select(key, *[side_text(i).alias(n) for i, n in enumerate(names)])
+    return df.join(wide, key) if keep_input else wide
 
 
 def with_lemmas(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
@@ -48,9 +51,8 @@ def normalized_pairs(pairs: DataFrame, lemmas: DataFrame, key: str = "id",
     """``(key, q1, q2)``: normalised texts whose words of 4+ characters are
     lemmatised (noun, then verb) by dictionary."""
     norm = pairs.select(key, TX.normalize(q1).alias("_n1"), TX.normalize(q2).alias("_n2"))
-    out = lemmatize_columns(norm, key, {"q1": TX.split_ws("_n1"), "q2": TX.split_ws("_n2")},
-                            lemmas, min_len=4)
-    return out.select(key, "q1", "q2")
+    return lemmatize_columns(norm, key, {"q1": TX.split_ws("_n1"), "q2": TX.split_ws("_n2")},
+                             lemmas, min_len=4, keep_input=False)
 
 
 def pair_features(pairs: DataFrame, lemmas: DataFrame, key: str = "id",

@@ -264,3 +264,18 @@ def test_printed_unigram_ratios(spark):
     df = spark.createDataFrame(rows, "l1 int, l2 int, w1 int, w2 int, lg int, qg int")
     got = df.select(NG.unigram_ratio("qg", "w1", "w2"), NG.unigram_ratio("lg", "l1", "l2")).collect()
     assert [tuple(r) for r in got] == [u[2:] for u in UNIGRAMS]
+
+
+def test_lemmatize_columns_single_regroup_edge_rows(spark):
+    from tablekit.plans.features import lemmatize_columns
+    df = spark.createDataFrame(
+        [(1, ["diamonds", "stole", "go"], []), (2, None, ["governments"]), (3, [], None)],
+        "id int, a array<string>, b array<string>")
+    lem = lemma_table(spark)
+    got = {r.id: (r.x, r.y) for r in lemmatize_columns(df, "id", {"x": F.col("a"), "y": F.col("b")},
+                                                       lem, min_len=3, keep_input=False).collect()}
+    assert got == {1: ("diamond steal go", ""), 2: ("", "government"), 3: ("", "")}
+    kept = lemmatize_columns(df, "id", {"x": F.col("a")}, lem).orderBy("id").collect()
+    assert [(r.id, r.x) for r in kept] == [(1, "diamond steal go"), (2, ""), (3, "")]
+    one = TK.lemmatize(df, "id", "a", lem, name="l", min_len=3, keep_input=False).orderBy("id").collect()
+    assert [r.l for r in one] == [["diamond", "steal", "go"], [], []]
