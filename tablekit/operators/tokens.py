@@ -8,7 +8,7 @@ its size is bounded by that text, not by the table.
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import collapse_flagged
@@ -27,12 +27,6 @@ def filtered_words(col):
     return split_ws(F.regexp_replace(F.lower(c), cls, " "))
 
 
-def _regroup(exploded: DataFrame, keys: list[str], pos: str, value: str, name: str) -> DataFrame:
-    return (exploded.groupBy(*keys)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(value)))).alias("_s"))
-            .select(*keys, F.transform("_s", lambda s: s[value]).alias(name)))
-
-
 def lookup_lemmas(exploded: DataFrame, word: str, lemmas: DataFrame, name: str = "_lem",
                   min_len: int = 0) -> DataFrame:
     """Add ``name``: ``word`` replaced by its noun lemma, then that by its verb
@@ -83,30 +77,54 @@ def vocabulary(texts: DataFrame, text_cols: list[str], min_df: int, tokens=split
             .filter(F.col("df") >= min_df))
 
 
-def flag_out_of_vocabulary(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
-                           name: str = "oov") -> DataFrame:
-    """``(key, tokens, oov flags)``: a token is in vocabulary when it is a
-    ``word`` of ``vocab`` (semi-join semantics; the flag, not the spelling,
-    marks replaced positions)."""
-    ex = df.select(key, F.posexplode(tokens).alias("_pos", "_tok"))
+def _explode_sides(df: DataFrame, key: str, cols: dict) -> DataFrame:
+    """``(key, _side, _pos, _tok)``: one row per token of each column
+    (``out_name -> column``), sides numbered in order. The outer explode keeps
+    one row with a null position for a column without tokens, so a regroup by
+    the unique ``key`` sees every row and needs no join back."""
+    out = None
+    for i, col in enumerate(cols.values()):
+        c = F.col(col) if isinstance(col, str) else col
+        part = df.select(key, F.lit(i).alias("_side"), F.posexplode_outer(c).alias("_pos", "_tok"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _collect_sides(ex: DataFrame, key: str, keep: Column, *fields: str) -> DataFrame:
+    """``(key, _s)``: per key, the ``(_side, _pos, *fields)`` of the rows
+    where ``keep`` holds, in side and position order (bounded by the row's
+    token count; the key is unique, so no group is hot)."""
+    return ex.groupBy(key).agg(F.array_sort(F.collect_list(
+        F.when(F.col("_pos").isNotNull() & keep, F.struct("_side", "_pos", *fields)))).alias("_s"))
+
+
+def _side(i: int, field: str) -> Column:
+    return F.transform(F.filter("_s", lambda s: s["_side"] == i), lambda s: s[field])
+
+
+def collapse_rare_columns(df: DataFrame, key: str, cols: dict, vocab: DataFrame,
+                          placeholder: str = "suspense", keep_last: int = 30) -> DataFrame:
+    """``(key, *out_names)``: for each token column (``out_name -> column``),
+    runs of out-of-vocabulary words become one ``placeholder`` and the last
+    ``keep_last`` tokens are kept; no tokens give an empty array. A token is
+    in vocabulary when it is a ``word`` of ``vocab``. All columns go through
+    one explode/lookup pass and one regroup."""
+    ex = _explode_sides(df, key, cols)
     v = vocab.select(F.col("word").alias("_tok"), F.lit(False).alias("_oov")).distinct()
     ex = ex.join(v, "_tok", "left").withColumn("_oov", F.coalesce("_oov", F.lit(True)))
-    g = (ex.groupBy(key)
-         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_tok", "_oov"))).alias("_s"))
-         .select(key, F.transform("_s", lambda s: s["_tok"]).alias(tokens),
-                 F.transform("_s", lambda s: s["_oov"]).alias(name)))
-    return g
+    g = _collect_sides(ex, key, F.lit(True), "_tok", "_oov")
+    names = list(cols)
+    # token and flag arrays become columns before the lambdas that index them
+    arrays = g.select(key, *[_side(i, "_tok").alias(f"_t{i}") for i in range(len(names))],
+                      *[_side(i, "_oov").alias(f"_f{i}") for i in range(len(names))])
+    return arrays.select(key, *[collapse_flagged(F.col(f"_t{i}"), F.col(f"_f{i}"), placeholder, keep_last)
+                                .alias(n) for i, n in enumerate(names)])
 
 
 def collapse_rare(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
                   placeholder: str = "suspense", keep_last: int = 30, name: str = "prepared") -> DataFrame:
-    """Runs of out-of-vocabulary words become one ``placeholder``; the last
-    ``keep_last`` tokens are kept. Rows with no tokens give an empty array."""
-    flagged = flag_out_of_vocabulary(df.select(key, tokens), key, tokens, vocab)
-    out = flagged.select(key, collapse_flagged(F.col(tokens), F.col("oov"), placeholder,
-                                               keep_last).alias(name))
-    return (df.select(key).join(out, key, "left")
-              .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<string>"))))
+    """``(key, name)``: ``collapse_rare_columns`` for one token column."""
+    return collapse_rare_columns(df, key, {name: tokens}, vocab, placeholder, keep_last)
 
 
 def word_index(df: DataFrame, tokens: str) -> DataFrame:
@@ -117,14 +135,20 @@ def word_index(df: DataFrame, tokens: str) -> DataFrame:
     return dense_index(counts, [desc("n"), "word"], name="index")
 
 
+def encode_columns(df: DataFrame, key: str, cols: dict, index: DataFrame) -> DataFrame:
+    """``(key, *out_names)``: each token column (``out_name -> column``) with
+    words replaced by their index, in order; words without an index are
+    dropped. One explode/lookup pass and one regroup for all columns; the
+    lookup is a left join so rows whose words all miss keep an empty array."""
+    ex = _explode_sides(df, key, cols)
+    ex = ex.join(index.select(F.col("word").alias("_tok"), F.col("index").alias("_idx")), "_tok", "left")
+    g = _collect_sides(ex, key, F.col("_idx").isNotNull(), "_idx")
+    return g.select(key, *[_side(i, "_idx").alias(n) for i, n in enumerate(cols)])
+
+
 def encode(df: DataFrame, key: str, tokens: str, index: DataFrame, name: str = "seq") -> DataFrame:
-    """Replace words by their index, in order; words without an index are
-    dropped."""
-    ex = df.select(key, F.posexplode(tokens).alias("_pos", "word"))
-    ex = ex.join(index.select("word", "index"), "word")
-    g = _regroup(ex, [key], "_pos", "index", name)
-    return (df.select(key).join(g, key, "left")
-              .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<bigint>"))))
+    """``(key, name)``: ``encode_columns`` for one token column."""
+    return encode_columns(df, key, {name: tokens}, index)
 
 
 def embedding_matrix(index: DataFrame, vectors: DataFrame, dim: int,
@@ -202,35 +226,3 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
                                           2)).alias("dist")))
     return (pairs_tokens.select(key).join(diff, key, "left")
             .select(key, F.coalesce("dist", F.lit(0.0)).alias("dist")))
-
-
-def _stack(df: DataFrame, key: str, cols: dict) -> DataFrame:
-    """``(_k = (key, side), _t)`` with one row per (row, column)."""
-    out = None
-    for i, (_, col) in enumerate(cols.items()):
-        c = F.col(col) if isinstance(col, str) else col
-        part = df.select(F.struct(F.col(key).alias("id"), F.lit(i).alias("side")).alias("_k"), c.alias("_t"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _unstack(stacked: DataFrame, key: str, value: str, names: list[str]) -> DataFrame:
-    return (stacked.groupBy(F.col("_k.id").alias(key))
-            .agg(*[F.first(F.when(F.col("_k.side") == i, F.col(value)), ignorenulls=True).alias(n)
-                   for i, n in enumerate(names)]))
-
-
-def collapse_rare_columns(df: DataFrame, key: str, cols: dict, vocab: DataFrame,
-                          placeholder: str = "suspense", keep_last: int = 30) -> DataFrame:
-    """``collapse_rare`` for several token columns (``out_name -> column``) in
-    one explode/lookup/regroup pass."""
-    stacked = _stack(df, key, cols)
-    out = collapse_rare(stacked, "_k", "_t", vocab, placeholder, keep_last, name="_p")
-    return _unstack(out, key, "_p", list(cols))
-
-
-def encode_columns(df: DataFrame, key: str, cols: dict, index: DataFrame) -> DataFrame:
-    """``encode`` for several token columns in one pass."""
-    stacked = _stack(df, key, cols)
-    out = encode(stacked, "_k", "_t", index, name="_s")
-    return _unstack(out, key, "_s", list(cols))

@@ -211,3 +211,15 @@ def test_poisson_glm_recovers_rates(spark):
     _, s = MD.glm_summary(df, "n", ["x"], family="poisson", link="log")
     r = s.first()
     assert abs(r.coefficients[0] - math.log(4.0)) < 1e-6 and abs(r.intercept - math.log(2.0)) < 1e-6
+
+
+def test_encode_and_collapse_columns_keep_every_row(spark):
+    df = spark.createDataFrame([(1, ["b", "zz", "a", "b"], None), (2, ["zz"], []), (3, None, ["a"])],
+                               "id int, t1 array<string>, t2 array<string>")
+    index = spark.createDataFrame([("a", 1), ("b", 2)], "word string, index bigint")
+    got = {r.id: (r.s1, r.s2) for r in TK.encode_columns(df, "id", {"s1": "t1", "s2": "t2"}, index).collect()}
+    assert got == {1: ([2, 1, 2], []), 2: ([], []), 3: ([], [1])}
+    vocab = spark.createDataFrame([("a",), ("b",)], "word string")
+    col = {r.id: (r.p1, r.p2) for r in
+           TK.collapse_rare_columns(df, "id", {"p1": "t1", "p2": "t2"}, vocab, "X", 30).collect()}
+    assert col == {1: (["b", "X", "a", "b"], []), 2: (["X"], []), 3: ([], ["a"])}
