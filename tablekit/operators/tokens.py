@@ -203,9 +203,9 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
                         vocab_size: int = 1 << 18) -> DataFrame:
     """Squared Euclidean distance between the TF-IDF vectors of two texts of
     a pair. The corpus is the bag union of both token columns (each text is
-    a document). Sparse vectors are ``(key, term, weight)`` rows; the
-    distance is a full outer join on ``(key, term)``. Returns ``(key, dist)``
-    for every key."""
+    a document). Sparse vectors are ``(key, term, weight)`` rows, combined
+    per ``(key, term)`` by aggregation. Returns ``(key, dist)`` for every
+    key."""
     if corpus_mode != "union":
         raise ValueError("only the union corpus is built; an array-key full join "
                          "emits all pairs of equal texts")
@@ -219,10 +219,12 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
     w = (counts.join(F.broadcast(idf_weights(vocab, n_docs)), "term")  # capped vocabulary
          .select(F.col("_doc")[key].alias(key), F.col("_doc")["_side"].alias("_side"), "term",
                  (F.col("tf") * F.col("idf")).alias("w")))
-    w1 = w.filter(F.col("_side") == 1).select(key, "term", F.col("w").alias("w1"))
-    w2 = w.filter(F.col("_side") == 2).select(key, "term", F.col("w").alias("w2"))
-    diff = (w1.join(w2, [key, "term"], "full")
-            .groupBy(key).agg(F.sum(F.pow(F.coalesce("w1", F.lit(0.0)) - F.coalesce("w2", F.lit(0.0)),
-                                          2)).alias("dist")))
-    return (pairs_tokens.select(key).join(diff, key, "left")
-            .select(key, F.coalesce("dist", F.lit(0.0)).alias("dist")))
+    # per (key, term) both weights by conditional sums (a partial aggregate,
+    # instead of a two-sided full outer join), then the squared differences
+    # per key; a zero row per key keeps keys without vocabulary terms
+    per_term = w.groupBy(key, "term").agg(
+        F.sum(F.when(F.col("_side") == 1, F.col("w"))).alias("w1"),
+        F.sum(F.when(F.col("_side") == 2, F.col("w"))).alias("w2"))
+    sq = per_term.select(key, F.pow(F.coalesce("w1", F.lit(0.0)) - F.coalesce("w2", F.lit(0.0)), 2).alias("_sq"))
+    zero = pairs_tokens.select(key, F.lit(0.0).alias("_sq"))
+    return sq.unionByName(zero).groupBy(key).agg(F.sum("_sq").alias("dist"))
