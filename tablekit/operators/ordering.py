@@ -56,9 +56,17 @@ def top_membership(df: DataFrame, candidates: DataFrame, n: int, key: str,
 
 def _bounds(df: DataFrame, order: list, n: int, sample_per_bucket: int) -> Column:
     order_cols = _keys(order)
-    k = n * sample_per_bucket
-    sample = (df.select(F.struct(*order_cols).alias("_key"))
-                .orderBy(F.xxhash64(*order_cols), *order_cols).limit(k))
+    # stratified hash sample: rows go to n hash groups, and each group keeps
+    # its sample_per_bucket smallest hashes. A row_number filter becomes a
+    # map-side partial group limit, so every task ships at most that many
+    # rows per group and the merge is spread over n reducers (a global top-k
+    # would funnel tasks x k rows through one task). Repeated keys share a
+    # hash, so a hot key costs one group at most sample_per_bucket rows.
+    h = F.xxhash64(*order_cols)
+    rows = df.select(F.struct(*order_cols).alias("_key"), h.alias("_h"))
+    by_group = Window.partitionBy(F.pmod(F.col("_h"), F.lit(n))).orderBy("_h", "_key")
+    sample = (rows.withColumn("_r", F.row_number().over(by_group))
+                  .filter(F.col("_r") <= sample_per_bucket))
     return sample.agg(F.sort_array(F.collect_list("_key")).alias("_s")).select(
         F.expr(f"transform(sequence(1, {n - 1}), i -> element_at(_s, greatest(1, "
                f"cast(i * size(_s) / {n} as int))))").alias("_b")).scalar()
@@ -78,10 +86,11 @@ def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
                       sample_per_bucket: int = 64) -> DataFrame:
     """Deterministic range-bucket number in ``[0, n)`` for the sort key.
 
-    Boundaries come from a bounded, seeded sample (the ``n * sample_per_bucket``
-    smallest hashes of the key: a top-k, one pass, bounded memory) and are a
-    scalar subquery, so every evaluation of the plan assigns the same bucket
-    to the same row. The bucket is a binary search over the boundaries
+    Boundaries come from a bounded, deterministic sample (per hash group of
+    the key, the ``sample_per_bucket`` smallest hashes: one pass, bounded
+    memory, no single-task merge of per-task samples) and are a scalar
+    subquery, so every evaluation of the plan assigns the same bucket to the
+    same row. The bucket is a binary search over the boundaries
     (``log2(n)`` comparisons per row): a code-generated CASE tree up to 256
     buckets, an ``aggregate`` loop beyond.
     """

@@ -37,3 +37,18 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_discount:double,l_tax:double>" in plan
     plan = _plan(E.queries()["join_inner"](spark, "/root/testdata/sf0.001"))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+def test_bucket_bounds_sample_has_no_single_task_topk(spark):
+    from pyspark.sql import functions as F
+    from tablekit.operators import ordering as O
+    df = spark.range(0, 5000, numPartitions=4).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    q = spark.range(1).select(O._bounds(df, ["a", "b"], 16, 8).alias("x"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert "TakeOrderedAndProject" not in plan
+    assert plan.count("WindowGroupLimit") >= 2  # partial (map side) and final
+    bounds = q.first().x
+    assert len(bounds) == 15 and bounds == sorted(bounds)
