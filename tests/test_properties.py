@@ -223,3 +223,12 @@ def test_encode_and_collapse_columns_keep_every_row(spark):
     col = {r.id: (r.p1, r.p2) for r in
            TK.collapse_rare_columns(df, "id", {"p1": "t1", "p2": "t2"}, vocab, "X", 30).collect()}
     assert col == {1: (["b", "X", "a", "b"], []), 2: (["X"], []), 3: ([], ["a"])}
+
+
+def test_vocab_cap_keeps_largest_totals_ties_by_term(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "c", "d"]), (2, ["b", "c", "d", "e"]), (3, ["d", "e", "a"])],
+                                 "id int, toks array<string>")
+    # totals: a2 b2 c2 d3 e2 -> top 3: d, then a, b (ties by term)
+    vocab, counts = TK.term_counts(docs, "id", "toks", min_df=1.0, vocab_size=3)
+    assert sorted(r.term for r in vocab.collect()) == ["a", "b", "d"]
+    assert {r.term for r in counts.collect()} == {"a", "b", "d"}
