@@ -181,10 +181,13 @@ def term_counts(docs: DataFrame, key: str, tokens: str, min_df: float = 1.0,
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
         stats = stats.filter(F.col("df") >= n_docs * min_df)
     # keep the vocab_size terms with the largest corpus counts (ties by
-    # term): ranks from a distributed ordered scan, not a top-k that would
+    # term). One count says whether the cap applies at all; if it does, the
+    # ranks come from a distributed ordered scan, not a top-k that would
     # merge every task's vocab_size candidates in one task
-    vocab = (dense_index(stats, [desc("total"), "term"], name="_rank")
-             .filter(F.col("_rank") <= vocab_size).drop("_rank"))
+    vocab = stats
+    if stats.count() > vocab_size:
+        vocab = (dense_index(stats, [desc("total"), "term"], name="_rank")
+                 .filter(F.col("_rank") <= vocab_size).drop("_rank"))
     # the vocabulary is capped at vocab_size rows: a proven bound, so it is
     # broadcast (a hot term then never concentrates the join in one task)
     counts = kept.join(F.broadcast(vocab.select("term")), "term", "left_semi")
