@@ -168,14 +168,16 @@ def grouped_running_sum(df: DataFrame, group: list[str], order: list, value,
 
     A hot group is spread over several range buckets instead of one window
     task: the global running sum over ``(group, order)`` minus the group's
-    starting offset. Starting offsets come from a second, much smaller scan
-    over per-group totals (one row per group, partial aggregation)."""
+    starting offset. The offset is the exclusive running sum at the group's
+    first row, found by ``min_by`` over the scan's unique global position (a
+    partial aggregate per group, exact for ties and negative values), so one
+    ordered scan serves both."""
     values = [value] if isinstance(value, str) else list(value)
     names = [name] if isinstance(name, str) else list(name)
-    scanned = ordered_scan(df, [*group, *order], sums=values, index_col=None, inclusive=inclusive)
-    totals = df.groupBy(*group).agg(*[F.sum(v).alias(v) for v in values])
-    starts = ordered_scan(totals, list(group), sums=values, index_col=None, inclusive=False)
-    starts = starts.select(*group, *[F.col(f"_cum_{v}").alias(f"_start_{v}") for v in values])
+    scanned = ordered_scan(df, [*group, *order], sums=values, index_col="_gpos", inclusive=True)
+    starts = scanned.groupBy(*group).agg(*[
+        F.min_by(F.col(f"_cum_{v}") - F.coalesce(F.col(v), F.lit(0)), F.col("_gpos")).alias(f"_start_{v}") for v in values])
     res = scanned.join(starts, group)
-    outs = [(F.col(f"_cum_{v}") - F.col(f"_start_{v}")).alias(n) for v, n in zip(values, names)]
+    outs = [(F.col(f"_cum_{v}") - F.col(f"_start_{v}") - (F.lit(0) if inclusive else F.col(v))).alias(n)
+            for v, n in zip(values, names)]
     return res.select(*df.columns, *outs)

@@ -232,3 +232,14 @@ def test_vocab_cap_keeps_largest_totals_ties_by_term(spark):
     vocab, counts = TK.term_counts(docs, "id", "toks", min_df=1.0, vocab_size=3)
     assert sorted(r.term for r in vocab.collect()) == ["a", "b", "d"]
     assert {r.term for r in counts.collect()} == {"a", "b", "d"}
+
+
+def test_grouped_running_sum_negative_values_exclusive(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([0, 0, 0, 1, 2]), i, rnd.randint(-9, 9)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    got = O.grouped_running_sum(df, ["g"], ["o"], ["v"], ["before"], inclusive=False).toPandas()
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    ref = df.withColumn("b2", F.coalesce(F.sum("v").over(w), F.lit(0))).toPandas()
+    m = got.merge(ref, on=["g", "o", "v"])
+    assert len(m) == 2000 and (m.before == m.b2).all()
