@@ -243,3 +243,13 @@ def test_grouped_running_sum_negative_values_exclusive(spark):
     ref = df.withColumn("b2", F.coalesce(F.sum("v").over(w), F.lit(0))).toPandas()
     m = got.merge(ref, on=["g", "o", "v"])
     assert len(m) == 2000 and (m.before == m.b2).all()
+
+
+def test_range_buckets_stay_balanced_with_a_hot_group(spark):
+    # a third of the rows share g = 0; the (g, o) key is unique, so the hot
+    # group is split over many buckets
+    df = spark.range(0, 30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 97).alias("g"), F.col("id").alias("o"))
+    sizes = [r["count"] for r in O.with_range_bucket(df, ["g", "o"], 16).groupBy("_bkt").count().collect()]
+    assert len(sizes) == 16 and sum(sizes) == 30000
+    assert max(sizes) < 2 * 30000 / 16
