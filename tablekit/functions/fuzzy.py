@@ -50,6 +50,20 @@ def partial_ratio(a, b) -> Column:
     short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
     long_ = F.when(F.length(a) <= F.length(b), b).otherwise(a)
     ls, ll = F.length(short), F.length(long_)
-    best = F.array_min(F.transform(F.sequence(F.lit(1), ll - ls + 1),
-                                   lambda j: F.levenshtein(short, F.substring(long_, j, ls))))
+
+    # Exact minimum over all windows, with skipping: sliding a window by one
+    # character changes its distance by at most 2, so after a window at
+    # distance d (best so far b) the next floor((d - b) / 2) windows cannot
+    # beat b and are not evaluated (CASE short-circuits). State: (best, next).
+    def step(acc, j):
+        def take(d):
+            best = F.least(acc["best"], d)
+            return F.struct(best.alias("best"),
+                            (j + F.floor((d - best) / 2).cast("int") + 1).alias("next"))
+        # the one-element array binds the distance once for both fields
+        fresh = F.transform(F.array(F.levenshtein(short, F.substring(long_, j, ls))), take)[0]
+        return F.when(j < acc["next"], acc).otherwise(fresh)
+
+    init = F.struct(ls.alias("best"), F.lit(1).alias("next"))
+    best = F.aggregate(F.sequence(F.lit(1), ll - ls + 1), init, step)["best"]
     return F.when(ls == 0, F.lit(0)).otherwise(F.round((ls - best) * 100 / ls)).cast("int")

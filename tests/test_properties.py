@@ -253,3 +253,32 @@ def test_range_buckets_stay_balanced_with_a_hot_group(spark):
     sizes = [r["count"] for r in O.with_range_bucket(df, ["g", "o"], 16).groupBy("_bkt").count().collect()]
     assert len(sizes) == 16 and sum(sizes) == 30000
     assert max(sizes) < 2 * 30000 / 16
+
+
+def test_partial_ratio_window_skipping_is_exact(spark):
+    def lev(x, y):
+        prev = list(range(len(y) + 1))
+        for i, cx in enumerate(x, 1):
+            cur = [i]
+            for j, cy in enumerate(y, 1):
+                cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (cx != cy)))
+            prev = cur
+        return prev[-1]
+    rnd = random.Random(11)
+    rows = []
+    for k in range(150):
+        s = "".join(rnd.choice("abcab ") for _ in range(rnd.randint(0, 12)))
+        # long text: random padding around a lightly mutated copy of s
+        core = "".join(c if rnd.random() > 0.2 else rnd.choice("abc") for c in s)
+        t = ("".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 30))) + core
+             + "".join(rnd.choice("abcd ") for _ in range(rnd.randint(0, 30))))
+        rows.append((k, s, t))
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    got = {r.id: r.p for r in df.select("id", FZ.partial_ratio("a", "b").alias("p")).collect()}
+    for k, a, b in rows:
+        sh, lo = (a, b) if len(a) <= len(b) else (b, a)
+        if not sh:
+            assert got[k] == 0
+            continue
+        best = min(lev(sh, lo[j:j + len(sh)]) for j in range(len(lo) - len(sh) + 1))
+        assert got[k] == int(math.floor((len(sh) - best) * 100 / len(sh) + 0.5)), (a, b)
