@@ -21,8 +21,8 @@ def lemmatize_columns(df: DataFrame, key: str, words: dict, lemmas: DataFrame,
     """For each ``name -> word-array expression``, add ``name``: the words
     lemmatised by dictionary and space-joined. All columns are stacked with a
     side tag and go through one explode/lookup pass and one regroup by the
-    unique ``key`` (no join back, no pivot shuffle). ``keep_input=False``
-    returns only ``key`` and the new columns."""
+    unique ``key`` (no pivot shuffle). ``keep_input=True`` joins the result to
+    ``df`` once; ``keep_input=False`` returns only ``key`` and the new columns."""
     names = list(words)
     stacked = None
     for i, n in enumerate(names):
