@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+from tablekit.session import scratch_path
 from tablekit.streaming import word_count_stream
 
 
@@ -11,6 +12,7 @@ def test_word_count_stream_matches_batch(spark):
     with open(os.path.join(src, "b.txt"), "w") as f:
         f.write("be quick\n")
     q = (word_count_stream(spark, src).writeStream.outputMode("complete")
+         .option("checkpointLocation", scratch_path(spark, "wc-stream"))
          .format("memory").queryName("tk_wc").start())
     try:
         q.processAllAvailable()
