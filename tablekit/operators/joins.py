@@ -78,7 +78,12 @@ def join_back_mean(df: DataFrame, key: str, value: str, name: str = "group_mean"
     return df.join(means, key)
 
 
-def lookup_join(df: DataFrame, bounded_lookup: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join against a lookup whose size is bounded by construction (fixed
-    dictionary, top-n list); it is broadcast to every task."""
-    return df.join(F.broadcast(bounded_lookup), on, HOW[how])
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
+                max_rows: int = 1_000_000) -> DataFrame:
+    """Join against a small lookup table (a fixed dictionary, a dimension such
+    as nation). The lookup is broadcast only after a bounded probe
+    (``limit(max_rows + 1).count()``, which stops early) shows at most
+    ``max_rows`` rows; a larger one takes an ordinary shuffle join, which AQE
+    may still turn into a broadcast by measured size."""
+    small = lookup.limit(max_rows + 1).count() <= max_rows
+    return df.join(F.broadcast(lookup) if small else lookup, on, HOW[how])
