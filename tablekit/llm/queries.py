@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_bitmap
+from . import bpe_bitmap, kn_perplexity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_kn_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kn_perplexity.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return judged.select("row.doc_id", *kn_perplexity.MEASURES, "base_failed", "kept", "lang", "n_units",
+                         "log_ppl", "low", "high")
+
+
 def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.encode_column(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 QUERIES = {f.__name__: f for f in (
+    op3_kn_perplexity,
     op7_bpe_rank_queue,
 )}
 
