@@ -27,7 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops
@@ -192,22 +192,24 @@ def _discounts(table: DataFrame) -> DataFrame:
         "lang", *[F.when(F.col("some"), d(k)).otherwise(k / 2).alias(f"d{k}") for k in (1, 2, 3)])
 
 
-def _smoothed(table: DataFrame, n: int, below: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """``(lang, gram, p)`` and ``(lang, context, backoff)`` of order ``n``."""
-    ctx = F.shiftrightunsigned("gram", 16)
-    t = table.join(_discounts(table), "lang").withColumn("context", ctx if n > 1 else F.lit(0).cast("bigint"))
-    t = t.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
-    back = t.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"), F.count("*").alias("kinds"))
-    back = back.select("lang", "context", "total", "kinds", (F.col("held") / F.col("total")).alias("backoff"))
-    t = t.join(back, ["lang", "context"])
+def _smoothed(table: DataFrame, n: int, below: DataFrame | None) -> DataFrame:
+    """``(lang, gram, p, context, backoff, kinds)`` of order ``n``. A context has
+    at most 65,536 n-grams, so the window holds a bounded group."""
+    w = Window.partitionBy("lang", "context")
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    t = (table.join(_discounts(table), "lang")
+         .select("lang", "gram", "n", d.alias("d"),
+                 (F.shiftrightunsigned("gram", 16) if n > 1 else F.lit(0).cast("bigint")).alias("context"))
+         .select("*", F.sum("n").over(w).alias("total"), F.sum("d").over(w).alias("held"), F.count("*").over(w).alias("kinds")))
     if n == 1:
         base = F.lit(1.0) / (F.col("kinds") + 1)  # one more for units never seen
     else:
         t = t.withColumn("tail", _tail(F.col("gram"), n - 1)).join(
             below.select("lang", F.col("gram").alias("tail"), F.col("p").alias("base")), ["lang", "tail"])
         base = F.col("base")
-    p = (F.col("n") - F.col("d")) / F.col("total") + F.col("backoff") * base
-    return t.select("lang", "gram", p.alias("p")), back
+    back = F.col("held") / F.col("total")
+    return t.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total") + back * base).alias("p"), "context",
+                    back.alias("backoff"), "kinds")
 
 
 def smooth(counts: DataFrame) -> DataFrame:
@@ -216,18 +218,14 @@ def smooth(counts: DataFrame) -> DataFrame:
     units, kind 0 the probability of a unit that the language never has."""
     tables = {ORDER: counts}
     for n in range(ORDER - 1, 0, -1):
-        tables[n] = _lower(tables[n + 1], n)
+        tables[n] = written(_lower(tables[n + 1], n), f"kn-counts{n}")
     out, below = [], None
     for n in range(1, ORDER + 1):
-        p, back = _smoothed(tables[n], n, below)
-        if n == 1:
-            out.append(back.select("lang", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("key"),
-                                   F.log(F.col("backoff") / (F.col("kinds") + 1)).alias("value")))
-        else:
-            out.append(back.select("lang", F.lit(1 - n).alias("kind"), F.col("context").alias("key"),
-                                   F.log("backoff").alias("value")))
-        out.append(p.select("lang", F.lit(n).alias("kind"), F.col("gram").alias("key"), F.log("p").alias("value")))
-        below = p
+        below = written(_smoothed(tables[n], n, below), f"kn-order{n}")
+        value = F.log(F.max("backoff") / (F.max("kinds") + 1) if n == 1 else F.max("backoff"))
+        out.append(below.groupBy("lang", F.col("context").alias("key")).agg(value.alias("value"))
+                   .select("lang", F.lit(1 - n).alias("kind"), "key", "value"))
+        out.append(below.select("lang", F.lit(n).alias("kind"), F.col("gram").alias("key"), F.log("p").alias("value")))
     return reduce(DataFrame.unionAll, out)
 
 
