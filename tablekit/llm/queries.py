@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_bitmap, kn_perplexity
+from . import bpe_bitmap, jaccard_multimatch, kn_perplexity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +21,36 @@ def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.encode_column(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_multimatch.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op3_kn_perplexity,
     op7_bpe_rank_queue,
+    op9_jaccard_multimatch,
 )}
 
-ORACLES: dict[str, str] = {}
+#: Shingle sets, links and reachability as SQL.
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
+  FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id AS v, doc_id AS c FROM s UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v)
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, m.c AS component_id
+FROM s JOIN (SELECT v, min(c) AS c FROM r GROUP BY v) m ON m.v = s.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_jaccard_multimatch": OP9_SQL,
+}
