@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_bitmap, jaccard_multimatch, kn_perplexity
+from . import bpe_bitmap, jaccard_multimatch, kn_perplexity, toxic_grammar
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,14 @@ def op3_kn_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "log_ppl", "low", "high")
 
 
+def op5_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxic_grammar.learn(docs, labels.filter(toxic_grammar.fold("doc_id", 5) != 0))
+    scored = toxic_grammar.score(docs, model, carry=["doc_id"]).select("row.doc_id", "score")
+    return scored.select("doc_id", (toxic_grammar.fold("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.encode_column(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -27,6 +36,7 @@ def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op3_kn_perplexity,
+    op5_toxic_grammar,
     op7_bpe_rank_queue,
     op9_jaccard_multimatch,
 )}
