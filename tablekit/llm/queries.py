@@ -5,19 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_bitmap, jaccard_multimatch, kn_perplexity, toxic_grammar
+from . import bpe_bitmap, jaccard_multimatch, kn_perplexity, pfair_mix, spotsigs, toxic_grammar
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = pfair_mix.mixed(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
+    return placed.select("row.*", "size", "stream", "block", "phase", "slot", "offset")
+
+
 def op3_kn_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kn_perplexity.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select("row.doc_id", *kn_perplexity.MEASURES, "base_failed", "kept", "lang", "n_units",
                          "log_ppl", "low", "high")
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxic_grammar.learn(docs, labels.filter(toxic_grammar.fold("doc_id", 5) != 0))
@@ -35,7 +44,9 @@ def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_pfair_mix,
     op3_kn_perplexity,
+    op4_spotsigs,
     op5_toxic_grammar,
     op7_bpe_rank_queue,
     op9_jaccard_multimatch,

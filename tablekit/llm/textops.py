@@ -39,10 +39,11 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and, per text, the
-    index of its first word (``len(offs)`` values; the last is the count)."""
-    inside = ~_SPACE[buf]
+def word_spans(buf: np.ndarray, offs: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` (or of the runs of
+    bytes that the table ``apart`` doesn't mark) and, per text, the index of its
+    first word (``len(offs)`` values; the last is the count)."""
+    inside = ~apart[buf]
     if not len(buf):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offs), np.int64)
