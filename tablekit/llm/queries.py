@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_bitmap, jaccard_multimatch, kn_perplexity, pfair_mix, spotsigs, toxic_grammar
+from . import (bpe_bitmap, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn, pfair_mix, spotsigs,
+               toxic_grammar)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_style_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pfair_mix.mixed(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     return placed.select("row.*", "size", "stream", "block", "phase", "slot", "offset")
@@ -39,16 +44,25 @@ def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.encode_column(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_lsa_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = toxic_grammar.fold("doc_id", 4) == 2
+    scored = lsa_knn.score(docs, lsa_knn.learn(docs, labels.filter(~held)))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_multimatch.linked(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_site_style_tree,
     op2_pfair_mix,
     op3_kn_perplexity,
     op4_spotsigs,
     op5_toxic_grammar,
     op7_bpe_rank_queue,
+    op8_lsa_knn,
     op9_jaccard_multimatch,
 )}
 
