@@ -8,10 +8,10 @@ rare tokens.
 
 Two sets of sizes m and n link only if they share ``need(m, n)`` tokens, so for
 any l the first ``m - need + l`` tokens of the one and the first
-``n - need + l`` of the other share at least l tokens. Each document takes l by
-the estimated number of candidates of its prefix (the other documents on its
-tokens): the longer prefix of an expensive document must meet l tokens before
-the pair is verified. A pair uses the smaller l of its two documents.
+``n - need + l`` of the other share at least l tokens. Each document takes the l of
+the least estimated cost, of meeting the other documents on its prefix tokens
+and of verifying those met l times: a longer prefix meets more, and must be met
+more often. A pair uses the smaller l of its two documents.
 
 Links, not pairs, are wanted whole, so the join leaves out pairs that cannot
 add one: equal sets are one class; then each class is verified against the
@@ -43,9 +43,9 @@ U = np.uint64
 #: Cells of the count sketch and of the bitmap of wanted documents.
 SKETCH_BITS = 22
 BLOCKS = 64
-#: Largest l, and the estimated candidates from which a document takes one more.
+#: Largest l; cost of a verification, in rows met on a token.
 MOST = 4
-STEPS = (8, 64, 512)
+VERIFY = 50
 
 
 # ---- sets ----------------------------------------------------------------
@@ -195,22 +195,39 @@ def _need(m, n):
     return F.ceil(9 * (m + n) / F.lit(19))
 
 
-def _fits(l):
-    """Both tokens lie in the l-prefixes of their pair."""
+def _matches(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of the two sides that meet on as many tokens of their
+    l-prefixes as they must; l is the smaller of the two documents'."""
+    x, y = x.alias("x"), y.alias("y")
     need = _need(F.col("x.n"), F.col("y.n"))
-    return (F.col("x.pos") < F.col("x.n") - need + l) & (F.col("y.pos") < F.col("y.n") - need + l)
+    l = F.least(F.col("x.l"), F.col("y.l"), need)
+    met = x.join(y, F.col("x.token") == F.col("y.token")).filter(
+        (F.col("x.comp") != F.col("y.comp")) & (F.col("x.pos") < F.col("x.n") - need + l) & (F.col("y.pos") < F.col("y.n") - need + l)
+        & (~F.col("y.probe") | (F.col("x.id") < F.col("y.id"))))
+    ids = F.col("x.id"), F.col("y.id")
+    return (met.groupBy(F.least(*ids).alias("a"), F.greatest(*ids).alias("b")).agg(F.count("*").alias("met"), F.min(l).alias("l"))
+            .filter("met >= l").select("a", "b"))
 
 
 def shared_tokens(sets: DataFrame) -> DataFrame:
     """``(token, pos, n, id, l)``: prefix tokens that several classes have, with
-    each class's l."""
+    each class's l. Of the l a class takes the one with the least estimated
+    cost: the rows that it meets on the l-prefix's tokens, and ``VERIFY`` for
+    each candidate, which number about as many as the l-th longest list has
+    (documents on one long list tend to be those on the next)."""
     rows = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     often = rows.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
     rows = written(rows.join(often, "token"), "mm-tokens")
-    first = F.col("pos") <= F.col("n") - F.ceil(9 * F.col("n") / F.lit(10))
-    cost = rows.groupBy("id", "n").agg(F.sum(F.when(first, F.col("times") - 1).otherwise(0)).alias("cost"))
-    steps = sum((F.col("cost") >= s).cast("int") for s in STEPS) + 1
-    return rows.join(cost.select("id", "n", steps.alias("l")), ["id", "n"])
+    each = rows.groupBy("id", "n").agg(F.collect_list(F.struct("pos", (F.col("times") - 1).alias("others"))).alias("t"))
+    own = F.ceil(9 * F.col("n") / F.lit(10))
+    costs = []
+    for l in range(1, MOST + 1):
+        lists = F.transform(F.filter("t", lambda x: x["pos"] < F.col("n") - own + l), lambda x: x["others"])
+        met = F.aggregate(lists, F.lit(0).cast("bigint"), lambda a, x: a + x)
+        kth = F.coalesce(F.get(F.sort_array(lists, asc=False), l - 1), F.lit(0))
+        costs.append(F.struct((met + VERIFY * kth).alias("cost"), F.lit(l).alias("l")))
+    best = each.select("id", "n", F.least(*costs)["l"].alias("l"))
+    return rows.join(best, ["id", "n"]).select("token", "pos", "n", "id", "l")
 
 
 def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,14 +244,16 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.min("doc_id").alias("id"), F.min_by("prefix", F.struct("doc_id")).alias("prefix")), "mm-classes")
     rows = written(shared_tokens(classes.select("id", "n", "prefix")), "mm-shared")
 
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        return written(wanted_sets(src, levels, ids).join(ids, "id", "left_semi"), "mm-whole")
+
     # each class and the leaders of its tokens
-    lead = rows.groupBy("token").agg(F.min(F.struct("pos", "n", "id")).alias("y")).select("token", "y.*")
-    x, y = rows.alias("x"), lead.alias("y")
-    stars = x.join(y, F.col("x.token") == F.col("y.token")).filter((F.col("x.id") != F.col("y.id")) & _fits(1))
-    stars = written(stars.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "mm-stars")
-    ids = rows.select("id").distinct()
-    whole = written(wanted_sets(src, levels, ids).join(ids, "id", "left_semi"), "mm-whole")
-    links = written(verified(stars, whole), "mm-links")
+    single = rows.withColumn("comp", F.col("id")).withColumn("probe", F.lit(False))
+    lead = rows.groupBy("token").agg(F.min(F.struct("pos", "n", "id", "l")).alias("y")).select("token", "y.*")
+    lead = lead.withColumn("comp", F.col("id")).withColumn("probe", F.lit(False))
+    stars = written(_matches(single, lead), "mm-stars")
+    links = written(verified(stars, sets_of(stars)), "mm-links")
     so_far = written(components(links), "mm-so-far")
 
     # classes of different components on one token
@@ -242,14 +261,10 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         "token", "pos", "n", "id", "l", F.coalesce("component", "id").alias("comp"))
     several = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.min_by("comp", F.struct("pos", "n", "id")).alias("main"))
-    rows = written(rows.join(several.filter("lo <> hi").select("token", "main"), "token"), "mm-open")
-    x, y = rows.filter("comp <> main").alias("x"), rows.alias("y")
-    l = F.least("x.l", "y.l")
-    met = x.join(y, F.col("x.token") == F.col("y.token")).filter(
-        (F.col("x.comp") != F.col("y.comp")) & _fits(l) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))))
-    pairs = (met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.min(l).alias("l"))
-             .filter("met >= l").select("a", "b"))
-    links = written(links.union(verified(pairs.join(stars, ["a", "b"], "left_anti"), whole)), "mm-all-links")
+    rows = rows.join(several.filter("lo <> hi").select("token", "main"), "token")
+    rows = written(rows.withColumn("probe", F.col("comp") != F.col("main")).drop("main"), "mm-open")
+    pairs = written(_matches(rows.filter("probe"), rows).join(stars, ["a", "b"], "left_anti"), "mm-pairs")
+    links = written(links.union(verified(pairs, sets_of(pairs))), "mm-all-links")
 
     named = components(links)
     classes = classes.join(named, classes["id"] == named["vertex"], "left").select(
