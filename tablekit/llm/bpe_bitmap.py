@@ -105,7 +105,8 @@ class Coder:
     def __init__(self, path: str, pattern: str):
         import regex
         self.ranks = ranks = load_ranks(path)
-        self.split = regex.compile(letters_first(pattern)).findall
+        self.pattern = regex.compile(letters_first(pattern))
+        self.split = self.pattern.findall
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, r in ranks.items():
@@ -134,6 +135,10 @@ class Coder:
             cls._made[path, pattern] = cls(path, pattern)
         return cls._made[path, pattern]
 
+    def next_piece(self, text: str, at: int) -> str:
+        """The pre-token that begins at a place where one ends or none has begun."""
+        return self.pattern.match(text, at).group()
+
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, -1 where they don't merge."""
         key = left << 32 | right

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_bitmap, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn, pfair_mix, spotsigs,
-               toxic_grammar)
+from . import (bpe_bitmap, edit_counts, feistel_order, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn,
+               pfair_mix, spotsigs, toxic_grammar)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_feistel_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_order.byte_sequences(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_bitmap.encode_column(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -55,15 +59,22 @@ def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_multimatch.linked(table(spark, sf_dir, "documents"))
 
 
+def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return edit_counts.recount(docs.withColumn("edits", edit_counts.sample_edits()))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_site_style_tree,
     op2_pfair_mix,
     op3_kn_perplexity,
     op4_spotsigs,
     op5_toxic_grammar,
+    op6_feistel_order,
     op7_bpe_rank_queue,
     op8_lsa_knn,
     op9_jaccard_multimatch,
+    op10_edit_counts,
 )}
 
 #: Shingle sets, links and reachability as SQL.
