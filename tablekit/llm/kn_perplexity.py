@@ -262,9 +262,30 @@ class Arrays:
         return out
 
 
+def _pack(batches):
+    """A partition's rows as one pair of byte strings for each language and kind."""
+    got: dict[tuple, list] = {}
+    for batch in batches:
+        langs, kinds = batch.column("lang").to_pylist(), batch.column("kind").to_numpy()
+        keys, values = batch.column("key").to_numpy(), batch.column("value").to_numpy()
+        langs = np.array(langs, object)
+        for lang in set(langs.tolist()):
+            for kind in np.unique(kinds[langs == lang]).tolist():
+                own = (langs == lang) & (kinds == kind)
+                got.setdefault((lang, kind), []).append((keys[own], values[own]))
+    for (lang, kind), parts in got.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang]), pa.array([kind], pa.int32()), pa.array([np.concatenate([k for k, _ in parts]).astype("<i8").tobytes()]),
+             pa.array([np.concatenate([v for _, v in parts]).astype("<f8").tobytes()])], ["lang", "kind", "keys", "values"])
+
+
 def load_arrays(model: DataFrame) -> dict[str, Arrays]:
-    t = model.toPandas()
-    return {lang: Arrays(g["kind"].to_numpy(), g["key"].to_numpy(), g["value"].to_numpy()) for lang, g in t.groupby("lang")}
+    """The model as arrays, 16 bytes a row; callers check the number of rows."""
+    got: dict[str, list] = {}
+    for r in model.mapInArrow(_pack, "lang string, kind int, keys binary, values binary").toLocalIterator():
+        got.setdefault(r["lang"], []).append((r["kind"], np.frombuffer(r["keys"], "<i8"), np.frombuffer(r["values"], "<f8")))
+    return {lang: Arrays(np.concatenate([np.full(len(k), kind) for kind, k, _ in parts]), np.concatenate([k for _, k, _ in parts]),
+                         np.concatenate([v for _, _, v in parts])) for lang, parts in got.items()}
 
 
 # ---- scoring -------------------------------------------------------------

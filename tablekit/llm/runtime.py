@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint_dir
+
 #: Text bytes that a task works on at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
@@ -34,11 +36,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return path.rstrip("/")
+    """The folder that the cluster names in ``spark.checkpoint.dir`` (a session
+    in plain local mode that names none gets one of its own)."""
+    return checkpoint_dir(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
