@@ -35,8 +35,10 @@ from . import textops
 from .runtime import ship, slices, text_column, utf8_bytes
 
 #: Bounds of the learning sample, and of the patterns looked at.
-TOXIC, CLEAN, PATTERNS = 4000, 8000, 4000
-STEMS = range(3, 10)
+TOXIC, CLEAN, PATTERNS = 3000, 4500, 4000
+#: Patterns that a task counts before it sends them on.
+FLUSH = 150_000
+STEMS = range(3, 9)
 
 # Common words of each class in English, German, French, Spanish.
 SEEDS = "idiot stupid moron loser scum trash worthless pathetic disgusting clown fool jerk dumb vermin filth".split()
@@ -215,15 +217,20 @@ def _pattern_counts(batches):
             for t, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
                 (yes if y else no).update(patterns_of(t))
                 size[1 if y else 0] += 1
-    # a pattern of clean texts only can never enter
-    names = ["", *yes]
-    a, b = [size[1], *yes.values()], [size[0], *(no.get(p, 0) for p in yes)]
+                if len(yes) + len(no) > FLUSH:
+                    yield from _counts_batches(yes, no)
+    yield from _counts_batches(yes, no)
+    yield _counts_batch([""], [size[1]], [size[0]])
+
+
+def _counts_batches(yes: Counter, no: Counter):
+    """The counts so far, which then begin anew."""
+    names = list(yes.keys() | no.keys())
     for i in range(0, len(names), 50_000):
-        yield _counts_batch(names[i:i + 50_000], a[i:i + 50_000], b[i:i + 50_000])
-    rest = [(p, n) for p, n in no.items() if p not in yes and n > 1]
-    for i in range(0, len(rest), 50_000):
-        part = rest[i:i + 50_000]
-        yield _counts_batch([p for p, _ in part], [0] * len(part), [n for _, n in part])
+        part = names[i:i + 50_000]
+        yield _counts_batch(part, [yes[p] for p in part], [no[p] for p in part])
+    yes.clear()
+    no.clear()
 
 
 def _counts_batch(names, a, b):
