@@ -302,9 +302,10 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def cover(top: list, docs: list) -> dict[str, float]:
-    """Patterns, best first, that toxic documents need: at least two of those
-    with fewer than two matches so far, and more than twice as many as clean
-    ones. One in many toxic and next to no clean documents enters anyway."""
+    """Patterns, those of the most toxic and fewest clean documents first, that
+    toxic documents need: at least two of those with fewer than two matches so
+    far, and more than twice as many as clean ones. One in many toxic and next
+    to no clean documents enters anyway."""
     many = 0.02 * sum(1 for y, _ in docs if y)
     yes: dict[str, list[int]] = {}
     no: Counter = Counter()
@@ -316,7 +317,7 @@ def cover(top: list, docs: list) -> dict[str, float]:
                 no[p] += 1
     covered: Counter = Counter()
     out = {}
-    for r in top:
+    for r in sorted(top, key=lambda r: (3 * no[r["p"]] - len(yes.get(r["p"], ())), -len(r["p"]), r["p"])):
         p = r["p"]
         fresh = [i for i in yes.get(p, ()) if covered[i] < 2]
         have = len(yes.get(p, ()))
