@@ -68,20 +68,10 @@ def _bounds(df: DataFrame, order: list, n: int, sample_per_bucket: int) -> Colum
     sample = (rows.withColumn("_r", F.row_number().over(by_group))
                   .filter(F.col("_r") <= sample_per_bucket))
     return sample.agg(F.sort_array(F.collect_list("_key")).alias("_s")).select(
-        F.expr(f"transform(sequence(1, {n - 1}), i -> element_at(_s, greatest(1, "
+        F.expr(f"transform(sequence(1, {n - 1}), i -> try_element_at(_s, greatest(1, "
                f"cast(i * size(_s) / {n} as int))))").alias("_b")).scalar()
 
 
-def _search_tree(bounds: Column, key: Column, lo: int, hi: int) -> Column:
-    """Binary search as nested CASE (code-generated): number of bounds < key
-    among bounds[lo..hi-1] (0-based), offset by lo."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.element_at(bounds, mid + 1) < key, _search_tree(bounds, key, mid + 1, hi)) \
-            .otherwise(_search_tree(bounds, key, lo, mid))
-
-
 def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
                       sample_per_bucket: int = 64) -> DataFrame:
     """Deterministic range-bucket number in ``[0, n)`` for the sort key.
@@ -91,17 +81,12 @@ def with_range_bucket(df: DataFrame, order: list, n: int, name: str = "_bkt",
     memory, no single-task merge of per-task samples) and are a scalar
     subquery, so every evaluation of the plan assigns the same bucket to the
     same row. The bucket is a binary search over the boundaries
-    (``log2(n)`` comparisons per row): a code-generated CASE tree up to 256
-    buckets, an ``aggregate`` loop beyond.
+    (``log2(n)`` comparisons per row). An empty input has no boundaries.
     """
     if n <= 1:
         return df.withColumn(name, F.lit(0))
     key = F.struct(*_keys(order))
     bounds = F.col("_bounds")
-    if n <= 256:
-        search = _search_tree(bounds, key, 0, n - 1)
-        return (df.withColumn("_bounds", _bounds(df, order, n, sample_per_bucket))
-                  .withColumn(name, search).drop("_bounds"))
     steps = max(1, (n - 1).bit_length() + 1)
     # state: (lo, hi) over bucket positions; bucket = number of bounds < key
     search = F.aggregate(
