@@ -26,6 +26,14 @@ def ratio(a, b) -> Column:
         F.round((mx - F.levenshtein(a, b)) * 100 / mx)).cast("int")
 
 
+def ratio01(a, b) -> Column:
+    """Similarity of two sequences from 0 to 1, ``1 - lev / L``; two empty ones
+    give 1."""
+    a, b = _c(a), _c(b)
+    mx = F.greatest(F.length(a), F.length(b))
+    return F.when(mx == 0, F.lit(1.0)).otherwise((mx - F.levenshtein(a, b)) / mx)
+
+
 def fuzzy_tokens(col) -> Column:
     return split_ws(F.lower(F.regexp_replace(_c(col), "[^\\p{L}\\p{N}]+", " ")))
 

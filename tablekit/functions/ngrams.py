@@ -38,10 +38,15 @@ def with_ngram_words(df, **named_texts):
 
 
 def char_ngrams(col, n: int = 2) -> Column:
+    """Every ``n`` characters in a row: the characters are split once and
+    neighbouring array elements joined."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(F.length(c) >= n, F.transform(
-        F.sequence(F.lit(1), F.length(c) - n + 1),
-        lambda i: F.substring(c, i, n))).otherwise(F.array().cast("array<string>"))
+
+    def grams(chars):
+        heads = F.slice(chars, 1, F.greatest(F.size(chars) - n + 1, F.lit(0)))
+        return F.transform(heads, lambda _, i: F.array_join(F.slice(chars, i + 1, n), ""))
+    # the one-element array binds the characters once
+    return F.transform(F.array(F.split(c, "")), grams)[0]
 
 
 def common_char_ngrams(s1, s2, n: int = 2) -> Column:

@@ -44,12 +44,13 @@ def chebyshev(u, v) -> Column:
 
 
 def cosine(u, v) -> Column:
-    """Cosine distance ``1 - u.v / (|u||v|)``."""
-    return F.lit(1.0) - dot(u, v) / (norm(u) * norm(v))
+    """Cosine distance ``1 - u.v / (|u||v|)``; NULL with a zero vector."""
+    return F.lit(1.0) - F.try_divide(dot(u, v), norm(u) * norm(v))
 
 
 def braycurtis(u, v) -> Column:
-    return cityblock(u, v) / _fold(u, v, lambda a, b: F.abs(a + b))
+    """``sum |a-b| / sum |a+b|``; NULL where the sums ``a+b`` are all zero."""
+    return F.try_divide(cityblock(u, v), _fold(u, v, lambda a, b: F.abs(a + b)))
 
 
 def canberra(u, v) -> Column:

@@ -27,9 +27,11 @@ def min_max(df: DataFrame, col: str) -> DataFrame:
 
 
 def count_distinct(df: DataFrame, *cols: str, exact: bool = True, name: str = "n_distinct") -> DataFrame:
+    """Distinct combinations of ``cols`` without a NULL among them."""
     if exact:
         return df.agg(F.countDistinct(*cols).alias(name))
-    return df.agg(F.approx_count_distinct(cols[0]).alias(name))
+    whole = F.when(F.coalesce(*[F.when(F.col(c).isNull(), True) for c in cols], F.lit(False)), None)
+    return df.agg(F.approx_count_distinct(whole.otherwise(F.struct(*cols))).alias(name))
 
 
 def describe_long(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..session import cut_lineage
+
 HOW = {"inner": "inner", "left": "left", "right": "right", "full": "full",
        "anti": "left_anti", "semi": "left_semi"}
 
@@ -34,56 +36,46 @@ def _chunked(df: DataFrame, key: str, v: str, chunk_size: int) -> DataFrame:
     return ranked.select(key, ((F.col("_rank") - 1) / chunk_size).cast("long").alias("chunk"), "_v")
 
 
-def cogroup_many(key: str, sides: list, chunk_size: int | None = None) -> DataFrame:
+def cogroup_many(key: str, sides: list, chunk_size: int = 1000) -> DataFrame:
     """n-way cogroup: ``sides`` is a list of ``(df, value_column, out_name)``;
     per key, one sorted list per side (empty when the side lacks the key).
 
-    With ``chunk_size`` the lists are cut into rows ``(key, chunk, ...)`` of
-    at most ``chunk_size`` values per side (chunk ``i`` holds the ``i``-th
-    run of each side's sorted values), so no row or task holds an unbounded
-    list; keys below the size give one row with ``chunk = 0``. Without it,
-    each key is one row (bounded fan-out only); ``cogroup_tagged`` is the
-    list-free form."""
-    on = [key, "chunk"] if chunk_size else [key]
+    The lists are cut into rows ``(key, chunk, ...)`` of at most ``chunk_size``
+    values per side (chunk ``i`` holds the ``i``-th run of each side's sorted
+    values), so no row holds an unbounded list; keys below the size give one
+    row with ``chunk = 0``. A NULL key is a key. The chunks of a key are
+    shuffled by ``(key, chunk)``, so a hot key's fall to many tasks."""
     out = None
     for df, v, name in sides:
-        if chunk_size:
-            g = (_chunked(df, key, v, chunk_size).groupBy(key, "chunk")
-                 .agg(F.array_sort(F.collect_list("_v")).alias(name)))
-        else:
-            g = df.groupBy(key).agg(F.array_sort(F.collect_list(v)).alias(name))
-        out = g if out is None else out.join(g, on, "full")
+        chunks = _chunked(df, key, v, chunk_size).withColumnsRenamed({key: "_k", "chunk": "_c"})
+        g = chunks.groupBy("_k", "_c").agg(F.array_sort(F.collect_list("_v")).alias(name))
+        if out is None:
+            out = g
+            continue
+        g = g.withColumnsRenamed({"_k": "_k2", "_c": "_c2"})
+        out = (out.join(g, out["_k"].eqNullSafe(g["_k2"]) & (out["_c"] == g["_c2"]), "full")
+               .withColumn("_k", F.coalesce("_k", "_k2")).withColumn("_c", F.coalesce("_c", "_c2")).drop("_k2", "_c2"))
     types = {name: df.schema[v].dataType for df, v, name in sides}
-    return out.select(*on, *[F.coalesce(F.col(name), F.array().cast(ArrayType(types[name]))).alias(name)
+    return out.select(F.col("_k").alias(key), F.col("_c").alias("chunk"), *[F.coalesce(F.col(name), F.array().cast(ArrayType(types[name]))).alias(name)
                              for _, _, name in sides])
 
 
 def cogroup(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str,
-            chunk_size: int | None = None) -> DataFrame:
-    """Two-way cogroup: ``(key[, chunk], left_values, right_values)``."""
+            chunk_size: int = 1000) -> DataFrame:
+    """Two-way cogroup: ``(key, chunk, left_values, right_values)``."""
     return cogroup_many(key, [(left, lv, "left_values"), (right, rv, "right_values")], chunk_size)
 
 
-def cogroup_tagged(left: DataFrame, right: DataFrame, key: str, lv: str, rv: str) -> DataFrame:
-    """Flattened cogroup: one row per value with its side, no per-key lists."""
-    return (left.select(key, F.lit("left").alias("side"), F.col(lv).alias("value"))
-                .unionByName(right.select(key, F.lit("right").alias("side"), F.col(rv).alias("value"))))
-
-
 def join_back_mean(df: DataFrame, key: str, value: str, name: str = "group_mean") -> DataFrame:
-    """Attach each group's mean to its rows. The partial aggregate yields one
-    row per key; the join back is an equi-join (AQE splits a hot key's
-    partition), not a window that would sort a hot group in one task."""
-    means = df.groupBy(key).agg(F.avg(value).alias(name))
-    return df.join(means, key)
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
-                max_rows: int = 1_000_000) -> DataFrame:
-    """Join against a small lookup table (a fixed dictionary, a dimension such
-    as nation). The lookup is broadcast only after a bounded probe
-    (``limit(max_rows + 1).count()``, which stops early) shows at most
-    ``max_rows`` rows; a larger one takes an ordinary shuffle join, which AQE
-    may still turn into a broadcast by measured size."""
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(lookup) if small else lookup, on, HOW[how])
+    """Attach each group's mean to its rows (a NULL key is a group). The means,
+    one row per key, are written first: both inputs of the join back are then
+    plain shuffles, of which AQE splits a hot key's partition."""
+    means = cut_lineage(df.groupBy(F.col(key).alias("_key")).agg(F.avg(value).alias(name)))
+    return df.join(means, df[key].eqNullSafe(means["_key"]), "left").drop("_key")
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join against a lookup table (a dictionary, a dimension such as nation).
+    No hint: Spark broadcasts it by its measured bytes, statically or at run
+    time, and shuffles beyond ``spark.sql.autoBroadcastJoinThreshold``."""
+    return df.join(lookup, on, HOW[how])

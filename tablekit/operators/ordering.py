@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -114,7 +116,7 @@ def ordered_scan(df: DataFrame, order: list, sums: list[str] = (),
     order_cols = _keys(order)
     # range-partitioning on the bucket id puts each bucket in its own task
     # (hashing small integers collides) and satisfies the window's clustering
-    bucketed = with_range_bucket(df, order, n).repartitionByRange(n, "_bkt")
+    bucketed = cut_lineage(with_range_bucket(df, order, n)).repartitionByRange(n, "_bkt")
     frame = Window.partitionBy("_bkt").orderBy(*order_cols)
     run = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.select(
@@ -149,20 +151,29 @@ def dense_index(df: DataFrame, order: list, name: str = "index", start: int = 1)
 
 def grouped_running_sum(df: DataFrame, group: list[str], order: list, value,
                         name, inclusive: bool = True) -> DataFrame:
-    """Per-group running sum of ``value`` (one column or a list) in ``order``.
-
-    A hot group is spread over several range buckets instead of one window
-    task: the global running sum over ``(group, order)`` minus the group's
-    starting offset. The offset is the exclusive running sum at the group's
-    first row, found by ``min_by`` over the scan's unique global position (a
-    partial aggregate per group, exact for ties and negative values), so one
-    ordered scan serves both."""
+    """Per-group running sum of ``value`` (one column or a list) in ``order``;
+    a NULL in the group's columns is a value of its own.
+
+    Rows go to range buckets of ``(group, order)``, so a hot group is spread
+    over several. Each bucket sums within its groups; only a bucket's first
+    group can continue from an earlier bucket, where it is then the last: its
+    carry-in comes from a table of at most two rows a bucket, which is
+    broadcast. The bucketed rows are written once and read twice."""
     values = [value] if isinstance(value, str) else list(value)
     names = [name] if isinstance(name, str) else list(name)
-    scanned = ordered_scan(df, [*group, *order], sums=values, index_col="_gpos", inclusive=True)
-    starts = scanned.groupBy(*group).agg(*[
-        F.min_by(F.col(f"_cum_{v}") - F.coalesce(F.col(v), F.lit(0)), F.col("_gpos")).alias(f"_start_{v}") for v in values])
-    res = scanned.join(starts, group)
-    outs = [(F.col(f"_cum_{v}") - F.col(f"_start_{v}") - (F.lit(0) if inclusive else F.col(v))).alias(n)
-            for v, n in zip(values, names)]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = cut_lineage(with_range_bucket(df, [*group, *order], n))
+    g = F.struct(*group)
+    run = (Window.partitionBy("_bkt", *group).orderBy(*_keys(order))
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = bucketed.repartitionByRange(n, "_bkt").select("*", *[F.sum(v).over(run).alias(f"_run_{v}") for v in values])
+    totals = bucketed.groupBy("_bkt", g.alias("_g")).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    ends = totals.groupBy("_bkt").agg(F.min("_g").alias("_lo"), F.max("_g").alias("_hi"))
+    edge = totals.join(F.broadcast(ends), "_bkt").filter(F.col("_g").eqNullSafe(F.col("_lo")) | F.col("_g").eqNullSafe(F.col("_hi")))
+    before = Window.partitionBy("_g").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carry = edge.select(F.col("_bkt").alias("_cb"), "_g", *[F.sum(f"_t_{v}").over(before).alias(f"_c_{v}") for v in values])
+    res = local.join(F.broadcast(carry), (F.col("_bkt") == F.col("_cb")) & g.eqNullSafe(F.col("_g")), "left")
+    zero = F.lit(0)
+    outs = [(F.coalesce(F.col(f"_c_{v}"), zero) + F.coalesce(F.col(f"_run_{v}"), zero)
+             - (zero if inclusive else F.coalesce(F.col(v), zero))).alias(o) for v, o in zip(values, names)]
     return res.select(*df.columns, *outs)

@@ -85,9 +85,10 @@ def id_offset_union(train: DataFrame, test: DataFrame, id_col: str, test_id_col:
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """``columns`` / ``dtypes`` / ``printSchema`` as a small DataFrame."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean")
+    """``columns`` / ``dtypes`` / ``printSchema`` as rows, each with the number
+    of the table's values that are NULL (one aggregate over the table)."""
+    rows = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                     F.lit(f.nullable).alias("nullable"), F.col(f"_{i}").alias("n_null")) for i, f in enumerate(df.schema.fields)]
+    counts = df.agg(*[F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 

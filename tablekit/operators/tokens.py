@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import collapse_flagged
 from ..functions.text import split_ws
+from ..session import cut_lineage
 from .ordering import dense_index, desc
 
 # The default characters a frequency tokenizer treats as
@@ -31,12 +32,10 @@ def lookup_lemmas(exploded: DataFrame, word: str, lemmas: DataFrame, name: str =
                   min_len: int = 0) -> DataFrame:
     """Add ``name``: ``word`` replaced by its noun lemma, then that by its verb
     lemma, from a ``(form, pos, lemma)`` dictionary; misses pass through;
-    words shorter than ``min_len`` are left alone. The dictionary is a fixed
-    lexical resource, bounded in size, and is broadcast."""
-    nouns = F.broadcast(lemmas.filter(F.col("pos") == "n")
-                        .select(F.col("form").alias("_lw"), F.col("lemma").alias("_ln")))
-    verbs = F.broadcast(lemmas.filter(F.col("pos") == "v")
-                        .select(F.col("form").alias("_lw1"), F.col("lemma").alias("_lv")))
+    words shorter than ``min_len`` are left alone. No broadcast hint: a small
+    dictionary is broadcast by its measured size."""
+    nouns = lemmas.filter(F.col("pos") == "n").select(F.col("form").alias("_lw"), F.col("lemma").alias("_ln"))
+    verbs = lemmas.filter(F.col("pos") == "v").select(F.col("form").alias("_lw1"), F.col("lemma").alias("_lv"))
     w = F.col(word)
     ex = exploded.join(nouns, w == F.col("_lw"), "left").withColumn(
         "_lw1", F.when(F.length(w) < min_len, w).otherwise(F.coalesce("_ln", w)))
@@ -107,11 +106,14 @@ def collapse_rare_columns(df: DataFrame, key: str, cols: dict, vocab: DataFrame,
     """``(key, *out_names)``: for each token column (``out_name -> column``),
     runs of out-of-vocabulary words become one ``placeholder`` and the last
     ``keep_last`` tokens are kept; no tokens give an empty array. A token is
-    in vocabulary when it is a ``word`` of ``vocab``. All columns go through
-    one explode/lookup pass and one regroup."""
+    in vocabulary when it is a ``word`` of ``vocab`` or the placeholder itself,
+    which is added to it. All columns go through one explode/lookup pass and
+    one regroup; the vocabulary is written first, so that the lookup's inputs
+    are plain shuffles and a frequent token's partition can be split."""
     ex = _explode_sides(df, key, cols)
-    v = vocab.select(F.col("word").alias("_tok"), F.lit(False).alias("_oov")).distinct()
-    ex = ex.join(v, "_tok", "left").withColumn("_oov", F.coalesce("_oov", F.lit(True)))
+    v = cut_lineage(vocab.select(F.col("word").alias("_tok")).filter(F.col("_tok") != placeholder).distinct()
+                    .withColumn("_oov", F.lit(False)))
+    ex = ex.join(v, "_tok", "left").withColumn("_oov", F.coalesce("_oov", F.col("_tok") != placeholder, F.lit(True)))
     g = _collect_sides(ex, key, F.lit(True), "_tok", "_oov")
     names = list(cols)
     # token and flag arrays become columns before the lambdas that index them
@@ -159,10 +161,11 @@ def embedding_matrix(index: DataFrame, vectors: DataFrame, dim: int,
 
 
 def term_counts(docs: DataFrame, key: str, tokens: str, min_df: float = 1.0,
-                min_tf: float = 1.0, vocab_size: int = 1 << 18, binary: bool = False):
+                min_tf: float = 1.0, vocab_size: int | None = None, binary: bool = False):
     """Relational count-vectorizer: returns ``(vocab, counts)`` where vocab is
-    ``(term, df, total)`` after the document-frequency filter and the
-    ``vocab_size`` cap (largest corpus counts first), and counts is
+    ``(term, df, total)`` after the document-frequency filter (and, if the
+    caller names a ``vocab_size``, the terms of the largest corpus counts), written to the
+    shared folder, and counts is
     ``(key, term, tf)`` restricted to the vocabulary.
 
     ``min_df``/``min_tf`` >= 1 are absolute counts, < 1 are fractions (of
@@ -180,17 +183,14 @@ def term_counts(docs: DataFrame, key: str, tokens: str, min_df: float = 1.0,
     else:
         n_docs = docs.agg(F.count(F.lit(1))).scalar()
         stats = stats.filter(F.col("df") >= n_docs * min_df)
-    # keep the vocab_size terms with the largest corpus counts (ties by
-    # term). One count says whether the cap applies at all; if it does, the
-    # ranks come from a distributed ordered scan, not a top-k that would
-    # merge every task's vocab_size candidates in one task
-    vocab = stats
-    if stats.count() > vocab_size:
-        vocab = (dense_index(stats, [desc("total"), "term"], name="_rank")
-                 .filter(F.col("_rank") <= vocab_size).drop("_rank"))
-    # the vocabulary is capped at vocab_size rows: a proven bound, so it is
-    # broadcast (a hot term then never concentrates the join in one task)
-    counts = kept.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    # ranks by a distributed ordered scan, not a top-k merged in one task
+    vocab = stats if vocab_size is None else (
+        dense_index(stats, [desc("total"), "term"], name="_rank")
+        .filter(F.col("_rank") <= vocab_size).drop("_rank"))
+    # written: the join's inputs are plain shuffles, and a hot term's
+    # partition can be split
+    vocab = cut_lineage(vocab)
+    counts = kept.join(vocab.select("term"), "term", "left_semi")
     if binary:
         counts = counts.withColumn("tf", F.lit(1).cast("long"))
     return vocab, counts
@@ -203,7 +203,7 @@ def idf_weights(vocab: DataFrame, n_docs) -> DataFrame:
 
 def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2: str,
                         min_df: float = 2.0, corpus_mode: str = "union",
-                        vocab_size: int = 1 << 18) -> DataFrame:
+                        vocab_size: int | None = None) -> DataFrame:
     """Squared Euclidean distance between the TF-IDF vectors of two texts of
     a pair. The corpus is the bag union of both token columns (each text is
     a document). Sparse vectors are ``(key, term, weight)`` rows, combined
@@ -219,7 +219,7 @@ def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2
     vocab, counts = term_counts(docs.select(F.struct(key, "_side").alias("_doc"), "_tok"),
                                 "_doc", "_tok", min_df=min_df, vocab_size=vocab_size)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = (counts.join(F.broadcast(idf_weights(vocab, n_docs)), "term")  # capped vocabulary
+    w = (counts.join(idf_weights(vocab, n_docs), "term")
          .select(F.col("_doc")[key].alias(key), F.col("_doc")["_side"].alias("_side"), "term",
                  (F.col("tf") * F.col("idf")).alias("w")))
     # per (key, term) both weights by conditional sums (a partial aggregate,

@@ -61,18 +61,18 @@ def anova_obs(spark: SparkSession, d: str) -> DataFrame:
 ANOVA_SQL = "(SELECT o_totalprice AS y, o_orderpriority AS c FROM orders)"
 
 
-def pairs(spark: SparkSession, d: str) -> DataFrame:
+def pairs(spark: SparkSession, d: str, materialize: bool = True) -> DataFrame:
     """Consecutive turns of a conversation as a text pair, with a dense id in
-    ``(conv_id, turn)`` order starting at 0."""
+    ``(conv_id, turn)`` order starting at 0. ``materialize`` writes it for
+    plans that read it several times."""
     c = read_table(spark, d, "conversations", "conv_id", "turn", "text")
     a, b = c.alias("a"), c.alias("b")
     joined = a.join(b, (F.col("a.conv_id") == F.col("b.conv_id"))
                     & (F.col("b.turn") == F.col("a.turn") + 1)).select(
         F.col("a.conv_id").alias("conv_id"), F.col("a.turn").alias("turn"),
         F.col("a.text").alias("question1"), F.col("b.text").alias("question2"))
-    # shared by most text plans, several reads each: materialised once
-    return cut_lineage(dense_index(joined, ["conv_id", "turn"], name="id", start=0)
-                       .select("id", "question1", "question2"))
+    out = dense_index(joined, ["conv_id", "turn"], name="id", start=0).select("id", "question1", "question2")
+    return cut_lineage(out) if materialize else out
 
 
 PAIRS_SQL = """(SELECT CAST(ROW_NUMBER() OVER (ORDER BY a.conv_id, a.turn) - 1 AS BIGINT) AS id,

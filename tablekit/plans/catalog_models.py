@@ -4,6 +4,8 @@ in the unit tests."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from . import bindings as B
@@ -84,7 +86,7 @@ def q_mlp(spark, d):
 @query("prob_export", section="L12")
 def q_prob_export(spark, d):
     data = _labelled(spark, d)
-    model = MD.classifier("gbt", maxIter=5, maxDepth=3).fit(data)
+    model = MD.classifier("gbt", maxIter=40).fit(data)
     docs = MD.assemble(MD.doc_features(RS(spark, d, "documents", "doc_id", "doc_id", "text")), MD.DOC_FEATURES)
     out = MD.probability_of_one(model.transform(docs), "doc_id")
     path = write_csv(out, scratch_path(spark, "prob-export"), mode="overwrite")
@@ -100,7 +102,7 @@ def _als_split(spark, d):
 @query("als_fit_predict", section="L14")
 def q_als(spark, d):
     train, test = _als_split(spark, d)
-    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0, max_iter=5)
+    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0)
     pred = model.transform(test)
     return pred.select("userId", "itemId", "count", "prediction")
 
@@ -108,11 +110,10 @@ def q_als(spark, d):
 @query("als_score_pairs", section="L17")
 def q_als_pairs(spark, d):
     train, _ = _als_split(spark, d)
-    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0, max_iter=5)
+    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0)
     n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
     pairs = R.hashed_negatives(B.user_item(spark, d), n_items)
-    scored = model.transform(pairs)
-    return scored.select("userId", "itemId", "prediction")
+    return MD.score_pairs(model, pairs).select("userId", "itemId", "prediction")
 
 
 @query("als_grid_search", section="L15")
@@ -121,18 +122,17 @@ def q_als_grid(spark, d):
     n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
     negatives = R.hashed_negatives(test, n_items)
     rows = []
-    for reg in (0.5, 2.0):
-        for alpha in (1.0, 2.0):
-            model = MD.fit_als(train, rank=5, alpha=alpha, reg=reg, max_iter=5)
-            scored = (model.transform(test.select("userId", "itemId")).withColumn("is_pos", F.lit(1))
-                      .unionByName(model.transform(negatives).withColumn("is_pos", F.lit(0))))
-            auc = R.mean_user_auc(scored.withColumnRenamed("prediction", "score")).first()
-            rows.append((reg, alpha, 5, float(auc["mean_auc"]) if auc["mean_auc"] is not None else None))
+    for rank, reg, alpha in itertools.product((5, 10), (0.5, 2.0), (1.0, 2.0)):
+        model = MD.fit_als(train, rank=rank, alpha=alpha, reg=reg)
+        scored = (model.transform(test.select("userId", "itemId")).withColumn("is_pos", F.lit(1))
+                  .unionByName(model.transform(negatives).withColumn("is_pos", F.lit(0))))
+        auc = R.mean_user_auc(scored.withColumnRenamed("prediction", "score")).first()
+        rows.append((reg, alpha, rank, float(auc["mean_auc"]) if auc["mean_auc"] is not None else None))
     return spark.createDataFrame(rows, "reg_param double, alpha double, rank int, mean_auc double")
 
 
 @query("negative_sampling", section="M04")
 def q_negative_sampling(spark, d):
     ui = B.user_item(spark, d, materialize=True)
-    cands = B.item_names(spark, d).select("itemId")
+    cands = R.item_popularity(ui).orderBy(F.col("users").desc(), F.col("itemId")).limit(10_000).select("itemId")
     return MD.negative_sampling(ui, cands, seed=0)

@@ -491,11 +491,17 @@ def q_observe(spark, d):
                                  "rows bigint, null_event_type bigint, null_value bigint")
 
 
-@query("schema_columns", section="P20", sql="""
-SELECT CAST(ROW_NUMBER() OVER () - 1 AS INTEGER) AS position, column_name AS name,
+_LI = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+       "l_returnflag l_linestatus l_shipdate").split()
+
+
+@query("schema_columns", section="P20", sql=f"""
+WITH c AS (SELECT {', '.join(f'COUNT(*) - COUNT({x}) AS {x}' for x in _LI)} FROM lineitem),
+ k AS (UNPIVOT c ON {', '.join(_LI)} INTO NAME column_name VALUE n_null)
+SELECT CAST(list_position({_LI}, s.column_name) - 1 AS INTEGER) AS position, s.column_name AS name,
        CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
             WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type,
-       "null" = 'YES' AS nullable
-  FROM (DESCRIBE lineitem)""")
+       "null" = 'YES' AS nullable, k.n_null
+  FROM (DESCRIBE lineitem) s JOIN k ON k.column_name = s.column_name""")
 def q_schema(spark, d):
-    return S.schema_table(T(spark, d, "lineitem"))
+    return S.schema_table(T(spark, d, "lineitem", *_LI))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from . import bindings as B
 from . import sqlfrag as Q
-from .features import normalized_pairs, pair_features, with_lemmas
+from .features import FEATURE_NAMES, normalized_pairs, pair_features, with_lemmas
 from .lexicon import lemma_table
 from .registry import query
 from ..functions import fuzzy as FZ
@@ -132,7 +132,7 @@ def q_lemmatize(spark, d):
 @query("text_sentences", section="T14")
 def q_sentences(spark, d):
     s = RS(spark, d, "documents", "doc_id", "doc_id", "text", "lang").select(
-        "doc_id", TX.sentences("text", "en").alias("s"))
+        "doc_id", TX.sentences("text", F.coalesce("lang", F.lit("en"))).alias("s"))
     return s.select("doc_id", F.size("s").alias("n_sentences"),
                     F.aggregate("s", F.lit(0), lambda acc, x: acc + F.size(x)).alias("n_words"))
 
@@ -338,17 +338,17 @@ def q_vec_jaccard(spark, d):
 
 def _conv_docs(spark, d):
     c = T(spark, d, "conversations", "conv_id", "turn", "text")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc"), TX.tokenize("text").alias("tokens"))
+    return c.select(F.struct("conv_id", "turn").alias("doc"), TX.tokenize("text").alias("tokens"))
 
 
 @query("tf_counts", section="T24", sql="""
-WITH docs AS (SELECT conv_id * 1000 + turn AS doc, string_split_regex(lower(text), '\\s') AS tokens FROM conversations),
- tf AS (SELECT doc, term, COUNT(*) AS tf FROM (SELECT doc, UNNEST(tokens) AS term FROM docs) x GROUP BY doc, term),
+WITH docs AS (SELECT conv_id, turn, string_split_regex(lower(text), '\\s') AS tokens FROM conversations),
+ tf AS (SELECT conv_id, turn, term, COUNT(*) AS tf FROM (SELECT conv_id, turn, UNNEST(tokens) AS term FROM docs) x GROUP BY ALL),
  v AS (SELECT term FROM tf GROUP BY term HAVING COUNT(*) >= 2)
-SELECT tf.doc, tf.term, tf.tf FROM tf WHERE tf.term IN (SELECT term FROM v)""")
+SELECT tf.conv_id, tf.turn, tf.term, tf.tf FROM tf WHERE tf.term IN (SELECT term FROM v)""")
 def q_tf_counts(spark, d):
     _, counts = TK.term_counts(_conv_docs(spark, d), "doc", "tokens", min_df=2.0)
-    return counts.select("doc", "term", "tf")
+    return counts.select("doc.conv_id", "doc.turn", "term", "tf")
 
 
 LEMMA_PAIRS_SQL = f"""(SELECT id, string_split_regex(lower({Q.lemma_text('question1')}), '\\s') AS t1,
@@ -374,55 +374,58 @@ def q_tfidf(spark, d):
     return out.select("id", F.round("dist", 4).alias("tfidfDistance"))
 
 
-ASCII_PAIRS_SQL = f"(SELECT id, {Q.ascii_only('question1')} AS a, {Q.ascii_only('question2')} AS b FROM {PAIRS} p)"
+AB_SQL = f"(SELECT id, question1 AS a, question2 AS b FROM {PAIRS} p)"
 
 
-def _ascii_pairs(spark, d):
-    p = B.pairs(spark, d)
-    return p.select("id", F.regexp_replace("question1", "[^\\x00-\\x7F]", "").alias("a"),
-                    F.regexp_replace("question2", "[^\\x00-\\x7F]", "").alias("b"))
+def _ab(spark, d):
+    return B.pairs(spark, d, materialize=False).select("id", F.col("question1").alias("a"), F.col("question2").alias("b"))
 
 
-@query("fuzzy_ratio", section="T26", sql=f"SELECT id, {Q.fratio('a', 'b')} AS ratio FROM {ASCII_PAIRS_SQL} p")
+@query("fuzzy_ratio", section="T26", sql=Q.one_byte(AB_SQL, "a", "b") + f"""
+SELECT id, {Q.fratio('a', 'b')} AS ratio FROM one_byte""")
 def q_fuzzy_ratio(spark, d):
-    return _ascii_pairs(spark, d).select("id", FZ.ratio("a", "b").alias("ratio"))
+    return _ab(spark, d).select("id", FZ.ratio("a", "b").alias("ratio"))
+
+
+@query("fuzzy_ratio01", section="T26", sql=Q.one_byte(f"(SELECT id, lower(a) AS a, lower(b) AS b FROM {AB_SQL} x)", "a", "b") + """
+SELECT id, round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1.0
+   ELSE (greatest(length(a), length(b)) - levenshtein(a, b)) / greatest(length(a), length(b)) END, 9) AS similarity FROM one_byte""")
+def q_fuzzy_ratio01(spark, d):
+    return _ab(spark, d).select("id", F.round(FZ.ratio01(F.lower("a"), F.lower("b")), 9).alias("similarity"))
 
 
 def _sorted_sql(x):
     return f"array_to_string(list_sort({Q.fuzzy_tokens(x)}), ' ')"
 
 
-@query("fuzzy_token_sort", section="T26", sql=f"""
-SELECT id, {Q.fratio(_sorted_sql('a'), _sorted_sql('b'))} AS token_sort_ratio FROM {ASCII_PAIRS_SQL} p""")
+@query("fuzzy_token_sort", section="T26", sql=Q.one_byte(
+    f"(SELECT id, {_sorted_sql('a')} AS a, {_sorted_sql('b')} AS b FROM {AB_SQL} x)", "a", "b") + f"""
+SELECT id, {Q.fratio('a', 'b')} AS token_sort_ratio FROM one_byte""")
 def q_fuzzy_sort(spark, d):
-    return _ascii_pairs(spark, d).select("id", FZ.token_sort_ratio("a", "b").alias("token_sort_ratio"))
+    return _ab(spark, d).select("id", FZ.token_sort_ratio("a", "b").alias("token_sort_ratio"))
 
 
-@query("fuzzy_token_set", section="T26", sql=f"""
-WITH t AS (SELECT id, {Q.fuzzy_tokens('a')} AS t1, {Q.fuzzy_tokens('b')} AS t2 FROM {ASCII_PAIRS_SQL} p),
+_SETS_SQL = f"""(WITH t AS (SELECT id, {Q.fuzzy_tokens('a')} AS t1, {Q.fuzzy_tokens('b')} AS t2 FROM {AB_SQL} p),
  s AS (SELECT id, array_to_string(list_sort(list_intersect(t1, t2)), ' ') AS i,
               array_to_string(list_sort(list_distinct(list_filter(t1, lambda x: NOT list_contains(t2, x)))), ' ') AS d1,
               array_to_string(list_sort(list_distinct(list_filter(t2, lambda x: NOT list_contains(t1, x)))), ' ') AS d2 FROM t),
- u AS (SELECT id, i, trim(concat_ws(' ', i, d1)) AS s1, trim(concat_ws(' ', i, d2)) AS s2 FROM s)
-SELECT id, greatest({Q.fratio('i', 's1')}, {Q.fratio('i', 's2')}, {Q.fratio('s1', 's2')}) AS token_set_ratio FROM u""")
+ u AS (SELECT id, i, trim(concat_ws(' ', i, d1)) AS s1, trim(concat_ws(' ', i, d2)) AS s2 FROM s) SELECT * FROM u)"""
+
+
+@query("fuzzy_token_set", section="T26", sql=Q.one_byte(_SETS_SQL, "i", "s1", "s2") + f"""
+SELECT id, greatest({Q.fratio('i', 's1')}, {Q.fratio('i', 's2')}, {Q.fratio('s1', 's2')}) AS token_set_ratio FROM one_byte""")
 def q_fuzzy_set(spark, d):
-    return _ascii_pairs(spark, d).select("id", FZ.token_set_ratio("a", "b").alias("token_set_ratio"))
+    return _ab(spark, d).select("id", FZ.token_set_ratio("a", "b").alias("token_set_ratio"))
 
 
-@query("fuzzy_partial", section="T26", sql=f"""
-WITH x AS (SELECT id, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
-                  CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM {ASCII_PAIRS_SQL} p)
+@query("fuzzy_partial", section="T26", sql=Q.one_byte(AB_SQL, "a", "b") + f"""
+, x AS (SELECT id, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s,
+                  CASE WHEN length(a) <= length(b) THEN b ELSE a END AS l FROM one_byte)
 SELECT id, CAST(CASE WHEN length(s) = 0 THEN 0 ELSE round((length(s) - list_min(list_transform(
          range(1, length(l) - length(s) + 2), lambda j: levenshtein(s, substring(l, j, length(s)))))) * 100 / length(s)) END
        AS INTEGER) AS partial_ratio FROM x""")
 def q_fuzzy_partial(spark, d):
-    return _ascii_pairs(spark, d).select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
-
-
-FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2', 'qLen1', 'qLen2',
-                 'lWCount_ratio', 'qWCount_ratio', 'lLen_ratio', 'qLen_ratio',
-                 'qNgrams_1', 'qNgrams_2', 'qNgrams_3', 'lNgrams_1', 'lNgrams_2', 'lNgrams_3',
-                 'qUnigram_ratio', 'lUnigram_ratio', 'tfidfDistance']
+    return _ab(spark, d).select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
 
 
 @query("pair_features", section="T27/J10", sql=f"""

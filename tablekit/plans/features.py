@@ -10,6 +10,7 @@ from ..functions import text as TX
 from ..operators import tokens as TK
 from ..session import cut_lineage
 
+# The names and order of the feature table's columns.
 FEATURE_NAMES = ['lWCount1', 'lWCount2', 'qWCount1', 'qWCount2', 'lLen1', 'lLen2', 'qLen1', 'qLen2',
                  'lWCount_ratio', 'qWCount_ratio', 'lLen_ratio', 'qLen_ratio',
                  'qNgrams_1', 'qNgrams_2', 'qNgrams_3', 'lNgrams_1', 'lNgrams_2', 'lNgrams_3',

@@ -6,6 +6,8 @@ cached for the duration of the fit and released after.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException, PySparkException
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -57,9 +59,10 @@ def glm_summary(df: DataFrame, label: str, cols: list[str], family: str = "binom
     s = model.summary
     spark = df.sparkSession
     try:
-        pvals = [float(x) for x in s.pValues]
-        ok = True
-    except Exception:  # singular design: no standard errors (the reference hit this)
+        pvals, ok = [float(x) for x in s.pValues], True
+    except (Py4JJavaError, IllegalArgumentException, PySparkException) as e:  # a singular design has no standard errors
+        if "No p-value" not in str(e) and "No Std. Error" not in str(e):
+            raise
         pvals, ok = [None] * (len(cols) + 1), False
     row = [(family, link or "canonical", float(s.aic), float(s.deviance), float(s.nullDeviance),
             int(s.residualDegreeOfFreedom), int(s.residualDegreeOfFreedomNull),
@@ -78,7 +81,9 @@ def ols_multi(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     try:
         se, t, p, ok = ([float(x) for x in s.coefficientStandardErrors], [float(x) for x in s.tValues],
                         [float(x) for x in s.pValues], True)
-    except Exception:
+    except (Py4JJavaError, IllegalArgumentException, PySparkException) as e:  # a singular design has no standard errors
+        if "No Std. Error" not in str(e) and "No p-value" not in str(e) and "No t-statistic" not in str(e):
+            raise
         se = t = p = [None] * (len(cols) + 1)
         ok = False
     row = [([float(c) for c in model.coefficients], float(model.intercept), float(s.r2),
@@ -137,32 +142,60 @@ def fit_als(train: DataFrame, **params):
         train.unpersist()
 
 
+def score_pairs(model, pairs: DataFrame, user: str = "userId", item: str = "itemId") -> DataFrame:
+    """Score given pairs: one row a pair, NaN for an unknown user or item. The
+    rows are counted against the pairs, and a difference is an error."""
+    scored = cut_lineage(model.transform(pairs).select(user, item, "prediction"))
+    want, got = pairs.count(), scored.count()
+    if want != got:
+        raise ValueError(f"{got} scores for {want} pairs")
+    return scored
+
+
+def score_report(scored: DataFrame) -> DataFrame:
+    """``(n_scored, n_nan)`` of scored pairs."""
+    return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count(F.when(F.isnan("prediction"), 1)).alias("n_nan"))
+
+
 def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0,
-                      draws_per_positive: int = 2, user: str = "userId",
-                      item: str = "itemId") -> DataFrame:
-    """Per user, about as many unseen items as positives, drawn uniformly
-    (with replacement) from ``candidates``; at most as many draws per user
-    as there are candidates.
-
-    Draws are generated per positive row (not per user), so a user with a
-    third of all rows spreads over many tasks; the per-user cut uses a
-    distributed grouped running count."""
+                      user: str = "userId", item: str = "itemId") -> DataFrame:
+    """Per user, as many unseen items as positives, drawn uniformly (with
+    replacement) from ``candidates``, unless as many draws as there are
+    candidates don't give them.
+
+    Draws are made per positive row (not per user), two in each round, so a
+    user with a third of all rows spreads over many tasks. Users short of items
+    draw again; a user with a share f of the candidates needs about
+    1 / (2 f) rounds at most. The per-user cut is a distributed grouped
+    running count."""
     cand = dense_index(candidates.select(item).distinct(), [item], name="_ci")
-    n_cand = cand.agg(F.max("_ci")).scalar()
+    cand = cut_lineage(cand)
+    n_cand = cand.count()
     pos = positives.select(user, item)
-    draws = pos.select(user, item, F.explode(F.sequence(F.lit(1), F.lit(draws_per_positive))).alias("_d"))
-    draws = draws.select(user, F.xxhash64(user, item, "_d", F.lit(seed)).alias("_h"))
-    draws = draws.withColumn("_ci", F.pmod(F.col("_h"), n_cand) + 1)
-    draws = draws.join(cand, "_ci").drop("_ci")
-    seen = pos.select(user, item, F.lit(0).alias("_valid"))
-    draws = (draws.join(seen, [user, item], "left")
-             .withColumn("_valid", F.coalesce("_valid", F.lit(1)))
-             .withColumn("_one", F.lit(1)))
-    # the draw table feeds every pass of the grouped scan: materialise once
-    draws = cut_lineage(draws)
-    # each positive made exactly draws_per_positive draws
-    n_pos = draws.groupBy(user).agg((F.count(F.lit(1)) / draws_per_positive).cast("long").alias("_npos"))
-    ranked = grouped_running_sum(draws, [user], ["_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
+    n_pos = cut_lineage(pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos")))
+    seen = pos.select(user, item, F.lit(0).alias("_valid")).distinct()
+
+    def drawn(rows, first):
+        d = rows.select(user, item, F.explode(F.sequence(F.lit(first), F.lit(first + 1))).alias("_d"))
+        d = d.select(user, "_d", F.xxhash64(user, item, "_d", F.lit(seed)).alias("_h"))
+        d = d.withColumn("_ci", F.pmod(F.col("_h"), F.lit(n_cand)) + 1).join(cand, "_ci").drop("_ci")
+        d = d.join(seen, [user, item], "left").withColumn("_valid", F.coalesce("_valid", F.lit(1)))
+        return cut_lineage(d.withColumn("_one", F.lit(1)))
+
+    draws, first = None, 1
+    while True:
+        if draws is None:
+            rows = pos if n_cand else pos.limit(0)
+        else:
+            state = draws.groupBy(user).agg(F.sum("_valid").alias("_kept"), F.count(F.lit(1)).alias("_made"))
+            short = cut_lineage(state.join(n_pos, user).filter(
+                (F.col("_kept") < F.col("_npos")) & (F.col("_made") < n_cand)).select(user))
+            if short.isEmpty():
+                break
+            rows = pos.join(short, user, "left_semi")
+        more = drawn(rows, first)
+        draws, first = more if draws is None else draws.unionByName(more), first + 2
+    ranked = grouped_running_sum(draws, [user], ["_d", "_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
     out = (ranked.join(n_pos, user)
            .filter((F.col("_valid") == 1) & (F.col("_kept") <= F.col("_npos"))
                    & (F.col("_attempt") <= n_cand)))

@@ -37,17 +37,20 @@ def top_users(ui: DataFrame, n: int = 10) -> DataFrame:
 
 def clean_interactions(ui: DataFrame, names: DataFrame, min_items: int = 15,
                        max_items: int = 4000, min_users: int = 5,
-                       iterate: bool = False, max_rounds: int = 20) -> DataFrame:
+                       iterate: bool = False) -> DataFrame:
     """Keep users with ``min_items < items < max_items`` and items with more
     than ``min_users`` users and a known name. Both filters are computed on
     the input (single pass); ``iterate=True`` repeats until nothing changes
-    (k-core), cutting lineage with a reliable checkpoint each round."""
+    (k-core), a written table each round. The kept users and items are written
+    before the semi joins, so that both join inputs are plain shuffles and a
+    popular item's or a heavy user's partition can be split."""
     def one_pass(x: DataFrame) -> DataFrame:
         users = (x.groupBy("userId").agg(F.count("itemId").alias("_ni"))
                  .filter((F.col("_ni") > min_items) & (F.col("_ni") < max_items)).select("userId"))
         items = (x.groupBy("itemId").agg(F.count("userId").alias("_nu"))
                  .filter(F.col("_nu") > min_users)
                  .join(names.filter(F.col("name") != UNKNOWN_NAME), "itemId", "left_semi"))
+        users, items = cut_lineage(users), cut_lineage(items.select("itemId"))
         return x.join(items, "itemId", "left_semi").join(users, "userId", "left_semi") \
                 .select("userId", "itemId", "count")
 
@@ -55,14 +58,13 @@ def clean_interactions(ui: DataFrame, names: DataFrame, min_items: int = 15,
     if not iterate:
         return out
     prev = ui.count()
-    for _ in range(max_rounds):
+    while True:
         out = cut_lineage(out)
         cur = out.count()
         if cur == prev:
-            break
+            return out
         prev = cur
         out = one_pass(out)
-    return out
 
 
 def sparsity(ui: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
@@ -124,11 +126,12 @@ def mean_user_auc(scored: DataFrame, user: str = "userId", score: str = "score",
 
 def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Exact area under the ROC curve (ties count one half), from per-score
-    counts and a distributed running sum — no global rank window."""
+    counts and a distributed running sum — no global rank window. NULL if
+    only one class occurs."""
     per = (scored.groupBy(score)
            .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
                 F.sum((1 - F.col(label).cast("long"))).alias("_neg")))
     scanned = ordered_scan(per, [score], sums=["_neg"], index_col=None, inclusive=False)
     return scanned.agg(
-        (F.sum(F.col("_pos") * (F.col("_cum__neg") + F.col("_neg") * 0.5))
-         / (F.sum("_pos") * F.sum("_neg"))).alias("auc"))
+        F.try_divide(F.sum(F.col("_pos") * (F.col("_cum__neg") + F.col("_neg") * 0.5)),
+                     F.sum("_pos") * F.sum("_neg")).alias("auc"))

@@ -79,8 +79,21 @@ def fratio(a: str, b: str) -> str:
             f"AS INTEGER)")
 
 
-def ascii_only(x: str) -> str:
-    return f"regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g')"
+def one_byte(table: str, *cols: str) -> str:
+    """``WITH ..., one_byte``: the table with each non-ASCII character of the
+    columns replaced by an ASCII character that none of them has. DuckDB's
+    ``levenshtein`` counts bytes; a one-to-one renaming keeps every distance
+    between characters."""
+    whole = " || ".join(f"coalesce({c}, '')" for c in cols)
+    put = ", ".join(f"translate({c}, f, t) AS {c}" for c in cols)
+    return f"""WITH raw AS (SELECT * FROM {table} z),
+ used AS (SELECT DISTINCT unnest(string_split({whole}, '')) AS c FROM raw),
+ far AS (SELECT c, row_number() OVER (ORDER BY c) AS k FROM used WHERE unicode(c) > 127),
+ free AS (SELECT chr(CAST(x AS INTEGER)) AS c, row_number() OVER (ORDER BY x) AS k FROM range(1, 127) r(x)
+           WHERE chr(CAST(x AS INTEGER)) NOT IN (SELECT c FROM used)),
+ names AS (SELECT coalesce(string_agg(far.c, '' ORDER BY far.k), '') AS f, coalesce(string_agg(free.c, '' ORDER BY far.k), '') AS t
+             FROM far JOIN free ON far.k = free.k),
+ one_byte AS (SELECT raw.* EXCLUDE ({', '.join(cols)}), {put} FROM raw, names)"""
 
 
 def sig(x: str, digits: int = 10) -> str:

@@ -12,22 +12,22 @@ from ..functions.special import f_sf, sig, t_sf2
 
 def anova_oneway(df: DataFrame, y: str, c: str, with_p: bool = True) -> DataFrame:
     """Between/within sums of squares, mean squares, F and the upper-tail
-    p-value. Group means are joined back (an equi-join on the class, not a
-    window over a possibly huge class) for the within sum; the grand mean is
-    the weighted mean."""
-    groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"), F.avg(y).alias("_m"))
+    p-value, over the rows with a class and a value (NaN of the F ratio's parts
+    is NULL: one class, or no row to spare). The within sum is each class's
+    population variance times its size, a partial aggregate, so a class of any
+    size needs no join."""
+    df = df.select(c, y).filter(F.col(c).isNotNull() & F.col(y).isNotNull())
+    groups = df.groupBy(c).agg(F.count(F.lit(1)).alias("_n"), F.avg(y).alias("_m"), F.var_pop(y).alias("_v"))
     grand = df.agg(F.avg(y)).scalar()
     between = groups.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n"),
-                         F.sum(F.col("_n") * F.pow(F.col("_m") - grand, 2)).alias("ss_between"))
-    within = (df.select(c, y).join(groups.select(c, "_m"), c)
-              .agg(F.sum(F.pow(F.col(y) - F.col("_m"), 2)).alias("ss_within")))
-    out = between.withColumn("ss_within", within.scalar())
-    out = out.select(
+                         F.sum(F.col("_n") * F.pow(F.col("_m") - grand, 2)).alias("ss_between"),
+                         F.sum(F.col("_n") * F.col("_v")).alias("ss_within"))
+    out = between.select(
         "k", "n", (F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"),
         "ss_between", "ss_within",
-        (F.col("ss_between") / (F.col("k") - 1)).alias("ms_between"),
-        (F.col("ss_within") / (F.col("n") - F.col("k"))).alias("ms_within"))
-    out = out.withColumn("f", F.col("ms_between") / F.col("ms_within"))
+        F.try_divide("ss_between", F.col("k") - 1).alias("ms_between"),
+        F.try_divide("ss_within", F.col("n") - F.col("k")).alias("ms_within"))
+    out = out.withColumn("f", F.try_divide("ms_between", "ms_within"))
     if with_p:
         out = out.withColumn("p_value", f_sf(F.col("f"), F.col("df_between").cast("double"),
                                              F.col("df_within").cast("double")))
@@ -42,8 +42,8 @@ def ols_simple(df: DataFrame, y: str, x: str, with_p: bool = True) -> DataFrame:
                F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"))
     s = s.withColumn("df_resid", F.col("n") - 2)
     sse = F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx")
-    s = s.withColumn("se_slope", F.sqrt(sse / F.col("df_resid") / F.col("sxx")))
-    s = s.withColumn("t_slope", F.col("slope") / F.col("se_slope"))
+    s = s.withColumn("se_slope", F.sqrt(F.try_divide(F.try_divide(sse, F.col("df_resid")), F.col("sxx"))))
+    s = s.withColumn("t_slope", F.try_divide("slope", "se_slope"))
     if with_p:
         s = s.withColumn("p_slope", t_sf2(F.col("t_slope"), F.col("df_resid").cast("double")))
     return s.drop("sxx", "syy")

@@ -9,10 +9,11 @@ from ..functions import vectors as V
 
 
 def unit(vec) -> "F.Column":
-    """L2-normalised vector; the norm is folded once (``aggregate`` finish)."""
+    """L2-normalised vector (a zero vector stays zero); the norm is folded once
+    (``aggregate`` finish)."""
     c = F.col(vec) if isinstance(vec, str) else vec
     return F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x,
-                       lambda acc: F.transform(c, lambda x: x / F.sqrt(acc)))
+                       lambda acc: F.transform(c, lambda x: F.when(acc > 0, F.try_divide(x, F.sqrt(acc))).otherwise(0.0)))
 
 
 def group_unit_sum(df: DataFrame, key: str, vec: str, name: str = "unit_sum") -> DataFrame:
@@ -41,5 +42,5 @@ def most_similar(df: DataFrame, key: str, vec: str, positive: list, negative: li
     q = (mean.agg(F.array_sort(F.collect_list(F.struct("_d", "_m"))).alias("_a"))
          .select(unit(F.transform("_a", lambda s: s["_m"])).alias("_q")).scalar())
     scored = (df.filter(~F.col(key).isin(ids)).withColumn("_q", q)
-              .select(key, (V.dot(vec, "_q") / V.norm(vec)).alias("similarity")))
+              .select(key, F.try_divide(V.dot(vec, "_q"), V.norm(vec)).alias("similarity")))
     return scored.orderBy(F.col("similarity").desc(), F.col(key)).limit(k)

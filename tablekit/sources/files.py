@@ -23,9 +23,10 @@ def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
-                   header: bool = True, multi_line: bool = True, quote: str = '"',
+                   header: bool = True, multi_line: bool = False, quote: str = '"',
                    escape: str = '"') -> DataFrame:
-    """CSV with an explicit schema (the recommended mode: no inference pass)."""
+    """CSV with an explicit schema (the recommended mode: no inference pass).
+    ``multi_line`` allows line breaks in quoted values; a file is then one task."""
     return spark.read.csv(path, schema=schema, sep=sep, header=header,
                           multiLine=multi_line, quote=quote, escape=escape)
 
@@ -40,7 +41,7 @@ def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", header: bo
 
 
 def read_csv_strings(spark: SparkSession, path: str, casts: dict[str, str] | None = None,
-                     sep: str = ",", encoding: str = "utf-8", multi_line: bool = True,
+                     sep: str = ",", encoding: str = "utf-8", multi_line: bool = False,
                      keep_raw: bool = False) -> DataFrame:
     """CSV read with header only (every column a string), then ``try_cast`` of
     the named columns, so malformed values become NULL instead of failing.

@@ -54,10 +54,9 @@ def test_bucket_bounds_sample_has_no_single_task_topk(spark):
     assert len(bounds) == 15 and bounds == sorted(bounds)
 
 
-def test_lookup_join_broadcasts_only_below_the_size_check(spark):
+def test_lookup_join_broadcasts_by_measured_size_only(spark):
     from pyspark.sql import functions as F
     from tablekit.operators import joins as J
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
         look = spark.range(0, 50).select(F.col("id").alias("k"), F.lit("x").alias("name"))
@@ -67,9 +66,9 @@ def test_lookup_join_broadcasts_only_below_the_size_check(spark):
             with contextlib.redirect_stdout(buf):
                 df.explain()
             return buf.getvalue()
-        small = J.lookup_join(big, look, "k", max_rows=100)
-        large = J.lookup_join(big, look, "k", max_rows=10)
-        assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
-        assert small.count() == large.count() == 50
+        assert "BroadcastHashJoin" in plan(J.lookup_join(big, look, "k"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "BroadcastHashJoin" not in plan(J.lookup_join(big, look, "k"))
+        assert J.lookup_join(big, look, "k").count() == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
