@@ -212,14 +212,14 @@ def _matches(x: DataFrame, y: DataFrame) -> DataFrame:
 def shared_tokens(sets: DataFrame) -> DataFrame:
     """``(token, pos, n, id, l)``: prefix tokens that several classes have, with
     each class's l. Of the l a class takes the one with the least estimated
-    cost: the rows that it meets on the l-prefix's tokens, and ``VERIFY`` for
-    each candidate, which number about as many as the l-th longest list has
+    cost against partners of its size: the rows that it meets on the l-prefix's
+    tokens, and ``VERIFY`` for each candidate, which number about as many as the l-th longest list has
     (documents on one long list tend to be those on the next)."""
     rows = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     often = rows.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
     rows = written(rows.join(often, "token"), "mm-tokens")
     each = rows.groupBy("id", "n").agg(F.collect_list(F.struct("pos", (F.col("times") - 1).alias("others"))).alias("t"))
-    own = F.ceil(9 * F.col("n") / F.lit(10))
+    own = _need(F.col("n"), F.col("n"))
     costs = []
     for l in range(1, MOST + 1):
         lists = F.transform(F.filter("t", lambda x: x["pos"] < F.col("n") - own + l), lambda x: x["others"])
