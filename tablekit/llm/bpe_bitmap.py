@@ -32,7 +32,7 @@ from .runtime import keep_columns, ship, slices, text_column
 
 _LEAF = 256
 #: Text bytes whose pre-tokens share a queue.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:

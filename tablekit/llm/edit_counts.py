@@ -32,7 +32,7 @@ from .runtime import ship, slices, text_column
 
 LEAF = 64
 CONTEXT = 2
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Sums:

@@ -77,8 +77,9 @@ def _cells(blocks_of) -> callable:
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for cells, weights in blocks_of(batch):
-                total += np.bincount(cells, weights, 1 << SKETCH_BITS).astype(np.int64)
+            for cells in blocks_of(batch):
+                own, n = np.unique(cells, return_counts=True)
+                total[own] += n
         for i, part in enumerate(np.split(total, BLOCKS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays(
@@ -112,15 +113,9 @@ def frequency_levels(texts: DataFrame) -> np.ndarray:
     """Sketch of all shingles of the ``text`` column as levels 0 to 127."""
     def cells(batch):
         for part in slices(batch, "text"):
-            for s in shingle_sets(part.column("text")):
-                yield (s >> U(64 - SKETCH_BITS)).astype(np.int64), None
+            yield (np.concatenate(shingle_sets(part.column("text"))) >> U(64 - SKETCH_BITS)).astype(np.int64)
 
-    def merged(batch):  # one addition a slice, not a text
-        got = [c for c, _ in cells(batch)]
-        if got:
-            yield np.concatenate(got), None
-
-    counts = _gathered(texts.mapInArrow(_cells(merged), "block int, cells binary"))
+    counts = _gathered(texts.mapInArrow(_cells(cells), "block int, cells binary"))
     return np.minimum(np.round(4 * np.log2(1.0 + counts)), 127).astype(np.uint8)
 
 
@@ -163,7 +158,7 @@ def wanted_sets(src: DataFrame, levels, ids: DataFrame) -> DataFrame:
     cell = F.shiftrightunsigned(F.xxhash64("id"), 64 - SKETCH_BITS).cast("int")
 
     def marks(batch):
-        yield batch.column("cell").to_numpy(), None
+        yield batch.column("cell").to_numpy()
 
     bits = _gathered(ids.select(cell.alias("cell")).mapInArrow(_cells(marks), "block int, cells binary")) > 0
     shared = src.sparkSession.sparkContext.broadcast(np.packbits(bits))

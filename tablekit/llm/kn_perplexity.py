@@ -35,7 +35,7 @@ from .runtime import ship, slices, text_column, utf8_bytes, written
 
 ORDER = 4
 PAD = "\x02"
-COUNT_BYTES = 4 << 20
+COUNT_BYTES = 2 << 20
 U = np.uint64
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
