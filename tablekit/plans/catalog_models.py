@@ -13,7 +13,7 @@ from . import models as MD
 from . import recommender as R
 from .registry import query
 from ..operators.sampling import hash_bucket, hash_split
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources.sinks import write_csv
 from ..sources.tables import read_spread as RS
 from ..sources.tables import read_table as T
@@ -46,6 +46,81 @@ def q_glm_poisson(spark, d):
     return summary
 
 
+_TYPES = ("click", "view", "purchase")
+
+
+@query("glm_poisson_means", section="L06/L07", sql=f"""
+SELECT event_type, round(avg(n), 4) AS fitted FROM {B.ACTIVITY_SQL} a
+ WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY event_type""")
+def q_glm_poisson_means(spark, d):
+    """On indicators of all classes but one the fitted mean is the class mean."""
+    act = B.activity(spark, d).filter(F.col("event_type").isin(*_TYPES, "signup"))
+    act = cut_lineage(act.withColumns({f"is_{t}": (F.col("event_type") == t).cast("double") for t in _TYPES}))
+    model, _ = MD.glm_summary(act, "n", [f"is_{t}" for t in _TYPES], family="poisson", link="log")
+    fitted = model.transform(MD.assemble(act, [f"is_{t}" for t in _TYPES]))
+    return fitted.groupBy("event_type").agg(F.round(F.avg("prediction"), 4).alias("fitted"))
+
+
+_LANGS = ("de", "es", "fr")
+
+
+@query("glm_logit_rates", section="L05/L07", sql=f"""
+SELECT d.lang, round(avg(l.quality), 4) AS fitted, count(*) AS n FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""")
+def q_glm_logit_rates(spark, d):
+    """On indicators of all languages but one the fitted probability is the rate."""
+    docs = T(spark, d, "documents", "doc_id", "lang").join(T(spark, d, "labels", "doc_id", "quality"), "doc_id")
+    docs = cut_lineage(docs.withColumns({f"is_{x}": (F.col("lang") == x).cast("double") for x in _LANGS}))
+    model, _ = MD.glm_summary(docs, "quality", [f"is_{x}" for x in _LANGS], family="binomial", link="logit")
+    fitted = model.transform(MD.assemble(docs, [f"is_{x}" for x in _LANGS]))
+    return fitted.groupBy("lang").agg(F.round(F.avg("prediction"), 4).alias("fitted"), F.count(F.lit(1)).alias("n"))
+
+
+_OLS_X = ("l_quantity", "l_discount")
+
+
+@query("ols_two_normal", section="L04", sql="""
+WITH m AS (SELECT covar_samp(l_extendedprice, l_quantity) AS yq, covar_samp(l_extendedprice, l_discount) AS yd,
+    var_samp(l_quantity) AS qq, var_samp(l_discount) AS dd, covar_samp(l_quantity, l_discount) AS qd,
+    avg(l_extendedprice) AS y, avg(l_quantity) AS q, avg(l_discount) AS d FROM lineitem),
+ b AS (SELECT *, (yq * dd - yd * qd) / (qq * dd - qd * qd) AS bq, (yd * qq - yq * qd) / (qq * dd - qd * qd) AS bd FROM m)
+SELECT round(bq, 4) AS b_quantity, round(bd, 2) AS b_discount, round(y - bq * q - bd * d, 2) AS intercept FROM b""")
+def q_ols_two(spark, d):
+    """Two predictors, against the normal equations by hand."""
+    out = MD.ols_multi(T(spark, d, "lineitem", "l_extendedprice", *_OLS_X), "l_extendedprice", list(_OLS_X))
+    return out.select(F.round(F.col("coefficients")[0], 4).alias("b_quantity"), F.round(F.col("coefficients")[1], 2).alias("b_discount"),
+                      F.round("intercept", 2).alias("intercept"))
+
+
+@query("gbt_tuning", section="L09")
+def q_gbt_tuning(spark, d):
+    """Area under the curve by the number of boosting rounds."""
+    train, test = _split(_labelled(spark, d), "doc_id")
+    rows = []
+    for rounds in (10, 40):
+        _, _, auc = MD.fit_evaluate(train, test, "gbt", maxIter=rounds)
+        rows.append((rounds, auc))
+    return spark.createDataFrame(rows, "max_iter int, auc double")
+
+
+@query("rf_grid", section="L10")
+def q_rf_grid(spark, d):
+    """Area under the curve over trees and depth of a random forest."""
+    train, test = _split(_labelled(spark, d), "doc_id")
+    rows = []
+    for trees, depth in itertools.product((50, 200), (5, 15)):
+        _, _, auc = MD.fit_evaluate(train, test, "rf", numTrees=trees, maxDepth=depth)
+        rows.append((trees, depth, auc))
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, auc double")
+
+
+@query("als_pairs_report", section="L17")
+def q_als_report(spark, d):
+    train, _ = _als_split(spark, d)
+    model = MD.fit_als(train, rank=10, alpha=2.0, reg=2.0)
+    n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
+    return MD.score_report(MD.score_pairs(model, cut_lineage(R.hashed_negatives(B.user_item(spark, d), n_items))))
+
+
 @query("glm_predict", section="L07")
 def q_glm_predict(spark, d):
     ld = MD.doc_features(B.labelled_docs(spark, d))

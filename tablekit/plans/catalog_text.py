@@ -267,6 +267,27 @@ def q_group_unit_sum(spark, d):
     return out.select("label", F.transform("unit_sum", lambda x: F.round(x, 9)).alias("unit_sum"))
 
 
+_BAG_SQL = f"""(WITH w AS (SELECT id, 1 AS side, UNNEST({_kw('q1')}) AS word FROM {NORM_PAIRS_SQL} a
+   UNION ALL SELECT id, 2 AS side, UNNEST({_kw('q2')}) AS word FROM {NORM_PAIRS_SQL} b),
+ wv AS (SELECT i.word, v.vec FROM {INDEX_SQL} i JOIN {B.VECTORS_SQL} v ON v.vec_id = i."index"),
+ s AS (SELECT id, side, k, SUM(vec[k]) AS x FROM w JOIN wv ON wv.word = w.word, range(1, 65) r(k) GROUP BY ALL),
+ n AS (SELECT id, side, sqrt(SUM(x * x)) AS l FROM s GROUP BY ALL)
+ SELECT s.id, s.side, s.k, CASE WHEN n.l > 0 THEN s.x / n.l ELSE 0.0 END AS u FROM s JOIN n ON n.id = s.id AND n.side = s.side)"""
+
+
+@query("vec_text_unit_sum", section="T21", sql=f"""
+WITH g AS {_BAG_SQL},
+ z AS (SELECT np.id, r.k, coalesce(a.u, 0.0) AS x, coalesce(b.u, 0.0) AS y FROM {NORM_PAIRS_SQL} np CROSS JOIN range(1, 65) r(k)
+   LEFT JOIN g a ON a.id = np.id AND a.side = 1 AND a.k = r.k LEFT JOIN g b ON b.id = np.id AND b.side = 2 AND b.k = r.k)
+SELECT id, round(sqrt(SUM((x - y) * (x - y))), 6) AS euclidean, round(SUM(x * y), 6) AS dot FROM z GROUP BY id""")
+def q_text_unit_sum(spark, d):
+    from .vectorplans import text_unit_sums
+    toks, index = _encoded(spark, d)
+    known = index.join(B.vectors(spark, d), index["index"] == F.col("vec_id")).select("word", "vec")
+    out = text_unit_sums(toks, "id", {"u": "t1", "w": "t2"}, known, 64)
+    return out.select("id", F.round(V.euclidean("u", "w"), 6).alias("euclidean"), F.round(V.dot("u", "w"), 6).alias("dot"))
+
+
 _POS, _NEG, _TOPK = (1, 2), (3,), 10
 
 

@@ -29,8 +29,9 @@ def anova_oneway(df: DataFrame, y: str, c: str, with_p: bool = True) -> DataFram
         F.try_divide("ss_within", F.col("n") - F.col("k")).alias("ms_within"))
     out = out.withColumn("f", F.try_divide("ms_between", "ms_within"))
     if with_p:
-        out = out.withColumn("p_value", f_sf(F.col("f"), F.col("df_between").cast("double"),
-                                             F.col("df_within").cast("double")))
+        one = F.lit(1.0)  # no degree of freedom: no ratio, so no p-value either
+        p = f_sf(F.col("f"), F.greatest(F.col("df_between").cast("double"), one), F.greatest(F.col("df_within").cast("double"), one))
+        out = out.withColumn("p_value", F.when(F.col("f").isNotNull(), p))
     return out
 
 
@@ -45,7 +46,8 @@ def ols_simple(df: DataFrame, y: str, x: str, with_p: bool = True) -> DataFrame:
     s = s.withColumn("se_slope", F.sqrt(F.try_divide(F.try_divide(sse, F.col("df_resid")), F.col("sxx"))))
     s = s.withColumn("t_slope", F.try_divide("slope", "se_slope"))
     if with_p:
-        s = s.withColumn("p_slope", t_sf2(F.col("t_slope"), F.col("df_resid").cast("double")))
+        p = t_sf2(F.col("t_slope"), F.greatest(F.col("df_resid").cast("double"), F.lit(1.0)))
+        s = s.withColumn("p_slope", F.when(F.col("t_slope").isNotNull(), p))
     return s.drop("sxx", "syy")
 
 

@@ -28,6 +28,30 @@ def group_unit_sum(df: DataFrame, key: str, vec: str, name: str = "unit_sum") ->
     return arr.select(key, unit("_v").alias(name))
 
 
+def text_unit_sums(texts: DataFrame, key: str, words: dict, vectors: DataFrame, dim: int) -> DataFrame:
+    """Bag of vectors of each text: for every ``name -> word-array column``,
+    the sum of the known words' vectors (``vectors`` has ``word``, ``vec``), of
+    unit length, or zeros if no word is known. Words are counted per text
+    before they meet the vectors, and the sums are partial aggregates per
+    (text, dimension)."""
+    names = list(words)
+    parts = None
+    for i, n in enumerate(names):
+        p = texts.select(key, F.lit(i).alias("_side"), F.explode(words[n]).alias("word"))
+        parts = p if parts is None else parts.unionByName(p)
+    times = parts.groupBy(key, "_side", "word").agg(F.count(F.lit(1)).alias("_n"))
+    ex = times.join(vectors, "word").select(key, "_side", "_n", F.posexplode("vec").alias("_d", "_x"))
+    sums = ex.groupBy(key, "_side", "_d").agg(F.sum(F.col("_n") * F.col("_x")).alias("_s"))
+    packed = sums.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_side", "_d", "_s"))).alias("_a"))
+    zeros = F.array_repeat(F.lit(0.0), dim)
+
+    def side(i):
+        got = F.transform(F.filter("_a", lambda s: s["_side"] == i), lambda s: s["_s"])
+        return F.when(F.size(got) == dim, got).otherwise(zeros).alias(f"_v{i}")
+    wide = texts.select(key).join(packed, key, "left").select(key, *[side(i) for i in range(len(names))])
+    return wide.select(key, *[unit(f"_v{i}").alias(n) for i, n in enumerate(names)])
+
+
 def most_similar(df: DataFrame, key: str, vec: str, positive: list, negative: list,
                  k: int = 10) -> DataFrame:
     """Nearest vectors by cosine to the normalised mean of the signed unit

@@ -11,6 +11,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from tablekit.session import get_spark
-    s = get_spark("local[*]", 8)
-    yield s
+    with tempfile.TemporaryDirectory(prefix="tablekit-tests-") as shared:
+        yield get_spark("local[*]", 8, extra={"spark.checkpoint.dir": shared})
