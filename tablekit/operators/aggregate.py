@@ -22,8 +22,9 @@ def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def min_max(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.min(col).alias(f"min_{col}"), F.max(col).alias(f"max_{col}"))
+def min_max(df: DataFrame, *cols: str) -> DataFrame:
+    """``min_<c>`` and ``max_<c>`` of each column in one pass."""
+    return df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))])
 
 
 def count_distinct(df: DataFrame, *cols: str, exact: bool = True, name: str = "n_distinct") -> DataFrame:

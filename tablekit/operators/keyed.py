@@ -11,10 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def reduce_by_key_sum(df: DataFrame, k: str = "k", v: str = "v", name: str = "total") -> DataFrame:
-    return df.groupBy(k).agg(F.sum(v).alias(name))
-
-
 def sum_count_mean(df: DataFrame, k: str = "k", v: str = "v") -> DataFrame:
     """``(sum, count)`` per key, then the mean — the tuple-reduce idiom."""
     return (df.groupBy(k)

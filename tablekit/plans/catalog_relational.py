@@ -262,8 +262,7 @@ SELECT MIN(l_quantity) AS min_l_quantity, MAX(l_quantity) AS max_l_quantity,
        MIN(l_orderkey) AS min_l_orderkey, MAX(l_orderkey) AS max_l_orderkey FROM lineitem""")
 def q_agg_minmax(spark, d):
     li = T(spark, d, "lineitem", "l_quantity", "l_orderkey")
-    return li.agg(F.min("l_quantity").alias("min_l_quantity"), F.max("l_quantity").alias("max_l_quantity"),
-                  F.min("l_orderkey").alias("min_l_orderkey"), F.max("l_orderkey").alias("max_l_orderkey"))
+    return AG.min_max(li, "l_quantity", "l_orderkey")
 
 
 SQL_GROUP_STATS = """
@@ -338,11 +337,13 @@ def q_dedup_subset(spark, d):
 
 
 @query("agg_count_distinct", section="A13", sql="""
-SELECT COUNT(DISTINCT l_partkey) AS n_parts, COUNT(DISTINCT l_suppkey) AS n_suppliers FROM lineitem""")
+SELECT COUNT(DISTINCT l_partkey) AS n_parts, COUNT(DISTINCT l_suppkey) AS n_suppliers,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) x) AS n_pairs FROM lineitem""")
 def q_count_distinct(spark, d):
     li = T(spark, d, "lineitem", "l_partkey", "l_suppkey")
+    both = AG.count_distinct(li, "l_partkey", "l_suppkey", name="n_pairs").scalar()
     return li.agg(F.countDistinct("l_partkey").alias("n_parts"),
-                  F.countDistinct("l_suppkey").alias("n_suppliers"))
+                  F.countDistinct("l_suppkey").alias("n_suppliers"), both.alias("n_pairs"))
 
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.aggregate import group_agg
 from ..operators.ordering import grouped_running_sum, ordered_scan
 from ..session import cut_lineage
 
@@ -13,14 +14,12 @@ UNKNOWN_NAME = "[unknown]"
 
 def item_popularity(ui: DataFrame) -> DataFrame:
     """Per item: total plays and number of users."""
-    return ui.groupBy("itemId").agg(F.sum("count").alias("plays"),
-                                    F.count("userId").alias("users"))
+    return group_agg(ui, ["itemId"], {"count": "sum", "userId": "count"}, {"count": "plays", "userId": "users"})
 
 
 def user_activity(ui: DataFrame) -> DataFrame:
     """Per user: total plays and number of items."""
-    return ui.groupBy("userId").agg(F.sum("count").alias("plays"),
-                                    F.count("itemId").alias("items"))
+    return group_agg(ui, ["userId"], {"count": "sum", "itemId": "count"}, {"count": "plays", "itemId": "items"})
 
 
 def top_items(ui: DataFrame, names: DataFrame, n: int = 20) -> DataFrame:

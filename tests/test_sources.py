@@ -38,3 +38,17 @@ def test_spread_rows_only_when_splits_are_few(spark):
     assert sorted(r.k for r in spread.collect()) == list(range(1000))
     many = spark.range(0, 1000, numPartitions=cores * 2)
     assert spread_rows(many, "id") is many
+
+
+def test_rows_source_infers_names_or_takes_a_schema(spark):
+    assert SRC.rows_source(spark, [(1, "a")]).columns == ["_1", "_2"]
+    assert SRC.rows_source(spark, [(1, "a")], ["k", "v"]).columns == ["k", "v"]
+    typed = SRC.rows_source(spark, [(1, None)], "k int, v string")
+    assert [f.dataType.simpleString() for f in typed.schema] == ["int", "string"]
+
+
+def test_csv_line_breaks_need_the_option(spark):
+    path = scratch_path(spark, "csv-lines")
+    SNK.write_csv(spark.createDataFrame([(1, "a\nb")], "k int, v string"), path, header=True)
+    assert SRC.read_csv_typed(spark, path, "k int, v string").count() == 2
+    assert SRC.read_csv_typed(spark, path, "k int, v string", multi_line=True).collect()[0]["v"] == "a\nb"
