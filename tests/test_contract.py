@@ -18,9 +18,9 @@ def test_every_query_builds_on_smoke_data(spark):
     # building (not running) every registered plan catches analysis errors
     skip = {"als_grid_search", "gbt_auc", "rf_auc", "mlp_classifier", "prob_export",
             "glm_logistic", "glm_poisson", "glm_predict", "ols_multi", "als_fit_predict",
-            "als_score_pairs"}
+            "als_score_pairs", "als_pairs_report", "gbt_tuning", "rf_grid"}
     for key, fn in E.queries().items():
-        if key in skip:
+        if key in skip or key == "pipeline" or key.startswith("op"):  # fits, and queries with tests of their own
             continue
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.schema is not None, key
