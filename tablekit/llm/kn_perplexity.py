@@ -192,12 +192,22 @@ def _discounts(table: DataFrame) -> DataFrame:
         "lang", *[F.when(F.col("some"), d(k)).otherwise(k / 2).alias(f"d{k}") for k in (1, 2, 3)])
 
 
+def _of_language(rows: DataFrame, *values: str):
+    """A struct of ``rows``' values for the language at hand. ``rows`` has one
+    row a language; as a scalar map it spares a shuffle by language, where one
+    task would get a language's every row."""
+    entry = F.struct(F.col("lang"), F.struct(*values))
+    found = rows.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    return F.try_element_at(found, F.col("lang"))
+
+
 def _smoothed(table: DataFrame, n: int, below: DataFrame | None) -> DataFrame:
     """``(lang, gram, p, context, backoff, kinds)`` of order ``n``. A context has
     at most 65,536 n-grams, so the window holds a bounded group."""
     w = Window.partitionBy("lang", "context")
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    t = (table.join(_discounts(table), "lang")
+    by_count = F.col("by_count")
+    d = F.when(F.col("n") == 1, by_count["d1"]).when(F.col("n") == 2, by_count["d2"]).otherwise(by_count["d3"])
+    t = (table.withColumn("by_count", _of_language(_discounts(table), "d1", "d2", "d3"))
          .select("lang", "gram", "n", d.alias("d"),
                  (F.shiftrightunsigned("gram", 16) if n > 1 else F.lit(0).cast("bigint")).alias("context"))
          .select("*", F.sum("n").over(w).alias("total"), F.sum("d").over(w).alias("held"), F.count("*").over(w).alias("kinds")))
@@ -368,7 +378,8 @@ def bands(scored: DataFrame, lower: float, upper: float, least: float = 0.02) ->
 
     ok = scored.filter(~base_failed() & F.col("log_ppl").isNotNull()).select("lang", "log_ppl")
     mid = median(ok, "log_ppl", "mid")
-    away = median(ok.join(mid, "lang").select("lang", F.abs(F.col("log_ppl") - F.col("mid")).alias("away")), "away", "mad")
+    from_mid = F.abs(F.col("log_ppl") - _of_language(mid, "mid")["mid"])
+    away = median(ok.select("lang", from_mid.alias("away")), "away", "mad")
     sigma = F.greatest(F.lit(least), 1.4826 * F.col("mad"))
     return mid.join(away, "lang").select("lang", (F.col("mid") - lower * sigma).alias("low"), (F.col("mid") + upper * sigma).alias("high"))
 
@@ -378,7 +389,8 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang", carry: list[str
     """``(row, lang, measures, n_units, log_ppl, low, high, base_failed, kept)``."""
     model = written(smooth(written(count_grams(df, text, lang), "kn-counts")), "kn-model")
     scored = written(score(df, model, text, lang, carry), "kn-scored")
-    limits = bands(scored, lower, upper)
-    inside = F.col("log_ppl").between(F.col("low"), F.col("high"))
-    return (scored.join(limits, "lang", "left").withColumn("base_failed", base_failed())
+    limits = F.col("limits")
+    inside = F.col("log_ppl").between(limits["low"], limits["high"])
+    return (scored.withColumn("limits", _of_language(bands(scored, lower, upper), "low", "high"))
+            .select("*", limits["low"].alias("low"), limits["high"].alias("high"), base_failed().alias("base_failed"))
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))))
