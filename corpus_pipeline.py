@@ -35,8 +35,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    groups = jaccard_multimatch.linked(docs.select("doc_id", "text"))
+    """Of each group of documents linked by five-word Jaccard 0.8 the one with the smallest id."""
+    groups = jaccard_multimatch.linked(docs.select("doc_id", "text"), k=5, percent=80)
     kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     first = Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

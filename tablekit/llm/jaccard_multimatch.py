@@ -1,13 +1,13 @@
 """N-gram Jaccard join by adaptive multi-match prefixes.
 
-A document's set is its distinct 3-word shingles, as 64-bit tokens in a global
-order from rare to frequent. The order comes from a count sketch over every
+A document's set is its distinct shingles of ``k`` words (3), as 64-bit tokens in a
+global order from rare to frequent. The order comes from a count sketch over every
 shingle of the corpus: a token is the sketch's level (log count) followed by
 the shingle's hash. Any order gives right results; this one makes prefixes of
 rare tokens.
 
-Two sets of sizes m and n link only if they share ``need(m, n)`` tokens, so for
-any l the first ``m - need + l`` tokens of the one and the first
+Two sets link if their Jaccard similarity is ``percent`` / 100 (90) or more. With
+sizes m and n they then share at least ``need(m, n)`` tokens, so for any l the first ``m - need + l`` tokens of the one and the first
 ``n - need + l`` of the other share at least l tokens. Each document takes the l of
 the least estimated cost, of meeting the other documents on its prefix tokens
 and of verifying those met l times: a longer prefix meets more, and must be met
@@ -22,7 +22,7 @@ the leader's component meet all other classes. Every pair found is verified on
 the whole sets.
 
 Documents without words (or null) have an empty set and link with nothing; with
-one or two words the whole sequence is one token. Rows of one ``doc_id`` count
+fewer than ``k`` words the whole sequence is one token. Rows of one ``doc_id`` count
 as one document. An empty table gives an empty one; extra columns are left out.
 """
 
@@ -109,22 +109,22 @@ def _gathered(parts: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def frequency_levels(texts: DataFrame) -> np.ndarray:
+def frequency_levels(texts: DataFrame, k: int = 3) -> np.ndarray:
     """Sketch of all shingles of the ``text`` column as levels 0 to 127."""
     def cells(batch):
         for part in slices(batch, "text"):
-            yield (np.concatenate(shingle_sets(part.column("text"))) >> U(64 - SKETCH_BITS)).astype(np.int64)
+            yield (np.concatenate(shingle_sets(part.column("text"), k)) >> U(64 - SKETCH_BITS)).astype(np.int64)
 
     counts = _gathered(texts.mapInArrow(_cells(cells), "block int, cells binary"))
     return np.minimum(np.round(4 * np.log2(1.0 + counts)), 127).astype(np.uint8)
 
 
-def least_overlap(n: int) -> int:
+def least_overlap(n: int, percent: int = 90) -> int:
     """Tokens that a set of n shares with any set it links with, at least."""
-    return (9 * n + 9) // 10
+    return (percent * n + 99) // 100
 
 
-def make_sets(src: DataFrame, levels) -> DataFrame:
+def make_sets(src: DataFrame, levels, k: int = 3, percent: int = 90) -> DataFrame:
     """``(doc_id, n, h1, h2, prefix)``: set size, digest of the set, and its first
     tokens, enough for every l."""
     kind = src.schema["doc_id"].dataType.simpleString()
@@ -132,11 +132,11 @@ def make_sets(src: DataFrame, levels) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = shingle_sets(part.column("text"))
+                sets = shingle_sets(part.column("text"), k)
                 heads, h1, h2 = [], [], []
                 for s in sets:
                     n = len(s)
-                    heads.append(tokens(s, levels.value)[:n - least_overlap(n) + MOST] if n else np.zeros(0, np.int64))
+                    heads.append(tokens(s, levels.value)[:n - least_overlap(n, percent) + MOST] if n else np.zeros(0, np.int64))
                     h1.append(int(s.sum(dtype=U)))
                     h2.append(int(textops.mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)))
                 lens = [len(h) for h in heads]
@@ -151,7 +151,7 @@ def make_sets(src: DataFrame, levels) -> DataFrame:
 
 # ---- verification --------------------------------------------------------
 
-def wanted_sets(src: DataFrame, levels, ids: DataFrame) -> DataFrame:
+def wanted_sets(src: DataFrame, levels, ids: DataFrame, k: int = 3) -> DataFrame:
     """``(id, tokens)`` of the documents in ``ids`` (and some others): a bitmap
     of fixed size tells the tasks which texts to shingle again."""
     kind = src.schema["doc_id"].dataType.simpleString()
@@ -168,7 +168,7 @@ def wanted_sets(src: DataFrame, levels, ids: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(want[batch.column("cell").to_numpy()]))
             for part in slices(batch, "text"):
-                sets = [tokens(s, levels.value) for s in shingle_sets(part.column("text"))]
+                sets = [tokens(s, levels.value) for s in shingle_sets(part.column("text"), k)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), list_array(np.concatenate(sets), [len(s) for s in sets], pa.int64())], ["id", "tokens"])
 
@@ -176,25 +176,25 @@ def wanted_sets(src: DataFrame, levels, ids: DataFrame) -> DataFrame:
     return cells.mapInArrow(run, f"id {kind}, tokens array<bigint>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = 90) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets link."""
     one = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
     met = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("ta", "tb")))
-    return met.filter(190 * F.col("common") >= 90 * (F.size("ta") + F.size("tb"))).select("a", "b").distinct()
+    return met.filter((100 + percent) * F.col("common") >= percent * (F.size("ta") + F.size("tb"))).select("a", "b").distinct()
 
 
 # ---- join ----------------------------------------------------------------
 
-def _need(m, n):
-    return F.ceil(9 * (m + n) / F.lit(19))
+def _need(m, n, percent: int):
+    return F.ceil(percent * (m + n) / F.lit(100 + percent))
 
 
-def _matches(x: DataFrame, y: DataFrame) -> DataFrame:
+def _matches(x: DataFrame, y: DataFrame, percent: int = 90) -> DataFrame:
     """Pairs ``(a, b)`` of the two sides that meet on as many tokens of their
     l-prefixes as they must; l is the smaller of the two documents'."""
     x, y = x.alias("x"), y.alias("y")
-    need = _need(F.col("x.n"), F.col("y.n"))
+    need = _need(F.col("x.n"), F.col("y.n"), percent)
     l = F.least(F.col("x.l"), F.col("y.l"), need)
     met = x.join(y, F.col("x.token") == F.col("y.token")).filter(
         (F.col("x.comp") != F.col("y.comp")) & (F.col("x.pos") < F.col("x.n") - need + l) & (F.col("y.pos") < F.col("y.n") - need + l)
@@ -204,7 +204,7 @@ def _matches(x: DataFrame, y: DataFrame) -> DataFrame:
             .filter("met >= l").select("a", "b"))
 
 
-def shared_tokens(sets: DataFrame) -> DataFrame:
+def shared_tokens(sets: DataFrame, percent: int = 90) -> DataFrame:
     """``(token, pos, n, id, l)``: prefix tokens that several classes have, with
     each class's l. Of the l a class takes the one with the least estimated
     cost against partners of its size: the rows that it meets on the l-prefix's
@@ -214,7 +214,7 @@ def shared_tokens(sets: DataFrame) -> DataFrame:
     often = rows.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
     rows = written(rows.join(often, "token"), "mm-tokens")
     each = rows.groupBy("id", "n").agg(F.collect_list(F.struct("pos", (F.col("times") - 1).alias("others"))).alias("t"))
-    own = _need(F.col("n"), F.col("n"))
+    own = _need(F.col("n"), F.col("n"), percent)
     costs = []
     for l in range(1, MOST + 1):
         lists = F.transform(F.filter("t", lambda x: x["pos"] < F.col("n") - own + l), lambda x: x["others"])
@@ -225,30 +225,30 @@ def shared_tokens(sets: DataFrame) -> DataFrame:
     return rows.join(best, ["id", "n"]).select("token", "pos", "n", "id", "l")
 
 
-def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_shingles, component_id)`` for every row: documents link when
-    their sets' Jaccard similarity is 0.9 or more, and ``component_id`` is the
+def linked(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90) -> DataFrame:
+    """``(key, n_shingles, component_id)`` for every row: documents link when the
+    Jaccard similarity of their ``k``-word sets is ``percent`` / 100 or more, and ``component_id`` is the
     smallest key that links reach."""
     spark = df.sparkSession
     ship(spark)
     src = keep_columns(df, [key, text]).toDF("doc_id", "text")
-    levels = spark.sparkContext.broadcast(frequency_levels(src.select("text")))
-    sets = written(make_sets(src, levels), "mm-sets")
+    levels = spark.sparkContext.broadcast(frequency_levels(src.select("text"), k))
+    sets = written(make_sets(src, levels, k, percent), "mm-sets")
     digest = ["n", "h1", "h2"]
     classes = written(sets.filter("n > 0").groupBy(*digest).agg(
         F.min("doc_id").alias("id"), F.min_by("prefix", F.struct("doc_id")).alias("prefix")), "mm-classes")
-    rows = written(shared_tokens(classes.select("id", "n", "prefix")), "mm-shared")
+    rows = written(shared_tokens(classes.select("id", "n", "prefix"), percent), "mm-shared")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        return written(wanted_sets(src, levels, ids).join(ids, "id", "left_semi"), "mm-whole")
+        return written(wanted_sets(src, levels, ids, k).join(ids, "id", "left_semi"), "mm-whole")
 
     # each class and the leaders of its tokens
     single = rows.withColumn("comp", F.col("id")).withColumn("probe", F.lit(False))
     lead = rows.groupBy("token").agg(F.min(F.struct("pos", "n", "id", "l")).alias("y")).select("token", "y.*")
     lead = lead.withColumn("comp", F.col("id")).withColumn("probe", F.lit(False))
-    stars = written(_matches(single, lead), "mm-stars")
-    links = written(verified(stars, sets_of(stars)), "mm-links")
+    stars = written(_matches(single, lead, percent), "mm-stars")
+    links = written(verified(stars, sets_of(stars), percent), "mm-links")
     so_far = written(components(links), "mm-so-far")
 
     # classes of different components on one token
@@ -258,8 +258,8 @@ def linked(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                                         F.min_by("comp", F.struct("pos", "n", "id")).alias("main"))
     rows = rows.join(several.filter("lo <> hi").select("token", "main"), "token")
     rows = written(rows.withColumn("probe", F.col("comp") != F.col("main")).drop("main"), "mm-open")
-    pairs = written(_matches(rows.filter("probe"), rows).join(stars, ["a", "b"], "left_anti"), "mm-pairs")
-    links = written(links.union(verified(pairs, sets_of(pairs))), "mm-all-links")
+    pairs = written(_matches(rows.filter("probe"), rows, percent).join(stars, ["a", "b"], "left_anti"), "mm-pairs")
+    links = written(links.union(verified(pairs, sets_of(pairs), percent)), "mm-all-links")
 
     named = components(links)
     classes = classes.join(named, classes["id"] == named["vertex"], "left").select(
