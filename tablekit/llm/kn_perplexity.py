@@ -7,8 +7,11 @@ discounts, back-off weights and interpolated probabilities are joins and
 aggregates over the distinct n-grams. Four units pack into one 64-bit key, so a
 model is arrays of sorted keys beside arrays of log-probabilities, searched by
 bisection. Documents whose mean negative log-probability a unit lies outside
-their language's band are rejected: the band is the median of the documents
-that pass the word rules, less or more a number of robust standard deviations.
+their language's band are rejected. The band comes from the documents that pass
+the word rules: their median, less and more ``reach(n)`` robust standard
+deviations, of the documents below it and of those above. Of n normal values
+hardly one lies sqrt(2 ln n) deviations away; the rest of ``reach`` is three times
+the relative error of a side's deviation, so that few documents get a wide band.
 
 The arrays go to the tasks as a broadcast only if their rows number at most
 ``broadcast_rows``; beyond that the documents' distinct n-grams are joined with
@@ -361,10 +364,17 @@ def base_failed():
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def bands(scored: DataFrame, lower: float, upper: float, least: float = 0.02) -> DataFrame:
+def reach(n):
+    """Robust deviations from the median to either end of the band of n documents."""
+    return F.sqrt(2 * F.log(F.greatest(n, F.lit(2.0)))) * (1 + 5 / F.sqrt(n))
+
+
+def bands(scored: DataFrame, lower: float | None, upper: float | None, least: float = 0.02) -> DataFrame:
     """``(lang, low, high)``: the median of ``log_ppl`` of the documents that pass
     the word rules, less ``lower`` and more ``upper`` robust standard deviations
-    (1.4826 times the median distance from it, ``least`` at least)."""
+    (1.4826 times the median distance from it, ``least`` at least). A None is
+    ``reach`` of the language's documents, with the deviation of those on its side
+    of the median."""
     grid = 1000
 
     def median(table: DataFrame, value: str, name: str) -> DataFrame:
@@ -378,15 +388,24 @@ def bands(scored: DataFrame, lower: float, upper: float, least: float = 0.02) ->
 
     ok = scored.filter(~base_failed() & F.col("log_ppl").isNotNull()).select("lang", "log_ppl")
     mid = median(ok, "log_ppl", "mid")
-    from_mid = F.abs(F.col("log_ppl") - _of_language(mid, "mid")["mid"])
-    away = median(ok.select("lang", from_mid.alias("away")), "away", "mad")
-    sigma = F.greatest(F.lit(least), 1.4826 * F.col("mad"))
-    return mid.join(away, "lang").select("lang", (F.col("mid") - lower * sigma).alias("low"), (F.col("mid") + upper * sigma).alias("high"))
+    off = F.col("log_ppl") - _of_language(mid, "mid")["mid"]
+    off = ok.select("lang", off.alias("off"), F.abs(off).alias("away"))
+    out = mid.join(ok.groupBy("lang").agg(F.count("*").cast("double").alias("n")), "lang")
+
+    def end(out: DataFrame, times: float | None, side, name: str) -> DataFrame:
+        part = off if times is not None else off.filter(F.round(side * F.col("off") * grid) > 0)
+        out = out.join(median(part, "away", "mad"), "lang", "left")
+        sigma = F.greatest(F.lit(least), 1.4826 * F.coalesce("mad", F.lit(0.0)))
+        far = (F.lit(times) if times is not None else reach(F.col("n"))) * sigma
+        return out.withColumn(name, F.col("mid") + side * far).drop("mad")
+
+    return end(end(out, lower, -1, "low"), upper, 1, "high").select("lang", "low", "high")
 
 
 def judge(df: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None,
-          lower: float = 10.0, upper: float = 10.0) -> DataFrame:
-    """``(row, lang, measures, n_units, log_ppl, low, high, base_failed, kept)``."""
+          lower: float | None = None, upper: float | None = None) -> DataFrame:
+    """``(row, lang, measures, n_units, log_ppl, low, high, base_failed, kept)``;
+    ``lower`` and ``upper`` as in ``bands``."""
     model = written(smooth(written(count_grams(df, text, lang), "kn-counts")), "kn-model")
     scored = written(score(df, model, text, lang, carry), "kn-scored")
     limits = F.col("limits")

@@ -113,3 +113,41 @@ def test_verdicts(spark, docs, texts, prose):
     assert all(got[i]["base_failed"] and not got[i]["kept"] for i in range(61, 65))
     assert got[63]["log_ppl"] is None and got[64]["log_ppl"] is None
     assert K.judge(docs([])).count() == 0
+
+
+def plain_band(values):
+    """The production band by its formulas, on bins of 1/1000 as the operator has them."""
+    def median(xs):
+        bins = sorted(math.floor(x * 1000 + 0.5) for x in xs)
+        return bins[(len(bins) - 1) // 2] / 1000
+    n, mid = len(values), median(values)
+    reach = math.sqrt(2 * math.log(max(n, 2))) * (1 + 5 / math.sqrt(n))
+    ends = []
+    for side in (-1, 1):
+        away = [abs(v - mid) for v in values if math.floor(side * (v - mid) * 1000 + 0.5) > 0]
+        ends.append(mid + side * reach * max(0.02, 1.4826 * median(away) if away else 0.0))
+    return ends
+
+
+def test_production_band_rejects_planted_texts(spark, docs, prose):
+    rnd = random.Random(8)
+    good = [prose(rnd.randint(60, 400), i) for i in range(150)]
+    words = prose(400, 999).split()
+    gibberish = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") if rnd.random() < share else c for c in " ".join(rnd.sample(words, 90)))
+                 for share in (0.04, 0.04, 0.1, 0.25)]
+    few = " ".join(rnd.choice(words[:5]) for _ in range(90))  # a text of five words
+    rows = good + gibberish + [few]
+    got = {r["doc_id"]: r for r in K.judge(docs(rows), carry=["doc_id"]).select("row.doc_id", "base_failed", "kept", "log_ppl", "low", "high").collect()}
+    assert not any(got[i]["base_failed"] for i in range(len(rows)))
+    assert [i for i in range(len(good)) if not got[i]["kept"]] == []
+    assert not any(got[i]["kept"] for i in range(len(good), len(rows)))
+    band = plain_band([r["log_ppl"] for r in got.values() if not r["base_failed"]])
+    assert [got[0]["low"], got[0]["high"]] == pytest.approx(band, abs=1e-9)
+    wide = {r["doc_id"]: r["kept"] for r in K.judge(docs(rows), carry=["doc_id"], lower=10, upper=10).select("row.doc_id", "kept").collect()}
+    assert any(wide[i] for i in range(len(good), len(rows)))  # what the fixed ten deviations let through
+
+
+def test_few_documents_all_stay(spark, docs, prose):
+    rows = [prose(n, n) for n in (30, 60, 400)]
+    for n in (1, 2, 3):
+        assert all(r["kept"] for r in K.judge(docs(rows[:n])).collect())
