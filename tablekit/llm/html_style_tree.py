@@ -9,8 +9,10 @@ importance one less the mean entropy of its texts, to the base of the number of
 pages; together ``(1 - GAMMA) presentation + GAMMA content``. What every page
 repeats in the same shape has a low importance, and branches below ``least`` go.
 Nodes that fewer than ``min_pages`` of the host's pages have are judged by the
-tree of all hosts together. Elements that never hold main text by their tag or
-by a word of their class, id or role go as well.
+tree of all hosts together. Elements that never hold main text by their tag, by
+their role, by a ``hidden`` attribute or by a class or id that is a word of the list
+(a number behind it apart) go as well; any other class name is left to the tree. A
+page whose every text stands under such a class or id is left to the tree, too.
 
 The counts are aggregates by (host, node, text), so a host with a third of all
 pages is no group of its own anywhere.
@@ -55,8 +57,8 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "option": {"select"}, "tbody": {"table"}, "thead": {"table"}}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NUMBER = re.compile(r"[-_]?[0-9]+$")
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/?#:]*)"
 
 
@@ -71,34 +73,39 @@ class Node:
         self.tag, self.path, self.gone, self.block, self.inside = tag, path, gone, block, []
 
 
-def _attributes(raw: str) -> tuple[str, bool]:
-    """The style of a start tag, and whether its names rule out main text."""
-    style, gone = [], False
+def _attributes(raw: str) -> tuple[str, int]:
+    """The style of a start tag, and whether it rules out main text: 2 by an
+    attribute, 1 by a class or id only, else 0."""
+    style, gone = [], 0
     for name, a, b, c in _ATTR.findall(raw):
         name, value = name.lower(), (a or b or c).lower()
+        if name not in ("class", "id", "role", "hidden"):
+            continue
         if name == "hidden":
-            gone = True
+            gone = 2
         elif name == "role":
-            gone |= value.strip() in ROLES
+            gone = max(gone, 2 * (value.strip() in ROLES))
         else:
-            gone |= not WORDS.isdisjoint(_NAME.findall(value))
+            gone = max(gone, not WORDS.isdisjoint(_NUMBER.sub("", x) for x in value.split()))
         style.append(f"{name}={re.sub(r'[0-9]+', '0', value)}")
     return " ".join(style), gone
 
 
 def blocks(html: str) -> list[tuple[str, str, str]]:
     """``(node path, tags inside, text)`` of the page's text blocks in order,
-    without those whose tags or names rule them out."""
-    root = Node("", "", False, True)
-    stack, out, text, at, n = [root], [], [], 0, len(html)
+    without those whose tags or names rule them out; if classes and ids rule out
+    all that is left, those."""
+    root = Node("", "", 0, True)
+    stack, out, named_out, text, at, n = [root], [], [], [], 0, len(html)
 
     def flush():
         if text:
             line = " ".join(unescape("".join(text)).split())
             text.clear()
             holder = next(x for x in reversed(stack) if x.block)
-            if line and not any(x.gone for x in stack):
-                out.append((holder.path, " ".join(holder.inside), line))
+            gone = max(x.gone for x in stack)
+            if line and gone < 2:
+                (named_out if gone else out).append((holder.path, " ".join(holder.inside), line))
             holder.inside = []
 
     def close(k):
@@ -151,11 +158,11 @@ def blocks(html: str) -> list[tuple[str, str, str]]:
             continue
         if tag in VOID or raw.rstrip().endswith("/") and inline:
             continue
-        style, named = _attributes(raw) if raw.strip() else ("", False)
-        named = named and tag not in ("html", "body", "article", "main")
-        stack.append(Node(tag, f"{stack[-1].path}/{tag}[{style}]" if not inline else stack[-1].path, tag in NEVER or named, not inline))
+        style, named = _attributes(raw) if raw.strip() else ("", 0)
+        named = 0 if tag in ("html", "body", "article", "main") else named
+        stack.append(Node(tag, f"{stack[-1].path}/{tag}[{style}]" if not inline else stack[-1].path, 2 if tag in NEVER else named, not inline))
     flush()
-    return out
+    return out or named_out
 
 
 # ---- the trees -----------------------------------------------------------

@@ -81,3 +81,17 @@ def test_whole_pages_table(spark):
         inner = re.search(r"<article>(.*?)</article>", raw[r["page_id"]], re.S).group(1).replace("<b>", "").replace("</b>", "")
         parts = [" ".join(H.unescape(re.sub(r"<[^>]+>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert r["text"] == "\n\n".join(x for x in parts if x)
+
+
+@pytest.mark.parametrize("start", [
+    '<div class="main" style="overflow:hidden">', '<div aria-hidden="false">', '<div data-role=navigation data-class="ad">', '<div title="hidden">',
+    '<div class="layout has-sidebar">', '<div class="no-sidebar">', '<div id="share-prices">', '<div class="post_comments-off">', "<div class='widget'>",
+])
+def test_wrappers_that_only_look_like_it(start):
+    assert lines(f"{start}<h1>t</h1><p>the article</p></div>") == ["t", "the article"]
+
+
+@pytest.mark.parametrize("start", ["<div hidden>", '<div class="x" hidden="">', "<div class='big Sidebar'>", "<div id=share class=x>", "<div class=ad_3>",
+                                   '<div role="navigation">'])
+def test_elements_that_go(start):
+    assert lines(f"{start}<p>gone</p></div><p>x</p>") == ["x"]
