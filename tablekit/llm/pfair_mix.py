@@ -7,7 +7,9 @@ and due by slot ceil((j + 1) / w); in each slot the released block with the
 earliest deadline runs. So after any number t of slots a source has had more
 than w t - 1 and less than w t + 1 blocks.
 
-Weights are multiples of 1 / ``period``: the schedule then repeats after
+Weights are rounded to multiples of 1 / ``period``, and the bound holds for the
+rounded ones: from the weight asked for, a source drifts by up to a block or so
+every period. The schedule repeats after
 ``period`` slots, and a block's slot follows from its number alone, by a table
 of ``period`` rows. When a source has no block left, a new phase begins with the
 weights of those that remain, so there are as many phases as sources at most;
@@ -30,16 +32,22 @@ from .runtime import written
 
 
 def quantised(weights: list[float], period: int) -> list[int]:
-    """Whole shares of ``period`` nearest to the weights, one at least, by
-    largest remainders."""
-    total = sum(weights)
+    """Whole shares of ``period`` nearest to the weights, by largest remainders;
+    weights below one slot get one, and the others share what is left."""
     if len(weights) > period:
         raise ValueError("more sources than slots in a period")
-    spare = period - len(weights)
-    exact = [spare * w / total for w in weights]
-    out = [1 + int(x) for x in exact]
-    order = sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))
-    for i in order[:period - sum(out)]:
+    out, rest, spare = [1] * len(weights), list(range(len(weights))), period
+    while rest:
+        total = sum(weights[i] for i in rest)
+        exact = {i: spare * weights[i] / total for i in rest}
+        large = [i for i in rest if exact[i] >= 1]
+        if len(large) == len(rest):
+            break
+        spare -= len(rest) - len(large)
+        rest = large
+    for i in rest:
+        out[i] = int(exact[i])
+    for i in sorted(rest, key=lambda i: (int(exact[i]) - exact[i], i))[:period - sum(out)]:
         out[i] += 1
     return out
 

@@ -85,3 +85,16 @@ def test_weights_shared_stream_and_empty_table(spark, docs):
     assert P.mixed(docs([])).count() == 0
     twice = docs(["a", "b"]).union(docs(["a", "b"]))
     assert P.mixed(twice).count() == 4
+
+
+@pytest.mark.parametrize("weights", [[0.9, 0.1], [0.33] + [0.67 / 19] * 19, [0.33] + [0.67 / 199] * 199, [5, 3, 2], [1] * 1000, [0.2, 0.3, 0.5]])
+def test_shares_are_the_nearest(weights):
+    shares = P.quantised(weights, 1000)
+    assert sum(shares) == 1000
+    assert all(abs(s - 1000 * w / sum(weights)) < 1 for s, w in zip(shares, weights))
+    if len(weights) == 2:
+        assert shares == [900, 100]
+
+
+def test_a_weight_below_one_slot_gets_one():
+    assert P.quantised([1e-9, 3.0, 1.0], 401) == [1, 300, 100]
