@@ -5,8 +5,10 @@ A spot signature is a common word (the anchor) with the chain of the next
 fingerprint is the set of its signatures, digested to 128 bits beside the
 set's length and its length partition; two fingerprints are as alike as the
 Jaccard similarity of their sets. Sets of partitions that are not neighbours
-differ too much in length to reach ``PARTITION`` alike, and the comparison ends
-early where the lengths, or the signatures left to see, rule out ``least``.
+differ too much in length to reach ``PARTITION`` alike. ``jaccard`` can end early
+where the lengths, or the signatures left to see, rule out ``least``; the operator
+wants exact values and never does so. It compares a text with its edited text and
+the next document only: sets are not searched for near copies by partitions.
 
 The edited text of a document needs the next document by id: rows go to ranges
 of ids, each range with the first document of the range after it, and a task
