@@ -75,11 +75,11 @@ def tokens(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
 def _cells(blocks_of) -> callable:
     """A task that adds up cells and sends them in compressed blocks."""
     def run(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)  # a task's own; sums over tasks take 64 bits
         for batch in batches:
             for cells in blocks_of(batch):
                 own, n = np.unique(cells, return_counts=True)
-                total[own] += n
+                total[own] += n.astype(np.uint32)
         for i, part in enumerate(np.split(total, BLOCKS)):
             if part.any():
                 yield pa.RecordBatch.from_arrays(

@@ -15,12 +15,19 @@ from ..session import checkpoint_dir
 
 #: Text bytes that a task works on at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch (whole texts, some of them long).
+BATCH_ROWS = 1000
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, as ``--py-files`` does (Spark's file
-    server hands the archive out). Once per context."""
+    server hands the archive out). Once per context. A session that leaves the
+    rows of an Arrow batch at Spark's default gets ``BATCH_ROWS``: rows are whole
+    texts here, and a batch is held several times over on either side."""
     sc = spark.sparkContext
+    if spark.conf.get(ROWS_SETTING, "10000") == "10000":
+        spark.conf.set(ROWS_SETTING, str(BATCH_ROWS))
     if getattr(sc, "_tablekit_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
