@@ -8,10 +8,8 @@ aggregates over the distinct n-grams. Four units pack into one 64-bit key, so a
 model is arrays of sorted keys beside arrays of log-probabilities, searched by
 bisection. Documents whose mean negative log-probability a unit lies outside
 their language's band are rejected. The band comes from the documents that pass
-the word rules: their median, less and more ``reach(n)`` robust standard
-deviations, of the documents below it and of those above. Of n normal values
-hardly one lies sqrt(2 ln n) deviations away; the rest of ``reach`` is three times
-the relative error of a side's deviation, so that few documents get a wide band.
+the word rules: their median, less and more ``REACH`` robust standard
+deviations, of the documents below it and of those above, whatever their number.
 
 The arrays go to the tasks as a broadcast only if their rows number at most
 ``broadcast_rows``; beyond that the documents' distinct n-grams are joined with
@@ -37,6 +35,8 @@ from . import textops
 from .runtime import ship, slices, text_column, utf8_bytes, written
 
 ORDER = 4
+#: Robust deviations from the median to either end of a language's band.
+REACH = 4.5
 PAD = "\x02"
 COUNT_BYTES = 2 << 20
 U = np.uint64
@@ -310,7 +310,7 @@ def score(df: DataFrame, model: DataFrame, text: str = "text", lang: str = "lang
           carry: list[str] | None = None, broadcast_rows: int = 8_000_000) -> DataFrame:
     """``(row, lang, measures, n_units, log_ppl)``: ``row`` has the input columns
     ``carry`` (default: all), ``log_ppl`` is the mean negative log-probability
-    of a unit (null without units)."""
+    of a unit (null without units, or where the model lacks the language)."""
     spark = df.sparkSession
     ship(spark)
     carry = carry or df.columns
@@ -332,7 +332,8 @@ def score(df: DataFrame, model: DataFrame, text: str = "text", lang: str = "lang
                     keys, n = runs(gram_keys([t]))
                     units.append(int(n.sum()))
                     if shared:
-                        total.append(float((shared.value[x].log_p(keys) * n).sum()) if len(keys) else None)
+                        own = shared.value.get(x)
+                        total.append(float((own.log_p(keys) * n).sum()) if own and len(keys) else None)
                     else:
                         grams.append((keys.astype(np.int64), n))
                 cols = [part.column("row"), part.column("lang"), *[pa.array(got[k], pa.int64()) for k in MEASURES],
@@ -352,29 +353,43 @@ def score(df: DataFrame, model: DataFrame, text: str = "text", lang: str = "lang
         return out
     # beyond the bound: the documents' distinct n-grams meet the model's rows
     out = written(out.withColumn("id", F.expr("uuid()")), "kn-documents")
-    grams = out.select("id", "lang", F.explode(F.arrays_zip("keys", "times")).alias("x"))
-    known = model.filter(F.col("kind") == ORDER).select("lang", "key", "value")
-    sums = grams.select("id", "lang", F.col("x.keys").alias("key"), F.col("x.times").alias("n")).join(
-        known, ["lang", "key"]).groupBy("id").agg(F.sum(F.col("n") * F.col("value")).alias("s"))
+    grams = written(out.select("id", "lang", F.explode(F.arrays_zip("keys", "times")).alias("x")).select(
+        "id", "lang", F.col("x.keys").alias("key"), F.col("x.times").alias("n")), "kn-document-grams")
+    known = log_p_rows(grams.select("lang", "key").distinct(), model)
+    sums = grams.join(known, ["lang", "key"]).groupBy("id").agg(F.sum(F.col("n") * F.col("log_p")).alias("s"))
     return out.drop("keys", "times").join(sums, "id", "left").withColumn(
         "log_ppl", F.when(F.col("n_units") > 0, -F.col("s") / F.col("n_units"))).drop("id", "s")
 
 
-def base_failed():
-    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+def log_p_rows(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """``(lang, key, log_p)`` of distinct n-grams, as ``Arrays.log_p``: an n-gram
+    that the model lacks takes its context's back-off weight and the next lower
+    order, down to the probability of a unit never seen."""
+    def rows(kind: int, name: str) -> DataFrame:
+        return model.filter(F.col("kind") == kind).select("lang", F.col("key").alias("part"), F.col("value").alias(name))
+
+    whole = written(grams.join(rows(ORDER, "log_p").withColumnRenamed("part", "key"), ["lang", "key"], "left"), "kn-known")
+    rest = whole.filter("log_p is null").select("lang", "key")
+    for n in range(ORDER - 1, -1, -1):  # the context of n units, then the n-gram that is left
+        context = F.shiftrightunsigned(_tail(F.col("key"), n + 1), 16) if n < ORDER - 1 else F.shiftrightunsigned("key", 16)
+        rest = rest.withColumn("part", context if n else F.lit(0).cast("bigint")).join(rows(-n, f"b{n}"), ["lang", "part"], "left")
+        if n:
+            rest = rest.withColumn("part", _tail(F.col("key"), n)).join(rows(n, f"p{n}"), ["lang", "part"], "left")
+    found = F.col("b0")
+    for n in range(1, ORDER):
+        found = F.coalesce(F.col(f"p{n}"), found) + F.coalesce(F.col(f"b{n}"), F.lit(0.0))
+    return whole.filter("log_p is not null").union(rest.select("lang", "key", found.alias("log_p")))
 
 
-def reach(n):
-    """Robust deviations from the median to either end of the band of n documents."""
-    return F.sqrt(2 * F.log(F.greatest(n, F.lit(2.0)))) * (1 + 5 / F.sqrt(n))
+def base_failed():
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def bands(scored: DataFrame, lower: float | None, upper: float | None, least: float = 0.02) -> DataFrame:
+def bands(scored: DataFrame, lower: float = REACH, upper: float = REACH, least: float = 0.02) -> DataFrame:
     """``(lang, low, high)``: the median of ``log_ppl`` of the documents that pass
     the word rules, less ``lower`` and more ``upper`` robust standard deviations
-    (1.4826 times the median distance from it, ``least`` at least). A None is
-    ``reach`` of the language's documents, with the deviation of those on its side
-    of the median."""
+    (1.4826 times the median distance from it, ``least`` at least) of the documents
+    on that side of it."""
     grid = 1000
 
     def median(table: DataFrame, value: str, name: str) -> DataFrame:
@@ -390,20 +405,17 @@ def bands(scored: DataFrame, lower: float | None, upper: float | None, least: fl
     mid = median(ok, "log_ppl", "mid")
     off = F.col("log_ppl") - _of_language(mid, "mid")["mid"]
     off = ok.select("lang", off.alias("off"), F.abs(off).alias("away"))
-    out = mid.join(ok.groupBy("lang").agg(F.count("*").cast("double").alias("n")), "lang")
 
-    def end(out: DataFrame, times: float | None, side, name: str) -> DataFrame:
-        part = off if times is not None else off.filter(F.round(side * F.col("off") * grid) > 0)
-        out = out.join(median(part, "away", "mad"), "lang", "left")
+    def end(out: DataFrame, times: float, side: int, name: str) -> DataFrame:
+        out = out.join(median(off.filter(F.round(side * F.col("off") * grid) > 0), "away", "mad"), "lang", "left")
         sigma = F.greatest(F.lit(least), 1.4826 * F.coalesce("mad", F.lit(0.0)))
-        far = (F.lit(times) if times is not None else reach(F.col("n"))) * sigma
-        return out.withColumn(name, F.col("mid") + side * far).drop("mad")
+        return out.withColumn(name, F.col("mid") + side * times * sigma).drop("mad")
 
-    return end(end(out, lower, -1, "low"), upper, 1, "high").select("lang", "low", "high")
+    return end(end(mid, lower, -1, "low"), upper, 1, "high").select("lang", "low", "high")
 
 
 def judge(df: DataFrame, text: str = "text", lang: str = "lang", carry: list[str] | None = None,
-          lower: float | None = None, upper: float | None = None) -> DataFrame:
+          lower: float = REACH, upper: float = REACH) -> DataFrame:
     """``(row, lang, measures, n_units, log_ppl, low, high, base_failed, kept)``;
     ``lower`` and ``upper`` as in ``bands``."""
     model = written(smooth(written(count_grams(df, text, lang), "kn-counts")), "kn-model")

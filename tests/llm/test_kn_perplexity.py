@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablekit.llm import kn_perplexity as K
 
@@ -103,6 +104,27 @@ def test_unseen_grams_back_off(spark, docs, texts):
     assert -(model.log_p(keys) * n).sum() / n.sum() == pytest.approx(want(other), rel=1e-9)
 
 
+@pytest.mark.parametrize("broadcast_rows", [8_000_000, 0])
+def test_documents_that_the_model_never_saw(spark, docs, texts, broadcast_rows):
+    model = K.written(K.smooth(K.count_grams(docs(texts[::2]))), "test-kn-half")
+    want = plain_model(texts[::2])
+    others = texts[1::2] + ["ane lofi ŧ xyzab", "日本"]
+    got = {r["doc_id"]: r["log_ppl"] for r in
+           K.score(docs(others), model, carry=["doc_id"], broadcast_rows=broadcast_rows).select("row.doc_id", "log_ppl").collect()}
+    for i, t in enumerate(others):
+        assert got[i] == pytest.approx(want(t), rel=1e-9)
+    strange = K.score(docs(["abc"], langs=["xx"]), model, broadcast_rows=broadcast_rows).first()
+    assert strange["log_ppl"] is None and strange["n_units"] == 3
+
+
+def test_band_is_the_same_for_a_larger_corpus(spark, docs, prose):
+    rows = [prose(60 + i, i) for i in range(30)] + [" ".join("%x" % (i * 7919 ** 3) for i in range(80))]
+    some = K.judge(docs(rows), carry=["doc_id"]).select("row.doc_id", "log_ppl", "kept", "low").collect()
+    scored = docs(rows * 5, langs=["en"] * 5 * len(rows)).select((F.col("doc_id") % len(rows)).alias("doc_id"), "lang").join(
+        spark.createDataFrame(some), "doc_id").withColumn("n_words", F.lit(99)).withColumn("n_repeat_words", F.lit(0))
+    assert K.bands(scored).first()["low"] == some[0]["low"]
+
+
 def test_verdicts(spark, docs, texts, prose):
     good = [prose(200, i) for i in range(60)]
     odd = " ".join("%x" % (i * 7919 ** 3) for i in range(120))
@@ -120,12 +142,11 @@ def plain_band(values):
     def median(xs):
         bins = sorted(math.floor(x * 1000 + 0.5) for x in xs)
         return bins[(len(bins) - 1) // 2] / 1000
-    n, mid = len(values), median(values)
-    reach = math.sqrt(2 * math.log(max(n, 2))) * (1 + 5 / math.sqrt(n))
+    mid = median(values)
     ends = []
     for side in (-1, 1):
         away = [abs(v - mid) for v in values if math.floor(side * (v - mid) * 1000 + 0.5) > 0]
-        ends.append(mid + side * reach * max(0.02, 1.4826 * median(away) if away else 0.0))
+        ends.append(mid + side * 4.5 * max(0.02, 1.4826 * median(away) if away else 0.0))
     return ends
 
 
