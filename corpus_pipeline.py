@@ -4,9 +4,7 @@ before has kept, written as Parquet in the shared folder between them.
 Toxic documents go, then those that the word rules or their language's
 perplexity band reject, then all but one document of each group of near copies;
 the rest is put in the order of the source mix and encoded. All stages but the
-last return the columns of documents. Documents with a null id have no group
-name and stay where a group has no other; rows of one id are one document, of
-which the first by its columns' order stays.
+last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -35,13 +33,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word Jaccard 0.8 the one with the smallest id."""
-    groups = jaccard_multimatch.linked(docs.select("doc_id", "text"), k=5, percent=80)
-    kept = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    first = Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi").withColumn("place", F.row_number().over(first))
-    return _rows(rows.filter((F.col("place") == 1) | F.col("row.doc_id").isNull()))
+    """Of each group of documents linked by five-word Jaccard 0.8 the one with the
+    smallest id (a null id only where no other is). Rows of one id and text are
+    one document, of which the first by its columns' order stays; unlike texts of
+    one id are documents of their own."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.xxhash64("doc_id", "text").alias("key"))
+    groups = jaccard_multimatch.linked(rows.select("key", "row.text"), key="key", k=5, percent=80).distinct()
+    members = rows.groupBy("key").agg(F.min("row.doc_id").alias("id"), F.count("*").alias("times"))
+    best = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key", "times")).alias("best")
+    kept = written(groups.join(members, "key").groupBy("component_id").agg(best).select("best.key", "best.times"), "nd-kept")
+    once = rows.join(kept.filter("times = 1"), "key", "left_semi").select("row")
+    # decided on ids: only documents that occur more than once are compared as rows
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    more = rows.join(kept.filter("times > 1"), "key", "left_semi").withColumn("place", place).filter("place = 1").select("row")
+    return _rows(once.union(more))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
