@@ -50,6 +50,15 @@ def test_stage_by_five_words_and_four_fifths(spark, docs, texts):
     assert len(kept) < len({c for _, c in brute(texts, 3, 90)})
 
 
+def test_one_id_with_unlike_texts_and_null_ids(spark, docs, prose):
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(1, a), (1, b), (2, c), (None, c), (None, prose(60, 4)), (7, a), (1, a), (9, None), (9, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)],
+                               "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = sorted(((r["doc_id"], r["text"]) for r in C.near_duplicates(spark, df, "").collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (2, c), (None, rows[4][1]), (9, None)], key=str)
+
+
 @pytest.mark.parametrize("k, percent", [(3, 90), (5, 80), (2, 67)])
 def test_lengths_and_thresholds(spark, docs, texts, k, percent):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.linked(docs(texts), k=k, percent=percent).collect()}

@@ -1,6 +1,5 @@
 """Each stage of the pipeline on what the one before kept, against plain Python."""
 
-import math
 import os
 import sys
 
@@ -14,8 +13,8 @@ import corpus_pipeline as C  # noqa: E402
 from tablekit.llm import bpe_bitmap, toxic_grammar  # noqa: E402
 from tablekit.llm.runtime import written  # noqa: E402
 
-from test_jaccard_multimatch import brute  # noqa: E402
-from test_kn_perplexity import plain_measures, plain_model  # noqa: E402
+from test_kn_perplexity import plain_band, plain_measures, plain_model  # noqa: E402
+from test_near_duplicate_stage import brute  # noqa: E402
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -69,31 +68,24 @@ def test_quality_rules(stages):
     want = []
     for own in by_lang.values():
         log_ppl = plain_model([r["text"] or "" for r in own])
-        ok, kept = [], []
+        ok = []
         for r in own:
             n, _, _, _, repeat = plain_measures(r["text"])
             if n >= 20 and 100 * repeat <= 30 * n:
                 ok.append((log_ppl(r["text"]), r))
-
-        def median(values):
-            bins = sorted(math.floor(v * 1000 + 0.5) for v in values)
-            return bins[(len(bins) - 1) // 2] / 1000
         if ok:
-            mid = median([v for v, _ in ok])
-            sigma = max(0.02, 1.4826 * median([abs(v - mid) for v, _ in ok]))
-            kept = [r for v, r in ok if mid - 10 * sigma <= v <= mid + 10 * sigma]
-        want += kept
+            low, high = plain_band([v for v, _ in ok])
+            want += [r for v, r in ok if low <= v <= high]
     assert sorted(rows(stages[2][1]), key=key) == sorted(want, key=key)
 
 
 def test_near_duplicates(stages):
     before = sorted(rows(stages[2][1]), key=key)
-    named = [r for r in before if r["doc_id"] is not None]
     groups = {}
-    for r, (_, c) in zip(named, brute([r["text"] for r in named])):
-        groups.setdefault(c, []).append(r["doc_id"])
-    got = [r["doc_id"] for r in rows(stages[3][1])]
-    assert sorted(d for d in got if d is not None) == sorted(min(g) for g in groups.values())
+    for r, (_, c) in zip(before, brute([r["text"] for r in before], 5, 80)):
+        groups.setdefault(c, []).append(r)
+    got = rows(stages[3][1])
+    assert sorted(got, key=key) == sorted((min(g, key=key) for g in groups.values()), key=key)
 
 
 def test_mix_keeps_all_and_encoding_matches(stages):
