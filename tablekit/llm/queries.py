@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_bitmap, edit_counts, feistel_order, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn,
-               pfair_mix, spotsigs, toxic_grammar)
+               pfair_mix, spelling_trie, spotsigs, toxic_grammar)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,16 @@ def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.recount(docs.withColumn("edits", edit_counts.sample_edits()))
 
 
+def op11_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    runs = spelling_trie.word_runs(docs, least=7, carry=["doc_id"])
+    run = F.col("run")
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), run))
+    word = F.when(h % 31 == 0, spelling_trie.without_letter(run, h % F.length(run))).otherwise(run)
+    words = runs.select(word.alias("word")).filter(F.length("word") >= 7)
+    return spelling_trie.variants(spelling_trie.count_words(words, least=2), ratio=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_site_style_tree,
     op2_pfair_mix,
@@ -75,6 +85,7 @@ QUERIES = {f.__name__: f for f in (
     op8_lsa_knn,
     op9_jaccard_multimatch,
     op10_edit_counts,
+    op11_frequency_vector_trie,
 )}
 
 #: Shingle sets, links and reachability as SQL.
