@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_bitmap, edit_counts, feistel_order, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn,
-               pfair_mix, spelling_trie, spotsigs, toxic_grammar)
+               pfair_mix, spelling_trie, spotsigs, toxic_grammar, turn_repair, url_boost)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,28 @@ def op11_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_trie.variants(spelling_trie.count_words(words, least=2), ratio=10)
 
 
+def op12_rank_convergence_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+
+    def given(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(given("conv_id"), F.lit(":"), given("turn"))) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(given("text"), "[.!?]", "")).otherwise(given("text"))
+    damaged = turns.select("conv_id", "turn", F.when(fate == 4, "user").otherwise(given("role")).alias("role"), text.alias("text"),
+                           F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1).alias("times"))
+    return turn_repair.repair(damaged, times="times")
+
+
+#: (verdict, host, path)
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op13_url_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_boost.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_site_style_tree,
     op2_pfair_mix,
@@ -86,6 +108,8 @@ QUERIES = {f.__name__: f for f in (
     op9_jaccard_multimatch,
     op10_edit_counts,
     op11_frequency_vector_trie,
+    op12_rank_convergence_viterbi,
+    op13_url_boost,
 )}
 
 #: Shingle sets, links and reachability as SQL.
