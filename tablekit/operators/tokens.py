@@ -63,6 +63,18 @@ def lemmatize(df: DataFrame, key: str, words: str, lemmas: DataFrame, name: str
               .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<string>"))))
 
 
+def map_words(df: DataFrame, key: str, words: str, change, name: str = "words") -> DataFrame:
+    """``(key, name)``: each word of the array column ``words`` replaced by
+    ``change`` of it, a column expression applied once to every distinct word. The
+    changed words are written first, so that a frequent word's partition can be
+    split in the join back; rows without words get an empty array."""
+    ex = df.select(key, F.posexplode_outer(words).alias("_pos", "_w"))
+    changed = cut_lineage(ex.select("_w").filter(F.col("_w").isNotNull()).distinct().withColumn("_new", change(F.col("_w"))))
+    g = ex.join(changed, "_w", "left").groupBy(key).agg(F.array_sort(F.collect_list(
+        F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_new")))).alias("_s"))
+    return g.select(key, F.transform("_s", lambda s: s["_new"]).alias(name))
+
+
 def vocabulary(texts: DataFrame, text_cols: list[str], min_df: int, tokens=split_ws) -> DataFrame:
     """Words occurring in at least ``min_df`` distinct texts, over the
     distinct union of the text columns."""
@@ -201,24 +213,63 @@ def idf_weights(vocab: DataFrame, n_docs) -> DataFrame:
     return vocab.select("term", F.ln((F.lit(n_docs) + 1) / (F.col("df") + 1)).alias("idf"))
 
 
+def full_join_corpus(pairs_tokens: DataFrame, tokens1: str, tokens2: str) -> DataFrame:
+    """``(tokens, times)``: the documents of a full outer join of the two token
+    columns on equal arrays, without its pairs. An array that stands m times on the left
+    and n times on the right makes m * n rows of the join, or m + n where one side lacks it
+    (a NULL array equals none); counting both sides in one aggregate gives every
+    distinct array and how often it occurs."""
+    both = (pairs_tokens.select(F.col(tokens1).alias("tokens"), F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+            .unionByName(pairs_tokens.select(F.col(tokens2).alias("tokens"), F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    counts = both.groupBy("tokens").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    met = F.col("tokens").isNotNull() & (F.col("_l") > 0) & (F.col("_r") > 0)
+    return counts.select("tokens", F.when(met, F.col("_l") * F.col("_r")).otherwise(F.col("_l") + F.col("_r")).alias("times"))
+
+
+def corpus_vocabulary(corpus: DataFrame, tokens: str = "tokens", times: str = "times", min_df: float = 1.0,
+                      vocab_size: int | None = None) -> DataFrame:
+    """``(term, df, total)`` of a corpus whose documents carry a multiplicity: a
+    document counts ``times`` times. ``min_df`` and ``vocab_size`` as in
+    ``term_counts``."""
+    places = corpus.select(F.col(times).alias("_n"), F.col(tokens).alias("_t"), F.posexplode(tokens).alias("_pos", "term"))
+    # a document counts for a term at the term's first place
+    new = F.array_position("_t", F.col("term")) == F.col("_pos") + 1
+    stats = places.groupBy("term").agg(F.sum(F.when(new, F.col("_n"))).alias("df"), F.sum("_n").alias("total"))
+    if min_df >= 1:
+        stats = stats.filter(F.col("df") >= min_df)
+    else:
+        stats = stats.filter(F.col("df") >= corpus.agg(F.sum(times)).scalar() * min_df)
+    if vocab_size is not None:
+        stats = dense_index(stats, [desc("total"), "term"], name="_rank").filter(F.col("_rank") <= vocab_size).drop("_rank")
+    return cut_lineage(stats.select("term", "df", "total"))
+
+
 def tfidf_pair_distance(pairs_tokens: DataFrame, key: str, tokens1: str, tokens2: str,
                         min_df: float = 2.0, corpus_mode: str = "union",
                         vocab_size: int | None = None) -> DataFrame:
     """Squared Euclidean distance between the TF-IDF vectors of two texts of
-    a pair. The corpus is the bag union of both token columns (each text is
-    a document). Sparse vectors are ``(key, term, weight)`` rows, combined
+    a pair. The corpus that vocabulary and document frequencies come from is the
+    bag union of both token columns (``corpus_mode="union"``, each text is a
+    document) or their full outer join on equal arrays (``"fulljoin"``, counted
+    by ``full_join_corpus``). Sparse vectors are ``(key, term, weight)`` rows, combined
     per ``(key, term)`` by aggregation. Returns ``(key, dist)`` for every
     key."""
-    if corpus_mode != "union":
-        raise ValueError("only the union corpus is built; an array-key full join "
-                         "emits all pairs of equal texts")
+    if corpus_mode not in ("union", "fulljoin"):
+        raise ValueError(f"unknown corpus mode {corpus_mode!r}")
     side = F.lit
     pairs_tokens = pairs_tokens.select(key, tokens1, tokens2)
     docs = (pairs_tokens.select(key, side(1).alias("_side"), F.col(tokens1).alias("_tok"))
             .unionByName(pairs_tokens.select(key, side(2).alias("_side"), F.col(tokens2).alias("_tok"))))
-    vocab, counts = term_counts(docs.select(F.struct(key, "_side").alias("_doc"), "_tok"),
-                                "_doc", "_tok", min_df=min_df, vocab_size=vocab_size)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    docs = docs.select(F.struct(key, "_side").alias("_doc"), "_tok")
+    if corpus_mode == "union":
+        vocab, counts = term_counts(docs, "_doc", "_tok", min_df=min_df, vocab_size=vocab_size)
+        n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    else:
+        corpus = cut_lineage(full_join_corpus(pairs_tokens, tokens1, tokens2))
+        vocab = corpus_vocabulary(corpus, min_df=min_df, vocab_size=vocab_size)
+        terms = docs.select("_doc", F.explode("_tok").alias("term")).groupBy("_doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+        counts = terms.join(vocab.select("term"), "term", "left_semi")
+        n_docs = corpus.agg(F.sum("times")).scalar()
     w = (counts.join(idf_weights(vocab, n_docs), "term")
          .select(F.col("_doc")[key].alias(key), F.col("_doc")["_side"].alias("_side"), "term",
                  (F.col("tf") * F.col("idf")).alias("w")))

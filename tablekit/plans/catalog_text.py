@@ -10,9 +10,12 @@ from .features import FEATURE_NAMES, normalized_pairs, pair_features, with_lemma
 from .lexicon import lemma_table
 from .registry import query
 from ..functions import fuzzy as FZ
+from ..functions import matching as MB
 from ..functions import ngrams as NG
 from ..functions import sequences as SQ
+from ..functions import stemming as ST
 from ..functions import text as TX
+from ..functions import treebank as TB
 from ..functions import vectors as V
 from ..operators import tokens as TK
 from ..session import cut_lineage
@@ -129,6 +132,25 @@ def q_lemmatize(spark, d):
     return out.select("doc_id", F.array_join("lem", " ").alias("lemma"))
 
 
+@query("text_stem", section="T13", sql=f"""
+WITH ex AS (SELECT doc_id, UNNEST(ws) AS w, UNNEST(range(1, len(ws) + 1)) AS pos FROM (
+       SELECT doc_id, {Q.content_words('text')} AS ws FROM documents) d),
+ {Q.porter_ctes('ex')},
+ g AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS stems FROM ex JOIN stems ON ex.w = stems.word GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.stems, '') AS stems FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id""")
+def q_stem(spark, d):
+    docs = RS(spark, d, "documents", "doc_id", "doc_id", "text").select("doc_id", TX.content_words("text").alias("w"))
+    out = TK.map_words(docs, "doc_id", "w", ST.porter_stem, "stems")
+    return out.select("doc_id", F.array_join("stems", " ").alias("stems"))
+
+
+@query("text_treebank", section="T14", sql=f"""
+SELECT doc_id, CAST(len({Q.treebank_sentences('text')}) AS INTEGER) AS n_sentences, {Q.treebank_words('text')} AS words FROM documents""")
+def q_treebank(spark, d):
+    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select(
+        "doc_id", F.size(TB.treebank_sentences("text")).alias("n_sentences"), TB.treebank_words("text").alias("words"))
+
+
 @query("text_sentences", section="T14")
 def q_sentences(spark, d):
     s = RS(spark, d, "documents", "doc_id", "doc_id", "text", "lang").select(
@@ -395,6 +417,36 @@ def q_tfidf(spark, d):
     return out.select("id", F.round("dist", 4).alias("tfidfDistance"))
 
 
+#: The full outer join of both token columns on equal arrays, as it stands.
+FULL_JOIN_SQL = f"(SELECT coalesce(a.t1, b.t2) AS words FROM {LEMMA_PAIRS_SQL} a FULL JOIN {LEMMA_PAIRS_SQL} b ON a.t1 = b.t2)"
+FULL_JOIN_VOCAB_SQL = f"""(WITH c AS (SELECT row_number() OVER () AS r, words FROM {FULL_JOIN_SQL} j),
+ tf AS (SELECT r, term, COUNT(*) AS tf FROM (SELECT r, UNNEST(words) AS term FROM c) x GROUP BY ALL)
+ SELECT term, COUNT(*) AS df, CAST(SUM(tf) AS BIGINT) AS total, (SELECT COUNT(*) FROM c) AS n_docs FROM tf GROUP BY term HAVING COUNT(*) >= 2)"""
+
+
+def _lemma_tokens(spark, d):
+    lp = with_lemmas(B.pairs(spark, d), lemma_table(spark))
+    return cut_lineage(lp.select("id", TX.tokenize("lemma1").alias("t1"), TX.tokenize("lemma2").alias("t2")))
+
+
+@query("corpus_full_join", section="J12/T24", sql=f"SELECT term, df, total, n_docs FROM {FULL_JOIN_VOCAB_SQL} v")
+def q_corpus_full_join(spark, d):
+    corpus = cut_lineage(TK.full_join_corpus(_lemma_tokens(spark, d), "t1", "t2"))
+    return TK.corpus_vocabulary(corpus, min_df=2.0).withColumn("n_docs", corpus.agg(F.sum("times")).scalar())
+
+
+@query("tfidf_full_join", section="J12/T25", sql=f"""
+WITH lp AS {LEMMA_PAIRS_SQL}, v AS {FULL_JOIN_VOCAB_SQL},
+ tf AS (SELECT id, side, term, COUNT(*) AS tf FROM (
+   SELECT id, 1 AS side, UNNEST(t1) AS term FROM lp UNION ALL SELECT id, 2 AS side, UNNEST(t2) AS term FROM lp) x GROUP BY ALL),
+ w AS (SELECT id, term, SUM(CASE WHEN side = 1 THEN tf ELSE -tf END) * ln((any_value(n_docs) + 1) / (any_value(df) + 1)) AS w
+         FROM tf JOIN v USING (term) GROUP BY id, term)
+SELECT lp.id, round(coalesce(SUM(w.w * w.w), 0.0), 4) AS dist FROM lp LEFT JOIN w ON w.id = lp.id GROUP BY lp.id""")
+def q_tfidf_full_join(spark, d):
+    out = TK.tfidf_pair_distance(_lemma_tokens(spark, d), "id", "t1", "t2", min_df=2.0, corpus_mode="fulljoin")
+    return out.select("id", F.round("dist", 4).alias("dist"))
+
+
 AB_SQL = f"(SELECT id, question1 AS a, question2 AS b FROM {PAIRS} p)"
 
 
@@ -449,6 +501,14 @@ def q_fuzzy_partial(spark, d):
     return _ab(spark, d).select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
 
 
+@query("fuzzy_blocks", section="T26")
+def q_fuzzy_blocks(spark, d):
+    """Matching blocks of whole lower-cased texts, with and without popular characters."""
+    a, b = F.lower("a"), F.lower("b")
+    return _ab(spark, d).select("id", F.round(MB.matching_ratio(a, b), 9).alias("similarity"),
+                                F.round(MB.matching_ratio(a, b, popular=False), 9).alias("all_blocks"))
+
+
 @query("pair_features", section="T27/J10", sql=f"""
 WITH b AS (SELECT id, question1 AS q1, question2 AS q2, {Q.lemma_text('question1')} AS l1,
                   {Q.lemma_text('question2')} AS l2 FROM {PAIRS} p),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..functions import stemming as ST
+from ..functions import treebank as TB
 from ..functions.text import NORMALIZE_REPLACEMENTS, STOP_WORDS
 from .lexicon import LEMMAS
 
@@ -96,6 +98,87 @@ def one_byte(table: str, *cols: str) -> str:
  one_byte AS (SELECT raw.* EXCLUDE ({', '.join(cols)}), {put} FROM raw, names)"""
 
 
+def rewritten(x: str, rules) -> str:
+    for pattern, new in rules:
+        x = f"regexp_replace({x}, {lit(pattern)}, {lit(new)}, 'g')"
+    return x
+
+
+def treebank_sentences(x: str) -> str:
+    parts = f"string_split({rewritten(x, TB.sentence_rules())}, {lit(TB.BREAK)})"
+    return rf"list_filter(list_transform({parts}, lambda s: regexp_replace(s, '^\s+|\s+\z', '', 'g')), lambda s: s <> '')"
+
+
+def treebank_words(x: str) -> str:
+    return f"flatten(list_transform({treebank_sentences(x)}, lambda s: {split_ws(rewritten('s', TB.rewrite_rules()))}))"
+
+
+def _kinds(x: str) -> str:
+    return (f"list_reduce(list_prepend('', string_split({x}, '')), lambda a, c: a || CASE WHEN c IN ('a', 'e', 'i', 'o', 'u') THEN 'v' "
+            "WHEN c = 'y' AND a[-1] = 'c' THEN 'v' ELSE 'c' END)")
+
+
+def _m(n: int) -> str:
+    """Measure of the word without its last n letters."""
+    k = f"k[:length(k) - {n}]"
+    return f"((length({k}) - length(replace({k}, 'vc', ''))) / 2)"
+
+
+def _rest(n: int) -> str:
+    return f"x[:length(x) - {n}]"
+
+
+def _cvc(n: int) -> str:
+    k, last = f"k[:length(k) - {n}]", f"x[length(x) - {n}]"
+    return f"((ends_with({k}, 'cvc') AND {last} NOT IN ('w', 'x', 'y')) OR {k} = 'vc')"
+
+
+def _suffix_case(rules, least: int) -> str:
+    arms = []
+    for suffix, new in rules:
+        n = len(suffix)
+        holds = f"{_m(3 if suffix == 'logi' else n)} > {least}"
+        if suffix == "ion":
+            holds += f" AND x[length(x) - {n}] IN ('s', 't')"
+        arms.append(f"WHEN ends_with(x, '{suffix}') THEN CASE WHEN {holds} THEN {_rest(n)} || '{new}' ELSE x END")
+    return f"CASE {' '.join(arms)} ELSE x END"
+
+
+def _after_drop(n: int) -> str:
+    """What becomes of the word without its last n letters, an ``ed`` or ``ing``."""
+    r = _rest(n)
+    return (f"CASE WHEN ends_with({r}, 'at') OR ends_with({r}, 'bl') OR ends_with({r}, 'iz') THEN {r} || 'e' "
+            f"WHEN length({r}) > 1 AND k[length(k) - {n}] = 'c' AND x[length(x) - {n}] = x[length(x) - {n + 1}] "
+            f"THEN CASE WHEN x[length(x) - {n}] IN ('l', 's', 'z') THEN {r} ELSE {_rest(n + 1)} END "
+            f"WHEN {_m(n)} = 1 AND {_cvc(n)} THEN {r} || 'e' ELSE {r} END")
+
+
+def porter_ctes(words: str) -> str:
+    """CTEs from ``words`` (with a lower-case column ``w``) to ``stems (word, stem)``."""
+    plain = " ".join(f"WHEN ends_with(x, '{s}') THEN {_rest(len(s))} || '{new}'" for s, new in ST.STEP_1A)
+    has_vowel = "contains(k[:length(k) - {n}], 'v')"
+    steps = [
+        f"CASE WHEN ends_with(x, 'ies') AND length(x) = 4 THEN {_rest(3)} || 'ie' {plain} ELSE x END",
+        f"CASE WHEN ends_with(x, 'ied') THEN {_rest(3)} || CASE WHEN length(x) = 4 THEN 'ie' ELSE 'i' END "
+        f"WHEN ends_with(x, 'eed') THEN CASE WHEN {_m(3)} > 0 THEN {_rest(3)} || 'ee' ELSE x END "
+        f"WHEN ends_with(x, 'ed') AND {has_vowel.format(n=2)} THEN {_after_drop(2)} "
+        f"WHEN ends_with(x, 'ing') AND {has_vowel.format(n=3)} THEN {_after_drop(3)} ELSE x END",
+        f"CASE WHEN ends_with(x, 'y') AND length(x) > 2 AND k[length(k) - 1] = 'c' THEN {_rest(1)} || 'i' ELSE x END",
+        f"CASE WHEN ends_with(x, 'alli') AND {_m(4)} > 0 THEN {_rest(4)} || 'al' ELSE x END",
+        _suffix_case((*ST.STEP_2, ("fulli", "ful"), ("logi", "log")), 0),
+        _suffix_case(ST.STEP_3, 0),
+        _suffix_case([(s, "") for s in ST.STEP_4], 1),
+        f"CASE WHEN ends_with(x, 'e') AND ({_m(1)} > 1 OR ({_m(1)} = 1 AND NOT {_cvc(1)})) THEN {_rest(1)} ELSE x END",
+        f"CASE WHEN ends_with(x, 'll') AND {_m(1)} > 1 THEN {_rest(1)} ELSE x END"]
+    out = [f"p0 AS (SELECT DISTINCT w AS word, w AS x FROM {words})"]
+    for i, step in enumerate(steps):
+        out.append(f"q{i} AS (SELECT word, x, {_kinds('x')} AS k FROM p{i})")
+        out.append(f"p{i + 1} AS (SELECT word, {step} AS x FROM q{i})")
+    known = " ".join(f"WHEN word = {lit(w)} THEN {lit(s)}" for w, s in ST.IRREGULAR)
+    out.append(f"stems AS (SELECT word, CASE {known} WHEN length(word) <= 2 THEN word ELSE x END AS stem FROM p{len(steps)})")
+    return ",\n ".join(out)
+
+
 def sig(x: str, digits: int = 10) -> str:
     return f"CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE)"
 
