@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from . import bindings as B
 from .registry import query
+from ..operators.ordering import dense_index
 from ..operators.shaping import id_offset_union
 from ..session import scratch_path
 from ..sources import files as SRC
+from ..sources.csv_records import numbered_lines
 from ..sources import sinks as SNK
 from ..sources.tables import read_table as T
 
@@ -88,6 +90,18 @@ def q_csv_roundtrip(spark, d):
     return spark.read.csv(one, header=True, schema="itemId int, plays bigint, users bigint")
 
 
+@query("sink_single_csv", section="S08", sql=f"""
+SELECT row_number() OVER (ORDER BY itemId) AS line, itemId, plays, users FROM (
+  SELECT itemId, CAST(SUM("count") AS BIGINT) AS plays, COUNT(userId) AS users FROM {B.USER_ITEM_SQL} ui GROUP BY itemId) x""")
+def q_single_csv(spark, d):
+    """One file with one header, in order: the place of each line is read back too."""
+    from .recommender import item_popularity
+    path = SNK.write_csv(item_popularity(B.user_item(spark, d)), scratch_path(spark, "single.csv"), single_file=True, order=["itemId"])
+    lines = dense_index(numbered_lines(spark, path), ["block", "line"], name="number", start=0)
+    return lines.filter(F.col("number") > 0).select(
+        F.col("number").alias("line"), F.from_csv("value", "itemId int, plays bigint, users bigint").alias("r")).select("line", "r.*")
+
+
 @query("sink_parquet_keyed", section="S10", sql=f"""
 SELECT userId, itemId, "count" FROM {B.USER_ITEM_SQL} ui""")
 def q_parquet_keyed(spark, d):

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from . import bindings as B
 from . import models as MD
 from . import recommender as R
+from . import sqlfrag as Q
+from . import statistics as ST
 from .registry import query
+from ..functions.special import sig
 from ..operators.sampling import hash_bucket, hash_split
 from ..session import cut_lineage, scratch_path
 from ..sources.sinks import write_csv
@@ -129,9 +132,37 @@ def q_glm_predict(spark, d):
     return model.transform(docs).select("doc_id", "prediction")
 
 
-@query("ols_multi", section="L04/L03")
+_WIDE_X = ("l_quantity", "l_discount", "l_tax")
+
+
+def _wide_sql() -> str:
+    """Three predictors by the inverse of their 3 x 3 matrix, from cofactors."""
+    def c(i, j):
+        a, b, d, e = [(p, q) for p in range(3) if p != i for q in range(3) if q != j]
+        return f"((s{min(a)}{max(a)} * s{min(e)}{max(e)} - s{min(b)}{max(b)} * s{min(d)}{max(d)}) * {(-1) ** (i + j)})"
+    names = [*_WIDE_X, "l_extendedprice"]
+    sums = ", ".join(f"count(*) * covar_pop({names[i]}, {names[j]}) AS s{i}{j}" for i in range(4) for j in range(i, 4))
+    means = ", ".join(f"avg({x}) AS m{i}" for i, x in enumerate(names))
+    inv = ", ".join(f"{c(j, i)} / det AS i{i}{j}" for i in range(3) for j in range(3))
+    beta = ", ".join(" + ".join(f"i{i}{j} * s{j}3" for j in range(3)) + f" AS b{i}" for i in range(3))
+    fit = " + ".join(f"b{i} * s{i}3" for i in range(3))
+    at = " + ".join(f"b{i} * m{i}" for i in range(3))
+    spread = " + ".join(f"m{i} * i{i}{j} * m{j}" for i in range(3) for j in range(3))
+    rows = " UNION ALL ".join([*[f"SELECT '{x}' AS term, b{i} AS b, sqrt(v * i{i}{i}) AS se, r2, dof FROM v" for i, x in enumerate(_WIDE_X)],
+                               f"SELECT '(intercept)', m3 - ({at}), sqrt(v * (1.0 / n + {spread})), r2, dof FROM v"])
+    p = Q.betainc("dof / 2.0", "0.5", "(dof / (dof + (b / se) * (b / se)))")
+    return f"""WITH s AS (SELECT count(*) AS n, {sums}, {means} FROM lineitem),
+ d AS (SELECT *, s00 * {c(0, 0)} + s01 * {c(0, 1)} + s02 * {c(0, 2)} AS det FROM s), i AS (SELECT *, {inv} FROM d), b AS (SELECT *, {beta} FROM i),
+ v AS (SELECT *, (s33 - ({fit})) / (n - 4) AS v, ({fit}) / s33 AS r2, CAST(n - 4 AS BIGINT) AS dof FROM b), r AS ({rows})
+SELECT term, {Q.sig('b', 6)} AS coefficient, {Q.sig('se', 6)} AS std_error, {Q.sig('b / se', 6)} AS t_value, round({p}, 6) AS p_value,
+       round(r2, 9) AS r2, dof AS df_resid FROM r"""
+
+
+@query("ols_multi", section="L04/L03", sql=_wide_sql())
 def q_ols_multi(spark, d):
-    return MD.ols_multi(B.numeric(spark, d), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+    out = ST.ols_wide(B.numeric(spark, d), "l_extendedprice", list(_WIDE_X))
+    return out.select("term", *[sig(F.col(c), 6).alias(c) for c in ("coefficient", "std_error", "t_value")],
+                      F.round("p_value", 6).alias("p_value"), F.round("r2", 9).alias("r2"), "df_resid")
 
 
 @query("gbt_auc", section="L09")

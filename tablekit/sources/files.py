@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .csv_records import read_csv_records
+
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per line (column ``value``); a glob reads every matching file."""
@@ -26,9 +28,12 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str, sep
                    header: bool = True, multi_line: bool = False, quote: str = '"',
                    escape: str = '"') -> DataFrame:
     """CSV with an explicit schema (the recommended mode: no inference pass).
-    ``multi_line`` allows line breaks in quoted values; a file is then one task."""
+    ``multi_line`` allows line breaks in quoted values (``csv_records``: a file is
+    still read in splits)."""
+    if multi_line:
+        return read_csv_records(spark, path, schema, sep, header, quote, escape)
     return spark.read.csv(path, schema=schema, sep=sep, header=header,
-                          multiLine=multi_line, quote=quote, escape=escape)
+                          quote=quote, escape=escape)
 
 
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",", header: bool = True,

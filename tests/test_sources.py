@@ -52,3 +52,65 @@ def test_csv_line_breaks_need_the_option(spark):
     SNK.write_csv(spark.createDataFrame([(1, "a\nb")], "k int, v string"), path, header=True)
     assert SRC.read_csv_typed(spark, path, "k int, v string").count() == 2
     assert SRC.read_csv_typed(spark, path, "k int, v string", multi_line=True).collect()[0]["v"] == "a\nb"
+
+
+HARD = ['plain', 'comma, inside', 'a "quoted" word', 'two\nlines', 'three\n\nlines, "and quotes"', '"', '""', '\n', 'ends with break\n',
+        '\r\ncarriage', 'x' * 3000, 'long\n' * 400, 'é😀\n"ü"', ' spaced ']
+
+
+def test_csv_records_across_splits(spark):
+    rows = [(i, HARD[i % len(HARD)] + str(i), HARD[(i * 7) % len(HARD)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    path = SNK.write_csv(df.repartition(3), scratch_path(spark, "csv-hard"), header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(path, lineSep="\n").rdd.getNumPartitions() > 30
+        back = SRC.read_csv_typed(spark, path, "k int, a string, b string", multi_line=True)
+        whole = spark.read.csv(path, schema="k int, a string, b string", header=True, multiLine=True, quote='"', escape='"')
+        assert sorted(map(str, back.collect())) == sorted(map(str, whole.collect())) and back.count() == 600
+        # a record longer than many splits
+        big = [(1, "y\n" * 20_000 + '"end"'), (2, "after")]
+        one = SNK.write_csv(spark.createDataFrame(big, "k int, a string").coalesce(1), scratch_path(spark, "csv-big"))
+        assert sorted(tuple(r) for r in SRC.read_csv_typed(spark, one, "k int, a string", multi_line=True).collect()) == big
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_records_like_the_whole_file_reader(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,"a\nname"\r\n1,"x\r\ny"\r\n\r\n2,\r\n3,""\r\n4,"z"', newline="")
+    (tmp_path / "b.csv").write_text("k,a\n5,'p\nq'\n", newline="")
+    (tmp_path / "c.csv").write_text("")
+    schema = "k int, a string"
+    got = sorted(map(tuple, SRC.read_csv_typed(spark, f"{tmp_path}/a.csv", schema, multi_line=True).collect()))
+    assert got == [(1, "x\r\ny"), (2, None), (3, None), (4, "z")]
+    both = SRC.read_csv_typed(spark, f"{tmp_path}/[bc].csv", schema, multi_line=True, quote="'", escape="\\")
+    assert [tuple(r) for r in both.collect()] == [(5, "p\nq")]
+    no_header = SRC.read_csv_typed(spark, f"{tmp_path}/b.csv", "k string, a string", header=False, multi_line=True, quote="'", escape="'")
+    assert sorted(tuple(r) for r in no_header.collect()) == [("5", "p\nq"), ("k", "a")]
+
+
+def test_backslash_escapes_do_not_open_values(spark, tmp_path):
+    (tmp_path / "e.csv").write_text('1,"say \\"hi\n there"\n2,"b"\n', newline="")
+    got = SRC.read_csv_typed(spark, f"{tmp_path}/e.csv", "k int, a string", header=False, multi_line=True, escape="\\")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 'say "hi\n there'), (2, "b")]
+
+
+def test_single_file_from_parallel_parts(spark):
+    import os
+    df = spark.range(0, 5000, numPartitions=7).select((4999 - F.col("id")).alias("id"), F.concat(F.lit('a "b", '), "id").alias("the, name"))
+    path = SNK.write_csv(df, scratch_path(spark, "one.csv"), single_file=True, order=["id"])
+    assert os.path.isfile(path) and not [f for f in os.listdir(os.path.dirname(path)) if f.startswith(os.path.basename(path) + "-parts")]
+    lines = open(path).read().splitlines()
+    assert lines[0] == 'id,"the, name"' and [int(x.split(",")[0]) for x in lines[1:]] == list(range(5000))
+    back = spark.read.csv(path, header=True, escape='"', schema="id bigint, name string")
+    assert back.filter(F.col("name") != F.concat(F.lit('a "b", '), (4999 - F.col("id")).cast("string"))).count() == 0
+    import pytest
+    with pytest.raises(ValueError):
+        SNK.write_csv(df, path, single_file=True)
+    SNK.write_csv(df.limit(0), path, mode="overwrite", single_file=True, header=False)
+    assert os.path.getsize(path) == 0
+    SNK.write_csv(df.limit(3), path, mode="ignore", single_file=True)
+    assert os.path.getsize(path) == 0
