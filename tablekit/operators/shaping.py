@@ -63,6 +63,16 @@ def key_by(df: DataFrame, key: Column, name: str = "k", value: str = "v") -> Dat
     return df.select(key.alias(name), F.struct(*df.columns).alias(value))
 
 
+def keys(df: DataFrame, key: str = "k") -> DataFrame:
+    """``keys()``: one row per pair, the key alone."""
+    return df.select(key)
+
+
+def values(df: DataFrame, value: str = "v") -> DataFrame:
+    """``values()``: one row per pair, the value alone."""
+    return df.select(value)
+
+
 def map_values(df: DataFrame, value: str, fn) -> DataFrame:
     """``mapValues``: one row per key, value transformed."""
     return df.withColumn(value, fn(F.col(value)))

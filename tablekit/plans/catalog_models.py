@@ -13,6 +13,7 @@ from . import models as MD
 from . import recommender as R
 from . import sqlfrag as Q
 from . import statistics as ST
+from .grid import run_grid
 from .registry import query
 from ..functions.special import sig
 from ..operators.sampling import hash_bucket, hash_split
@@ -94,26 +95,26 @@ def q_ols_two(spark, d):
                       F.round("intercept", 2).alias("intercept"))
 
 
+# The boosting rounds, and the forest's trees and depths, that the
+# source tries.
+GBT_ROUNDS = (5, 250)
+FOREST_TREES, FOREST_DEPTHS = (400, 200), (30, 1)
+
+
 @query("gbt_tuning", section="L09")
 def q_gbt_tuning(spark, d):
     """Area under the curve by the number of boosting rounds."""
     train, test = _split(_labelled(spark, d), "doc_id")
-    rows = []
-    for rounds in (10, 40):
-        _, _, auc = MD.fit_evaluate(train, test, "gbt", maxIter=rounds)
-        rows.append((rounds, auc))
-    return spark.createDataFrame(rows, "max_iter int, auc double")
+    points = [{"max_iter": n} for n in GBT_ROUNDS]
+    return MD.classifier_grid(train, test, "gbt", points, {"maxIter": "max_iter"}, scratch_path(spark, "gbt-grid"))
 
 
 @query("rf_grid", section="L10")
 def q_rf_grid(spark, d):
     """Area under the curve over trees and depth of a random forest."""
     train, test = _split(_labelled(spark, d), "doc_id")
-    rows = []
-    for trees, depth in itertools.product((50, 200), (5, 15)):
-        _, _, auc = MD.fit_evaluate(train, test, "rf", numTrees=trees, maxDepth=depth)
-        rows.append((trees, depth, auc))
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, auc double")
+    points = [{"num_trees": t, "max_depth": p} for t, p in itertools.product(FOREST_TREES, FOREST_DEPTHS)]
+    return MD.classifier_grid(train, test, "rf", points, {"numTrees": "num_trees", "maxDepth": "max_depth"}, scratch_path(spark, "rf-grid"))
 
 
 @query("als_pairs_report", section="L17")
@@ -224,20 +225,37 @@ def q_als_pairs(spark, d):
 
 @query("als_grid_search", section="L15")
 def q_als_grid(spark, d):
+    """Mean AUC per user over rank, regularisation and confidence; all points read one
+    training set, one test set and one set of negatives."""
     train, test = _als_split(spark, d)
     n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
-    negatives = R.hashed_negatives(test, n_items)
-    rows = []
-    for rank, reg, alpha in itertools.product((5, 10), (0.5, 2.0), (1.0, 2.0)):
-        model = MD.fit_als(train, rank=rank, alpha=alpha, reg=reg)
-        scored = (model.transform(test.select("userId", "itemId")).withColumn("is_pos", F.lit(1))
-                  .unionByName(model.transform(negatives).withColumn("is_pos", F.lit(0))))
-        auc = R.mean_user_auc(scored.withColumnRenamed("prediction", "score")).first()
-        rows.append((reg, alpha, rank, float(auc["mean_auc"]) if auc["mean_auc"] is not None else None))
-    return spark.createDataFrame(rows, "reg_param double, alpha double, rank int, mean_auc double")
-
-
-@query("negative_sampling", section="M04")
+    negatives = R.hashed_negatives(test, n_items).select("userId", "itemId", F.lit(0).alias("is_pos"))
+    pairs = cut_lineage(test.select("userId", "itemId", F.lit(1).alias("is_pos")).unionByName(negatives))
+    train = cut_lineage(train)
+
+    def fit(point):
+        model = MD.als(rank=point["rank"], alpha=point["alpha"], reg=point["reg_param"]).fit(train)
+        scored = model.transform(pairs).withColumnRenamed("prediction", "score")
+        auc = R.mean_user_auc(scored).first()["mean_auc"]
+        return {"mean_auc": None if auc is None else float(auc)}
+
+    points = [{"rank": r, "reg_param": g, "alpha": a} for r, g, a in itertools.product((5, 10), (0.5, 2.0), (1.0, 2.0))]
+    return run_grid(spark, points, fit, "reg_param double, alpha double, rank int, mean_auc double", scratch_path(spark, "als-grid"))
+
+
+@query("negative_sampling", section="M04", sql=f"""
+WITH ui AS {B.USER_ITEM_SQL},
+ cand AS (SELECT itemId, row_number() OVER (ORDER BY itemId) - 1 AS place FROM (
+   SELECT itemId FROM ui GROUP BY itemId ORDER BY count(*) DESC, itemId LIMIT 10000) x),
+ size AS (SELECT count(*) AS size FROM cand),
+ u AS (SELECT userId, itemId, count(*) OVER (PARTITION BY userId) AS npos, {Q.mixed_hash('CAST(userId AS BIGINT)', 0)} AS uh FROM ui),
+ i AS (SELECT *, {Q.mixed_hash('uh + itemId', 1)} AS ih FROM u),
+ h AS (SELECT userId, npos, d, {Q.mixed_hash('ih + d', 2)} * {Q.PRIME} + {Q.mixed_hash('ih + d', 3)} AS h FROM i, range(1, 17) r(d)),
+ drawn AS (SELECT h.*, cand.itemId, size.size, ui.userId IS NULL AS fresh FROM h, size JOIN cand ON cand.place = h.h % size.size
+   LEFT JOIN ui ON ui.userId = h.userId AND ui.itemId = cand.itemId),
+ ranked AS (SELECT *, row_number() OVER w AS attempt, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER w AS kept FROM drawn
+   WINDOW w AS (PARTITION BY userId ORDER BY d, h, itemId ROWS UNBOUNDED PRECEDING))
+SELECT userId, itemId FROM ranked WHERE fresh AND kept <= npos AND attempt <= size""")
 def q_negative_sampling(spark, d):
     ui = B.user_item(spark, d, materialize=True)
     cands = R.item_popularity(ui).orderBy(F.col("users").desc(), F.col("itemId")).limit(10_000).select("itemId")

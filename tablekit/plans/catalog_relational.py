@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import bindings as B
+from . import sqlfrag as Q
 from .registry import query
 from ..operators import aggregate as AG
 from ..operators import joins as J
@@ -450,26 +451,17 @@ def q_subtract_bag(spark, d):
 # ---------------------------------------------------------------- sampling
 
 
-def _seeded_sql(key: str, seed: int) -> str:
-    return f"((((({key}) % {M.PRIME}) * {M.MULT} + {seed}) % {M.PRIME}) * {M.MULT} % {M.PRIME})"
-
-
-def _mixed_sql(key: str, seed: int) -> str:
-    x = _seeded_sql(key, seed)
-    return f"((({x} * {x} + {seed + 1}) % {M.PRIME}) * {M.MULT} % {M.PRIME})"
-
-
 _LINE_KEY = "l_orderkey * 8 + l_linenumber"
 
 
 @query("sample_fraction", section="M01", sql=f"""
-SELECT l_orderkey, l_linenumber FROM lineitem WHERE {_mixed_sql(_LINE_KEY, 42)} < {int(0.1 * M.PRIME)}""")
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE {Q.mixed_hash(_LINE_KEY, 42)} < {int(0.1 * M.PRIME)}""")
 def q_sample_fraction(spark, d):
     return M.sample_fraction(T(spark, d, "lineitem", "l_orderkey", "l_linenumber"), 0.1, 42, F.expr(_LINE_KEY))
 
 
 @query("sample_poisson", section="M01", sql=f"""
-SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, {_mixed_sql(_LINE_KEY, 7)} AS h FROM lineitem) x,
+SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, {Q.mixed_hash(_LINE_KEY, 7)} AS h FROM lineitem) x,
        (VALUES {', '.join(f'({t})' for t in M.poisson_steps(0.5))}) s(t) WHERE h >= t""")
 def q_sample_poisson(spark, d):
     return M.sample_fraction(T(spark, d, "lineitem", "l_orderkey", "l_linenumber"), 0.5, 7, F.expr(_LINE_KEY), with_replacement=True)
@@ -477,7 +469,7 @@ def q_sample_poisson(spark, d):
 
 @query("sample_n_replace", section="M02", sql=f"""
 WITH o AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS place, count(*) OVER () AS size FROM orders),
- d AS (SELECT r.range AS draw, {_mixed_sql('r.range', 42)} * {M.PRIME} + {_mixed_sql('r.range', 43)} AS h FROM range(1, 20001) r)
+ d AS (SELECT r.range AS draw, {Q.mixed_hash('r.range', 42)} * {M.PRIME} + {Q.mixed_hash('r.range', 43)} AS h FROM range(1, 20001) r)
 SELECT d.draw, o.o_orderkey, o.o_totalprice FROM d JOIN o ON o.place = d.h % o.size + 1""")
 def q_sample_n_replace(spark, d):
     return M.sample_n_replace(T(spark, d, "orders", "o_orderkey", "o_totalprice"), 20_000, 42, "o_orderkey")

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_ws
 from ..operators.ordering import dense_index, grouped_running_sum
+from ..operators.sampling import PRIME, mixed_hash
 from ..session import checkpoint_dir, cut_lineage
+from .grid import run_grid
 
 DOC_FEATURES = ["n_chars", "n_words", "avg_word_len", "upper_share", "digit_share",
                 "symbol_share", "n_lines"]
@@ -73,6 +75,39 @@ def glm_summary(df: DataFrame, label: str, cols: list[str], family: str = "binom
     return model, spark.createDataFrame(row, schema)
 
 
+def score_equations(fitted: DataFrame, label: str, cols: list[str], digits: int = 4) -> DataFrame:
+    """``(term, score, n)``: for each predictor and the intercept the sum of x (y - mu)
+    over the rows, relative to the sum of |x|; 0 at the fit of a canonical link."""
+    off = F.col(label).cast("double") - F.col("prediction")
+    size = [F.greatest(F.sum(F.abs(F.col(c))), F.lit(1.0)) for c in cols]
+    terms = [F.struct(F.lit(c).alias("term"), (F.sum(F.col(c) * off) / s).alias("score")) for c, s in zip(cols, size)]
+    terms.append(F.struct(F.lit("(intercept)").alias("term"), F.avg(off).alias("score")))
+    one = fitted.agg(F.array(*terms).alias("t"), F.count(F.lit(1)).alias("n"))
+    return one.select(F.explode("t").alias("t"), "n").select("t.term", (F.round("t.score", digits) + 0.0).alias("score"), "n")
+
+
+def factor_equations(train: DataFrame, users: DataFrame, items: DataFrame, alpha: float, reg: float,
+                     user: str = "userId", item: str = "itemId", rating: str = "count", least: float = 1e-3) -> DataFrame:
+    """``(user, solved)``: whether each user's factors x solve
+    (Y'Y + sum a r y y' + reg n) x = sum (1 + a r) y over the user's n items, to ``least`` of
+    the right side's size. Sums are aggregates by user and factor; Y'Y has rank squared entries."""
+    items = items.select(F.col("id").alias(item), F.col("features").cast("array<double>").alias("_y"))
+    users = users.select(F.col("id").alias(user), F.col("features").cast("array<double>").alias("_x"))
+    products = F.flatten(F.transform("_y", lambda a, i: F.transform("_y", lambda b, j: F.struct(i.alias("i"), j.alias("j"), (a * b).alias("ab")))))
+    gram = items.select(F.explode(products).alias("p")).groupBy("p.i", "p.j").agg(F.sum("p.ab").alias("s"))
+    gram = gram.groupBy(F.col("i").alias("_k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "s"))), lambda e: e["s"]).alias("_g"))
+    c = F.lit(alpha) * F.col(rating)
+    rows = train.join(items, item).join(users, user)
+    dot = F.aggregate(F.zip_with("_x", "_y", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    rows = rows.select(user, c.alias("_c"), dot.alias("_d"), F.posexplode("_y").alias("_k", "_v"))
+    sums = rows.groupBy(user, "_k").agg(F.sum((F.col("_c") * F.col("_d") - 1 - F.col("_c")) * F.col("_v")).alias("_left"),
+                                        F.sum((1 + F.col("_c")) * F.col("_v")).alias("_right"), F.count(F.lit(1)).alias("_n"))
+    own = F.aggregate(F.zip_with("_x", "_g", lambda x, g: x * g), F.lit(0.0), lambda a, x: a + x)
+    off = F.col("_left") + own + reg * F.col("_n") * F.element_at("_x", F.col("_k") + 1)
+    return (sums.join(users, user).join(gram, "_k").groupBy(user)
+            .agg((F.sqrt(F.sum(off * off)) <= least * F.sqrt(F.sum(F.col("_right") * F.col("_right")))).alias("solved")))
+
+
 def ols_multi(df: DataFrame, label: str, cols: list[str]) -> DataFrame:
     """Normal-equation least squares with the full summary as one row."""
     data = assemble(df, cols).select("features", F.col(label).alias("label"))
@@ -112,10 +147,25 @@ def fit_evaluate(train: DataFrame, test: DataFrame, kind: str, label: str = "lab
     finally:
         train.unpersist()
     pred = model.transform(test)
-    raw = "rawPrediction" if kind != "mlp" else "rawPrediction"
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw,
-                                        metricName="areaUnderROC").evaluate(pred)
-    return model, pred, auc
+    return model, pred, area_under_curve(pred, label)
+
+
+def area_under_curve(pred: DataFrame, label: str = "label") -> float:
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC").evaluate(pred)
+
+
+def classifier_grid(train: DataFrame, test: DataFrame, kind: str, points: list[dict], names: dict[str, str],
+                    table: str, label: str = "label") -> DataFrame:
+    """AUC on ``test`` of a classifier fitted on ``train`` at every point; ``names``:
+    the classifier's parameters and their column names. Both sets are written once."""
+    train, test = cut_lineage(train), cut_lineage(test)
+
+    def fit(point: dict) -> dict:
+        params = {k: point[c] for k, c in names.items()}
+        return {"auc": area_under_curve(classifier(kind, label, **params).fit(train).transform(test), label)}
+
+    schema = ", ".join([f"{c} int" for c in names.values()] + ["auc double"])
+    return run_grid(train.sparkSession, points, fit, schema, table)
 
 
 def probability_of_one(pred: DataFrame, key: str) -> DataFrame:
@@ -157,46 +207,64 @@ def score_report(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count(F.when(F.isnan("prediction"), 1)).alias("n_nan"))
 
 
+def _integer_key(df: DataFrame, name: str):
+    """The column as an integer for ``mixed_hash`` (other types by their hash)."""
+    if df.schema[name].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return F.col(name).cast("long")
+    return F.pmod(F.xxhash64(name), F.lit(PRIME))
+
+
+def draw_hash(user, item, draw, seed: int):
+    """The hash of a positive row's draw, from 0 to PRIME squared."""
+    h = mixed_hash(mixed_hash(user, seed) + item, seed + 1) + draw
+    return mixed_hash(h, seed + 2) * PRIME + mixed_hash(h, seed + 3)
+
+
 def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0,
                       user: str = "userId", item: str = "itemId") -> DataFrame:
     """Per user, as many unseen items as positives, drawn uniformly (with
     replacement) from ``candidates``, unless as many draws as there are
     candidates don't give them.
 
-    Draws are made per positive row (not per user), two in each round, so a
-    user with a third of all rows spreads over many tasks. Users short of items
-    draw again; a user with a share f of the candidates needs about
-    1 / (2 f) rounds at most. The per-user cut is a distributed grouped
-    running count."""
-    cand = dense_index(candidates.select(item).distinct(), [item], name="_ci")
-    cand = cut_lineage(cand)
+    Draws are hashes of a positive row and the draw's number, so that a user with a
+    third of all rows spreads over many tasks; a user's draws count by number, then by
+    hash. Two a row are made for all users at once; only users short of items draw on,
+    two in each round (a user with a share f of the candidates needs about 1 / (2 f) rounds at
+    most), and only their counts go from round to round. The per-user cut is a
+    distributed grouped running count."""
+    cand = cut_lineage(dense_index(candidates.select(item).distinct(), [item], name="_ci"))
     n_cand = cand.count()
-    pos = positives.select(user, item)
-    n_pos = cut_lineage(pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos")))
+    keys = _integer_key(positives, user), _integer_key(positives, item)
+    pos = positives.select(user, item, keys[0].alias("_uk"), keys[1].alias("_ik"))
     seen = pos.select(user, item, F.lit(0).alias("_valid")).distinct()
 
     def drawn(rows, first):
-        d = rows.select(user, item, F.explode(F.sequence(F.lit(first), F.lit(first + 1))).alias("_d"))
-        d = d.select(user, "_d", F.xxhash64(user, item, "_d", F.lit(seed)).alias("_h"))
+        d = rows.withColumn("_d", F.explode(F.sequence(F.lit(first), F.lit(first + 1))))
+        d = d.select(user, "_d", draw_hash(F.col("_uk"), F.col("_ik"), F.col("_d"), seed).alias("_h"))
         d = d.withColumn("_ci", F.pmod(F.col("_h"), F.lit(n_cand)) + 1).join(cand, "_ci").drop("_ci")
         d = d.join(seen, [user, item], "left").withColumn("_valid", F.coalesce("_valid", F.lit(1)))
         return cut_lineage(d.withColumn("_one", F.lit(1)))
 
-    draws, first = None, 1
+    def counts(draws):
+        return draws.groupBy(user).agg(F.sum("_valid").alias("_kept"), F.sum("_one").alias("_made"))
+
+    if not n_cand:
+        return positives.select(user, item).limit(0)
+    draws = drawn(pos, 1)
+    n_pos = pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos"))
+    state, first = cut_lineage(counts(draws).join(n_pos, user)), 1
+    short = state
     while True:
-        if draws is None:
-            rows = pos if n_cand else pos.limit(0)
-        else:
-            state = draws.groupBy(user).agg(F.sum("_valid").alias("_kept"), F.count(F.lit(1)).alias("_made"))
-            short = cut_lineage(state.join(n_pos, user).filter(
-                (F.col("_kept") < F.col("_npos")) & (F.col("_made") < n_cand)).select(user))
-            if short.isEmpty():
-                break
-            rows = pos.join(short, user, "left_semi")
-        more = drawn(rows, first)
-        draws, first = more if draws is None else draws.unionByName(more), first + 2
+        short = cut_lineage(short.filter((F.col("_kept") < F.col("_npos")) & (F.col("_made") < n_cand)))
+        if short.isEmpty():
+            break
+        first += 2
+        more = drawn(pos.join(short.select(user), user, "left_semi"), first)
+        draws = draws.unionByName(more)
+        both = short.unionByName(counts(more).withColumn("_npos", F.lit(None).cast("long")))
+        short = both.groupBy(user).agg(F.sum("_kept").alias("_kept"), F.sum("_made").alias("_made"), F.max("_npos").alias("_npos"))
     ranked = grouped_running_sum(draws, [user], ["_d", "_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
-    out = (ranked.join(n_pos, user)
+    out = (ranked.join(state.select(user, "_npos"), user)
            .filter((F.col("_valid") == 1) & (F.col("_kept") <= F.col("_npos"))
                    & (F.col("_attempt") <= n_cand)))
     return out.select(user, item)

@@ -33,5 +33,5 @@ def query(key: str, sql: str | None = None, section: str = ""):
 def load_all() -> dict[str, Registered]:
     # importing the plan modules fills REGISTRY
     from . import (catalog_relational, catalog_text, catalog_stats,  # noqa: F401
-                   catalog_recsys, catalog_models, catalog_io)
+                   catalog_recsys, catalog_models, catalog_io, catalog_checks)
     return REGISTRY

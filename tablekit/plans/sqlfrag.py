@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..functions import stemming as ST
 from ..functions import treebank as TB
 from ..functions.text import NORMALIZE_REPLACEMENTS, STOP_WORDS
+from ..operators.sampling import MULT, PRIME
 from .lexicon import LEMMAS
 
 
@@ -179,6 +180,15 @@ def porter_ctes(words: str) -> str:
     return ",\n ".join(out)
 
 
+def seeded_hash(key: str, seed: int) -> str:
+    return f"((((({key}) % {PRIME}) * {MULT} + {seed}) % {PRIME}) * {MULT} % {PRIME})"
+
+
+def mixed_hash(key: str, seed: int) -> str:
+    x = seeded_hash(key, seed)
+    return f"((({x} * {x} + {seed + 1}) % {PRIME}) * {MULT} % {PRIME})"
+
+
 def sig(x: str, digits: int = 10) -> str:
     return f"CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE)"
 
