@@ -1,160 +1,153 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents, in a keyed pseudo-random order, are laid end to end and
-cut into blocks of ``block_chars`` characters (a document belongs to the block
-it begins in). Block j of a source of weight w is released at slot floor(j / w)
-and due by slot ceil((j + 1) / w); in each slot the released block with the
-earliest deadline runs. So after any number t of slots a source has had more
-than w t - 1 and less than w t + 1 blocks.
-
-Weights are rounded to multiples of 1 / ``period``, and the bound holds for the
-rounded ones: from the weight asked for, a source drifts by up to a block or so
-every period. The schedule repeats after
-``period`` slots, and a block's slot follows from its number alone, by a table
-of ``period`` rows. When a source has no block left, a new phase begins with the
-weights of those that remain, so there are as many phases as sources at most;
-sources beyond the ``streams`` largest share one stream, which bounds the
-tables. No document is dropped or repeated.
-
-A null source is a source of its own; null and empty texts take no room and
+A source's documents, in a keyed pseudo-random order, are laid end to end (each
+takes its characters and one more) and cut into blocks; a document belongs to the
+block it begins in. In the ideal mix all sources run at once, each at a rate of its
+weight's share among those that still have something left; after V units of weighted
+time a source of weight w and n blocks has had min(w V, n) blocks, and all together as many
+slots as those add up to. Block j is released at the slot in which the ideal mix
+begins it, and due by the end of the slot in which the ideal mix ends it; both are
+sums over the sources that end earlier and a product, in whole numbers. In each slot
+the released block with the earliest deadline runs, which meets every
+deadline: after any number of slots every source is less than one block from the ideal
+mix, whatever its weight and the number of sources.
+
+The schedule is a table of a row a block, joined to the documents on source and block.
+Blocks have ``block_chars`` characters, or more where the corpus would have over
+``BLOCKS`` of them, so the schedule is made by one task from one row a source. Nothing
+depends on the session's number of partitions: parts of a source are ranges of its
+documents' hashes, ``PARTS`` of them. No document is dropped or repeated.
+
+A null source is a source of its own; null and empty texts take one character and
 stay. Rows of one id keep one place each (ties fall by text); an empty table
 gives an empty one. Extra columns are carried.
 """
 
 from __future__ import annotations
 
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import written
-
-
-def quantised(weights: list[float], period: int) -> list[int]:
-    """Whole shares of ``period`` nearest to the weights, by largest remainders;
-    weights below one slot get one, and the others share what is left."""
-    if len(weights) > period:
-        raise ValueError("more sources than slots in a period")
-    out, rest, spare = [1] * len(weights), list(range(len(weights))), period
-    while rest:
-        total = sum(weights[i] for i in rest)
-        exact = {i: spare * weights[i] / total for i in rest}
-        large = [i for i in rest if exact[i] >= 1]
-        if len(large) == len(rest):
-            break
-        spare -= len(rest) - len(large)
-        rest = large
-    for i in rest:
-        out[i] = int(exact[i])
-    for i in sorted(rest, key=lambda i: (int(exact[i]) - exact[i], i))[:period - sum(out)]:
-        out[i] += 1
-    return out
-
-
-def pattern(shares: list[int]) -> list[tuple[int, int]]:
-    """``(source, j)`` of each slot of one period: earliest deadline first among
-    the released blocks."""
-    period = sum(shares)
-    waiting = [(0, i, 0) for i in range(len(shares))]  # release, source, block
-    heapify(waiting)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, i, j = heappop(waiting)
-            heappush(ready, (-(-(j + 1) * period // shares[i]), i, j))
-        _, i, j = heappop(ready)
-        out.append((i, j))
-        if j + 1 < shares[i]:
-            heappush(waiting, ((j + 1) * period // shares[i], i, j + 1))
-    return out
-
-
-def phases(blocks: list[int], weights: list[float], period: int):
-    """``(rows, starts)`` of the schedule. ``rows``: (phase, source, j, slot) of
-    one period of each phase; ``starts``: (phase, source, share, first block,
-    blocks, first slot)."""
-    left, done, at = list(blocks), [0] * len(blocks), 0
-    rows, starts, phase = [], [], 0
-    while any(left):
-        live = [i for i, n in enumerate(left) if n]
-        shares = quantised([weights[i] for i in live], period)
-        slots = pattern(shares)
-        # the first slot after which some live source has no block left
-        place = {}
-        for t, (k, j) in enumerate(slots):
-            place[k, j] = t
-        last = [(left[i] - 1) // shares[k] * period + place[k, (left[i] - 1) % shares[k]] for k, i in enumerate(live)]
-        end = min(last) + 1
-        for t, (k, j) in enumerate(slots):
-            rows.append((phase, live[k], j, t))
-        for k, i in enumerate(live):
-            full, rest = divmod(end, period)
-            n = full * shares[k] + sum(1 for x, _ in slots[:rest] if x == k)
-            starts.append((phase, i, shares[k], done[i], n, at))
-            done[i] += n
-            left[i] -= n
-        at += end
-        phase += 1
-    return rows, starts
-
-
-def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-          carry: list[str] | None = None, weights: dict | None = None, exponent: float = 0.7, block_chars: int = 1 << 14, period: int = 1000, streams: int = 200, seed: int = 17) -> DataFrame:
-    """The input columns ``carry`` (default: all) in ``row``, and ``stream, block, phase, slot, offset``:
+from .runtime import ship, written
+
+#: Blocks of a schedule, beside one a source.
+BLOCKS = 1 << 18
+PARTS_BITS = 12
+#: Weights are whole numbers that add up to about this.
+TOTAL_WEIGHT = 1 << 40
+#: Rows of a schedule that are sent to every task; more are joined by shuffle.
+BROADCAST_ROWS = 1 << 20
+
+
+def whole_weights(weights: list[float]) -> list[int]:
+    """Whole numbers in proportion to the weights, 1 at least."""
+    total = sum(weights) or 1.0
+    return [max(1, round(w / total * TOTAL_WEIGHT)) for w in weights]
+
+
+def windows(blocks: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(source, block, release, due)`` of every block, in slots."""
+    end = blocks / weights  # weighted time at which the ideal mix is through with a source
+    order = np.argsort(end, kind="stable")
+    gone = np.concatenate(([0], np.cumsum(blocks[order])))  # blocks of the sources that end first
+    live = weights.sum() - np.concatenate(([0], np.cumsum(weights[order])))
+    source = np.repeat(np.arange(len(blocks)), blocks)
+    j = np.arange(len(source)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+
+    def slot(k):
+        """The ideal mix's slots, as a whole part and a fraction's terms, when it ends block k - 1."""
+        w = weights[source]
+        at = np.searchsorted(end[order], k / w, "left")
+        at = np.minimum(at, len(blocks) - 1)
+        return gone[at], live[at] * k, w
+
+    whole, up, down = slot(j)
+    release = whole + up // down
+    whole, up, down = slot(j + 1)
+    return source, j, release, whole - (-up // down)
+
+
+def earliest_deadline_first(release: np.ndarray, due: np.ndarray) -> np.ndarray:
+    """The slot of each block: of those released the one due first runs."""
+    order = np.argsort(release, kind="stable").tolist()
+    release, due = release.tolist(), due.tolist()
+    ready: list[tuple[int, int]] = []
+    slots, at = np.empty(len(order), np.int64), 0
+    for slot in range(len(order)):
+        while at < len(order) and (release[order[at]] <= slot or not ready):
+            heappush(ready, (due[order[at]], order[at]))
+            at += 1
+        slots[heappop(ready)[1]] = slot
+    return slots
+
+
+def schedule(blocks: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(source, block, slot)`` of all blocks."""
+    source, j, release, due = windows(np.array(blocks, np.int64), np.array(whole_weights(weights), np.int64))
+    return source, j, earliest_deadline_first(release, due)
+
+
+def _schedule_task(block_chars: int):
+    def run(batches):
+        rows = sorted(((r["size"], r["name"] is not None, r["name"] or "", r["name"], r["weight"])
+                       for b in batches for r in b.to_pylist()), key=lambda r: (-r[0], r[1], r[2]))
+        if not rows:
+            return
+        size = max(block_chars, -(-sum(r[0] for r in rows) // BLOCKS))
+        source, block, slot = schedule([-(-r[0] // size) for r in rows], [r[4] for r in rows])
+        names = pa.array([r[3] for r in rows], pa.string())
+        for a in range(0, len(slot), 65_536):
+            b = min(a + 65_536, len(slot))
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(source[a:b])), pa.array(source[a:b].astype(np.int32)), pa.array(block[a:b]), pa.array(slot[a:b]),
+                 pa.array(np.full(b - a, size, np.int64))], ["name", "stream", "block", "slot", "block_size"])
+    return run
+
+
+def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", carry: list[str] | None = None,
+          weights: dict | None = None, exponent: float = 0.7, block_chars: int = 1 << 14, seed: int = 17) -> DataFrame:
+    """The input columns ``carry`` (default: all) in ``row``, and ``stream, block, slot, offset, size``:
     the training order is (slot, offset). Without ``weights`` (source to weight)
-    a source's weight is its characters to the power ``exponent``."""
+    a source's weight is its characters to the power ``exponent``; with them, sources that they leave out come last."""
     spark = df.sparkSession
+    ship(spark)
     row = F.struct(*[df[f"`{c}`"] for c in carry or df.columns]).alias("row")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = F.coalesce(F.length(df[f"`{text}`"]), F.lit(0)).cast("bigint").alias("size")
+    size = (F.coalesce(F.length(df[f"`{text}`"]), F.lit(0)) + 1).cast("bigint").alias("size")
     name = df[f"`{source}`"].cast("string").alias("name")
     order = F.xxhash64(df[f"`{key}`"], F.lit(seed)).alias("order")
-
-    # characters by source, and by the source's parts: as many parts as shuffle partitions
-    part = F.pmod(F.shiftrightunsigned("order", 20), F.lit(n)).cast("int")
-    slim = df.select(name, order, size)
-    by_part = written(slim.groupBy("name", part.alias("part")).agg(F.sum("size").alias("size")), "mix-parts")
-    totals = by_part.groupBy("name").agg(F.sum("size").alias("size")).orderBy(F.col("size").desc(), "name")
-    top = totals.limit(streams).collect()
-    other = totals.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
-    chars = [int(r["size"]) for r in top]
-    wanted = [float((weights or {}).get(r["name"], 0.0)) if weights else max(1, r["size"]) ** exponent for r in top]
-    if other["n"] > len(top):
-        chars.append(int(other["size"]) - sum(chars))
-        wanted.append(sum((weights or {}).values()) - sum(wanted) if weights else max(1, chars[-1]) ** exponent)
-    wanted = [max(w, 1e-9) for w in wanted]
-    blocks = [c // block_chars + 1 for c in chars]  # a last block may hold empty documents only
-    rows, starts = phases(blocks, wanted, period)
-    kind = "name string, stream int"
-    named = F.broadcast(spark.createDataFrame([(r["name"], i) for i, r in enumerate(top)], kind))
-    rest = len(top)
-
-    def to_stream(frame: DataFrame) -> DataFrame:
-        return frame.join(named, frame["name"].eqNullSafe(named["name"]), "left").drop("name").withColumn(
-            "stream", F.coalesce("stream", F.lit(rest)))
-
-    # where each part of a stream begins
-    before = Window.partitionBy("stream").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = to_stream(by_part).groupBy("stream", "part").agg(F.sum("size").alias("size")).select(
-        "stream", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
+    part = F.shiftrightunsigned("order", 64 - PARTS_BITS).cast("int")
+
+    # characters by source, and by the source's parts
+    by_part = written(df.select(name, order, size).groupBy("name", part.alias("part")).agg(F.sum("size").alias("size")), "mix-parts")
+    totals = by_part.groupBy("name").agg(F.sum("size").alias("size"))
+    if weights is None:
+        totals = totals.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(exponent)))
+    else:
+        given = spark.createDataFrame([(k, float(w)) for k, w in weights.items()], "source string, weight double")
+        totals = totals.join(given, F.col("name").eqNullSafe(F.col("source")), "left").select("name", "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    plan = totals.repartition(1).mapInArrow(_schedule_task(block_chars), "name string, stream int, block bigint, slot bigint, block_size bigint")
+    plan = written(plan, "mix-schedule")
+    block_size = plan.agg(F.max("block_size")).scalar()
+
+    # where each part of a source begins, and each document in it
+    before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = by_part.select("name", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
     tie = F.xxhash64(df[f"`{text}`"]).alias("tie")
-    docs = to_stream(df.select(row, name, order, size, tie)).withColumn("part", part)
-    within = Window.partitionBy("stream", "part").orderBy("order", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    docs = docs.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    docs = docs.join(offsets, ["stream", "part"]).withColumn("at", F.col("begin") + F.col("here"))
-    docs = docs.withColumn("block", F.floor(F.col("at") / block_chars)).withColumn("offset", F.col("at") % block_chars)
-
-    plan = F.broadcast(spark.createDataFrame(starts or [(0, -1, 1, 0, 0, 0)],
-                                             "phase int, stream int, share bigint, first bigint, n bigint, start bigint"))
-    table = F.broadcast(spark.createDataFrame(rows or [(0, -1, 0, 0)], "phase int, stream int, j bigint, t bigint"))
-    placed = docs.join(plan, "stream").filter((F.col("block") >= F.col("first")) & (F.col("block") < F.col("first") + F.col("n")))
-    number = F.col("block") - F.col("first")
-    placed = placed.withColumn("j", number % F.col("share")).withColumn("turn", F.floor(number / F.col("share")))
-    placed = placed.join(table, ["phase", "stream", "j"])
-    slot = F.col("start") + F.col("turn") * period + F.col("t")
-    return placed.select("row", "stream", "block", "phase", slot.alias("slot"), "offset", "size", "order", "tie")
+    within = Window.partitionBy("name", "part").orderBy("order", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    docs = df.select(row, name, order, size, tie).withColumn("part", part)
+    docs = docs.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).alias("d")
+    begins = begins.alias("b")
+    docs = docs.join(begins, F.col("d.name").eqNullSafe(F.col("b.name")) & (F.col("d.part") == F.col("b.part")))
+    docs = docs.select("row", F.col("d.name").alias("name"), "order", "d.size", "tie", (F.col("begin") + F.col("here")).alias("at"))
+    docs = docs.withColumn("block", F.floor(F.col("at") / block_size)).withColumn("offset", F.col("at") % block_size).alias("d")
+    small = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    plan = (F.broadcast(plan) if small else plan).alias("p")
+    placed = docs.join(plan, F.col("d.name").eqNullSafe(F.col("p.name")) & (F.col("d.block") == F.col("p.block")))
+    return placed.select("row", "stream", "d.block", "slot", "offset", "size", "order", "tie")
 
 
 def in_order(placed: DataFrame) -> DataFrame:

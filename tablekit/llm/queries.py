@@ -19,7 +19,7 @@ def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pfair_mix.mixed(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
-    return placed.select("row.*", "size", "stream", "block", "phase", "slot", "offset")
+    return placed.select("row.*", "size", "stream", "block", "slot", "offset")
 
 
 def op3_kn_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:

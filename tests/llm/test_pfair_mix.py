@@ -1,40 +1,77 @@
-"""The schedule against its bounds and an earliest-deadline run slot by slot."""
+"""The schedule against the ideal mix, and the documents against the schedule."""
 
 import random
 from collections import defaultdict
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from tablekit.llm import pfair_mix as P
 
 
-@pytest.mark.parametrize("seed", range(6))
+def ideal(blocks, weights, slots):
+    """Each source's share of the first ``slots`` slots when all run at once."""
+    left, done, t = [Fraction(b) for b in blocks], [Fraction(0)] * len(blocks), Fraction(slots)
+    while t > 0 and any(left):
+        live = [i for i, x in enumerate(left) if x > 0]
+        total = sum(weights[i] for i in live)
+        step = min(t, min(left[i] * total / weights[i] for i in live))
+        for i in live:
+            done[i] += step * weights[i] / total
+            left[i] -= step * weights[i] / total
+        t -= step
+    return done
+
+
+@pytest.mark.parametrize("seed", range(8))
 def test_less_than_one_block_off_at_any_slot(seed):
     rnd = random.Random(seed)
-    shares = P.quantised([rnd.random() + 0.01 for _ in range(rnd.randint(1, 12))], 200)
-    assert sum(shares) == 200 and min(shares) >= 1
-    done = [0] * len(shares)
-    for t, (i, j) in enumerate(P.pattern(shares), 1):
-        assert j == done[i] and j * 200 // shares[i] < t <= -(-(j + 1) * 200 // shares[i])  # between release and deadline
+    k = rnd.randint(1, 12)
+    blocks = [rnd.choice([1, 2, 7, 40, 90]) for _ in range(k)]
+    weights = [rnd.choice([0.01, 0.3, 1.0, 2.5, 1 / 3, 7.77]) for _ in range(k)]
+    source, block, slot = P.schedule(blocks, weights)
+    assert sorted(slot.tolist()) == list(range(sum(blocks)))
+    whole = [Fraction(w) for w in P.whole_weights(weights)]
+    for w, x in zip(whole, weights):
+        assert abs(w / sum(whole) - Fraction(x) / Fraction(sum(weights))) < Fraction(1, 1 << 30)
+    at = sorted(zip(slot.tolist(), source.tolist(), block.tolist()))
+    done = [0] * k
+    for t, (_, i, j) in enumerate(at, 1):
+        assert j == done[i]
         done[i] += 1
-        assert all(abs(d - Fraction(s * t, 200)) < 1 for d, s in zip(done, shares))
-    assert done == shares
+        assert all(abs(d - x) < 1 for d, x in zip(done, ideal(blocks, whole, t)))
+    assert done == blocks
+
+
+def test_a_thousand_sources_of_any_weight():
+    rnd = np.random.default_rng(2)
+    blocks = np.append(rnd.integers(1, 60, 999), 20_000)
+    weights = np.append(rnd.random(999) ** 4 + 1e-4, 40.0)
+    source, block, slot = P.schedule(blocks.tolist(), weights.tolist())
+    whole = np.array(P.whole_weights(weights.tolist()), float)
+    order = np.argsort(slot)
+    assert (slot[order] == np.arange(blocks.sum())).all()
+    source = source[order]
+    end = np.sort(blocks / whole)
+    for t in range(37, len(source), 997):
+        done = np.bincount(source[:t], minlength=1000)
+        lo, hi = 0.0, end[-1]
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if np.minimum(whole * mid, blocks).sum() < t else (lo, mid)
+        assert np.abs(done - np.minimum(whole * lo, blocks)).max() < 1 + 1e-6
 
 
-def test_phases_use_every_block_once():
-    blocks, weights = [50, 7, 1, 0, 23], [1.0, 3.0, 0.5, 2.0, 1.0]
-    rows, starts = P.phases(blocks, weights, 40)
-    at = {(p, i, j): t for p, i, j, t in rows}
-    slots = defaultdict(list)
-    for phase, i, share, first, n, start in starts:
-        for b in range(n):
-            slots[i].append((first + b, start + b // share * 40 + at[phase, i, b % share]))
-    assert [len(slots[i]) for i in range(5)] == blocks
-    every = sorted(t for s in slots.values() for _, t in s)
-    assert every == list(range(sum(blocks)))
-    for s in slots.values():
-        assert [b for b, _ in s] == list(range(len(s))) and [t for _, t in s] == sorted(t for _, t in s)
+def test_blocks_run_between_release_and_deadline():
+    blocks, weights = np.array([50, 7, 1, 23], np.int64), np.array([3, 1, 5, 2], np.int64)
+    source, block, release, due = P.windows(blocks, weights)
+    slot = P.earliest_deadline_first(release, due)
+    assert (release <= slot).all() and (slot < due).all()
+
+
+def collected(df):
+    return [r.asDict(True) for r in df.collect()]
 
 
 def test_documents_follow_the_schedule(spark, docs):
@@ -42,59 +79,65 @@ def test_documents_follow_the_schedule(spark, docs):
     texts = ["x" * rnd.randint(0, 300) for _ in range(400)] + [None, "", "y" * 5000]
     sources = [rnd.choice(["a", "a", "a", "b", "c", None]) for _ in texts]
     df = docs(texts, extra=True, sources=sources)
-    got = [r.asDict(True) for r in P.mixed(df, block_chars=500, period=60).collect()]
+    got = collected(P.mixed(df, block_chars=500))
     assert sorted(r["row"]["doc_id"] for r in got) == list(range(len(texts)))
     assert all(set(r["row"]) == set(df.columns) for r in got)
-    # per source, by hand: documents in order end to end, blocks by where they begin
     streams = defaultdict(list)
     for r in got:
-        streams[r["stream"]].append(r)
-    assert len(streams) == 4
+        streams[r["row"]["source"]].append(r)
     chars = {}
-    for s, rows in streams.items():
-        assert len({r["row"]["source"] for r in rows}) == 1
-        rows.sort(key=lambda r: (r["block"], r["offset"], r["size"]))
+    for s, rows in streams.items():  # documents of a source end to end, blocks by where they begin
+        assert len({r["stream"] for r in rows}) == 1
+        rows.sort(key=lambda r: (r["order"] % (1 << 64) >> 52, r["order"], r["tie"] or 0))
         at = 0
         for r in rows:
-            assert (r["block"], r["offset"]) == divmod(at, 500)
+            assert r["size"] == len(r["row"]["text"] or "") + 1 and (r["block"], r["offset"]) == divmod(at, 500)
             at += r["size"]
         chars[s] = at
-    order = sorted(streams, key=lambda s: -chars[s])
-    assert order == sorted(streams)
-    _, starts = P.phases([chars[s] // 500 + 1 for s in order], [chars[s] ** 0.7 for s in order], 60)
-    slot = {}
-    for (phase, i, share, first, n, start) in starts:
-        shares = [x[2] for x in starts if x[0] == phase]
-        live = [x[1] for x in starts if x[0] == phase]
-        pattern = P.pattern(shares)
-        run, t, done = 0, 0, 0
-        while done < n:
-            if live[pattern[t % 60][0]] == i:
-                slot[i, first + done] = start + t
-                done += 1
-            t += 1
-    assert all(r["slot"] == slot[r["stream"], r["block"]] for r in got)
-    ordered = [r["row"]["doc_id"] for r in P.in_order(P.mixed(df, block_chars=500, period=60)).collect()]
-    assert ordered == [r["row"]["doc_id"] for r in sorted(got, key=lambda r: (r["slot"], r["offset"], r["order"], r["tie"] or 0))] or len(set(ordered)) == len(texts)
-
-
-def test_weights_shared_stream_and_empty_table(spark, docs):
+    names = sorted(chars, key=lambda s: (-chars[s], s is not None, s or ""))
+    source, block, slot = P.schedule([-(-chars[s] // 500) for s in names], [chars[s] ** 0.7 for s in names])
+    want = {(names[i], j): t for i, j, t in zip(source.tolist(), block.tolist(), slot.tolist())}
+    assert all(r["slot"] == want[r["row"]["source"], r["block"]] for r in got)
+    ordered = [r["row"]["doc_id"] for r in P.in_order(P.mixed(df, block_chars=500)).collect()]
+    assert ordered == [r["row"]["doc_id"] for r in sorted(got, key=lambda r: (r["slot"], r["offset"], r["order"], r["tie"] or 0))]
+
+
+def test_the_order_does_not_depend_on_the_number_of_partitions(spark, docs, prose):
+    df = docs([prose(i % 60, i) for i in range(200)], sources=["s%d" % (i % 7) for i in range(200)])
+    before, orders = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            orders.append([r["row"]["doc_id"] for r in P.in_order(P.mixed(df.repartition(n), block_chars=300)).collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == list(range(200))
+
+
+def test_many_sources_keep_their_own_weights(spark, docs):
+    n = 400
+    texts, sources = ["abc" * 20] * (3 * n), ["s%03d" % (i % n) for i in range(3 * n)]
+    weights = {f"s{i:03d}": 10.0 if i == 399 else 1.0 for i in range(n)}
+    got = collected(P.mixed(docs(texts, sources=sources), block_chars=61, weights=weights))
+    assert len({r["stream"] for r in got}) == n and sorted(r["row"]["doc_id"] for r in got) == list(range(3 * n))
+    heavy = sorted(r["slot"] for r in got if r["row"]["source"] == "s399")
+    assert heavy[2] < 3 * (n + 9) / 10 + 1  # three blocks at ten times the weight
+
+
+def test_left_out_sources_come_last_and_empty_table(spark, docs):
     texts, sources = ["abc" * 50] * 90, ["s%d" % (i % 9) for i in range(90)]
-    got = P.mixed(docs(texts, sources=sources), streams=3, block_chars=200, period=20, weights={"s0": 0.5, "s1": 0.25, "s8": 0.25}).collect()
-    assert len({r["row"]["doc_id"] for r in got}) == 90 and {r["stream"] for r in got} == {0, 1, 2, 3}
+    got = collected(P.mixed(docs(texts, sources=sources), block_chars=200, weights={"s0": 0.5, "s1": 0.25, "s8": 0.25}))
+    assert len({r["row"]["doc_id"] for r in got}) == 90
+    named = [r["slot"] for r in got if r["row"]["source"] in ("s0", "s1", "s8")]
+    assert max(named) < 8 + min(r["slot"] for r in got if r["row"]["source"] == "s5" and r["block"] > 0)
     assert P.mixed(docs([])).count() == 0
     twice = docs(["a", "b"]).union(docs(["a", "b"]))
     assert P.mixed(twice).count() == 4
+    nothing = docs([None, "", None] * 50, sources=[None] * 150)
+    assert P.mixed(nothing, block_chars=10).agg({"block": "max"}).first()[0] == 14
 
 
-@pytest.mark.parametrize("weights", [[0.9, 0.1], [0.33] + [0.67 / 19] * 19, [0.33] + [0.67 / 199] * 199, [5, 3, 2], [1] * 1000, [0.2, 0.3, 0.5]])
-def test_shares_are_the_nearest(weights):
-    shares = P.quantised(weights, 1000)
-    assert sum(shares) == 1000
-    assert all(abs(s - 1000 * w / sum(weights)) < 1 for s, w in zip(shares, weights))
-    if len(weights) == 2:
-        assert shares == [900, 100]
-
-
-def test_a_weight_below_one_slot_gets_one():
-    assert P.quantised([1e-9, 3.0, 1.0], 401) == [1, 300, 100]
+def test_schedule_of_a_large_corpus_stays_bounded(spark, monkeypatch, docs):
+    monkeypatch.setattr(P, "BLOCKS", 20)
+    got = collected(P.mixed(docs(["x" * 99] * 100, sources=["a", "b"] * 50), block_chars=10))
+    assert max(r["slot"] for r in got) < 22 and len(got) == 100
