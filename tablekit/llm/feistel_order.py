@@ -1,34 +1,38 @@
 """Training-order materialisation by a keyed Feistel permutation.
 
-Documents' token ids, each document's closed by an end mark, are cut to
-sequences of ``length`` ids, the last one padded. Sequences are numbered without
-gaps: documents fall to parts by the hash of their key, a part's first number is
-the sum of the parts before it, and a task numbers its parts' documents in the
-order of their keys. A balanced Feistel network over the numbers, walked on
-while it leaves [0, N), maps each number to its slot in the training order:
-a bijection known from the key and N alone, so a slot can be found, and a read
-resumed, without a table. Slots are dealt to shards by ranges; a shard holds
-``shard_rows`` sequences of a fixed stride in the order of their slots.
-
-Null ids count as no ids: the document is one sequence of the end mark. Repeated
-rows are sequences of their own (ties fall by their ids). An empty table gives
-no sequence. Extra columns are left out.
+Documents fall to parts by a hash, and a part's documents, in the order of their
+keys and each closed by an end mark, are one run of token ids that is cut to
+sequences of ``length`` ids; only a part's last one is padded. Sequences are numbered
+without gaps: a part's first number is the sum of the parts before it. A balanced
+Feistel network over the numbers, walked on while it leaves [0, N), maps each number
+to its slot in the training order: a bijection known from the key and N alone, so a
+slot can be found, and a read resumed, without a table. Slots are dealt to shards by
+ranges; tasks get ranges of shards and write each as a file of ``shard_rows`` sequences
+of a fixed stride in the order of their slots. The number of parts is a parameter:
+neither slots nor files depend on the session's partitions.
+
+Null ids count as no ids: the document is its end mark. Repeated rows stand
+as often as they occur (ties fall by their ids). An empty table gives no sequence.
+Extra columns are left out.
 """
 
 from __future__ import annotations
 
-from hashlib import sha256
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import textops
-from .runtime import ship, slices, string_lengths
+from . import bpe_bitmap, textops
+from .runtime import keep_columns, shared_dir, ship, slices, text_column
 
 U = np.uint64
 ROUNDS = 6
+PARTS = 4096
+#: Sequences that a task hands on at once.
+BATCH = 1024
 
 
 class Feistel:
@@ -61,57 +65,76 @@ class Feistel:
         return self._walk(slots, self.keys[::-1])
 
 
+def _cut(begin: dict[int, int], order: Feistel, length: int, width: int, end: bytes, pad: bytes, shard_rows: int, kind: pa.DataType):
+    """Runs of ids, part by part, to sequences with their slots."""
+    stride = length * width
+
+    def run(batches):
+        part, number, held, keys, out = None, 0, bytearray(), [], []
+
+        def done():
+            nonlocal number, held, keys
+            n_ids = len(held) // width
+            out.append((number, n_ids, keys, bytes(held) + pad * (length - n_ids)))
+            number, held, keys = number + 1, bytearray(), []
+
+        def batch_of():
+            slots = order.slots(np.array([x[0] for x in out], np.int64))
+            cols = [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows), pa.array([x[1] for x in out], pa.int64()),
+                    pa.array([x[2] for x in out], pa.list_(kind)), pa.array([x[3] for x in out], pa.binary())]
+            out.clear()
+            return pa.RecordBatch.from_arrays(cols, ["slot", "shard", "place", "n_ids", "keys", "ids"])
+
+        for batch in batches:
+            for own, key, ids in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "ids"))):
+                if own != part:
+                    if held:
+                        done()
+                    part, number = own, begin[own]
+                ids, at = (ids or b"") + end, 0
+                while at < len(ids):
+                    take = ids[at:at + stride - len(held)]
+                    held += take
+                    at += len(take)
+                    keys.append(key)
+                    if len(held) == stride:
+                        done()
+                if len(out) >= BATCH:
+                    yield batch_of()
+        if held:
+            done()
+        if out:
+            yield batch_of()
+
+    return run
+
+
 def sequences(df: DataFrame, key: str, ids: str, width: int, length: int, end: bytes, pad: bytes, seed: int,
-              shard_rows: int) -> DataFrame:
-    """``(slot, shard, place, key, part_no, n_ids, ids)``, sorted by slot within
-    shards: ``ids`` is binary of ``length * width`` bytes. The input's ``ids``
-    are binary, ``width`` bytes an id."""
+              shard_rows: int, parts: int = PARTS) -> DataFrame:
+    """``(slot, shard, place, n_ids, keys, ids)``, tasks with ranges of shards, sorted by
+    slot: ``ids`` is binary of ``length * width`` bytes, ``keys`` names the documents that it
+    has ids of. The input's ``ids`` are binary, ``width`` bytes an id; they are
+    written once, as their number has to be known first."""
     spark = df.sparkSession
     ship(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name, raw = df[f"`{key}`"], df[f"`{ids}`"]
-    part = F.pmod(F.xxhash64(name), F.lit(n)).cast("int").alias("part")
-    stride = length * width
-    rows = F.floor((F.coalesce(F.octet_length(raw), F.lit(0)) / width) / length).cast("bigint") + 1
-    sizes = {r["part"]: r["n"] for r in df.select(part, rows.alias("n")).groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    part = F.pmod(F.xxhash64("key", "ids"), F.lit(parts)).cast("int").alias("part")
+    path = f"{shared_dir(spark)}/training-ids-{uuid.uuid4().hex[:12]}"
+    src = df.select(name.alias("key"), raw.alias("ids")).select(part, "key", (F.floor(F.coalesce(F.octet_length("ids"), F.lit(0)) / width) + 1).alias("n"), "ids")
+    src.write.option("compression", "zstd").parquet(path)
+    src = spark.read.schema(src.schema).parquet(path)
+    sizes = {r["part"]: -(-r["n"] // length) for r in src.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     begin, total = {}, 0
     for p in sorted(sizes):
         begin[p] = total
         total += sizes[p]
-    order = Feistel(total, seed)
-    kind = df.schema[key].dataType.simpleString()
-    src = df.select(part, name.alias("key"), raw.alias("ids")).repartition(n, "part").sortWithinPartitions("part", "key", "ids")
-
-    def run(batches):
-        at = dict(begin)
-        for batch in batches:
-            for piece in slices(batch, "ids"):
-                parts = piece.column("part").to_numpy()
-                have = string_lengths(piece.column("ids")) // width + 1
-                count = (have + length - 1) // length
-                numbers = np.empty(count.sum(), np.int64)
-                ends = np.cumsum(count)
-                for p in np.unique(parts).tolist():  # rows of a part stand together
-                    own = np.flatnonzero(parts == p)
-                    a, b = ends[own[0]] - count[own[0]], ends[own[-1]]
-                    numbers[a:b] = np.arange(at[p], at[p] + b - a)
-                    at[p] += int(b - a)
-                data = []
-                for raw_ids, k in zip(piece.column("ids").to_pylist(), count.tolist()):
-                    whole = (raw_ids or b"") + end
-                    whole += pad * ((k * stride - len(whole)) // width)
-                    data += [whole[j * stride:(j + 1) * stride] for j in range(k)]
-                place = np.repeat(np.arange(len(count)), count)
-                no = np.arange(len(place)) - np.repeat(ends - count, count)
-                full = np.minimum(length, have[place] - no * length)
-                slots = order.slots(numbers)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows), piece.column("key").take(pa.array(place)),
-                     pa.array(no), pa.array(full), pa.array(data, pa.binary())],
-                    ["slot", "shard", "place", "key", "part_no", "n_ids", "ids"])
-
-    out = src.mapInArrow(run, f"slot bigint, shard bigint, place bigint, key {kind}, part_no bigint, n_ids bigint, ids binary")
-    return out.repartition(n, "shard").sortWithinPartitions("slot").withColumnRenamed("key", key)
+    kind = src.schema["key"].dataType
+    run = _cut(begin, Feistel(total, seed), length, width, end, pad, shard_rows, pa.int64() if kind.typeName() == "long" else pa.string())
+    cut = src.select("part", "key", "ids").repartition("part").sortWithinPartitions("part", "key", "ids").mapInArrow(
+        run, f"slot bigint, shard bigint, place bigint, n_ids bigint, keys array<{kind.simpleString()}>, ids binary")
+    shards = max(1, -(-total // shard_rows))
+    tasks = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut.repartitionById(tasks, (F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("slot")
 
 
 def byte_sequences(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 2048, seed: int = 20, shard_rows: int = 4096) -> DataFrame:
@@ -121,48 +144,98 @@ def byte_sequences(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     return sequences(src, key, "ids", 1, length, b"\xff", b"\xfe", seed, shard_rows)
 
 
+#: End mark and padding of 16-bit ids; vocabularies stay below them.
+END, PAD = 65535, 65534
+
+
+def token_sequences(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 512, seed: int = 20, shard_rows: int = 4096,
+                    path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Sequences of byte-level BPE ids (``bpe_bitmap``), little-endian unsigned 16-bit
+    integers; the vocabulary has at most 65,534 ids."""
+    import public_tokenizers
+    path, pattern = path or bpe_bitmap.tokenizer_file(), pattern or public_tokenizers.PATTERN
+    ship(df.sparkSession)
+    src = keep_columns(df, [key, text]).toDF("key", "text")
+
+    def encode(batches):
+        coder = bpe_bitmap.Coder.of(path, pattern)
+        for batch in batches:
+            for part in slices(batch, "text", bpe_bitmap.BATCH_BYTES):
+                ids, at = coder.encode(text_column(part, "text").to_pylist())
+                if len(ids) and ids.max() >= PAD:
+                    raise ValueError("the vocabulary needs more than 16 bits")
+                ids = ids.astype("<u2")
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())],
+                                                 ["key", "ids"])
+
+    coded = src.mapInArrow(encode, f"key {src.schema['key'].dataType.simpleString()}, ids binary")
+    return sequences(coded, "key", "ids", 2, length, np.array([END], "<u2").tobytes(), np.array([PAD], "<u2").tobytes(), seed, shard_rows)
+
+
 def shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
+def _uri(path: str) -> str:
+    return path if "://" in path else "file://" + path if path.startswith("/") else path.replace("file:/", "file:///", 1)
+
+
 def write_shards(seqs: DataFrame, path: str) -> DataFrame:
     """Write the sequences' ids as files of a fixed stride, one a shard, to a
     folder that all executors share (any place that Arrow's file systems reach).
     A shard is written under a name of its own and then moved, so a repeated
-    task puts the same file. Returns ``(shard, n_rows, n_bytes, sha256)``."""
+    task puts the same file. Returns the sequences without their ids, the shards' index:
+    ``(slot, shard, place, n_ids, keys)``."""
+    path = _uri(path)
+    names = ["slot", "shard", "place", "n_ids", "keys"]
+
     def run(batches):
         from pyarrow import fs
         store, base = fs.FileSystem.from_uri(path)
         store.create_dir(base, recursive=True)
-        state = None
+        shard, temp, out = None, None, None
+
+        def close():
+            out.close()
+            store.move(temp, f"{base}/{shard_name(shard)}")
+
         for batch in batches:
-            for shard, ids in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
-                if state is None or state[0] != shard:
-                    if state:
-                        yield close(store, base, state)
-                    temp = f"{base}/.{shard_name(shard)}-{np.random.SeedSequence().entropy:x}"
-                    state = [shard, temp, store.open_output_stream(temp), sha256(), 0, 0]
-                state[2].write(ids)
-                state[3].update(ids)
-                state[4] += 1
-                state[5] += len(ids)
-        if state:
-            yield close(store, base, state)
-
-    def close(store, base, state):
-        state[2].close()
-        store.move(state[1], f"{base}/{shard_name(state[0])}")
-        return pa.RecordBatch.from_arrays([pa.array([state[0]], pa.int64()), pa.array([state[4]], pa.int64()),
-                                           pa.array([state[5]], pa.int64()), pa.array([state[3].hexdigest()])],
-                                          ["shard", "n_rows", "n_bytes", "sha256"])
-
-    return seqs.select("shard", "ids").mapInArrow(run, "shard bigint, n_rows bigint, n_bytes bigint, sha256 string")
+            for own, ids in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
+                if own != shard:
+                    if out:
+                        close()
+                    shard, temp = own, f"{base}/.{shard_name(own)}-{uuid.uuid4().hex}"
+                    out = store.open_output_stream(temp)
+                out.write(ids)
+            yield batch.select(names)
+        if out:
+            close()
+
+    kinds = {f.name: f.dataType.simpleString() for f in seqs.schema}
+    return seqs.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n in names))
+
+
+def materialise(seqs: DataFrame, path: str, stride: int, shard_rows: int) -> DataFrame:
+    """Write the shards and read them again: ``(slot, shard, place, n_ids, keys, sha256)``, the
+    digest of each slot's ids as they stand in the files."""
+    spark = seqs.sparkSession
+    table = f"{path}-index"
+    index = write_shards(seqs, path)
+    index.write.parquet(table)
+    index = spark.read.schema(index.schema).parquet(table)
+    files = spark.read.format("binaryFile").load(path, pathGlobFilter="shard-*.bin")
+    places = F.sequence(F.lit(0), (F.col("length") / stride).cast("int") - 1)
+    digests = F.transform(places, lambda p: F.sha2(F.substring("content", p * stride + 1, F.lit(stride)), 256))
+    shard = F.regexp_extract("path", r"shard-([0-9]+)\.bin$", 1).cast("bigint")
+    read = files.filter("length > 0").select(shard.alias("shard"), F.posexplode(digests).alias("place", "sha256"))
+    read = read.select((F.col("shard") * shard_rows + F.col("place")).alias("slot"), "sha256")
+    return index.join(read, "slot").select("slot", "shard", "place", "n_ids", "keys", "sha256")
 
 
 def read_slots(path: str, first: int, count: int, stride: int, shard_rows: int) -> list[bytes]:
     """Sequences of slots ``first`` and after, by seeking: a read resumes anywhere."""
     from pyarrow import fs
-    store, base = fs.FileSystem.from_uri(path)
+    store, base = fs.FileSystem.from_uri(_uri(path))
     out = []
     while count > 0:
         shard, place = divmod(first, shard_rows)

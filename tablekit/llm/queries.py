@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_bitmap, edit_counts, feistel_order, html_style_tree, jaccard_multimatch, kn_perplexity, lsa_knn,
-               pfair_mix, spelling_trie, spotsigs, toxic_grammar, turn_repair, url_boost)
+               pfair_mix, runtime, spelling_trie, spotsigs, toxic_grammar, turn_repair, url_boost)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +43,9 @@ def op5_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_feistel_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feistel_order.byte_sequences(table(spark, sf_dir, "documents"))
+    seqs = feistel_order.token_sequences(table(spark, sf_dir, "documents"), length=512, shard_rows=4096)
+    path = f"{runtime.shared_dir(spark)}/shards-{uuid.uuid4().hex[:12]}"
+    return feistel_order.materialise(seqs, path, 1024, 4096).withColumnRenamed("keys", "doc_ids")
 
 
 def op7_bpe_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The permutation, the sequences, and fixed-stride shards."""
 
+from hashlib import sha256
+
 import numpy as np
 import pytest
 
@@ -22,35 +24,73 @@ def collected(df):
     return sorted((r.asDict() for r in df.collect()), key=lambda r: r["slot"])
 
 
+def runs(rows, n_part_slots, order, length, width):
+    """The parts' runs of ids, from the sequences in the order of their numbers."""
+    by_number = sorted(rows, key=lambda r: int(order.numbers(np.array([r["slot"]]))[0]))
+    return b"".join(bytes(r["ids"])[:r["n_ids"] * width] for r in by_number)
+
+
 def test_sequences_hold_every_id_once(spark, docs, prose):
     texts = [None, "", "a", "b" * 15, "c" * 16, "d" * 17, prose(5000, 1)] + [prose(i, i) for i in range(1, 60)] + ["a"]
     rows = collected(O.byte_sequences(docs(texts, extra=True), length=16, shard_rows=50))
     assert [r["slot"] for r in rows] == list(range(len(rows)))
     assert all((r["shard"], r["place"]) == divmod(r["slot"], 50) and len(r["ids"]) == 16 for r in rows)
-    own = {}
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["part_no"])):
-        assert r["part_no"] == len(own.setdefault(r["doc_id"], []))
-        assert bytes(r["ids"][r["n_ids"]:]) == b"\xfe" * (16 - r["n_ids"])
-        own[r["doc_id"]].append(bytes(r["ids"][:r["n_ids"]]))
-    assert {k: b"".join(v) for k, v in own.items()} == {i: (t or "").encode() + b"\xff" for i, t in enumerate(texts)}
-    again = collected(O.byte_sequences(docs(texts).repartition(3), length=16, shard_rows=50))
-    assert [(r["slot"], r["doc_id"], bytes(r["ids"])) for r in again] == [(r["slot"], r["doc_id"], bytes(r["ids"])) for r in rows]
+    assert all(bytes(r["ids"][r["n_ids"]:]) == b"\xfe" * (16 - r["n_ids"]) for r in rows)
+    whole = runs(rows, None, O.Feistel(len(rows), 20), 16, 1)
+    assert sorted(whole.split(b"\xff")[:-1]) == sorted((t or "").encode() for t in texts)
+    # each document is named by the sequences that have its ids
+    named = {}
+    for r in rows:
+        for k in r["keys"]:
+            named.setdefault(k, []).append(r["slot"])
+    assert sorted(named) == list(range(len(texts)))
+    assert len(named[6]) in (-(-(len(texts[6]) + 1) // 16), -(-(len(texts[6]) + 1) // 16) + 1)
+
+
+def test_slots_do_not_depend_on_the_number_of_partitions(spark, docs, prose):
+    texts = [prose(i % 80, i) for i in range(150)] + [None] * 3
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            seen.append([(r["slot"], bytes(r["ids"]), r["keys"]) for r in collected(O.byte_sequences(docs(texts).repartition(n), length=16, shard_rows=50))])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]
 
 
 def test_wide_ids_ties_and_empty_table(spark, docs):
     ids = np.arange(70_000, 70_010, dtype="<u4").tobytes()
     df = spark.createDataFrame([(1, bytearray(ids)), (1, bytearray(ids)), (None, None)], "doc_id bigint, ids binary")
     rows = collected(O.sequences(df, "doc_id", "ids", 4, 8, b"\x01\0\0\0", b"\0\0\0\0", 3, 2))
-    assert len(rows) == 5 and sorted(r["n_ids"] for r in rows) == [1, 3, 3, 8, 8]
+    assert sum(r["n_ids"] for r in rows) == 23 and sorted(r["n_ids"] for r in rows) in ([1, 6, 8, 8], [7, 8, 8])
     assert O.byte_sequences(docs([])).count() == 0
 
 
 def test_shards_read_from_any_slot(spark, docs, prose):
     seqs = O.byte_sequences(docs([prose(i % 90, i) for i in range(200)]), length=32, shard_rows=64).cache()
     path = f"{shared_dir(spark)}/test-shards"
-    path = path if "://" in path else "file://" + path
-    wrote = O.write_shards(seqs, path).collect()
-    want = [bytes(r["ids"]) for r in collected(seqs)]
-    assert sum(r["n_rows"] for r in wrote) == len(want) and all(r["n_bytes"] == 32 * r["n_rows"] for r in wrote)
+    got = collected(O.materialise(seqs, path, 32, 64))
+    want = collected(seqs)
+    assert [(r["slot"], r["shard"], r["place"], r["n_ids"], r["keys"]) for r in got] == [
+        (r["slot"], r["shard"], r["place"], r["n_ids"], r["keys"]) for r in want]
+    assert [r["sha256"] for r in got] == [sha256(bytes(r["ids"])).hexdigest() for r in want]
     for first, count in ((0, 5), (60, 10), (64, 200), (len(want) - 3, 3)):
-        assert O.read_slots(path, first, count, 32, 64) == want[first:first + count]
+        assert O.read_slots(path, first, count, 32, 64) == [bytes(r["ids"]) for r in want[first:first + count]]
+
+
+def test_query_writes_token_ids(spark):
+    import public_tokenizers
+    import tiktoken
+    from tablekit.llm import bpe_bitmap, queries
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks=bpe_bitmap.load_ranks(bpe_bitmap.tokenizer_file()))
+    rows = collected(O.token_sequences(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    whole = np.frombuffer(runs(rows, None, O.Feistel(len(rows), 20), 512, 2), "<u2")
+    ends = np.flatnonzero(whole == O.END)
+    found = sorted(tuple(x.tolist()) for x in np.split(whole, ends + 1)[:-1])
+    assert found == sorted((*enc.encode_ordinary(t), O.END) for t in docs.values())
+    got = collected(queries.op6_feistel_order(spark, "/root/testdata/sf0.001"))
+    assert [r["sha256"] for r in got] == [sha256(bytes(r["ids"])).hexdigest() for r in rows]
+    assert {k for r in got for k in r["doc_ids"]} == set(docs)
