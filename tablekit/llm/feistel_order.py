@@ -225,7 +225,8 @@ def materialise(seqs: DataFrame, path: str, stride: int, shard_rows: int) -> Dat
     index = spark.read.schema(index.schema).parquet(table)
     files = spark.read.format("binaryFile").load(path, pathGlobFilter="shard-*.bin")
     places = F.sequence(F.lit(0), (F.col("length") / stride).cast("int") - 1)
-    digests = F.transform(places, lambda p: F.sha2(F.substring("content", p * stride + 1, F.lit(stride)), 256))
+    # the one-element array binds a file's bytes, which a column would copy for every slot
+    digests = F.transform(F.array("content"), lambda c: F.transform(places, lambda p: F.sha2(F.substring(c, p * stride + 1, F.lit(stride)), 256)))[0]
     shard = F.regexp_extract("path", r"shard-([0-9]+)\.bin$", 1).cast("bigint")
     read = files.filter("length > 0").select(shard.alias("shard"), F.posexplode(digests).alias("place", "sha256"))
     read = read.select((F.col("shard") * shard_rows + F.col("place")).alias("slot"), "sha256")
