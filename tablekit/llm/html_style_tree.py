@@ -49,6 +49,8 @@ WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
             "popup promo promos promoted related respond share sharing sidebar skip social sponsor sponsored subscribe toolbar "
             "widget widgets".split())
+#: Of those, elements that may stand round a whole page all the same.
+WRAPPING = set("nav header footer aside form dialog menu".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: A new start tag of these ends an open one of the set: HTML's optional end tags.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -56,7 +58,12 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
           "option": {"select"}, "tbody": {"table"}, "thead": {"table"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+#: Parts of compound names that mark an element as they stand alone, and parts beside which they don't.
+PARTS = set("comment comments footer breadcrumb breadcrumbs newsletter cookie cookies advert advertisement".split())
+NOT_BESIDE = set("no not has have with without off hide hidden disable disabled enable enabled".split())
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_EDGE = re.compile(r"=\s*[\"']|>")
+_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 _ATTR = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NUMBER = re.compile(r"[-_]?[0-9]+$")
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@?#]*@)?([^/?#:]*)"
@@ -67,102 +74,206 @@ def _key(*parts: str) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "path", "gone", "block", "inside")
-
-    def __init__(self, tag, path, gone, block):
-        self.tag, self.path, self.gone, self.block, self.inside = tag, path, gone, block, []
+    """An open element. ``gone``: how strongly it or an element round it rules out
+    main text; ``by``: the outermost elements that do, few of them, and ``n_by`` their number."""
+    __slots__ = ("tag", "path", "own", "gone", "by", "n_by", "block", "holder", "inside")
+
+    def __init__(self, tag, parent, style, gone, block):
+        self.tag, self.own, self.block, self.inside = tag, gone, block, []
+        self.path = _key(str(parent.path), f"{tag}[{style}]") if block and parent else parent.path if parent else 0
+        self.holder = self if block else parent.holder
+        self.gone = max(gone, parent.gone) if parent else gone
+        by = parent.by if parent else ()
+        self.by = by + (self,) if gone and len(by) < WRAPPERS else by
+        self.n_by = (parent.n_by if parent else 0) + (gone > 0)
+
+
+#: Nested elements round a whole page that may each seem to rule it out.
+WRAPPERS = 4
+
+
+class Scanner:
+    """A page's markup piece by piece, in time linear in its length: ends and quotes
+    that no longer occur are searched for once."""
+
+    def __init__(self, html: str):
+        self.html, self.n, self.missing = html, len(html), set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Where the tag whose attributes begin here ends (its ``>``), or -1. A quote counts
+        after an equals sign, and only if what follows the closing one can follow a value:
+        else it was never closed, and the tag ends at the next ``>``."""
+        while True:
+            if ">" in self.missing:
+                return -1
+            m = _EDGE.search(self.html, at)
+            if not m:
+                self.missing.add(">")
+                return -1
+            if m.group() == ">":
+                return m.start()
+            close = self.find(m.group()[-1], m.end())
+            if close < 0 or self.html[close + 1:close + 2] not in (" ", "\t", "\n", "\r", "\x0c", "/", ">", ""):
+                return self.find(">", m.end())
+            at = close + 1
+
+    def pieces(self):
+        """``(slash, tag, attributes, None, end)`` of tags and ``("", None, "", text, end)`` of text; send back another place to go on from."""
+        at, html = 0, self.html
+        while at < self.n:
+            if html[at] != "<":
+                end = self.find("<", at)
+                end = self.n if end < 0 else end
+                yield "", None, "", html[at:end], end
+                at = end
+                continue
+            if html.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                at = self.n if end < 0 else end + 3
+                continue
+            if html[at + 1:at + 2] in ("!", "?"):
+                end = self.find(">", at)
+                at = self.n if end < 0 else end + 1
+                continue
+            m = _TAG.match(html, at + 1)
+            if not m:
+                yield "", None, "", "<", at + 1
+                at += 1
+                continue
+            end = self.tag_end(m.end())
+            if end < 0:  # a tag that never ends is no text
+                return
+            back = yield m[1], m[2].lower(), html[m.end():end], None, end + 1
+            at = end + 1 if back is None else back
+
+
+def _marks(name: str) -> bool:
+    """Whether a class or id rules out main text: a whole listed name, or a compound
+    one that begins or ends with a telling part."""
+    name = _NUMBER.sub("", name)
+    if name in WORDS:
+        return True
+    parts = re.split(r"[-_]+", name)
+    return len(parts) > 1 and (parts[0] in PARTS or parts[-1] in PARTS) and NOT_BESIDE.isdisjoint(parts)
 
 
 def _attributes(raw: str) -> tuple[str, int]:
-    """The style of a start tag, and whether it rules out main text: 2 by an
-    attribute, 1 by a class or id only, else 0."""
+    """The style of a start tag, and whether it rules out main text: 3 if it is
+    never seen, 2 by a role, 1 by a class or id only, else 0."""
     style, gone = [], 0
     for name, a, b, c in _ATTR.findall(raw):
         name, value = name.lower(), (a or b or c).lower()
+        if name == "style":
+            if _UNSEEN.search(value):
+                gone = 3
+            continue
         if name not in ("class", "id", "role", "hidden"):
             continue
         if name == "hidden":
-            gone = 2
+            gone = 3
         elif name == "role":
             gone = max(gone, 2 * (value.strip() in ROLES))
         else:
-            gone = max(gone, not WORDS.isdisjoint(_NUMBER.sub("", x) for x in value.split()))
+            gone = max(gone, any(_marks(x) for x in value.split()))
         style.append(f"{name}={re.sub(r'[0-9]+', '0', value)}")
     return " ".join(style), gone
 
 
-def blocks(html: str) -> list[tuple[str, str, str]]:
-    """``(node path, tags inside, text)`` of the page's text blocks in order,
-    without those whose tags or names rule them out; if classes and ids rule out
-    all that is left, those."""
-    root = Node("", "", 0, True)
-    stack, out, named_out, text, at, n = [root], [], [], [], 0, len(html)
+def blocks(html: str) -> list[tuple[int, str, str]]:
+    """``(node, tags inside, text)`` of the page's text blocks in order,
+    without those whose tags or names rule them out. An element round all text that is
+    left rules nothing out (a form round a whole page, say, but nothing unseen); if
+    classes and ids rule out all that is left, those."""
+    root = Node("", None, "", 0, True)
+    stack, out, other, text = [root], [], [], []
+    opened: Counter = Counter()
 
     def flush():
         if text:
             line = " ".join(unescape("".join(text)).split())
             text.clear()
-            holder = next(x for x in reversed(stack) if x.block)
-            gone = max(x.gone for x in stack)
-            if line and gone < 2:
-                (named_out if gone else out).append((holder.path, " ".join(holder.inside), line))
+            top, holder = stack[-1], stack[-1].holder
+            if line and top.gone < 3:
+                (other if top.gone else out).append((top, (holder.path, " ".join(holder.inside), line)))
             holder.inside = []
 
     def close(k):
         if any(x.block for x in stack[k:]):
             flush()
+        for x in stack[k:]:
+            opened[x.tag] -= 1
         del stack[k:]
 
-    while at < n:
-        m = _TOKEN.match(html, at)
-        if not m:  # a tag that never ends
-            text.append(html[at:])
-            break
-        at = m.end()
-        slash, tag, raw, chars = m.groups()
+    scanner = Scanner(html)
+    pieces = scanner.pieces()
+    piece = next(pieces, None)
+    while piece is not None:
+        slash, tag, raw, chars, at = piece
+        back = None
         if chars is not None:
             text.append(chars)
-            continue
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if slash:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-            continue
-        inline = tag in INLINE
-        if tag in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in _SCOPE[tag]:
-                    break
-                if stack[k].tag in CLOSES[tag]:
-                    close(k)
-                    break
-        if not inline:
-            for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].block:
-                    break
-            flush()
-        if inline:
-            if tag == "br":
-                text.append(" ")
-            next(x for x in reversed(stack) if x.block).inside.append(tag)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
-            at = end.end() if end else n
-            continue
-        if tag in VOID or raw.rstrip().endswith("/") and inline:
-            continue
-        style, named = _attributes(raw) if raw.strip() else ("", 0)
-        named = 0 if tag in ("html", "body", "article", "main") else named
-        stack.append(Node(tag, f"{stack[-1].path}/{tag}[{style}]" if not inline else stack[-1].path, 2 if tag in NEVER else named, not inline))
+        elif slash:
+            if opened[tag] > 0:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].tag == tag:
+                        close(k)
+                        break
+        else:
+            inline = tag in INLINE
+            if tag in CLOSES and any(opened[x] for x in CLOSES[tag]):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].tag in _SCOPE[tag]:
+                        break
+                    if stack[k].tag in CLOSES[tag]:
+                        close(k)
+                        break
+            if not inline:
+                if opened["p"] > 0:
+                    for k in range(len(stack) - 1, 0, -1):  # a paragraph ends where a block begins
+                        if stack[k].tag == "p":
+                            close(k)
+                            break
+                        if stack[k].block:
+                            break
+                flush()
+            else:
+                if tag == "br":
+                    text.append(" ")
+                stack[-1].holder.inside.append(tag)
+            if tag in RAW:
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
+                back = end.end() if end else len(html)
+            elif not (tag in VOID or raw.rstrip().endswith("/") and inline):
+                style, named = _attributes(raw) if raw.strip() else ("", 0)
+                named = 0 if named == 1 and tag in ("html", "body", "article", "main") else named
+                if tag in NEVER:
+                    named = max(named, 2 if tag in WRAPPING else 3)
+                stack.append(Node(tag, stack[-1], style, named, not inline))
+                opened[tag] += 1
+        try:
+            piece = pieces.send(back) if back is not None else next(pieces)
+        except StopIteration:
+            piece = None
     flush()
-    return out or named_out
+    if out or not other:
+        return [x for _, x in out]
+    # nothing is left: what stands round all of it doesn't count
+    for depth in range(WRAPPERS):
+        round_all = {id(top.by[depth]) if len(top.by) > depth else None for top, _ in other}
+        if len(round_all) > 1 or None in round_all:
+            break
+        free = [x for top, x in other if top.n_by == depth + 1]
+        if free:
+            return free
+    return [x for top, x in other if top.gone < 2]
 
 
 # ---- the trees -----------------------------------------------------------
@@ -173,8 +284,7 @@ def _tree_rows(batches):
             seen: Counter = Counter()
             for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                 page = set()
-                for path, inside, line in blocks(html or ""):
-                    node = _key(path)
+                for node, inside, line in blocks(html or ""):
                     page.update(((node, 0, 0), (node, 1, _key(line)), (node, 2, _key(inside))))
                 for x in page:
                     seen[host, *x] += 1
@@ -250,7 +360,7 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "
                 own = part.column("gone").to_pylist() if not small else [None] * part.num_rows
                 texts = []
                 for page, host_, gone in zip(part.column("html").to_pylist(), hosts, own):
-                    got = [(_key(path), line) for path, _, line in blocks(page or "")]
+                    got = [(node, line) for node, _, line in blocks(page or "")]
                     keep, drop = change.get(host_, (set(), set()))
                     low = set(gone or ()) if not small else {n for n, _ in got if (n in common and n not in keep) or n in drop}
                     texts.append("\n\n".join([line for n, line in got if n not in low] or [line for _, line in got]))
@@ -266,7 +376,7 @@ def _page_nodes(batches):
     for batch in batches:
         for part in slices(batch, "html"):
             rows = [(i, h, n) for i, h, page in zip(part.column("id").to_pylist(), part.column("host").to_pylist(),
-                                                    part.column("html").to_pylist()) for n in {_key(p) for p, _, _ in blocks(page or "")}]
+                                                    part.column("html").to_pylist()) for n in {node for node, _, _ in blocks(page or "")}]
             cols = list(zip(*rows)) if rows else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
                                               pa.array(cols[2], pa.int64())], ["id", "host", "node"])

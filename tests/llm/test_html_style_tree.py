@@ -95,3 +95,38 @@ def test_wrappers_that_only_look_like_it(start):
                                    '<div role="navigation">'])
 def test_elements_that_go(start):
     assert lines(f"{start}<p>gone</p></div><p>x</p>") == ["x"]
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<a title="x>link text</a> more', ["link text more"]), ('<a title="x>link</a><p class="y">z</p>', ["link", "z"]),
+    ("<p title='it>x</p>", ["x"]), ("<p data-x=it's>x</p>", ["x"]), ("<p>x</p><a href=", ["x"]), ("<p>x <a y", ["x"]), ("x<!-- never", ["x"]),
+    ('<form action="/"><h1>t</h1><p>x</p><nav>m</nav><select><option>o</select></form>', ["t", "x"]),
+    ('<form><div class="sidebar"><p>x</p><div class=ad>a</div></div></form>', ["x"]), ("<nav>a</nav><footer>b</footer>", []),
+    ('<div role="dialog"><form><p>x</p></form></div>', ["x"]), ("<div hidden><p>x</p></div>", []),
+    ("<article><p>x</p></article><div class='post-comments'><p>c</p></div>", ["x"]), ("<p>x</p><ul class=comments-list><li>c</ul>", ["x"]),
+    ("<p>x</p><div id='site-footer'>f</div>", ["x"]), ("<p>x</p><div style='color:red; display : none'>h</div>", ["x"]),
+    ("<div class='comments-off'><p>x</p></div><p>y</p>", ["x", "y"]), ("<p>x</p><section id=comment_section-2>c</section>", ["x"]),
+    ("<style>p{}</style><script>if (a<b) x()</script><p>x", ["x"]), ("</p></div>x</nowhere>", ["x"]), ("<>x</>", ["<>x</>"]),
+])
+def test_hostile_and_real_markup(page, want):
+    assert lines(page) == want
+
+
+@pytest.mark.parametrize("page", ["<a x" * 250_000, "<a x='" * 200_000, '<a x="' * 100_000 + "'", "<div>" * 8000 + "x" + "</div>" * 8000, "<div>" * 5000 + "</nope>" * 50_000,
+                                  "<nav>" * 8000 + "<p>x", "<b>" * 20_000 + "<p>" * 20_000, "<!--" * 200_000, "<" * 300_000, "<li>" * 50_000, "<script>" * 5000,
+                                  "<p class=a>x" * 20_000])
+def test_a_million_bytes_take_linear_time(page):
+    import time
+    begin = time.process_time()
+    T.blocks(page)
+    assert time.process_time() - begin < 4
+
+
+def test_hostile_pages_through_the_operator(spark):
+    pages = ["<a x" * 100_000, "<div>" * 3000 + "deep", '<a title="x>link', None, "<form><p>wrapped</p></form>"] * 12
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i}", p) for i, p in enumerate(pages)], SCHEMA)
+    for name in ("key", "host", "text", "node", "gone"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = {r["page_id"]: r["text"] for r in T.extract(df).collect()}
+    assert [got[i] for i in range(5)] == ["", "deep", "link", "", "wrapped"] and len(got) == 60
