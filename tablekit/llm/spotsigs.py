@@ -1,14 +1,15 @@
 """Document fingerprints by SpotSigs.
 
 A spot signature is a common word (the anchor) with the chain of the next
-``chain`` content words, ``distance`` apart, that follow it. A text's
-fingerprint is the set of its signatures, digested to 128 bits beside the
-set's length and its length partition; two fingerprints are as alike as the
-Jaccard similarity of their sets. Sets of partitions that are not neighbours
-differ too much in length to reach ``PARTITION`` alike. ``jaccard`` can end early
-where the lengths, or the signatures left to see, rule out ``least``; the operator
-wants exact values and never does so. It compares a text with its edited text and
-the next document only: sets are not searched for near copies by partitions.
+``chain`` content words, ``distance`` apart, that follow it, hashed to 40 bits. A text's
+fingerprint is the set of its signatures as a string: its length partition, its
+length and the sorted hashes; two fingerprints are as alike as the
+Jaccard similarity of their sets (``likeness`` reads it from the strings). Sets of
+partitions that are not neighbours differ too much in length to reach ``PARTITION``
+alike. ``near_copies`` uses both: fingerprints meet on rare signatures within their own
+and the next partition, and each pair is compared with an early end where the lengths, or
+the signatures left to see, rule the bound out. ``fingerprints`` wants exact values of
+two comparisons a document and never ends early.
 
 The edited text of a document needs the next document by id: rows go to ranges
 of ids, each range with the first document of the range after it, and a task
@@ -24,7 +25,8 @@ itself. An empty table gives an empty one; extra columns are left out.
 
 from __future__ import annotations
 
-from hashlib import blake2b, sha256
+from base64 import b64decode, b64encode
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +35,13 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import with_range_bucket
 from . import textops
-from .runtime import keep_columns, ship, slices, utf8_bytes
+from .components import components
+from .runtime import keep_columns, ship, slices, utf8_bytes, written
 
 U = np.uint64
 PARTITION = 0.8
+#: Keeps a bound's exact multiples on its near side.
+EDGE = 1e-9
 # The anchors, common words of English, German, French and Spanish.
 ANCHORS = ("a an the of to in is it on or be as at by for from that this was with and are not have has "
            "der die das den dem des ein eine und ist zu von im mit für auf nicht als auch sich "
@@ -61,7 +66,7 @@ def _anchor_hashes() -> np.ndarray:
 
 
 def signatures(texts: pa.Array, distance: int = 1, chain: int = 2) -> list[np.ndarray]:
-    """Each text's distinct spot signatures, sorted, as 64-bit hashes."""
+    """Each text's distinct spot signatures, sorted, as 40-bit hashes."""
     words, first = _hashes(texts)
     common = _anchor_hashes()
     at = np.minimum(np.searchsorted(common, words), len(common) - 1)
@@ -82,9 +87,9 @@ def signatures(texts: pa.Array, distance: int = 1, chain: int = 2) -> list[np.nd
     out = []
     for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
         if b > a:
-            out.append(np.unique(h[a:b]))
+            out.append(np.unique(h[a:b] >> U(24)))
         elif first[i + 1] > first[i]:
-            out.append(np.array([textops.sequence_hash(words[first[i]:first[i + 1]])], U))
+            out.append(np.array([textops.sequence_hash(words[first[i]:first[i + 1]]) >> 24], U))
         else:
             out.append(np.zeros(0, U))
     return out
@@ -92,12 +97,26 @@ def signatures(texts: pa.Array, distance: int = 1, chain: int = 2) -> list[np.nd
 
 def length_partition(n: int) -> int:
     """Sets alike by ``PARTITION`` or more lie in one partition or in two that touch."""
-    return int(np.log(n) / np.log(1 / PARTITION)) + 1 if n else 0
+    return int(np.log(n) / np.log(1 / PARTITION) + EDGE) + 1 if n else 0
 
 
 def fingerprint(sigs: np.ndarray) -> str:
-    """Length partition, length and digest of the signature set."""
-    return f"{length_partition(len(sigs)):03x}-{len(sigs):x}-{blake2b(sigs.tobytes(), digest_size=16).hexdigest()}"
+    """Length partition, length and the sorted set, five bytes a signature."""
+    raw = sigs.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+    return f"{length_partition(len(sigs)):03x}-{len(sigs):x}-{b64encode(raw).decode()}"
+
+
+def signature_set(print_: str) -> np.ndarray:
+    """The set that a fingerprint spells."""
+    raw = np.frombuffer(b64decode(print_.split("-", 2)[2]), np.uint8).reshape(-1, 5)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 3:] = raw
+    return out.reshape(-1).view(">u8").astype(U)
+
+
+def likeness(a: str, b: str, least: float = 0.0) -> float:
+    """Jaccard similarity of two fingerprints, from the strings alone."""
+    return jaccard(signature_set(a), signature_set(b), least)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0, step: int = 256) -> float:
@@ -105,9 +124,9 @@ def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0, step: int = 256) -
     m, n = len(a), len(b)
     if not m or not n:
         return float(m == n)
-    if min(m, n) < least * max(m, n):
+    if min(m, n) < least * max(m, n) - EDGE:
         return 0.0
-    need = least / (1 + least) * (m + n)
+    need = least / (1 + least) * (m + n) - EDGE
     if not least:
         common = int((b[np.minimum(np.searchsorted(b, a), n - 1)] == a).sum())
         return common / (m + n - common)
@@ -181,3 +200,70 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", distanc
     out = rows.mapInArrow(run, f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
                                "edited_fingerprint string, near_edited double, near_next double")
     return out.withColumnRenamed("id", key)
+
+
+# ---- near copies ---------------------------------------------------------
+
+def _sets(batches):
+    """Distinct fingerprints as rows of their signatures."""
+    for batch in batches:
+        sets = [signature_set(x) for x in batch.column("fingerprint").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([length_partition(len(s)) for s in sets], pa.int32()), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "part", "n", "sigs"])
+
+
+def _alike(least: float):
+    def run(batches):
+        for batch in batches:
+            one, two = batch.column("one").to_pylist(), batch.column("two").to_pylist()
+            near = [jaccard(np.array(a, U), np.array(b, U), least) >= least for a, b in zip(one, two)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+    return run
+
+
+def near_copies(prints: DataFrame, key: str = "doc_id", least: float = PARTITION) -> DataFrame:
+    """``(key, class_id)`` of every row of ``(key, fingerprint)``: the smallest key that
+    likenesses of ``least`` (``PARTITION`` or more) reach. Equal fingerprints are one class from the
+    start. A pair so alike shares one of the n - least n + 1 rarest signatures of either
+    side and lies in one length partition or two that touch, so sets meet on (partition,
+    rare signature), the shorter partition's also as their next one's. On each such meeting only the
+    sets that the first one is not alike to meet one another as well, so a large group of near copies
+    costs a comparison each. An empty set is alike to empty ones only."""
+    if least < PARTITION:
+        raise ValueError(f"partitions are made for a likeness of {PARTITION} or more")
+    ship(prints.sparkSession)
+    rows = prints.select(prints[f"`{key}`"].alias("key"), prints["fingerprint"])
+    own = written(rows.groupBy("fingerprint").agg(F.min("key").alias("id")).filter("id is not null"), "spots-classes")
+    kind = own.schema["id"].dataType.simpleString()
+    sets = written(own.mapInArrow(_sets, f"id {kind}, part int, n bigint, sigs array<bigint>").filter("n > 0"), "spots-sets")
+    each = sets.select("id", "part", "n", F.explode("sigs").alias("sig"))
+    rank = written(each.groupBy("sig").agg(F.count("*").alias("times")), "spots-times")
+    rare = each.join(rank.filter("times > 1"), "sig", "left").select("id", "part", "n", "sig", F.coalesce("times", F.lit(1)).alias("times"))
+    rare = rare.groupBy("id", "part", "n").agg(F.collect_list(F.struct("times", "sig")).alias("l")).select(
+        "id", "part", "n", F.slice(F.array_sort("l"), 1, (F.col("n") - F.ceil(F.lit(least) * F.col("n") - EDGE) + 1).cast("int")).alias("l"))
+    rare = rare.select("id", "part", "n", F.explode("l").alias("x")).filter("x.times > 1")
+    # a set meets its own partition and the one above
+    at = F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("at")
+    meet = written(rare.select("id", "n", F.col("x.sig").alias("sig"), at), "spots-meet")
+    lead = meet.groupBy("sig", "at").agg(F.min(F.struct("n", "id")).alias("lead")).select("sig", "at", "lead.id")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "spots-pairs")
+        one, two = sets.select(F.col("id").alias("a"), F.col("sigs").alias("one")), sets.select(F.col("id").alias("b"), F.col("sigs").alias("two"))
+        both = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
+        return written(both.mapInArrow(_alike(least), f"a {kind}, b {kind}"), "spots-alike")
+
+    first = meet.join(lead.withColumnRenamed("id", "lead"), ["sig", "at"])
+    links = verified(first.select(F.col("id").alias("a"), F.col("lead").alias("b")))
+    so_far = written(components(links), "spots-so-far")
+    named = first.join(so_far.toDF("id", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    named = named.join(so_far.toDF("lead", "main"), "lead", "left").withColumn("main", F.coalesce("main", "lead"))
+    named = written(named.select("sig", "at", "id", "n", "comp", (F.col("comp") != F.col("main")).alias("apart")), "spots-named")
+    x, y = named.filter("apart").alias("x"), named.alias("y")
+    long = F.greatest("x.n", "y.n") * least - EDGE <= F.least("x.n", "y.n")
+    again = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.at") == F.col("y.at"))).filter((F.col("x.comp") != F.col("y.comp")) & long)
+    links = links.union(verified(again.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))))
+    found = components(written(links, "spots-links"))
+    classes = own.join(found, own["id"] == found["vertex"], "left").select("fingerprint", F.coalesce("component", "id").alias("class_id"))
+    return rows.join(classes, "fingerprint", "left").select(F.col("key").alias(key), "class_id")

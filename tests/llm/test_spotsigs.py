@@ -78,3 +78,47 @@ def test_edge_tables(spark, docs):
     assert len(got) == 3
     null = spark.createDataFrame([(None, "the null id comes first"), (2, "of two rows")], "doc_id bigint, text string")
     assert S.fingerprints(null).count() == 2
+
+
+def test_likeness_from_the_strings(spark, docs):
+    rows = S.fingerprints(docs(texts() + [None])).collect()
+    for r in rows:
+        assert S.likeness(r["fingerprint"], r["edited_fingerprint"]) == r["near_edited"]
+    by_id = sorted(rows, key=lambda r: r["doc_id"])
+    for r, following in zip(by_id, by_id[1:]):
+        assert S.likeness(r["fingerprint"], following["fingerprint"]) == r["near_next"]
+        assert (S.signature_set(r["fingerprint"]) == S.signatures(pa.array([(texts() + [None])[r["doc_id"]] or ""]))[0]).all()
+
+
+def reach(n, links):
+    name = list(range(n))
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            low = min(name[i], name[j])
+            changed |= name[i] != low or name[j] != low
+            name[i] = name[j] = low
+    return name
+
+
+@pytest.mark.parametrize("least", [0.8, 0.9])
+def test_near_copies_against_every_pair(spark, docs, least):
+    rnd = random.Random(8)
+    names = [f"word{i}" for i in range(300)]
+    base = [" ".join(rnd.choice(["the", "of", "und", "la"]) + " " + " ".join(rnd.sample(names, 3)) for _ in range(rnd.randint(1, 60))) for _ in range(40)]
+    rows = list(base)
+    for b in base:
+        for share in (0.02, 0.05, 0.1, 0.15, 0.3):
+            words = b.split()
+            for _ in range(max(1, int(share * len(words) / 4))):
+                words[rnd.randrange(len(words))] = rnd.choice(names)
+            rows.append(" ".join(words) + (" the very new ending" if rnd.random() < 0.3 else ""))
+    # a group of many near copies, and of equal ones
+    rows += [base[0] + f" the tail{i} here" for i in range(80)] + [base[1]] * 20 + ["", None, "!?"]
+    sets = [spots(t) for t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i)
+             if (len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9 if sets[i] | sets[j] else True)]
+    got = {r["doc_id"]: r["class_id"] for r in S.near_copies(S.fingerprints(docs(rows)), least=least).collect()}
+    assert [got[i] for i in range(len(rows))] == reach(len(rows), links)
+    assert S.near_copies(S.fingerprints(docs([]))).count() == 0
