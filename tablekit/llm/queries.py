@@ -64,8 +64,8 @@ def op9_jaccard_multimatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return edit_counts.recount(docs.withColumn("edits", edit_counts.sample_edits()))
+    trees = runtime.written(edit_counts.plant(table(spark, sf_dir, "documents")), "edit-trees")
+    return edit_counts.recount(trees.withColumn("edits", edit_counts.sample_edits()))
 
 
 def op11_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
