@@ -91,15 +91,18 @@ def schedule(blocks: list[int], weights: list[float]) -> tuple[np.ndarray, np.nd
     return source, j, earliest_deadline_first(release, due)
 
 
+def _named(source):
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def _schedule_task(block_chars: int):
     def run(batches):
-        rows = sorted(((r["size"], r["name"] is not None, r["name"] or "", r["name"], r["weight"])
-                       for b in batches for r in b.to_pylist()), key=lambda r: (-r[0], r[1], r[2]))
+        rows = sorted(((r["size"], r["name"], r["weight"]) for b in batches for r in b.to_pylist()), key=lambda r: (-r[0], r[1]))
         if not rows:
             return
         size = max(block_chars, -(-sum(r[0] for r in rows) // BLOCKS))
-        source, block, slot = schedule([-(-r[0] // size) for r in rows], [r[4] for r in rows])
-        names = pa.array([r[3] for r in rows], pa.string())
+        source, block, slot = schedule([-(-r[0] // size) for r in rows], [r[2] for r in rows])
+        names = pa.array([r[1] for r in rows], pa.string())
         for a in range(0, len(slot), 65_536):
             b = min(a + 65_536, len(slot))
             yield pa.RecordBatch.from_arrays(
@@ -117,7 +120,8 @@ def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
     ship(spark)
     row = F.struct(*[df[f"`{c}`"] for c in carry or df.columns]).alias("row")
     size = (F.coalesce(F.length(df[f"`{text}`"]), F.lit(0)) + 1).cast("bigint").alias("size")
-    name = df[f"`{source}`"].cast("string").alias("name")
+    # a source's name that is never null: joins and windows on it share one shuffle
+    name = _named(df[f"`{source}`"].cast("string")).alias("name")
     order = F.xxhash64(df[f"`{key}`"], F.lit(seed)).alias("order")
     part = F.shiftrightunsigned("order", 64 - PARTS_BITS).cast("int")
 
@@ -128,7 +132,7 @@ def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
         totals = totals.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(exponent)))
     else:
         given = spark.createDataFrame([(k, float(w)) for k, w in weights.items()], "source string, weight double")
-        totals = totals.join(given, F.col("name").eqNullSafe(F.col("source")), "left").select("name", "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+        totals = totals.join(given.select(_named(F.col("source")).alias("name"), "weight"), "name", "left").select("name", "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
     plan = totals.repartition(1).mapInArrow(_schedule_task(block_chars), "name string, stream int, block bigint, slot bigint, block_size bigint")
     plan = written(plan, "mix-schedule")
     block_size = plan.agg(F.max("block_size")).scalar()
@@ -139,15 +143,12 @@ def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
     tie = F.xxhash64(df[f"`{text}`"]).alias("tie")
     within = Window.partitionBy("name", "part").orderBy("order", "tie").rowsBetween(Window.unboundedPreceding, -1)
     docs = df.select(row, name, order, size, tie).withColumn("part", part)
-    docs = docs.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).alias("d")
-    begins = begins.alias("b")
-    docs = docs.join(begins, F.col("d.name").eqNullSafe(F.col("b.name")) & (F.col("d.part") == F.col("b.part")))
-    docs = docs.select("row", F.col("d.name").alias("name"), "order", "d.size", "tie", (F.col("begin") + F.col("here")).alias("at"))
-    docs = docs.withColumn("block", F.floor(F.col("at") / block_size)).withColumn("offset", F.col("at") % block_size).alias("d")
+    docs = docs.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).join(begins, ["name", "part"])
+    docs = docs.withColumn("at", F.col("begin") + F.col("here"))
+    docs = docs.withColumn("block", F.floor(F.col("at") / block_size)).withColumn("offset", F.col("at") % block_size)
     small = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    plan = (F.broadcast(plan) if small else plan).alias("p")
-    placed = docs.join(plan, F.col("d.name").eqNullSafe(F.col("p.name")) & (F.col("d.block") == F.col("p.block")))
-    return placed.select("row", "stream", "d.block", "slot", "offset", "size", "order", "tie")
+    placed = docs.join(F.broadcast(plan) if small else plan, ["name", "block"])
+    return placed.select("row", "stream", "block", "slot", "offset", "size", "order", "tie")
 
 
 def in_order(placed: DataFrame) -> DataFrame:
