@@ -59,19 +59,30 @@ def partial_ratio(a, b) -> Column:
     long_ = F.when(F.length(a) <= F.length(b), b).otherwise(a)
     ls, ll = F.length(short), F.length(long_)
 
-    # Exact minimum over all windows, with skipping: sliding a window by one
-    # character changes its distance by at most 2, so after a window at
-    # distance d (best so far b) the next floor((d - b) / 2) windows cannot
-    # beat b and are not evaluated (CASE short-circuits). State: (best, next).
-    def step(acc, j):
-        def take(d):
-            best = F.least(acc["best"], d)
-            return F.struct(best.alias("best"),
-                            (j + F.floor((d - best) / 2).cast("int") + 1).alias("next"))
-        # the one-element array binds the distance once for both fields
-        fresh = F.transform(F.array(F.levenshtein(short, F.substring(long_, j, ls))), take)[0]
-        return F.when(j < acc["next"], acc).otherwise(fresh)
-
-    init = F.struct(ls.alias("best"), F.lit(1).alias("next"))
-    best = F.aggregate(F.sequence(F.lit(1), ll - ls + 1), init, step)["best"]
-    return F.when(ls == 0, F.lit(0)).otherwise(F.round((ls - best) * 100 / ls)).cast("int")
+    # Exact minimum over all windows. Sliding a window by one character changes its
+    # distance by at most 2, so two windows at distances x and y have none between
+    # them below (x + y) / 2 less their gap, and the one halfway is not below the
+    # larger of them less the gap. Every 16th window is compared, then the halfway
+    # ones of each gap, down to a gap of one; a window that cannot beat the best so
+    # far stands with its bound, which is no smaller, in place of its distance.
+    last = ll - ls
+
+    def lev(start):
+        return F.levenshtein(short, F.substring(long_, F.least(start, last) + 1, ls))
+
+    def halve(known, gap):
+        def fill(k, best):
+            def pair(x, i):
+                y = F.coalesce(F.get(k, i + 1), x)
+                bound = F.greatest(x, y) - gap
+                beaten = (bound >= best) | (F.shiftright(x + y, 1) - gap >= best)
+                half = F.when(i * gap >= last, x).when(beaten, bound).otherwise(lev(i * gap + gap // 2))
+                return F.array(x, half)
+            return F.flatten(F.transform(k, pair))
+        # one-element arrays bind the distances and the best of them once
+        return F.transform(F.array(known), lambda k: F.transform(F.array(F.array_min(k)), lambda b: fill(k, b))[0])[0]
+
+    known = F.transform(F.sequence(F.lit(0), last + 15, F.lit(16)), lev)
+    for gap in (16, 8, 4, 2):
+        known = halve(known, gap)
+    return F.when(ls == 0, F.lit(0)).otherwise(F.round((ls - F.array_min(known)) * 100 / ls)).cast("int")
