@@ -21,6 +21,7 @@ from ..operators import tokens as TK
 from ..session import cut_lineage
 from ..sources.tables import read_spread as RS
 from ..sources.tables import read_table as T
+from ..sources.tables import scatter_rows
 
 PAIRS = B.PAIRS_SQL
 
@@ -498,7 +499,7 @@ SELECT id, CAST(CASE WHEN length(s) = 0 THEN 0 ELSE round((length(s) - list_min(
          range(1, length(l) - length(s) + 2), lambda j: levenshtein(s, substring(l, j, length(s)))))) * 100 / length(s)) END
        AS INTEGER) AS partial_ratio FROM x""")
 def q_fuzzy_partial(spark, d):
-    return _ab(spark, d).select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
+    return scatter_rows(_ab(spark, d), "id").select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
 
 
 @query("fuzzy_blocks", section="T26")

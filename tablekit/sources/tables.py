@@ -28,6 +28,16 @@ def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
+def scatter_rows(df: DataFrame, *keys: str, per_core: int = 4) -> DataFrame:
+    """Hash-partition rows on ``keys`` to several tasks a core, for work that is
+    quadratic in a row's texts: ranges of an order hold like numbers of rows, not
+    like work, and a small frame's ranges would be joined to a few tasks. The
+    texts' shuffle is linear, so it costs little beside such work at any size."""
+    spark = df.sparkSession
+    tasks = max(per_core * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
 def read_spread(spark: SparkSession, data_dir: str, name: str, key: str, *columns: str) -> DataFrame:
     """``read_table`` followed by ``spread_rows`` on the table's unique ``key``."""
     return spread_rows(read_table(spark, data_dir, name, *columns), key)

@@ -114,3 +114,48 @@ def test_single_file_from_parallel_parts(spark):
     assert os.path.getsize(path) == 0
     SNK.write_csv(df.limit(3), path, mode="ignore", single_file=True)
     assert os.path.getsize(path) == 0
+
+
+def test_scatter_rows(spark):
+    from tablekit.sources.tables import scatter_rows
+    got = scatter_rows(spark.range(0, 500, 1, 1).union(spark.createDataFrame([(None,), (7,)], "id bigint")), "id")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    assert got.rdd.getNumPartitions() >= tasks
+    rows = [r["id"] for r in got.collect()]
+    assert sorted(rows, key=lambda v: (v is None, v)) == sorted([*range(500), 7]) + [None]
+    sizes = got.rdd.glom().map(len).collect()
+    assert max(sizes) < 502 / 2
+    assert scatter_rows(spark.range(0).select("id"), "id").count() == 0
+
+
+def test_partial_ratio_of_edges_and_long_texts(spark):
+    from pyspark.sql import functions as F
+    from tablekit.functions.fuzzy import partial_ratio
+
+    def plain(a, b):
+        s, t = sorted((a, b), key=len) if len(a) != len(b) else (a, b)
+        if not s:
+            return 0
+
+        def lev(x, y):
+            row = list(range(len(y) + 1))
+            for i, c in enumerate(x, 1):
+                new = [i]
+                for j, e in enumerate(y, 1):
+                    new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (c != e)))
+                row = new
+            return row[-1]
+        best = min(lev(s, t[j:j + len(s)]) for j in range(len(t) - len(s) + 1))
+        return int((len(s) - best) * 100 / len(s) + 0.5)
+
+    import random
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choice("abcé ") for _ in range(n))
+    pairs = [("", ""), ("", "abc"), ("abc", "abc"), ("abc", "xabc"), ("ab", "x" * 16 + "ab"), ("ab", "x" * 15 + "ab")]
+    pairs += [(word(rnd.randint(0, 12)), word(rnd.randint(0, 80))) for _ in range(60)]
+    # the best window at, before and after a grid point, and as the last one
+    pairs += [("hello", "z" * n + "hello" + "z" * m) for n in (14, 15, 16, 17, 31, 32, 33) for m in (0, 1, 16, 40)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)] + [(-1, None, "a"), (-2, "a", None)], "i int, a string, b string")
+    got = {r["i"]: r["r"] for r in df.select("i", partial_ratio("a", F.col("b")).alias("r")).collect()}
+    assert [got[i] for i in range(len(pairs))] == [plain(*p) for p in pairs]
+    assert got[-1] is None and got[-2] is None
