@@ -1,144 +1,71 @@
 """Matching-block similarity: the longest common block of two texts, then the
 same on both sides of it, until nothing matches; twice the matched length over
-the total length, from 0 to 1.
-
-A region's longest block is found by its length: texts share a block of n
-characters exactly if their windows of n characters overlap, which holds for
-every shorter length too, so lengths are doubled and then bisected. Of the longest
-blocks the first of the left text is taken, at its first place in the right one.
-Regions wait in an array that an ``aggregate`` works off, so a whole comparison is one
-column expression.
+the total length, from 0 to 1. Of the longest blocks the first of the left text is taken, at
+its first place in the right one. Rows are compared batch by batch (``blocks``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code
+from .batches import batch_columns
+from .blocks import matched_length
+from .windows import code_points
+
 # A right text of this length or more has popular characters,
 # those that make up more than one in a hundred (and one more) of it; no block
 # begins from them, though blocks found elsewhere go on over them.
 POPULAR_FROM, POPULAR_SHARE = 200, 100
-#: Stand for popular characters of the left and of the right text (Unicode
-#: noncharacters, never equal to each other).
-_LEFT, _RIGHT = "\ufdd0", "\ufdd1"
+#: Stand for popular characters of the left and of the right text (no code points,
+#: never equal to each other).
+_LEFT, _RIGHT = -1, -2
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once (a lambda's argument is)."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _last_true(low: Column, high: Column, holds) -> Column:
-    """The largest k from ``low`` to ``high`` that ``holds``; it does for ``low``, and
-    for no k beyond one for which it does not."""
-    steps = F.ceil(F.log2((high - low + 1).cast("double"))).cast("int") + 1
-
-    def halve(s, _):
-        middle = ((s["lo"] + s["hi"] + 1) / 2).cast("int")
-        return F.when(s["lo"] >= s["hi"], s).otherwise(_bound(middle, lambda k: F.when(
-            holds(k), F.struct(k.alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (k - 1).alias("hi")))))
-
-    start = F.struct(low.cast("int").alias("lo"), high.cast("int").alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), steps), start, halve, lambda s: s["lo"])
-
-
-def _windows(text: Column, size: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size))
-
-
-def _longest(x: Column, y: Column) -> Column:
-    """Length of the longest common block."""
-    most = F.least(F.length(x), F.length(y))
+def _popular(b: np.ndarray) -> np.ndarray:
+    """The popular characters of the right text."""
+    if len(b) < POPULAR_FROM:
+        return b[:0]
+    chars, often = np.unique(b, return_counts=True)
+    return chars[often > len(b) // POPULAR_SHARE + 1]
 
-    def shared(n: Column) -> Column:
-        return F.arrays_overlap(_windows(x, n), _windows(y, n))
 
-    def double(s, _):
-        twice = F.least(s["n"] * 2, most)
-        more = s["on"] & (s["n"] < most) & F.coalesce(shared(twice), F.lit(False))
-        return F.when(~s["on"], s).otherwise(F.when(more, F.struct(twice.alias("n"), F.lit(True).alias("on")))
-                                             .otherwise(F.struct(s["n"].alias("n"), F.lit(False).alias("on"))))
-
-    doublings = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(most, F.lit(1)).cast("double"))).cast("int") + 1)
-    start = F.struct(F.lit(1).alias("n"), F.lit(True).alias("on"))
-    reached = F.aggregate(doublings, start, double, lambda s: s["n"])
-    found = _bound(reached, lambda n: _last_true(n, F.least(n * 2, most), shared))
-    return F.when((most < 1) | ~F.coalesce(shared(F.lit(1)), F.lit(False)), F.lit(0)).otherwise(found)
-
-
-def _popular(b: Column) -> Column:
-    """The popular characters of the right text, as a string."""
-    def often(chars):
-        least = F.floor(F.size(chars) / POPULAR_SHARE) + 1
-        return F.array_join(F.filter(F.array_distinct(chars), lambda c: F.length(b) - F.length(F.replace(b, c, F.lit(""))) > least), "")
-    chars = F.filter(F.split(b, ""), lambda c: c != "")
-    return F.when(F.length(b) < POPULAR_FROM, F.lit("")).otherwise(_bound(chars, often))
+def _ratios(a: pa.Array, b: pa.Array, forms: tuple[bool, ...]) -> list[pa.Array]:
+    """``matching_ratio`` of two columns of an Arrow batch, with popular characters or without."""
+    out = [[None] * len(a) for _ in forms]
+    for row, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist())):
+        if x is None or y is None:
+            continue
+        x, y, plain = code_points(x), code_points(y), None
+        for values, popular in zip(out, forms):
+            often = _popular(y) if popular else y[:0]
+            if len(often):
+                n = matched_length(x, y, np.where(np.isin(x, often), _LEFT, x), np.where(np.isin(y, often), _RIGHT, y))
+            else:
+                n = plain = matched_length(x, y, x, y) if plain is None else plain
+            values[row] = 2.0 * n / (len(x) + len(y)) if len(x) + len(y) else 1.0
+    return [pa.array(v, pa.float64()) for v in out]
 
 
 def matching_ratio(a, b, popular: bool = True) -> Column:
     """``2 * matched / (len(a) + len(b))``; two empty texts give 1, a null text null.
     With ``popular``, characters that are popular in ``b`` begin no block."""
-    a, b = _c(a), _c(b)
-
-    def region(alo, ahi, blo, bhi):
-        return F.struct(alo.cast("int").alias("alo"), ahi.cast("int").alias("ahi"), blo.cast("int").alias("blo"), bhi.cast("int").alias("bhi"))
-
-    def compare(t):
-        """``t``: the texts and their forms with popular characters masked."""
-        def cut(name, lo, hi):
-            return F.substring(t[name], lo + 1, hi - lo)
-
-        def block(r):
-            """Where the region's block begins (from 0 in the region) and its length."""
-            x, y = cut("sa", r["alo"], r["ahi"]), cut("sb", r["blo"], r["bhi"])
-
-            def place(p):
-                def at(n):
-                    first = F.array_intersect(_windows(p["x"], n), _windows(p["y"], n))[0]
-                    some = _bound(first, lambda g: F.struct((F.position(g, p["x"]) - 1).alias("i"), (F.position(g, p["y"]) - 1).alias("j"), n.alias("n")))
-                    return F.when(n < 1, F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("n"))).otherwise(some)
-                return _bound(_longest(p["x"], p["y"]), at)
-            return _bound(F.struct(x.alias("x"), y.alias("y")), place)
-
-        def longer(r, m):
-            """The block carried on over equal characters to both sides."""
-            def alike(u, v, part):
-                most = F.least(F.length(u), F.length(v))
-                return _bound(F.struct(u.alias("u"), v.alias("v")), lambda p: _last_true(F.lit(0), most, lambda k: part(p["u"], k) == part(p["v"], k)))
-            before = alike(cut("a", r["alo"], r["alo"] + m["i"]), cut("b", r["blo"], r["blo"] + m["j"]), lambda s, k: F.right(s, k))
-            after = alike(cut("a", r["alo"] + m["i"] + m["n"], r["ahi"]), cut("b", r["blo"] + m["j"] + m["n"], r["bhi"]), lambda s, k: F.left(s, k))
-            return _bound(before, lambda k: F.struct((m["i"] - k).alias("i"), (m["j"] - k).alias("j"), (m["n"] + k + after).alias("n")))
-
-        def step(s, _):
-            def taken(r):
-                rest = F.slice(s["work"], 1, F.size(s["work"]) - 1)
-
-                def apart(m):
-                    i, j = r["alo"] + m["i"], r["blo"] + m["j"]
-                    sides = F.array(region(r["alo"], i, r["blo"], j), region(i + m["n"], r["ahi"], j + m["n"], r["bhi"]))
-                    sides = F.filter(sides, lambda q: (q["alo"] < q["ahi"]) & (q["blo"] < q["bhi"]))
-                    return F.when(m["n"] < 1, F.struct(rest.alias("work"), s["matched"].alias("matched"))).otherwise(
-                        F.struct(F.concat(rest, sides).alias("work"), (s["matched"] + m["n"]).cast("int").alias("matched")))
-                found = _bound(block(r), lambda m: longer(r, m)) if popular else block(r)
-                return _bound(found, apart)
-            return F.when(F.size(s["work"]) == 0, s).otherwise(_bound(F.element_at(s["work"], -1), taken))
+    ship_code(SparkSession.active())
 
-        least = F.least(F.length(t["a"]), F.length(t["b"]))
-        start = F.struct(F.array(region(F.lit(0), F.length(t["a"]), F.lit(0), F.length(t["b"]))).alias("work"), F.lit(0).alias("matched"))
-        matched = F.aggregate(F.sequence(F.lit(1), 2 * least + 1), start, step, lambda s: s["matched"])
-        total = F.length(t["a"]) + F.length(t["b"])
-        return F.when(total == 0, F.lit(1.0)).otherwise(F.when(least == 0, F.lit(0.0)).otherwise(2.0 * matched / total))
+    def ratio(x: pa.Array, y: pa.Array) -> pa.Array:
+        return _ratios(x, y, (popular,))[0]
+    return F.arrow_udf(ratio, "double")(_c(a), _c(b))
 
-    def masked(text, chars, mark):
-        return F.call_function("translate", text, chars, F.repeat(F.lit(mark), F.length(chars)))
 
-    if popular:
-        texts = _bound(_popular(b), lambda p: F.struct(a.alias("a"), b.alias("b"), masked(a, p, _LEFT).alias("sa"), masked(b, p, _RIGHT).alias("sb")))
-    else:
-        texts = F.struct(a.alias("a"), b.alias("b"), a.alias("sa"), b.alias("sb"))
-    return F.when(a.isNotNull() & b.isNotNull(), _bound(texts, compare))
+def with_matching_ratios(df: DataFrame, a: str, b: str, names: dict[str, bool]) -> DataFrame:
+    """``df`` without the texts ``a`` and ``b``, with the ``matching_ratio`` of both under each
+    name, with popular characters where its value is true."""
+    forms = tuple(names.values())
+    return batch_columns(df, [a, b], {n: "double" for n in names}, lambda x, y: _ratios(x, y, forms))

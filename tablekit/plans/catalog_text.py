@@ -505,9 +505,9 @@ def q_fuzzy_partial(spark, d):
 @query("fuzzy_blocks", section="T26")
 def q_fuzzy_blocks(spark, d):
     """Matching blocks of whole lower-cased texts, with and without popular characters."""
-    a, b = F.lower("a"), F.lower("b")
-    return _ab(spark, d).select("id", F.round(MB.matching_ratio(a, b), 9).alias("similarity"),
-                                F.round(MB.matching_ratio(a, b, popular=False), 9).alias("all_blocks"))
+    lower = scatter_rows(_ab(spark, d), "id").select("id", F.lower("a").alias("a"), F.lower("b").alias("b"))
+    out = MB.with_matching_ratios(lower, "a", "b", {"similarity": True, "all_blocks": False})
+    return out.select("id", *[F.round(c, 9).alias(c) for c in ("similarity", "all_blocks")])
 
 
 @query("pair_features", section="T27/J10", sql=f"""
