@@ -9,10 +9,14 @@ window of the same length in the longer text (whole texts, no truncation).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code
+from .batches import batch_columns
 from .text import split_ws
+from .windows import code_points, least_window_distances
 
 
 def _c(col) -> Column:
@@ -53,36 +57,31 @@ def token_set_ratio(a, b) -> Column:
     return F.greatest(ratio(inter, s1), ratio(inter, s2), ratio(s1, s2))
 
 
+def _partial_ratios(a: pa.Array, b: pa.Array) -> pa.Array:
+    """``partial_ratio`` of two columns of an Arrow batch."""
+    out, pairs, at = [None] * len(a), [], []
+    for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist())):
+        short, long_ = (x, y) if x is not None and y is not None and len(x) <= len(y) else (y, x)
+        if short == "":
+            out[i] = 0
+        elif short is not None and long_ is not None:
+            pairs.append((code_points(short), code_points(long_)))
+            at.append(i)
+    for i, (short, _), least in zip(at, pairs, least_window_distances(pairs)):
+        # half up, as ROUND
+        out[i] = (2 * (len(short) - least) * 100 + len(short)) // (2 * len(short))
+    return pa.array(out, pa.int32())
+
+
 def partial_ratio(a, b) -> Column:
-    a, b = _c(a), _c(b)
-    short = F.when(F.length(a) <= F.length(b), a).otherwise(b)
-    long_ = F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    ls, ll = F.length(short), F.length(long_)
-
-    # Exact minimum over all windows. Sliding a window by one character changes its
-    # distance by at most 2, so two windows at distances x and y have none between
-    # them below (x + y) / 2 less their gap, and the one halfway is not below the
-    # larger of them less the gap. Every 16th window is compared, then the halfway
-    # ones of each gap, down to a gap of one; a window that cannot beat the best so
-    # far stands with its bound, which is no smaller, in place of its distance.
-    last = ll - ls
-
-    def lev(start):
-        return F.levenshtein(short, F.substring(long_, F.least(start, last) + 1, ls))
-
-    def halve(known, gap):
-        def fill(k, best):
-            def pair(x, i):
-                y = F.coalesce(F.get(k, i + 1), x)
-                bound = F.greatest(x, y) - gap
-                beaten = (bound >= best) | (F.shiftright(x + y, 1) - gap >= best)
-                half = F.when(i * gap >= last, x).when(beaten, bound).otherwise(lev(i * gap + gap // 2))
-                return F.array(x, half)
-            return F.flatten(F.transform(k, pair))
-        # one-element arrays bind the distances and the best of them once
-        return F.transform(F.array(known), lambda k: F.transform(F.array(F.array_min(k)), lambda b: fill(k, b))[0])[0]
-
-    known = F.transform(F.sequence(F.lit(0), last + 15, F.lit(16)), lev)
-    for gap in (16, 8, 4, 2):
-        known = halve(known, gap)
-    return F.when(ls == 0, F.lit(0)).otherwise(F.round((ls - F.array_min(known)) * 100 / ls)).cast("int")
+    """The best window's ratio as a column expression; ``with_partial_ratio`` is the
+    same for a table."""
+    ship_code(SparkSession.active())
+    return F.arrow_udf(_partial_ratios, "int")(_c(a), _c(b))
+
+
+def with_partial_ratio(df: DataFrame, a: str, b: str, name: str = "partial_ratio") -> DataFrame:
+    """``df`` without the texts ``a`` and ``b``, with the best ratio of the shorter one against
+    every window of its length in the longer one: the distances to all windows come
+    from one pass over a pair's table (``windows``), in blocks of pairs."""
+    return batch_columns(df, [a, b], {name: "int"}, lambda x, y: [_partial_ratios(x, y)])

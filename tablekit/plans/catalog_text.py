@@ -499,7 +499,7 @@ SELECT id, CAST(CASE WHEN length(s) = 0 THEN 0 ELSE round((length(s) - list_min(
          range(1, length(l) - length(s) + 2), lambda j: levenshtein(s, substring(l, j, length(s)))))) * 100 / length(s)) END
        AS INTEGER) AS partial_ratio FROM x""")
 def q_fuzzy_partial(spark, d):
-    return scatter_rows(_ab(spark, d), "id").select("id", FZ.partial_ratio("a", "b").alias("partial_ratio"))
+    return FZ.with_partial_ratio(scatter_rows(_ab(spark, d), "id"), "a", "b")
 
 
 @query("fuzzy_blocks", section="T26")
