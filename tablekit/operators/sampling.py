@@ -23,11 +23,15 @@ def seeded_hash(key: str | Column, seed: int) -> Column:
     return F.pmod(x * MULT, F.lit(PRIME))
 
 
+def mixed_finish(x: Column, seed: int) -> Column:
+    """``mixed_hash`` of what ``seeded_hash`` gave."""
+    return F.pmod(F.pmod(x * x + seed + 1, F.lit(PRIME)) * MULT, F.lit(PRIME))
+
+
 def mixed_hash(key: str | Column, seed: int) -> Column:
     """``seeded_hash`` squared once on its way, so that neighbouring keys have
     nothing in common; still integers that any SQL engine reproduces."""
-    x = seeded_hash(key, seed)
-    return F.pmod(F.pmod(x * x + seed + 1, F.lit(PRIME)) * MULT, F.lit(PRIME))
+    return mixed_finish(seeded_hash(key, seed), seed)
 
 
 def poisson_steps(mean: float) -> list[int]:
@@ -84,7 +88,10 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 70, modulus: int = 100)
     return df.filter(b < train_pct), df.filter(b >= train_pct)
 
 
-def random_split(df: DataFrame, weights: list[float], seed: int):
-    """``randomSplit`` (per-partition sampling; repeatable for fixed input
-    partitioning and seed)."""
-    return df.randomSplit(weights, seed)
+def random_split(df: DataFrame, weights: list[float], seed: int, key: list[str] | None = None):
+    """Parts of the given weights, by a seeded hash of each row's ``key`` (all columns
+    unless named; equal keys stay together). No row is sorted or written for it, and
+    partitions, retries and the parts' order of reading change nothing."""
+    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key or df.columns]), F.lit(PRIME))
+    ends = [math.ceil(PRIME * sum(weights[:i + 1]) / sum(weights)) for i in range(len(weights))]
+    return [df.filter((h >= lo) & (h < hi)) for lo, hi in zip([0, *ends], ends)]

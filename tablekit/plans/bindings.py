@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_spread, read_table
 from ..operators.ordering import dense_index
-from ..session import cut_lineage
+from ..session import cut_lineage, sized_shuffles
 
 # The catalogue name the cleaning step excludes, and the
 # catalogue name that stands for it in the part table.
@@ -26,7 +26,8 @@ def user_item(spark: SparkSession, d: str, materialize: bool = False) -> DataFra
     li = read_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     od = read_table(spark, d, "orders", "o_orderkey", "o_custkey")
     if materialize:
-        return cut_lineage(user_item(spark, d))
+        with sized_shuffles(spark, li.count()):
+            return cut_lineage(user_item(spark, d))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
               .groupBy("o_custkey", "l_partkey")
               .agg(F.sum("l_quantity").cast("bigint").alias("count"))

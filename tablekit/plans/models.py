@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_ws
 from ..operators.ordering import dense_index, grouped_running_sum
-from ..operators.sampling import PRIME, mixed_hash
-from ..session import checkpoint_dir, cut_lineage
+from ..operators.sampling import PRIME, mixed_finish, seeded_hash
+from ..session import checkpoint_dir, cut_lineage, sized_shuffles
 from .grid import run_grid
 
+# Least number of user and of item blocks of an ALS fit, rows that a
+# block holds before there are more.
+BLOCKS, BLOCK_ROWS = 6, 25_000_000
 DOC_FEATURES = ["n_chars", "n_words", "avg_word_len", "upper_share", "digit_share",
                 "symbol_share", "n_lines"]
 
@@ -183,20 +186,30 @@ def als(rank: int = 10, alpha: float = 2.0, reg: float = 2.0, max_iter: int = 10
                coldStartStrategy="nan", checkpointInterval=5)
 
 
-def fit_als(train: DataFrame, **params):
+def als_blocks(rows: int) -> int:
+    """User and item blocks of a fit: a factor is sent to every block of the other side
+    that it has a row in, in each iteration, so traffic goes by their number. As few as hold
+    ``BLOCK_ROWS`` rows each, and ``BLOCKS`` at least."""
+    return max(BLOCKS, -(-rows // BLOCK_ROWS))
+
+
+def fit_als(train: DataFrame, blocks: int | None = None, **params):
     checkpoint_dir(train.sparkSession)  # ALS checkpoints factor lineage
     train = train.cache()
     try:
-        return als(**params).fit(train)
+        return als(**params).setNumBlocks(blocks or als_blocks(train.count())).fit(train)
     finally:
         train.unpersist()
 
 
 def score_pairs(model, pairs: DataFrame, user: str = "userId", item: str = "itemId") -> DataFrame:
     """Score given pairs: one row a pair, NaN for an unknown user or item. The
-    rows are counted against the pairs, and a difference is an error."""
-    scored = cut_lineage(model.transform(pairs).select(user, item, "prediction"))
-    want, got = pairs.count(), scored.count()
+    rows are counted against the pairs, and a difference is an error; pairs that are
+    costly to make should be a table."""
+    want = pairs.count()
+    with sized_shuffles(pairs.sparkSession, want):
+        scored = cut_lineage(model.transform(pairs).select(user, item, "prediction"))
+    got = scored.count()
     if want != got:
         raise ValueError(f"{got} scores for {want} pairs")
     return scored
@@ -214,10 +227,11 @@ def _integer_key(df: DataFrame, name: str):
     return F.pmod(F.xxhash64(name), F.lit(PRIME))
 
 
-def draw_hash(user, item, draw, seed: int):
-    """The hash of a positive row's draw, from 0 to PRIME squared."""
-    h = mixed_hash(mixed_hash(user, seed) + item, seed + 1) + draw
-    return mixed_hash(h, seed + 2) * PRIME + mixed_hash(h, seed + 3)
+def _with_mixed_hash(df: DataFrame, name: str, key, seed: int) -> DataFrame:
+    """``mixed_hash`` as a column, its inner value a column first: nested, each level
+    would be computed once more for every use of it."""
+    inner = df.withColumn("_inner", seeded_hash(key, seed))
+    return inner.withColumn(name, mixed_finish(F.col("_inner"), seed)).drop("_inner")
 
 
 def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0,
@@ -228,19 +242,26 @@ def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0
 
     Draws are hashes of a positive row and the draw's number, so that a user with a
     third of all rows spreads over many tasks; a user's draws count by number, then by
-    hash. Two a row are made for all users at once; only users short of items draw on,
+    hash. The first draw of every row is made for all users at once; a user whose draws
+    all hold has its items. Only users short of items draw on,
     two in each round (a user with a share f of the candidates needs about 1 / (2 f) rounds at
-    most), and only their counts go from round to round. The per-user cut is a
+    most), and only their counts go from round to round. Their cut is a
     distributed grouped running count."""
     cand = cut_lineage(dense_index(candidates.select(item).distinct(), [item], name="_ci"))
     n_cand = cand.count()
+    if not n_cand:
+        return positives.select(user, item).limit(0)
     keys = _integer_key(positives, user), _integer_key(positives, item)
     pos = positives.select(user, item, keys[0].alias("_uk"), keys[1].alias("_ik"))
     seen = pos.select(user, item, F.lit(0).alias("_valid")).distinct()
 
-    def drawn(rows, first):
-        d = rows.withColumn("_d", F.explode(F.sequence(F.lit(first), F.lit(first + 1))))
-        d = d.select(user, "_d", draw_hash(F.col("_uk"), F.col("_ik"), F.col("_d"), seed).alias("_h"))
+    def drawn(rows, first, last):
+        # the hash of a row and a draw's number, from 0 to PRIME squared
+        d = _with_mixed_hash(rows.select(user, "_uk", "_ik"), "_uh", F.col("_uk"), seed)
+        d = _with_mixed_hash(d, "_ih", F.col("_uh") + F.col("_ik"), seed + 1).select(user, "_ih")
+        d = d.withColumn("_d", F.explode(F.sequence(F.lit(first), F.lit(last)))).withColumn("_n", F.col("_ih") + F.col("_d"))
+        d = _with_mixed_hash(_with_mixed_hash(d, "_a", F.col("_n"), seed + 2), "_b", F.col("_n"), seed + 3)
+        d = d.select(user, "_d", (F.col("_a") * PRIME + F.col("_b")).alias("_h"))
         d = d.withColumn("_ci", F.pmod(F.col("_h"), F.lit(n_cand)) + 1).join(cand, "_ci").drop("_ci")
         d = d.join(seen, [user, item], "left").withColumn("_valid", F.coalesce("_valid", F.lit(1)))
         return cut_lineage(d.withColumn("_one", F.lit(1)))
@@ -248,23 +269,25 @@ def negative_sampling(positives: DataFrame, candidates: DataFrame, seed: int = 0
     def counts(draws):
         return draws.groupBy(user).agg(F.sum("_valid").alias("_kept"), F.sum("_one").alias("_made"))
 
-    if not n_cand:
-        return positives.select(user, item).limit(0)
-    draws = drawn(pos, 1)
-    n_pos = pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos"))
-    state, first = cut_lineage(counts(draws).join(n_pos, user)), 1
-    short = state
-    while True:
-        short = cut_lineage(short.filter((F.col("_kept") < F.col("_npos")) & (F.col("_made") < n_cand)))
-        if short.isEmpty():
-            break
-        first += 2
-        more = drawn(pos.join(short.select(user), user, "left_semi"), first)
-        draws = draws.unionByName(more)
-        both = short.unionByName(counts(more).withColumn("_npos", F.lit(None).cast("long")))
-        short = both.groupBy(user).agg(F.sum("_kept").alias("_kept"), F.sum("_made").alias("_made"), F.max("_npos").alias("_npos"))
-    ranked = grouped_running_sum(draws, [user], ["_d", "_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
+    with sized_shuffles(positives.sparkSession, positives.count()):
+        draws = drawn(pos, 1, 1)
+        n_pos = pos.groupBy(user).agg(F.count(F.lit(1)).alias("_npos"))
+        state = counts(draws).join(n_pos, user)
+        # users for whom some draw fails, or who have more draws than there are candidates
+        state = cut_lineage(state.filter((F.col("_kept") < F.col("_npos")) | (F.col("_made") > n_cand)))
+        whole = draws.join(state.select(user), user, "left_anti").select(user, item)
+        draws, short, last = draws.join(state.select(user), user, "left_semi"), state, 1
+        while True:
+            short = cut_lineage(short.filter((F.col("_kept") < F.col("_npos")) & (F.col("_made") < n_cand)))
+            if short.isEmpty():
+                break
+            more = drawn(pos.join(short.select(user), user, "left_semi"), last + 1, last + 2)
+            last += 2
+            draws = draws.unionByName(more)
+            both = short.unionByName(counts(more).withColumn("_npos", F.lit(None).cast("long")))
+            short = both.groupBy(user).agg(F.sum("_kept").alias("_kept"), F.sum("_made").alias("_made"), F.max("_npos").alias("_npos"))
+        ranked = grouped_running_sum(draws, [user], ["_d", "_h", item], ["_one", "_valid"], ["_attempt", "_kept"])
     out = (ranked.join(state.select(user, "_npos"), user)
            .filter((F.col("_valid") == 1) & (F.col("_kept") <= F.col("_npos"))
                    & (F.col("_attempt") <= n_cand)))
-    return out.select(user, item)
+    return whole.unionByName(out.select(user, item))
