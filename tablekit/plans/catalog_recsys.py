@@ -69,7 +69,7 @@ def _scored(spark, d):
     n_items = B.item_names(spark, d).agg(F.max("itemId")).scalar()
     pos = ui.select("userId", "itemId", F.lit(1).alias("is_pos"))
     neg = R.hashed_negatives(ui, n_items).withColumn("is_pos", F.lit(0))
-    return pos.unionByName(neg).withColumn("score", R.hashed_score())
+    return pos.unionByName(neg).withColumn("score", R.hashed_score()), 2 * ui.count()
 
 
 SCORED_SQL = f"""
@@ -99,5 +99,6 @@ SELECT ROUND(AVG(CASE WHEN n_pos * n_neg > 0 THEN correct / (n_pos * n_neg) END)
        CAST(COUNT(CASE WHEN n_pos * n_neg > 0 THEN 1 END) AS BIGINT) AS n_users
   FROM per_user""")
 def q_mean_user_auc(spark, d):
-    out = R.mean_user_auc(_scored(spark, d))
+    scored, rows = _scored(spark, d)
+    out = R.mean_user_auc(scored, rows=rows)
     return out.select(F.round("mean_auc", 9).alias("mean_auc"), "n_users")

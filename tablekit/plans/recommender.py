@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import group_agg
 from ..operators.ordering import grouped_running_sum, ordered_scan
-from ..session import cut_lineage
+from ..session import cut_lineage, sized_shuffles
 
 UNKNOWN_NAME = "[unknown]"
 
@@ -96,7 +96,7 @@ def hashed_negatives(ui: DataFrame, n_items: Column, mult: int = 31, add: int =
 
 
 def mean_user_auc(scored: DataFrame, user: str = "userId", score: str = "score",
-                  label: str = "is_pos", parity: bool = False) -> DataFrame:
+                  label: str = "is_pos", parity: bool = False, rows: int = 0) -> DataFrame:
     """Mean over users of the share of (positive, negative) pairs whose
     positive scores strictly higher (ties count as wrong).
 
@@ -104,14 +104,16 @@ def mean_user_auc(scored: DataFrame, user: str = "userId", score: str = "score",
     negatives, then a per-user running sum of negatives in score order gives
     the negatives strictly below each positive. NaN scores are dropped and
     counted. ``parity=True`` reproduces dropping users with zero correct pairs.
+    ``rows``: about how many there are, if known; shuffles get partitions by it.
     """
     clean = scored.filter(~F.isnan(F.col(score)) & F.col(score).isNotNull())
     # per (user, score) counts feed several passes of the scan below:
     # materialise them once instead of re-running the scoring lineage
-    per = cut_lineage(clean.groupBy(user, score)
-                      .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
-                           F.sum((1 - F.col(label).cast("long"))).alias("_neg")))
-    below = grouped_running_sum(per, [user], [score], "_neg", "_neg_below", inclusive=False)
+    with sized_shuffles(scored.sparkSession, rows):
+        per = cut_lineage(clean.groupBy(user, score)
+                          .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
+                               F.sum((1 - F.col(label).cast("long"))).alias("_neg")))
+        below = grouped_running_sum(per, [user], [score], "_neg", "_neg_below", inclusive=False)
     users = (below.groupBy(user)
              .agg(F.sum(F.col("_pos") * F.col("_neg_below")).alias("correct"),
                   F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg")))
