@@ -493,8 +493,8 @@ def q_split_hash(spark, d):
 
 @query("split_random", section="M03/M05")
 def q_split_random(spark, d):
-    ui = B.user_item(spark, d).select("userId", "itemId")
-    train, test = M.random_split(ui, [0.7, 0.3], seed=0)
+    ui = B.user_item(spark, d, materialize=True).select("userId", "itemId")
+    train, test = M.random_split(ui, [0.7, 0.3], seed=0, key=["userId", "itemId"])
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
