@@ -112,7 +112,7 @@ _TRAIN_SQL = f"(SELECT * FROM {B.USER_ITEM_SQL} ui WHERE ((CAST(userId AS BIGINT
 @query("als_factor_equations", section="L14", sql=f"SELECT DISTINCT userId, true AS solved FROM {_TRAIN_SQL} t")
 def q_als_equations(spark, d):
     """Each user's factors solve the regularised least squares that the items' factors pose."""
-    train, _ = _als_split(spark, d)
+    train, _ = _als_split(B.user_item(spark, d, materialize=True))
     train = cut_lineage(train)
     model = MD.fit_als(train, rank=5, alpha=2.0, reg=0.5)
     return MD.factor_equations(train, cut_lineage(model.userFactors), cut_lineage(model.itemFactors), alpha=2.0, reg=0.5)
@@ -123,9 +123,10 @@ WITH t AS {_TRAIN_SQL}, p AS (SELECT DISTINCT userId, itemId FROM {B.USER_ITEM_S
 SELECT userId, itemId, userId IN (SELECT userId FROM t) AND itemId IN (SELECT itemId FROM t) AS known, true AS agrees FROM p""")
 def q_als_scores(spark, d):
     """A score is the product of both sides' factors, NaN where one side is unknown."""
-    train, _ = _als_split(spark, d)
+    ui = B.user_item(spark, d, materialize=True)
+    train, _ = _als_split(ui)
     model = MD.fit_als(train, rank=5, alpha=2.0, reg=0.5)
-    scored = MD.score_pairs(model, cut_lineage(B.user_item(spark, d).select("userId", "itemId")))
+    scored = MD.score_pairs(model, ui.select("userId", "itemId"))
     users, items = (cut_lineage(x.select(F.col("id"), F.col("features").cast("array<double>"))) for x in (model.userFactors, model.itemFactors))
     rows = scored.join(users.toDF("userId", "u"), "userId", "left").join(items.toDF("itemId", "v"), "itemId", "left")
     dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
