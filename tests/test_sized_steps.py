@@ -64,3 +64,19 @@ def _kept_in(spark, folder):
 def test_als_blocks_follow_the_rows():
     assert MD.als_blocks(0) == MD.als_blocks(100_000_000) == MD.BLOCKS
     assert MD.als_blocks(1_000_000_000) == 40
+
+
+def test_unit_sums_send_a_part_each_vector_once(spark):
+    from tablekit.plans.vectorplans import text_unit_sums
+    texts = spark.range(400).select("id", F.array(*[F.concat(F.lit("w"), (F.col("id") + i) % 7) for i in range(30)]).alias("t"),
+                                    F.when(F.col("id") > 0, F.array(F.lit("none"))).alias("s"))
+    vectors = spark.range(7).select(F.concat(F.lit("w"), F.col("id")).alias("word"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("vec"))
+    out = text_unit_sums(texts, "id", {"u": "t", "w": "s"}, vectors, 2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan
+    got = {r["id"]: (list(r["u"]), list(r["w"])) for r in out.collect()}
+    assert len(got) == 400
+    for i in (0, 5, 399):
+        x, y = sum((i + k) % 7 for k in range(30)), 30.0
+        size = (x * x + y * y) ** 0.5
+        assert abs(got[i][0][0] - x / size) < 1e-12 and abs(got[i][0][1] - y / size) < 1e-12 and got[i][1] == [0.0, 0.0]
