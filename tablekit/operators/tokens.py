@@ -44,23 +44,29 @@ def lookup_lemmas(exploded: DataFrame, word: str, lemmas: DataFrame, name: str =
     return ex.drop("_lw", "_ln", "_lw1", "_lv")
 
 
+def _replace_words(df: DataFrame, key: str, words: str, name: str, change) -> DataFrame:
+    """``(key, name)``: the words of the array column ``words`` with those replaced that
+    ``change`` gives: of rows ``(key, _w)``, a text's distinct words, it makes ``(key, _w, _new)``
+    for the words that become others. Texts are dealt by their unique key once; only
+    changed words are gathered to a text, as a map, and the text's array is never
+    taken apart and put together again. No words give an empty array."""
+    rows = df.select(key, F.coalesce(F.col(words), F.array().cast("array<string>")).alias("_ws")).repartition(key)
+    new = change(rows.select(key, F.explode(F.array_distinct("_ws")).alias("_w")))
+    maps = new.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_w", "_new"))).alias("_m"))
+    whole = rows.join(maps, key, "left")
+    return whole.select(key, F.when(F.col("_m").isNull(), F.col("_ws")).otherwise(
+        F.transform("_ws", lambda w: F.coalesce(F.try_element_at("_m", w), w))).alias(name))
+
+
 def lemmatize(df: DataFrame, key: str, words: str, lemmas: DataFrame, name: str = "lemmas",
               min_len: int = 0, keep_input: bool = True) -> DataFrame:
     """Replace each word of the array column ``words`` by its lemma
-    (``lookup_lemmas``); rows with no words get an empty array. The outer
-    explode keeps rows without words, so the regroup by the unique ``key``
-    sees every row and ``keep_input=False`` returns ``(key, name)`` with no
-    join back to ``df``."""
-    ex = df.select(key, F.posexplode_outer(words).alias("_pos", "_w"))
-    ex = lookup_lemmas(ex, "_w", lemmas, "_lem", min_len)
-    g = (ex.groupBy(key)
-         .agg(F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(),
-                                                 F.struct("_pos", "_lem")))).alias("_s"))
-         .select(key, F.transform("_s", lambda s: s["_lem"]).alias(name)))
-    if not keep_input:
-        return g
-    return (df.join(g, key, "left")
-              .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<string>"))))
+    (``lookup_lemmas`` of a text's distinct words); rows with no words get an empty array.
+    ``keep_input=False`` returns ``(key, name)`` with no join back to ``df``."""
+    def change(ex):
+        return lookup_lemmas(ex, "_w", lemmas, "_new", min_len).filter(F.col("_new") != F.col("_w"))
+    g = _replace_words(df, key, words, name, change)
+    return df.join(g, key, "left") if keep_input else g
 
 
 def map_words(df: DataFrame, key: str, words: str, change, name: str = "words") -> DataFrame:

@@ -80,3 +80,12 @@ def test_unit_sums_send_a_part_each_vector_once(spark):
         x, y = sum((i + k) % 7 for k in range(30)), 30.0
         size = (x * x + y * y) ** 0.5
         assert abs(got[i][0][0] - x / size) < 1e-12 and abs(got[i][0][1] - y / size) < 1e-12 and got[i][1] == [0.0, 0.0]
+
+
+def test_lemmas_gather_only_changed_words(spark):
+    from tablekit.operators.tokens import lemmatize
+    from tablekit.plans.lexicon import lemma_table
+    df = spark.createDataFrame([(1, ["dogs", "run", "dogs", "went"]), (2, []), (3, None), (4, ["plain"])], "id int, w array<string>")
+    out = lemmatize(df, "id", "w", lemma_table(spark), name="l", keep_input=False)
+    assert "posexplode" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: r["l"] for r in out.collect()} == {1: ["dog", "run", "dog", "go"], 2: [], 3: [], 4: ["plain"]}
