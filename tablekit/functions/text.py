@@ -85,9 +85,9 @@ def tokenize(col) -> Column:
 def content_words(col, stop_words=STOP_WORDS) -> Column:
     """Lower, whitespace split, keep purely alphabetic words that are not stop
     words (``back?`` is dropped, not stripped)."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
+    # more than ten literals are a hash set to Spark; an array is searched from its start
     return F.filter(split_ws(F.lower(_c(col))),
-                    lambda w: w.rlike("^\\p{L}+$") & ~F.array_contains(stop, w))
+                    lambda w: w.rlike("^\\p{L}+$") & ~w.isin(*stop_words))
 
 
 def normalize(col) -> Column:
