@@ -56,7 +56,8 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 def glm_summary(df: DataFrame, label: str, cols: list[str], family: str = "binomial",
                 link: str | None = None, max_iter: int = 25) -> tuple:
     """Fit a GLM and return (model, one-row summary DataFrame)."""
-    data = assemble(df, cols).select("features", F.col(label).cast("double").alias("label"))
+    # written: every iteration and each figure of the summary reads the rows again
+    data = cut_lineage(assemble(df, cols).select("features", F.col(label).cast("double").alias("label")))
     glr = GeneralizedLinearRegression(family=family, maxIter=max_iter, regParam=0.0)
     if link:
         glr = glr.setLink(link)

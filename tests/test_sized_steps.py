@@ -89,3 +89,10 @@ def test_lemmas_gather_only_changed_words(spark):
     out = lemmatize(df, "id", "w", lemma_table(spark), name="l", keep_input=False)
     assert "posexplode" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r["id"]: r["l"] for r in out.collect()} == {1: ["dog", "run", "dog", "go"], 2: [], 3: [], 4: ["plain"]}
+
+
+def test_glm_reads_costly_rows_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(MD, "cut_lineage", _kept_in(spark, tmp_path))
+    df = spark.range(200).select(F.col("id").cast("double").alias("x"), (F.col("id") * 7 % 3 == 0).cast("int").alias("y"))
+    MD.glm_summary(df, "y", ["x"])
+    assert [spark.read.parquet(p).columns for p in glob.glob(f"{tmp_path}/*")] == [["features", "label"]]
