@@ -137,7 +137,8 @@ def classifier(kind: str, label: str = "label", seed: int = 0, **params):
     if kind == "gbt":
         return GBTClassifier(labelCol=label, seed=seed, **params)
     if kind == "rf":
-        return RandomForestClassifier(labelCol=label, seed=seed, **params)
+        # a row's node in each tree is kept from pass to pass: deep trees aren't walked from the root in every one
+        return RandomForestClassifier(labelCol=label, seed=seed, cacheNodeIds=True, **params)
     if kind == "mlp":
         return MultilayerPerceptronClassifier(labelCol=label, seed=seed, **params)
     raise ValueError(kind)

@@ -66,3 +66,13 @@ def test_negatives_are_the_same_for_any_partitions_and_string_keys(spark):
     assert n[0] == 0 and all(n[u] == len(range(0, 60, u + 1)) for u in range(3, 20))
     names = ui.select(F.concat(F.lit("u"), "userId").alias("userId"), "itemId")
     assert MD.negative_sampling(names, cand, seed=4).groupBy("userId").count().count() >= 17
+
+
+def test_a_forest_keeps_its_rows_nodes_and_has_the_same_trees(spark):
+    rows = spark.range(600).select(F.array([F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50)).cast("double") for i in range(4)]).alias("x"))
+    rows = rows.withColumn("label", (F.pmod(F.col("x")[0] * 3 + F.col("x")[1], F.lit(7)) < 3).cast("double"))
+    train = MD.assemble(rows.select("label", *[F.col("x")[i].alias(f"x{i}") for i in range(4)]), [f"x{i}" for i in range(4)]).coalesce(1)
+    forest = MD.classifier("rf", numTrees=8, maxDepth=12)
+    assert forest.getCacheNodeIds()
+    one, two = (f.fit(train).toDebugString.split("\n", 1)[1] for f in (forest, forest.copy({forest.cacheNodeIds: False})))
+    assert one == two and one.count("If") > 100
