@@ -148,8 +148,8 @@ def q_stem(spark, d):
 @query("text_treebank", section="T14", sql=f"""
 SELECT doc_id, CAST(len({Q.treebank_sentences('text')}) AS INTEGER) AS n_sentences, {Q.treebank_words('text')} AS words FROM documents""")
 def q_treebank(spark, d):
-    return RS(spark, d, "documents", "doc_id", "doc_id", "text").select(
-        "doc_id", F.size(TB.treebank_sentences("text")).alias("n_sentences"), TB.treebank_words("text").alias("words"))
+    docs = RS(spark, d, "documents", "doc_id", "doc_id", "text").select("doc_id", TB.treebank_sentences("text").alias("s"))
+    return docs.select("doc_id", F.size("s").alias("n_sentences"), TB.words_of_sentences("s").alias("words"))
 
 
 @query("text_sentences", section="T14")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tablekit.functions.matching import matching_ratio
 from tablekit.functions.stemming import porter_stem
-from tablekit.functions.treebank import treebank_sentences, treebank_words
+from tablekit.functions.text import split_ws
+from tablekit.functions.treebank import rewrite_rules, sentence_rules, treebank_sentences, treebank_words
 from tablekit.operators import tokens as TK
 
 
@@ -133,6 +134,29 @@ def test_treebank_words(spark):
     assert {t: len(s) for t, s in both}["Good muffins cost $3.88 in New York.  Please buy me two of them. Thanks."] == 3
 
 
+def test_treebank_rules_are_skipped_only_where_they_find_nothing(spark):
+    rnd = random.Random(5)
+    bits = ['"', "''", "``", "'", ". ", ".", "...", ", ", ",", ":", "; ", "?", "! ", "(", ")", "[", "--", "\n", "A", "a", "9", "$", "é", "\U0001d4b3", "Mr", "Dr",
+            "e.g", "u.s", "No", "cannot", "can", "not", "d'ye", "Gimme", "gonna", "gotta", "LEMME", "more'n", "wanna", "'tis", "'Twas", "n't", "'ll",
+            "'S", "I'm", "Smith", "it's ", "x.\" ", ".)", "_", "\x02", "St. "]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["", "", " "]) for _ in range(rnd.randint(0, 20))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").repartition(8)
+
+    def plain(text, rules):
+        for pattern, new in rules:
+            text = F.regexp_replace(text, pattern, new.replace("\\", "$"))
+        return text
+
+    parts = F.split(plain(F.col("t"), sentence_rules()), "\x01")
+    parts = F.filter(F.transform(parts, lambda s: F.regexp_replace(s, r"^\s+|\s+\z", "")), lambda s: s != "")
+    want = df.select("t", parts.alias("s")).withColumn("w", F.flatten(F.transform("s", lambda s: split_ws(plain(s, rewrite_rules())))))
+    unlike = want.filter(~(F.col("s").eqNullSafe(treebank_sentences("t")) & F.col("w").eqNullSafe(treebank_words("t"))))
+    assert [tuple(r) for r in unlike.limit(3).collect()] == []
+    # nearly all rules are behind a test of what they need
+    plan = df.select(treebank_words("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") >= 10
+
+
 @pytest.fixture(scope="module")
 def token_pairs(spark):
     rnd = random.Random(9)
