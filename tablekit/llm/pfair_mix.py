@@ -18,6 +18,10 @@ Blocks have ``block_chars`` characters, or more where the corpus would have over
 depends on the session's number of partitions: parts of a source are ranges of its
 documents' hashes, ``PARTS`` of them. No document is dropped or repeated.
 
+All this is decided on rows without texts. ``rows_in_order`` moves the whole rows once:
+the slots are cut to ranges, of which a source has a run of its documents each, and the
+documents that begin these runs tell any row its range without its slot.
+
 A null source is a source of its own; null and empty texts take one character and
 stay. Rows of one id keep one place each (ties fall by text); an empty table
 gives an empty one. Extra columns are carried.
@@ -41,6 +45,8 @@ PARTS_BITS = 12
 TOTAL_WEIGHT = 1 << 40
 #: Rows of a schedule that are sent to every task; more are joined by shuffle.
 BROADCAST_ROWS = 1 << 20
+#: Cells of a source's hashes, in which a row looks up its range of slots.
+CELL_BITS = 8
 
 
 def whole_weights(weights: list[float]) -> list[int]:
@@ -116,17 +122,28 @@ def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """The input columns ``carry`` (default: all) in ``row``, and ``stream, block, slot, offset, size``:
     the training order is (slot, offset). Without ``weights`` (source to weight)
     a source's weight is its characters to the power ``exponent``; with them, sources that they leave out come last."""
-    spark = df.sparkSession
-    ship(spark)
     row = F.struct(*[df[f"`{c}`"] for c in carry or df.columns]).alias("row")
-    size = (F.coalesce(F.length(df[f"`{text}`"]), F.lit(0)) + 1).cast("bigint").alias("size")
-    # a source's name that is never null: joins and windows on it share one shuffle
-    name = _named(df[f"`{source}`"].cast("string")).alias("name")
-    order = F.xxhash64(df[f"`{key}`"], F.lit(seed)).alias("order")
-    part = F.shiftrightunsigned("order", 64 - PARTS_BITS).cast("int")
-
-    # characters by source, and by the source's parts
-    by_part = written(df.select(name, order, size).groupBy("name", part.alias("part")).agg(F.sum("size").alias("size")), "mix-parts")
+    docs = df.select(row, *_measures(df, key, source, text, seed))
+    by_part, plan, small = _planned(docs, weights, exponent, block_chars)
+    placed = _placed(docs, by_part).withColumns(_blocks(plan)).join(F.broadcast(plan) if small else plan, ["name", "block"])
+    return placed.select("row", "stream", "block", "slot", "offset", "size", "order", "tie")
+
+
+def _measures(df: DataFrame, key: str, source: str, text: str, seed: int) -> list:
+    """``name, order, tie, size, part`` of a row: its place among its source's is by part, order, tie."""
+    order = F.xxhash64(df[f"`{key}`"], F.lit(seed))
+    return [
+        # a source's name that is never null: joins and windows on it share one shuffle
+        _named(df[f"`{source}`"].cast("string")).alias("name"), order.alias("order"), F.xxhash64(df[f"`{text}`"]).alias("tie"),
+        (F.coalesce(F.length(df[f"`{text}`"]), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.shiftrightunsigned(order, 64 - PARTS_BITS).cast("int").alias("part")]
+
+
+def _planned(docs: DataFrame, weights: dict | None, exponent: float, block_chars: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Characters by source and part, the schedule, and whether the schedule is small."""
+    spark = docs.sparkSession
+    ship(spark)
+    by_part = written(docs.groupBy("name", "part").agg(F.sum("size").alias("size")), "mix-parts")
     totals = by_part.groupBy("name").agg(F.sum("size").alias("size"))
     if weights is None:
         totals = totals.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(exponent)))
@@ -135,20 +152,75 @@ def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", text: str
         totals = totals.join(given.select(_named(F.col("source")).alias("name"), "weight"), "name", "left").select("name", "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
     plan = totals.repartition(1).mapInArrow(_schedule_task(block_chars), "name string, stream int, block bigint, slot bigint, block_size bigint")
     plan = written(plan, "mix-schedule")
-    block_size = plan.agg(F.max("block_size")).scalar()
+    return by_part, plan, _is_small(plan)
+
+
+def _is_small(table: DataFrame) -> bool:
+    return table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
-    # where each part of a source begins, and each document in it
+
+def _placed(docs: DataFrame, by_part: DataFrame) -> DataFrame:
+    """``docs`` with ``at``, where each begins among its source's characters."""
     before = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = by_part.select("name", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("begin"))
-    tie = F.xxhash64(df[f"`{text}`"]).alias("tie")
     within = Window.partitionBy("name", "part").orderBy("order", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    docs = df.select(row, name, order, size, tie).withColumn("part", part)
     docs = docs.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).join(begins, ["name", "part"])
-    docs = docs.withColumn("at", F.col("begin") + F.col("here"))
-    docs = docs.withColumn("block", F.floor(F.col("at") / block_size)).withColumn("offset", F.col("at") % block_size)
-    small = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    placed = docs.join(F.broadcast(plan) if small else plan, ["name", "block"])
-    return placed.select("row", "stream", "block", "slot", "offset", "size", "order", "tie")
+    return docs.withColumn("at", F.col("begin") + F.col("here"))
+
+
+def _blocks(plan: DataFrame) -> dict:
+    size = plan.agg(F.max("block_size")).scalar()
+    return {"block": F.floor(F.col("at") / size), "offset": F.col("at") % size}
+
+
+def rows_in_order(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: dict | None = None,
+                  exponent: float = 0.7, block_chars: int = 1 << 14, seed: int = 17, ranges: int | None = None) -> DataFrame:
+    """``in_order(mixed(df))``'s ``row`` in the same order, with the whole rows shuffled once.
+    ``ranges``: of slots, four for each of the session's partitions if not given."""
+    row = F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row")
+    docs = df.select(row, *_measures(df, key, source, text, seed))
+    by_part, plan, small = _planned(docs.drop("row"), weights, exponent, block_chars)
+    ranges = ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = F.shiftright("part", PARTS_BITS - CELL_BITS)
+    rank = ["part", "order", "tie", "copy"]  # of a document in its source
+
+    # rows alike in id and text take places of their own, by their other columns
+    alike = ["name", "part", "order", "tie"]
+    same = Window.partitionBy(*alike)
+    thin = docs.drop("row")
+    often = written(thin.groupBy(*alike).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "mix-alike")
+
+    # the first document of each source in each range of slots
+    slots = plan.select("name", "block", "slot")
+    slots = F.broadcast(slots) if small else slots
+    placed = _placed(thin, by_part).withColumns(_blocks(plan)).join(slots, ["name", "block"])
+    which = F.floor(F.col("slot") * ranges / (plan.agg(F.max("slot")).scalar() + 1)).cast("int").alias("range")
+    placed = placed.withColumn("copy", F.row_number().over(same.orderBy("at")))
+    cuts = placed.groupBy("name", which).agg(F.min(F.struct(*rank, "at")).alias("first"))
+    cuts = written(cuts.select("name", "first.part", F.struct(*[f"first.{c}" for c in rank], "range", "first.at").alias("cut")), "mix-cuts")
+
+    # by source and cell of hashes: the cut that holds where the cell begins, and those in it
+    inside = cuts.groupBy("name", cell.alias("cell")).agg(F.collect_list("cut").alias("own"), F.max("cut").alias("last"))
+    cells = by_part.select("name", cell.alias("cell")).distinct().join(inside, ["name", "cell"], "left")
+    held = F.max("last").over(Window.partitionBy("name").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    cells = cells.select("name", "cell", F.array_compact(F.concat(F.array(held), F.coalesce("own", F.array()))).alias("cuts"))
+    cells = written(cells, "mix-cells")
+    if not (small and _is_small(cells)):  # sources without number
+        return in_order(mixed(df, key, source, text, None, weights, exponent, block_chars, seed)).select("row")
+
+    if often.isEmpty():
+        docs = docs.withColumn("copy", F.lit(1))
+    else:
+        few = F.broadcast(often) if _is_small(often) else often
+        several = docs.join(few, alike, "left_semi").withColumn("copy", F.row_number().over(same.orderBy(F.xxhash64("row"))))
+        docs = docs.join(few, alike, "left_anti").withColumn("copy", F.lit(1)).unionByName(several)
+    docs = docs.withColumn("rank", F.struct(*rank)).withColumn("cell", cell).join(F.broadcast(cells), ["name", "cell"])
+    passed = F.filter("cuts", lambda c: F.struct(*[c[x].alias(x) for x in rank]) <= F.col("rank"))
+    docs = docs.withColumn("cut", F.array_max(passed)).select("row", "name", "size", *rank, "cut.range", F.col("cut.at").alias("begin"))
+    docs = docs.repartitionByRange("range")  # a source's rows of a range are together, and their places in a running sum
+    so_far = Window.partitionBy("range", "name").orderBy(*rank).rowsBetween(Window.unboundedPreceding, -1)
+    docs = docs.withColumn("at", F.col("begin") + F.coalesce(F.sum("size").over(so_far), F.lit(0))).withColumns(_blocks(plan))
+    return docs.join(slots, ["name", "block"]).sortWithinPartitions("slot", "offset").select("row")
 
 
 def in_order(placed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline as C  # noqa: E402
-from tablekit.llm import jaccard_multimatch as J  # noqa: E402
+from tablekit.llm import jaccard_multimatch as J, runtime  # noqa: E402
 
 from test_jaccard_multimatch import reach  # noqa: E402
 
@@ -63,3 +63,18 @@ def test_one_id_with_unlike_texts_and_null_ids(spark, docs, prose):
 def test_lengths_and_thresholds(spark, docs, texts, k, percent):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.linked(docs(texts), k=k, percent=percent).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts, k, percent)
+
+
+def test_whole_rows_stay_where_they_are(spark, docs, texts):
+    """Rows are chosen by keys sent to every task: a shuffle for those that occur more than once, none for the others."""
+    plan = C.near_duplicates(spark, docs(texts), "")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(key") == 1, plan
+    plan = C.quality_rules(spark, docs(texts), "")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan, plan
+
+
+def test_keys_beyond_the_bound_are_joined(spark, docs, texts, monkeypatch):
+    rows = docs(texts + texts[:9])
+    want = [sorted(map(tuple, f(spark, rows, "").collect()), key=str) for f in (C.near_duplicates, C.quality_rules)]
+    monkeypatch.setattr(runtime, "BROADCAST_KEYS", 2)
+    assert want == [sorted(map(tuple, f(spark, rows, "").collect()), key=str) for f in (C.near_duplicates, C.quality_rules)]

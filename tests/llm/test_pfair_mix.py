@@ -141,3 +141,33 @@ def test_schedule_of_a_large_corpus_stays_bounded(spark, monkeypatch, docs):
     monkeypatch.setattr(P, "BLOCKS", 20)
     got = collected(P.mixed(docs(["x" * 99] * 100, sources=["a", "b"] * 50), block_chars=10))
     assert max(r["slot"] for r in got) < 22 and len(got) == 100
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 60])
+def test_rows_in_order_is_the_same_order(spark, docs, prose, ranges):
+    rnd = random.Random(ranges)
+    texts = [prose(rnd.randint(0, 60), i) for i in range(300)] + [None, "", "y" * 5000]
+    df = docs(texts, extra=True, sources=[rnd.choice(["a", "a", "a", "b", "c", None]) for _ in texts])
+    df = df.union(df.filter("doc_id % 3 = 0")).union(df.filter("doc_id % 30 = 0"))
+    want = [r["row"] for r in P.in_order(P.mixed(df, block_chars=300)).collect()]
+    got = [r["row"] for r in P.rows_in_order(df.repartition(5), block_chars=300, ranges=ranges).collect()]
+    assert len(got) == df.count() and got == want
+
+
+def test_rows_in_order_of_repeated_rows_many_sources_and_empty_table(spark, docs, monkeypatch):
+    df = docs(["abc" * 20] * 40, sources=["s%d" % (i % 13) for i in range(40)])
+    df = df.withColumn("doc_id", df["doc_id"] % 2)  # a row stands up to four times in its source, other columns differ
+    want = [r["row"] for r in P.in_order(P.mixed(df, block_chars=61)).collect()]
+    for most in (1 << 20, 3):  # beyond the bound of what is sent to every task
+        monkeypatch.setattr(P, "BROADCAST_ROWS", most)
+        got = [r["row"] for r in P.rows_in_order(df, block_chars=61, ranges=9).collect()]
+        assert [(r["doc_id"], r["source"]) for r in got] == [(r["doc_id"], r["source"]) for r in want]
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert P.rows_in_order(docs([])).count() == 0
+
+
+def test_whole_rows_are_shuffled_once(spark, docs, prose):
+    df = docs([prose(i % 60, i) for i in range(100)], sources=["s%d" % (i % 7) for i in range(100)])
+    plan = P.rows_in_order(df)._jdf.queryExecution().executedPlan().toString()
+    found = [x for x in plan.split("\n") if " Exchange " in x and "SinglePartition" not in x]  # scalar subqueries aside
+    assert len(found) == 1 and "rangepartitioning(range" in found[0], plan
