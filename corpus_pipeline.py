@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm import bpe_bitmap, jaccard_multimatch, kn_perplexity, pfair_mix, toxic_grammar
-from tablekit.llm.runtime import by_keys, written
+from tablekit.llm.runtime import SLICE_BYTES, by_keys, written
 
 
 def _rows(df: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and their decoding."""
-    return bpe_bitmap.encode_column(docs)
+    return bpe_bitmap.encode_column(docs, slice_bytes=SLICE_BYTES)
 
 
 STAGES = [

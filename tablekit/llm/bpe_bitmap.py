@@ -260,11 +260,12 @@ def gather(values: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.nda
 
 
 def encode_column(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
-                  pattern: str | None = None, with_ids: bool = True) -> DataFrame:
+                  pattern: str | None = None, with_ids: bool = True, slice_bytes: int = BATCH_BYTES) -> DataFrame:
     """``(key, n_tokens, ids_sha256, decoded_sha256[, ids])``: each text encoded
     by the rank queue and decoded again. ``ids`` is binary, little-endian
     unsigned 32-bit integers; ``path`` must name a file on every executor (the
-    tokenizer package is installed there)."""
+    tokenizer package is installed there). ``slice_bytes``: of text that a task
+    encodes at once; smaller slices take less memory and share fewer pre-tokens."""
     import public_tokenizers
     path = path or tokenizer_file()
     pattern = pattern or public_tokenizers.PATTERN
@@ -275,7 +276,7 @@ def encode_column(df: DataFrame, key: str = "doc_id", text: str = "text", path:
     def run(batches):
         coder = Coder.of(path, pattern)
         for batch in batches:
-            for part in slices(batch, "text", BATCH_BYTES):
+            for part in slices(batch, "text", slice_bytes):
                 ids, at = coder.encode(text_column(part, "text").to_pylist())
                 coded, decoded, kept = [], [], []
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist()):

@@ -63,3 +63,10 @@ def test_column_edge_rows(spark, docs):
         assert out[i]["ids_sha256"] == sha256(raw).hexdigest()
         assert out[i]["decoded_sha256"] == sha256((t or "").encode()).hexdigest()
     assert B.encode_column(docs([])).count() == 0
+
+
+def test_slices_of_any_size_give_the_same_ids(spark, docs, prose):
+    from tablekit.llm import bpe_bitmap
+    df = docs([prose(i % 70, i) for i in range(60)] + [None, "", prose(3000, 1)]).coalesce(2)
+    want = sorted(map(tuple, bpe_bitmap.encode_column(df).collect()))
+    assert want == sorted(map(tuple, bpe_bitmap.encode_column(df, slice_bytes=500).collect()))
