@@ -22,13 +22,15 @@ input are left out, and an empty table gives an empty one.
 from __future__ import annotations
 
 import base64
+from collections import defaultdict
 from hashlib import sha256
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .runtime import keep_columns, ship, slices, text_column
+from .runtime import keep_columns, ship, slices, text_column, utf8_bytes
 
 _LEAF = 256
 #: Text bytes whose pre-tokens share a queue.
@@ -46,12 +48,24 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+#: The public pattern's branches: contractions, letters and numbers, all else.
+_SHORT, _WORDS, _REST = "'s|'t|'re|'ve|'m|'ll|'d|", r" ?\p{L}+| ?\p{N}+|", r" ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 def letters_first(pattern: str) -> str:
     """The same matches with the letter and number branches tried first: no
     contraction begins like one of them, and most matches are words."""
-    short = "'s|'t|'re|'ve|'m|'ll|'d|"
-    words = r" ?\p{L}+| ?\p{N}+|"
-    return words + short + pattern[len(short + words):] if pattern.startswith(short + words) else pattern
+    return _WORDS + _SHORT + pattern[len(_SHORT + _WORDS):] if pattern.startswith(_SHORT + _WORDS) else pattern
+
+
+def code_point_kinds() -> np.ndarray:
+    """0 to 3 for each code point: other, letter, number, white space, as ``regex`` has them."""
+    import regex
+    every, out = "".join(map(chr, range(0x110000))), np.zeros(0x110000, np.uint8)
+    for k, one in enumerate((r"\p{L}+", r"\p{N}+", r"\s+"), 1):
+        for m in regex.finditer(one, every):
+            out[m.start():m.end()] = k
+    return out
 
 
 class RankQueue:
@@ -64,7 +78,8 @@ class RankQueue:
 
     def push(self, ranks: np.ndarray, positions: np.ndarray) -> None:
         if len(ranks) > 1:
-            order = np.argsort(ranks, kind="stable")
+            # numbers of 16 bits are sorted by their digits
+            order = np.argsort(ranks.astype(np.uint16) if ranks.max() < 1 << 16 else ranks, kind="stable")
             ranks, positions = ranks[order], positions[order]
         cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
         for a, b in zip(cuts, cuts[1:]):
@@ -122,6 +137,10 @@ class Coder:
                     pairs[a << 32 | b] = r
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        #: For the public pattern: kinds of code points, made when first asked for.
+        self.by_kinds, self.kinds = pattern == _SHORT + _WORDS + _REST, None
+        #: Ranks of all pairs of single bytes.
+        self.byte_pairs = self.pair_ranks(np.repeat(self.byte_rank, 256), np.tile(self.byte_rank, 256)).reshape(256, 256)
         bytes_first = np.sort(self.byte_rank)
         high = np.maximum(self.keys >> 32, self.keys & 0xFFFFFFFF)
         odd = (self.merged < high) & ~np.isin(high, bytes_first)
@@ -164,7 +183,8 @@ class Coder:
         n = int(at[-1])
         if not n:
             return np.zeros(0, np.int64), at
-        sym = self.byte_rank[np.frombuffer(b"".join(pieces), np.uint8)]
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        sym = self.byte_rank[raw]
         nxt = np.arange(1, n + 1)
         prv = np.arange(-1, n)
         stop = np.zeros(n + 1, bool)  # a piece begins here
@@ -175,7 +195,7 @@ class Coder:
         known = np.flatnonzero((whole >= 0) & (lens > 0))
         todo = np.repeat(whole < 0, lens)
         ready = np.flatnonzero(todo[:-1] & ~stop[1:-1])
-        pair[ready] = self.pair_ranks(sym[ready], sym[ready + 1])
+        pair[ready] = self.byte_pairs[raw[ready], raw[ready + 1]]
         alive[~todo] = False
         alive[at[known]] = True
         sym[at[known]] = whole[known]
@@ -219,9 +239,9 @@ class Coder:
                 some = new >= 0
                 if some.any():
                     queue.push(new[some], near[some])
-        count = np.zeros(n + 1, np.int64)
-        np.cumsum(alive, out=count[1:])
-        return sym[alive], count[at]
+        before = np.zeros(n + 1, np.int64)
+        np.cumsum(alive, out=before[1:])
+        return sym[alive], before[at]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 32-bit) of all texts end to end, and where each text's
@@ -237,17 +257,64 @@ class Coder:
         flat, begin = gather(ids.astype("<u4"), at, codes)
         return flat, begin[np.array(ends)]
 
+    def pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pre-tokens (binary) of a column's texts end to end, and where each text's end. For the
+        public pattern they are found by the kinds of code points, in all texts at once."""
+        if not self.by_kinds:
+            found = [self.split(t or "") for t in texts.to_pylist()]
+            return pa.array([p.encode() for f in found for p in f], pa.binary()), np.cumsum([len(f) for f in found], dtype=np.int64)
+        if self.kinds is None:
+            self.kinds = code_point_kinds()
+        raw, offs = utf8_bytes(texts)
+        if not len(raw):
+            return pa.array([], pa.binary()), offs[1:]
+        byte = np.flatnonzero(raw & 0xC0 != 0x80)  # where code points begin
+        raw, ends = raw.tobytes(), np.searchsorted(byte, offs)
+        code = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+        n = len(code)
+        kind = self.kinds[code]
+        white, text = kind == 3, np.zeros(n + 3, bool)  # text: one begins here
+        text[ends] = True
+        start = np.zeros(n + 3, bool)
+        start[1:n] = kind[1:] != kind[:-1]
+        # white space before something else leaves its last character to it; a space is joined with it
+        last = white[:-1] & ~white[1:] & ~text[1:n]
+        start[:n - 1] |= last
+        start[1:n] &= ~(last & (code[:-1] == 32))
+        start |= text
+        mark = np.flatnonzero(start[:n - 1] & (code[:-1] == 39) & ~text[1:n])
+        after = code[mark + 1]
+        second = np.where(text[mark + 2], 0, code[np.minimum(mark + 2, n - 1)])
+        one, two = np.isin(after, (100, 109, 115, 116)), (second == 101) & np.isin(after, (114, 118)) | (second == 108) & (after == 108)
+        start[mark[one | two] + 1] = False
+        start[mark[one] + 2] = start[mark[two] + 3] = True
+        at = np.flatnonzero(start[:n])
+        begin = np.append(byte[at], len(raw)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(begin), pa.py_buffer(raw)]), np.searchsorted(at, ends[1:])
+
+    def encode_at_once(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode`` for a column, with the pre-tokens found by ``pieces`` in runs of about
+        ``SLICE_BYTES`` and one queue for all of them."""
+        found, ends = [pa.array([], pa.binary())], [np.zeros(1, np.int64)]
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            own, to = self.pieces(part.column("text"))
+            found.append(own)
+            ends.append(to + ends[-1][-1])
+        coded = pa.concat_arrays(found).dictionary_encode()
+        ids, at = self.merge(coded.dictionary.to_pylist())
+        flat, begin = gather(ids.astype("<u4"), at, coded.indices.to_numpy())
+        return flat, begin[np.concatenate(ends)]
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids end to end, and where each id's begin."""
         return gather(self.token_bytes, self.token_at, ids)
 
 
-class _Numbers(dict):
+class _Numbers(defaultdict):
     """Numbers its keys in the order of their first use."""
 
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
+    def __init__(self):
+        super().__init__(count().__next__)
 
 
 def gather(values: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,7 +3,8 @@
 Documents fall to parts by a hash, and a part's documents, in the order of their
 keys and each closed by an end mark, are one run of token ids that is cut to
 sequences of ``length`` ids; only a part's last one is padded. Sequences are numbered
-without gaps: a part's first number is the sum of the parts before it. A balanced
+without gaps: a part's first number is the sum of the parts before it. The parts' sequences
+are written once, as their number has to be known before slots are. A balanced
 Feistel network over the numbers, walked on while it leaves [0, N), maps each number
 to its slot in the training order: a bijection known from the key and N alone, so a
 slot can be found, and a read resumed, without a table. Slots are dealt to shards by
@@ -26,13 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe_bitmap, textops
-from .runtime import keep_columns, shared_dir, ship, slices, text_column
+from .runtime import joined, keep_columns, shared_dir, ship, shuffles_dropped, slices, text_column
 
 U = np.uint64
 ROUNDS = 6
 PARTS = 4096
 #: Sequences that a task hands on at once.
 BATCH = 1024
+#: Text bytes whose pre-tokens share a queue.
+QUEUE_BYTES = 12 << 20
+#: Shards are written in so many passes, each of which shuffles its own sequences only.
+PASSES = 3
 
 
 class Feistel:
@@ -65,8 +70,8 @@ class Feistel:
         return self._walk(slots, self.keys[::-1])
 
 
-def _cut(begin: dict[int, int], order: Feistel, length: int, width: int, end: bytes, pad: bytes, shard_rows: int, kind: pa.DataType):
-    """Runs of ids, part by part, to sequences with their slots."""
+def _cut(length: int, width: int, end: bytes, pad: bytes, kind: pa.DataType):
+    """Runs of ids, part by part, to sequences numbered within their part."""
     stride = length * width
 
     def run(batches):
@@ -75,22 +80,21 @@ def _cut(begin: dict[int, int], order: Feistel, length: int, width: int, end: by
         def done():
             nonlocal number, held, keys
             n_ids = len(held) // width
-            out.append((number, n_ids, keys, bytes(held) + pad * (length - n_ids)))
+            out.append((part, number, n_ids, keys, bytes(held) + pad * (length - n_ids)))
             number, held, keys = number + 1, bytearray(), []
 
         def batch_of():
-            slots = order.slots(np.array([x[0] for x in out], np.int64))
-            cols = [pa.array(slots), pa.array(slots // shard_rows), pa.array(slots % shard_rows), pa.array([x[1] for x in out], pa.int64()),
-                    pa.array([x[2] for x in out], pa.list_(kind)), pa.array([x[3] for x in out], pa.binary())]
+            kinds = pa.int32(), pa.int64(), pa.int64(), pa.list_(kind), pa.binary()
+            cols = [pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]
             out.clear()
-            return pa.RecordBatch.from_arrays(cols, ["slot", "shard", "place", "n_ids", "keys", "ids"])
+            return pa.RecordBatch.from_arrays(cols, ["part", "number", "n_ids", "keys", "ids"])
 
         for batch in batches:
             for own, key, ids in zip(*(batch.column(c).to_pylist() for c in ("part", "key", "ids"))):
                 if own != part:
                     if held:
                         done()
-                    part, number = own, begin[own]
+                    part, number = own, 0
                 ids, at = (ids or b"") + end, 0
                 while at < len(ids):
                     take = ids[at:at + stride - len(held)]
@@ -109,32 +113,46 @@ def _cut(begin: dict[int, int], order: Feistel, length: int, width: int, end: by
     return run
 
 
+def _slot_of(begin: dict[int, int], order: Feistel):
+    """The slot of a part's sequence by its number. As it isn't called deterministic, a filter on slots asks for it once."""
+    first = np.zeros(max(begin, default=-1) + 1, np.int64)
+    first[list(begin)] = list(begin.values())
+
+    def slot(part: pa.Array, number: pa.Array) -> pa.Array:
+        return pa.array(order.slots(first[part.to_numpy(zero_copy_only=False)] + number.to_numpy(zero_copy_only=False)))
+
+    return F.arrow_udf(slot, "bigint").asNondeterministic()
+
+
 def sequences(df: DataFrame, key: str, ids: str, width: int, length: int, end: bytes, pad: bytes, seed: int,
               shard_rows: int, parts: int = PARTS) -> DataFrame:
     """``(slot, shard, place, n_ids, keys, ids)``, tasks with ranges of shards, sorted by
     slot: ``ids`` is binary of ``length * width`` bytes, ``keys`` names the documents that it
-    has ids of. The input's ``ids`` are binary, ``width`` bytes an id; they are
-    written once, as their number has to be known first."""
+    has ids of. The input's ``ids`` are binary, ``width`` bytes an id."""
     spark = df.sparkSession
     ship(spark)
     name, raw = df[f"`{key}`"], df[f"`{ids}`"]
     part = F.pmod(F.xxhash64("key", "ids"), F.lit(parts)).cast("int").alias("part")
-    path = f"{shared_dir(spark)}/training-ids-{uuid.uuid4().hex[:12]}"
-    src = df.select(name.alias("key"), raw.alias("ids")).select(part, "key", (F.floor(F.coalesce(F.octet_length("ids"), F.lit(0)) / width) + 1).alias("n"), "ids")
-    src.write.option("compression", "zstd").parquet(path)
-    src = spark.read.schema(src.schema).parquet(path)
-    sizes = {r["part"]: -(-r["n"] // length) for r in src.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    src = df.select(name.alias("key"), raw.alias("ids")).select(part, "key", "ids")
+    kind = src.schema["key"].dataType
+    run = _cut(length, width, end, pad, pa.int64() if kind.typeName() == "long" else pa.string())
+    cut = src.repartition("part").sortWithinPartitions("part", "key", "ids").mapInArrow(
+        run, f"part int, number bigint, n_ids bigint, keys array<{kind.simpleString()}>, ids binary")
+    path = f"{shared_dir(spark)}/training-sequences-{uuid.uuid4().hex[:12]}"
+    with shuffles_dropped(spark):
+        cut.write.option("compression", "zstd").parquet(path)
+    cut = spark.read.schema(cut.schema).parquet(path)
+    sizes = {r["part"]: r["n"] for r in cut.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     begin, total = {}, 0
     for p in sorted(sizes):
         begin[p] = total
         total += sizes[p]
-    kind = src.schema["key"].dataType
-    run = _cut(begin, Feistel(total, seed), length, width, end, pad, shard_rows, pa.int64() if kind.typeName() == "long" else pa.string())
-    cut = src.select("part", "key", "ids").repartition("part").sortWithinPartitions("part", "key", "ids").mapInArrow(
-        run, f"slot bigint, shard bigint, place bigint, n_ids bigint, keys array<{kind.simpleString()}>, ids binary")
     shards = max(1, -(-total // shard_rows))
     tasks = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return cut.repartitionById(tasks, (F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("slot")
+    placed = cut.select(_slot_of(begin, Feistel(total, seed))("part", "number").alias("slot"), "n_ids", "keys", "ids")
+    shard = F.expr(f"slot div {shard_rows}").alias("shard")
+    placed = placed.select("slot", shard, (F.col("slot") % shard_rows).alias("place"), "n_ids", "keys", "ids")
+    return placed.repartitionById(tasks, (F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("slot")
 
 
 def byte_sequences(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 2048, seed: int = 20, shard_rows: int = 4096) -> DataFrame:
@@ -159,9 +177,9 @@ def token_sequences(df: DataFrame, key: str = "doc_id", text: str = "text", leng
 
     def encode(batches):
         coder = bpe_bitmap.Coder.of(path, pattern)
-        for batch in batches:
-            for part in slices(batch, "text", bpe_bitmap.BATCH_BYTES):
-                ids, at = coder.encode(text_column(part, "text").to_pylist())
+        for batch in joined(batches, "text", QUEUE_BYTES):
+            for part in slices(batch, "text", QUEUE_BYTES):
+                ids, at = coder.encode_at_once(text_column(part, "text"))
                 if len(ids) and ids.max() >= PAD:
                     raise ValueError("the vocabulary needs more than 16 bits")
                 ids = ids.astype("<u2")
@@ -217,11 +235,14 @@ def write_shards(seqs: DataFrame, path: str) -> DataFrame:
 
 def materialise(seqs: DataFrame, path: str, stride: int, shard_rows: int) -> DataFrame:
     """Write the shards and read them again: ``(slot, shard, place, n_ids, keys, sha256)``, the
-    digest of each slot's ids as they stand in the files."""
+    digest of each slot's ids as they stand in the files. A pass's shuffle is gone
+    before the next one, so that a third of the sequences is on disk besides their table and the files."""
     spark = seqs.sparkSession
     table = f"{path}-index"
-    index = write_shards(seqs, path)
-    index.write.parquet(table)
+    for k in range(PASSES):
+        index = write_shards(seqs.filter(F.col("shard") % PASSES == k), path)
+        with shuffles_dropped(spark):
+            index.write.mode("append").parquet(table)
     index = spark.read.schema(index.schema).parquet(table)
     files = spark.read.format("binaryFile").load(path, pathGlobFilter="shard-*.bin")
     places = F.sequence(F.lit(0), (F.col("length") / stride).cast("int") - 1)

@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 from tablekit.llm import bpe_bitmap as B
@@ -31,6 +32,19 @@ def test_random_texts_match_the_public_library():
         assert c.decode(own)[0].tobytes().decode() == t
 
 
+def test_pre_tokens_of_many_texts_are_the_patterns_matches():
+    rnd, c = random.Random(7), coder()
+    some = [" ", "  ", "\n", "\t", " \n", "\u00a0", "\u3000", "\x1c", "\x85", "a", "don't", "'s", "'", "'r", "e", "l", "'l", "'ve", "'d", "é", "e\u0301", "漢字", "😀", "²", "Ⅷ", "12", "...", "bar,"]
+    texts = ["", " ", "'", "x'", "'s", ""] + ["".join(rnd.choice(some) for _ in range(rnd.randrange(12))) for _ in range(5000)]
+    column = pa.array(texts, pa.string())
+    found, ends = c.pieces(column)
+    found = [p.decode() for p in found.to_pylist()]
+    assert [found[a:b] for a, b in zip([0, *ends[:-1]], ends)] == [c.split(t) for t in texts]
+    for part in (column, column.slice(3, 900), column[:1], column[:0], pa.array(["a b", None, "c"])):
+        (ids, at), (same, begin) = c.encode([t or "" for t in part.to_pylist()]), c.encode_at_once(part)
+        assert ids.tolist() == same.tolist() and at.tolist() == begin.tolist()
+
+
 def test_merges_of_one_piece_by_the_definition():
     """Lowest rank first, leftmost first, one merge at a time."""
     c, rnd = coder(), random.Random(5)

@@ -1,12 +1,13 @@
 """The permutation, the sequences, and fixed-stride shards."""
 
+import time
 from hashlib import sha256
 
 import numpy as np
 import pytest
 
 from tablekit.llm import feistel_order as O
-from tablekit.llm.runtime import shared_dir
+from tablekit.llm.runtime import SHUFFLE_CLEANUP, shared_dir
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
@@ -79,6 +80,32 @@ def test_shards_read_from_any_slot(spark, docs, prose):
         assert O.read_slots(path, first, count, 32, 64) == [bytes(r["ids"]) for r in want[first:first + count]]
 
 
+def test_shuffles_go_with_the_write_that_made_them(spark, docs, prose):
+    def shuffled():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName(): found.apply(i).length() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    seqs = O.byte_sequences(docs([prose(i % 90, i) for i in range(600)]), length=16, shard_rows=20)
+    got = O.materialise(seqs, f"{shared_dir(spark)}/test-passes", 16, 20)
+    for _ in range(50):
+        left = {k: n for k, n in shuffled().items() if k not in before}
+        if sum(left.values()) < 20_000:
+            break
+        time.sleep(0.1)
+    # the count of each part's sequences may be left; the sequences themselves are over 100 KB
+    assert sum(left.values()) < 20_000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    rows = collected(got)
+    assert [r["slot"] for r in rows] == list(range(seqs.count())) and len(rows) * 16 > 100_000
+
+
+def test_a_pass_shuffles_its_own_sequences_only(spark, docs, prose):
+    seqs = O.byte_sequences(docs([prose(i % 90, i) for i in range(300)]), length=16, shard_rows=20)
+    plan = seqs.filter("shard % 3 = 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.index("Repartition") < plan.index("Filter")
+
+
 def test_query_writes_token_ids(spark):
     import public_tokenizers
     import tiktoken
