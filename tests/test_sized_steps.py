@@ -66,6 +66,36 @@ def test_als_blocks_follow_the_rows():
     assert MD.als_blocks(1_000_000_000) == 40
 
 
+def test_fits_side_by_side_hold_so_many_rows():
+    assert [MD.als_side_by_side(n) for n in (0, 25_000_000, 40_000_000, 150_000_000)] == [(4, 6), (4, 6), (2, 6), (1, 12)]
+    for rows in (90_000_000, 300_000_000, 2_000_000_000):
+        at_once, blocks = MD.als_side_by_side(rows)
+        assert at_once == 1 and rows / blocks <= MD.GRID_BLOCK_ROWS
+
+
+def test_large_fits_of_a_grid_run_one_by_one_and_keep_nothing_on_the_heap(spark, monkeypatch):
+    from tablekit.plans.registry import load_all
+    fit, plan, lock, running, seen = MD.ALS.fit, MD.als, threading.Lock(), [], []
+
+    def watched(self, rows):
+        with lock:
+            running.append(self)
+            seen.append((len(running), self.getIntermediateStorageLevel(), self.getFinalStorageLevel(), self.getNumUserBlocks(), self.getNumItemBlocks()))
+        try:
+            return fit(self, rows)
+        finally:
+            with lock:
+                running.remove(self)
+
+    monkeypatch.setattr(MD.ALS, "fit", watched)
+    monkeypatch.setattr(MD, "als", lambda **point: plan(**point, max_iter=1))
+    monkeypatch.setattr(MD, "GRID_ROWS", 1000, raising=False)
+    monkeypatch.setattr(MD, "GRID_BLOCK_ROWS", 500, raising=False)
+    rows = load_all()["als_grid_search"].build(spark, "/root/testdata/sf0.001").collect()
+    assert len({(r["rank"], r["reg_param"], r["alpha"]) for r in rows}) == 8 and all(0 <= r["mean_auc"] <= 1 for r in rows)
+    assert len(seen) == 8 and set(seen) == {(1, "DISK_ONLY", "DISK_ONLY", seen[0][3], seen[0][3])} and seen[0][3] > MD.BLOCKS
+
+
 def test_unit_sums_send_a_part_each_vector_once(spark):
     from tablekit.plans.vectorplans import text_unit_sums
     texts = spark.range(400).select("id", F.array(*[F.concat(F.lit("w"), (F.col("id") + i) % 7) for i in range(30)]).alias("t"),
